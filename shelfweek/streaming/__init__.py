@@ -1,0 +1 @@
+"""Empty on purpose: the work is batch only, no step reads or writes a stream."""
