@@ -1,0 +1,470 @@
+"""ARIMA with automatic order, estimated by grouped sums.
+
+All work that grows with the data is windows and one grouped sum in Spark:
+
+1. both measures of a series are stacked and standardised, seasonal strength decides on a
+   seasonal difference and the KPSS statistic on up to two ordinary ones;
+2. the differenced value gets its lags as columns, and one aggregation adds up all their
+   products. This table of sums holds everything least squares needs.
+
+Estimation follows Hannan and Rissanen: a long autoregression gives residuals, and the
+value is regressed on lags of itself and of the residuals. As a residual is a weighted sum
+of lags, sums of products with residuals follow from the same table by a matrix product,
+so the rows are read once and every order is fitted from a sub-table. Only that step, on
+one small array per series, leaves the JVM; it solves all series of an Arrow batch at once.
+The forecast itself is an array fold over the last values.
+
+Orders: p, q up to 5, one additive seasonal lag, at most 5 terms, chosen by AICc
+over the same rows for every order. Exact likelihood values are not reproduced.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from shelfweek.functions.measures import UNITS, as_units, total_or_zero
+from shelfweek.operators.series import spread_by_keys, step_shift
+from shelfweek.schemas import SERIES_KEYS, TARGETS
+
+# fixed values: limits of the search and critical values of the tests
+MAX_TERMS = 5
+LONG_ORDER = 7
+SEASONAL_STRENGTH = 0.64
+KPSS_CRITICAL = 0.463
+KPSS_MAX_LAG = 12
+MIN_ROWS = 15
+ROOT_LIMIT = 0.99
+
+LAGS = MAX_TERMS + LONG_ORDER
+# columns of the product table: 1, value, its lags, its seasonal lag
+WIDTH = LAGS + 3
+NEGLIGIBLE = 1e-10
+
+
+def stack_targets(series: DataFrame, keys: list[str], targets: dict[str, str]) -> DataFrame:
+    """One row per series, target and date, without missing dates."""
+    named = series.select(
+        *keys,
+        "date",
+        *[(as_units(c) / F.lit(UNITS)).alias(name) for name, c in targets.items()],
+    )
+    long = named.unpivot([*keys, "date"], list(targets), "target", "y")
+    return long.filter(F.col("date").isNotNull() & F.col("y").isNotNull())
+
+
+def _kpss(rows: DataFrame, value: str, count: Column, by: list[str], name: str) -> DataFrame:
+    """Level-stationarity statistic of a column as a column; 0 for a constant series."""
+    whole = Window.partitionBy(*by)
+    ordered = whole.orderBy("date")
+    dev, run = f"{name}_dev", f"{name}_run"
+    rows = rows.withColumn(dev, F.col(value) - F.avg(value).over(whole))
+    lagged = [f"{name}_lag{j}" for j in range(1, KPSS_MAX_LAG + 1)]
+    rows = rows.withColumns(
+        {run: F.sum(dev).over(ordered.rowsBetween(Window.unboundedPreceding, 0))}
+        | {c: F.lag(dev, j).over(ordered) for j, c in enumerate(lagged, 1)}
+    )
+    bandwidth = F.least(F.floor(3 * F.sqrt(count) / 13), F.lit(KPSS_MAX_LAG))
+    power = F.sum(F.col(dev) * F.col(dev)).over(whole)
+    spread = power
+    for j, c in enumerate(lagged, 1):
+        weight = F.greatest(1 - j / (bandwidth + 1), F.lit(0.0))
+        both = F.sum(F.col(dev) * F.col(c)).over(whole)
+        spread = spread + 2 * weight * F.coalesce(both, F.lit(0.0))
+    moved = F.sum(F.col(run) * F.col(run)).over(whole) / (count * count)
+    stat = F.when(power > NEGLIGIBLE * count, moved / F.nullif(spread / count, F.lit(0.0)))
+    rows = rows.withColumn(name, F.coalesce(stat, F.lit(0.0)))
+    return rows.drop(dev, run, *lagged)
+
+
+def difference(long: DataFrame, by: list[str], season: int) -> DataFrame:
+    """Add standardised (``x``), seasonally (``z``) and fully (``w``) differenced values,
+    with the numbers of differences ``sd`` and ``d``."""
+    whole = Window.partitionBy(*by)
+    ordered = whole.orderBy("date")
+    rows = long.withColumns(
+        {
+            "t": F.row_number().over(ordered),
+            "n": F.count(F.lit(1)).over(whole),
+            "centre": F.avg("y").over(whole),
+            "scale": F.stddev_pop("y").over(whole),
+        }
+    )
+    varies = F.col("scale") > NEGLIGIBLE * F.greatest(F.abs("centre"), F.lit(1.0))
+    rows = rows.withColumn("x", F.when(varies, (F.col("y") - F.col("centre")) / F.col("scale")))
+    rows = rows.withColumn("x", F.coalesce("x", F.lit(0.0)))
+
+    # seasonal strength: how much of the variance around a straight line is left
+    # after taking out the mean of each place in the season
+    line = F.regr_intercept("x", "t").over(whole) + F.regr_slope("x", "t").over(whole) * F.col("t")
+    rows = rows.withColumn("_off", F.col("x") - F.coalesce(line, F.lit(0.0)))
+    place = Window.partitionBy(*by, F.col("t") % season)
+    rows = rows.withColumn("_rest", F.col("_off") - F.avg("_off").over(place))
+    about = F.var_pop("_off").over(whole)
+    left = F.var_pop("_rest").over(whole)
+    strength = F.when(about > NEGLIGIBLE, 1 - left / F.nullif(about, F.lit(0.0)))
+    seasonal = (F.col("n") >= 2 * season + 8) & (
+        F.coalesce(strength, F.lit(0.0)) > SEASONAL_STRENGTH
+    )
+    rows = rows.withColumn("sd", seasonal.cast("int")).drop("_off", "_rest")
+    year_ago = F.lag("x", season).over(ordered)
+    rows = rows.withColumn(
+        "z", F.when(F.col("sd") == 1, F.col("x") - year_ago).otherwise(F.col("x"))
+    )
+    rows = rows.withColumn("_z1", F.col("z") - F.lag("z").over(ordered))
+    left_over = F.col("n") - F.col("sd") * season
+    rows = _kpss(rows, "z", left_over, by, "_level0")
+    rows = _kpss(rows, "_z1", F.greatest(left_over - 1, F.lit(1)), by, "_level1")
+    d = F.when(F.col("_level0") <= KPSS_CRITICAL, 0).when(F.col("_level1") <= KPSS_CRITICAL, 1)
+    rows = rows.withColumn("d", d.otherwise(2)).withColumn(
+        "_z2", F.col("_z1") - F.lag("_z1").over(ordered)
+    )
+    w = F.when(F.col("d") == 0, F.col("z")).when(F.col("d") == 1, F.col("_z1"))
+    return rows.withColumn("w", w.otherwise(F.col("_z2"))).drop(
+        "_level0", "_level1", "_z1", "_z2"
+    )
+
+
+def product_sums(rows: DataFrame, by: list[str], season: int) -> DataFrame:
+    """One row per series and target: the sums of products of lags over the rows all orders
+    share, and the last values, newest first."""
+    ordered = Window.partitionBy(*by).orderBy("date")
+    length = F.col("n") - F.col("sd") * season - F.col("d")
+    rows = rows.withColumns(
+        {f"_l{j}": F.lag("w", j).over(ordered) for j in range(1, LAGS + 1)}
+        | {"_ls": F.lag("w", season).over(ordered)}
+    )
+    # a seasonal lag costs a season of rows, so it needs two seasons and some
+    has_season = length >= 2 * season + LAGS
+    first = F.when(has_season, F.greatest(F.lit(LAGS), F.lit(season))).otherwise(LAGS)
+    place = F.col("t") - F.col("sd") * season - F.col("d")
+    shared = place > first
+    values = [F.lit(1.0), F.col("w"), *[F.col(f"_l{j}") for j in range(1, LAGS + 1)]]
+    values.append(F.when(has_season, F.col("_ls")).otherwise(0.0))
+    rows = rows.withColumns({f"_v{i}": F.when(shared, v) for i, v in enumerate(values)})
+    products = [
+        F.expr(f"coalesce(sum(_v{i} * _v{j}), 0D)")
+        for i in range(WIDTH)
+        for j in range(i, WIDTH)
+    ]
+    recent = F.col("t") > F.col("n") - (max(season, LAGS) + 1)
+    tail = F.collect_list(F.when(recent, F.struct("t", "w", "z", "x")))
+    return rows.groupBy(*by).agg(
+        F.array(*products).alias("sums"),
+        F.count_if(shared).alias("rows_used"),
+        F.max(has_season).alias("has_season"),
+        F.sort_array(tail, asc=False).alias("tail"),
+        F.max("date").alias("last_date"),
+        *[F.max(c).alias(c) for c in ("n", "d", "sd", "centre", "scale")],
+    )
+
+
+def _solve(table: np.ndarray, terms: list[int], target: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least squares of one column on others, for a stack of product tables."""
+    a = table[:, terms][:, :, terms]
+    b = table[:, terms, target]
+    size = np.sqrt(np.maximum(np.diagonal(a, axis1=1, axis2=2), 1e-30))
+    unit = a / (size[:, :, None] * size[:, None, :]) + 1e-10 * np.eye(len(terms))
+    beta = np.linalg.solve(unit, (b / size)[:, :, None])[:, :, 0] / size
+    fit = np.einsum("bi,bij,bj->b", beta, a, beta)
+    return beta, table[:, target, target] - 2 * (b * beta).sum(1) + fit
+
+
+def _stable(weights: np.ndarray) -> np.ndarray:
+    """Whether 1 - sum(w_i z^i) has all roots outside the unit circle, by stepping the
+    recursion down one order at a time."""
+    a = weights.copy()
+    ok = np.ones(len(a), bool)
+    for k in range(a.shape[1], 0, -1):
+        r = a[:, k - 1].copy()
+        ok &= np.abs(r) < ROOT_LIMIT
+        r[~ok] = 0.0
+        a = (a[:, : k - 1] + r[:, None] * a[:, : k - 1][:, ::-1]) / (1 - r * r)[:, None]
+    return ok
+
+
+def choose_orders(
+    table: np.ndarray,
+    count: np.ndarray,
+    has_season: np.ndarray,
+    may_shift: np.ndarray,
+    season: int,
+) -> dict[str, np.ndarray]:
+    """Best order and weights for a stack of product tables (series, WIDTH, WIDTH)."""
+    size = len(table)
+    table = np.where((count >= MIN_ROWS)[:, None, None], table, np.eye(WIDTH))
+    long, _ = _solve(table, [0, *range(2, 2 + LONG_ORDER)], 1)
+    # new columns: 1, value, lags 1..5, residual lags 1..5, seasonal lag
+    turn = np.zeros((size, 3 + 2 * MAX_TERMS, WIDTH))
+    for i in range(2 + MAX_TERMS):
+        turn[:, i, i] = 1
+    for j in range(1, MAX_TERMS + 1):
+        row = turn[:, 1 + MAX_TERMS + j]
+        row[:, 1 + j] = 1
+        row[:, 0] -= long[:, 0]
+        row[:, 2 + j : 2 + j + LONG_ORDER] -= long[:, 1:]
+    turn[:, -1, -1] = 1
+    moments = turn @ table @ turn.transpose(0, 2, 1)
+
+    best = {
+        "aicc": np.full(size, np.inf),
+        "sigma2": np.full(size, np.nan),
+        "order": np.zeros((size, 3), int),
+        # constant, lags, residual lags, seasonal lag
+        "weights": np.zeros((size, 2 + 2 * MAX_TERMS)),
+        "long": long,
+    }
+    for s in (0, 1):
+        for p in range(MAX_TERMS + 1 - s):
+            for q in range(MAX_TERMS + 1 - s - p):
+                for const in (0, 1):
+                    terms = [0] * const + [*range(2, 2 + p)]
+                    terms += [*range(2 + MAX_TERMS, 2 + MAX_TERMS + q)]
+                    terms += [2 + 2 * MAX_TERMS] * s
+                    beta, sse = np.zeros((size, 0)), moments[:, 1, 1]
+                    if terms:
+                        beta, sse = _solve(moments, terms, 1)
+                    k = len(terms) + 1
+                    sse = np.maximum(sse, NEGLIGIBLE * count)
+                    room = count - k - 1
+                    with np.errstate(all="ignore"):
+                        aicc = count * np.log(sse / count) + 2 * k + 2 * k * (k + 1) / room
+                    able = (room > 0) & np.isfinite(aicc) & (count >= MIN_ROWS)
+                    if const:
+                        able &= may_shift
+                    if s:
+                        able &= has_season
+                    better = able & (aicc < best["aicc"] - 1e-9)
+                    if not better.any():
+                        continue
+                    lags = np.zeros((size, max(p, season * s)))
+                    lags[:, :p] = beta[:, const : const + p]
+                    if s:
+                        lags[:, season - 1] += beta[:, -1]
+                    better &= _stable(lags) & _stable(-beta[:, const + p : const + p + q])
+                    weights = np.zeros_like(best["weights"])
+                    if const:
+                        weights[:, 0] = beta[:, 0]
+                    weights[:, 1 : 1 + p] = beta[:, const : const + p]
+                    at = 1 + MAX_TERMS
+                    weights[:, at : at + q] = beta[:, const + p : const + p + q]
+                    if s:
+                        weights[:, -1] = beta[:, -1]
+                    best["aicc"][better] = aicc[better]
+                    best["sigma2"][better] = (sse / count)[better]
+                    best["order"][better] = (p, q, s)
+                    best["weights"][better] = weights[better]
+    return best
+
+
+FIT_TYPE = (
+    "p int, q int, ps int, weights array<double>, long_run array<double>, "
+    "sigma2 double, aicc double, fallback boolean"
+)
+
+
+def _fit_udf(season: int):
+    @F.pandas_udf(FIT_TYPE)
+    def fit(
+        sums: pd.Series, count: pd.Series, has_season: pd.Series, may_shift: pd.Series
+    ) -> pd.DataFrame:
+        upper = np.triu_indices(WIDTH)
+        table = np.zeros((len(sums), WIDTH, WIDTH))
+        table[:, upper[0], upper[1]] = np.stack(sums.to_numpy())
+        table[:, upper[1], upper[0]] = table[:, upper[0], upper[1]]
+        best = choose_orders(
+            table,
+            count.to_numpy(float),
+            has_season.to_numpy(bool),
+            may_shift.to_numpy(bool),
+            season,
+        )
+        found = np.isfinite(best["aicc"])
+        return pd.DataFrame(
+            {
+                "p": best["order"][:, 0],
+                "q": best["order"][:, 1],
+                "ps": best["order"][:, 2],
+                "weights": list(best["weights"]),
+                "long_run": list(best["long"]),
+                "sigma2": best["sigma2"],
+                "aicc": np.where(found, best["aicc"], np.nan),
+                "fallback": ~found,
+            }
+        )
+
+    return fit
+
+
+def fit_models(
+    series: DataFrame,
+    keys: list[str] | None = None,
+    targets: dict[str, str] | None = None,
+    season: int = 52,
+    partitions: int | None = None,
+) -> DataFrame:
+    """One fitted model per series and target, with what a forecast needs.
+
+    Rows are hashed by series once; windows, sums and the fit keep that partitioning. A
+    series that is constant, or too short for ``MIN_ROWS`` usable rows, gets its mean and
+    the flag ``fallback``.
+    """
+    keys = keys or SERIES_KEYS
+    by = [*keys, "target"]
+    # stacking forgets how rows were hashed, so it comes before the exchange
+    long = spread_by_keys(stack_targets(series, keys, targets or TARGETS), keys, partitions)
+    sums = product_sums(difference(long, by, season), by, season)
+    may_shift = F.col("d") + F.col("sd") <= 1
+    fitted = sums.withColumn(
+        "fit", _fit_udf(season)("sums", "rows_used", "has_season", may_shift)
+    ).drop("sums")
+    flat = ~(F.col("scale") > NEGLIGIBLE * F.greatest(F.abs("centre"), F.lit(1.0)))
+    plain = flat | F.col("fit.fallback")
+    return fitted.withColumns(
+        {
+            "fallback": plain,
+            "d": F.when(plain, 0).otherwise(F.col("d")),
+            "sd": F.when(plain, 0).otherwise(F.col("sd")),
+            "weights": F.when(
+                plain, F.array_repeat(F.lit(0.0), 2 + 2 * MAX_TERMS)
+            ).otherwise(F.col("fit.weights")),
+        }
+    )
+
+
+def model_table(models: DataFrame, keys: list[str] | None = None, season: int = 52) -> DataFrame:
+    """Orders (p, d, q, P, D, m) and coefficients on the scale of the data: constant, lags,
+    residual lags, seasonal lag."""
+    keys = keys or SERIES_KEYS
+    w = F.col("weights")
+
+    def order(c):
+        return F.when(F.col("fallback"), 0).otherwise(F.col(c))
+
+    carried = F.aggregate(
+        F.concat(F.slice(w, 2, MAX_TERMS), F.slice(w, 2 + 2 * MAX_TERMS, 1)),
+        F.lit(0.0),
+        lambda acc, v: acc + v,
+    )
+    level = F.when(F.col("d") + F.col("sd") == 0, F.col("centre") * (1 - carried)).otherwise(0.0)
+    constant = w[0] * F.col("scale") + level
+    return models.select(
+        *keys,
+        "target",
+        F.array(
+            order("fit.p"), "d", order("fit.q"), order("fit.ps"), "sd", F.lit(season)
+        ).alias("model_order"),
+        F.concat(F.array(constant), F.slice(w, 2, 1 + 2 * MAX_TERMS)).alias("coefficients"),
+        F.when(F.col("fallback"), F.col("scale") * F.col("scale"))
+        .otherwise(F.col("fit.sigma2") * F.col("scale") * F.col("scale"))
+        .alias("sigma2"),
+        F.when(~F.col("fallback"), F.col("fit.aicc")).alias("aicc"),
+        F.col("n").cast("int").alias("n_obs"),
+        "fallback",
+    )
+
+
+def project(models: DataFrame, horizon: int, season: int = 52) -> DataFrame:
+    """Add ``path``, the values of the steps ahead, as an array.
+
+    A fold over the steps: histories are arrays, newest first, and each step puts one
+    value in front. Differences are undone within the step.
+    """
+
+    def past(name):
+        return f"transform(tail, r -> coalesce(r.{name}, 0D))"
+
+    def residual(j):
+        own = f"get(_w, {j}) - get(fit.long_run, 0)"
+        lags = [f"get(fit.long_run, {i}) * get(_w, {j + i})" for i in range(1, LONG_ORDER + 1)]
+        return "coalesce(" + " - ".join([own, *lags]) + ", 0D)"
+
+    terms = ["get(weights, 0)"]
+    for i in range(1, MAX_TERMS + 1):
+        terms.append(f"coalesce(get(weights, {i}) * get(s.w, {i - 1}), 0D)")
+        # the residual i steps before step k is known only if it lies in the past
+        terms.append(f"IF({i} >= k, get(weights, {MAX_TERMS + i}) * get(_e, {i} - k), 0D)")
+    terms.append(f"coalesce(get(weights, {1 + 2 * MAX_TERMS}) * get(s.w, {season - 1}), 0D)")
+    back = "CASE d WHEN 1 THEN get(s.z, 0) WHEN 2 THEN 2 * get(s.z, 0) - get(s.z, 1) ELSE 0D END"
+    year_ago = f"IF(sd = 1, get(s.x, {season - 1}), 0D)"
+    step = f"transform(array({' + '.join(terms)}), v -> named_struct('v', v, 'l', v + {back}))[0]"
+    put = f"""transform(array({step}), n -> named_struct(
+        'w', concat(array(n.v), s.w),
+        'z', concat(array(n.l), s.z),
+        'x', concat(array(n.l + {year_ago}), s.x)))[0]"""
+    ahead = F.expr(f"""aggregate(
+        sequence(1, {horizon}),
+        named_struct('w', _w, 'z', _z, 'x', _x),
+        (s, k) -> {put},
+        s -> reverse(slice(s.x, 1, {horizon})))""")
+    models = models.withColumns({f"_{c}": F.expr(past(c)) for c in ("w", "z", "x")})
+    models = models.withColumn("_e", F.expr(f"array({', '.join(map(residual, range(MAX_TERMS)))})"))
+    real = F.transform(ahead, lambda v: F.col("centre") + F.col("scale") * v)
+    return models.withColumn("path", real).drop("_w", "_z", "_x", "_e")
+
+
+def forecast_targets(
+    series: DataFrame,
+    horizon: int,
+    season: int,
+    keys: list[str],
+    targets: dict[str, str],
+    partitions: int | None = None,
+) -> DataFrame:
+    """One row per series with its last date and an array of values per target."""
+    paths = project(fit_models(series, keys, targets, season, partitions), horizon, season)
+    return paths.groupBy(*keys).agg(
+        F.max("last_date").alias("last_date"),
+        *[
+            F.max(F.when(F.col("target") == t, F.col("path"))).alias(t) for t in targets
+        ],
+    )
+
+
+def forecast_weekly(
+    weekly: DataFrame,
+    horizon: int = 18,
+    season: int = 52,
+    first_step: str = "last",
+    keys: list[str] | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Weekly forecasts of sales and volume for every series.
+
+    A lag is the previous observed week; ``fill_gaps`` beforehand makes it the calendar week.
+    """
+    keys = keys or SERIES_KEYS
+    shift = step_shift(first_step)
+    paths = forecast_targets(weekly, horizon, season, keys, TARGETS, partitions)
+    steps = paths.select(*keys, "last_date", F.posexplode(F.arrays_zip("sales", "volume")))
+    return steps.select(
+        *keys,
+        F.date_add("last_date", F.col("pos") * 7 + shift).alias("Date"),
+        F.col("col.volume").alias("forecast_volume"),
+        F.col("col.sales").alias("fc_sales"),
+    )
+
+
+def monthly_sales(sales: DataFrame, date: str = "date", by: str = "store_number") -> DataFrame:
+    """Sums per store and calendar month, dated at the first of the month."""
+    return sales.groupBy(by, F.trunc(date, "month").alias("date")).agg(
+        total_or_zero("sale_dollars").alias("total_sales"),
+        total_or_zero("volume_sold_liters").alias("total_volume_sold"),
+    )
+
+
+def forecast_store_monthly(
+    sales: DataFrame, horizon: int = 12, season: int = 12, date: str = "date"
+) -> DataFrame:
+    """Monthly forecasts of both measures per store, from sales lines with parsed dates."""
+    keys = ["store_number"]
+    paths = forecast_targets(monthly_sales(sales, date), horizon, season, keys, TARGETS)
+    steps = paths.select(*keys, "last_date", F.posexplode(F.arrays_zip("sales", "volume")))
+    return steps.select(
+        *keys,
+        F.add_months("last_date", F.col("pos") + 1).alias("Date"),
+        F.col("col.volume").alias("forecast_volume"),
+        F.col("col.sales").alias("fc_sales"),
+    )
