@@ -21,8 +21,8 @@ def parse_iso_date(c: str | Column) -> Column:
 
 def week_start(c: str | Column) -> Column:
     """The Sunday on or before the date (``date_trunc('week')`` gives Mondays)."""
-    d = _col(c)
-    return F.date_sub(d, F.dayofweek(d) - 1)
+    # names the date once, so an expression that parses text is evaluated once
+    return F.next_day(F.date_sub(_col(c), 7), "SUN")
 
 
 def quarter_label(c: str | Column) -> Column:

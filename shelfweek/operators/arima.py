@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfweek.functions.measures import UNITS, as_units, total_or_zero
+from shelfweek.functions.measures import total_or_zero
 from shelfweek.operators.series import spread_by_keys, step_shift
 from shelfweek.schemas import SERIES_KEYS, TARGETS
 
@@ -49,7 +49,7 @@ def stack_targets(series: DataFrame, keys: list[str], targets: dict[str, str]) -
     named = series.select(
         *keys,
         "date",
-        *[(as_units(c) / F.lit(UNITS)).alias(name) for name, c in targets.items()],
+        *[F.when(~F.isnan(c), F.col(c)).alias(name) for name, c in targets.items()],
     )
     long = named.unpivot([*keys, "date"], list(targets), "target", "y")
     return long.filter(F.col("date").isNotNull() & F.col("y").isNotNull())
@@ -313,8 +313,9 @@ def fit_models(
     """
     keys = keys or SERIES_KEYS
     by = [*keys, "target"]
-    # stacking forgets how rows were hashed, so it comes before the exchange
-    long = spread_by_keys(stack_targets(series, keys, targets or TARGETS), keys, partitions)
+    long = stack_targets(series, keys, targets or TARGETS)
+    if partitions:
+        long = spread_by_keys(long, keys, partitions)
     sums = product_sums(difference(long, by, season), by, season)
     may_shift = F.col("d") + F.col("sd") <= 1
     fitted = sums.withColumn(

@@ -22,7 +22,9 @@ def weekly_sales(sales: DataFrame, date: str = "date", parsed: bool = False) ->
     """Sums per store, Sunday week and category, straight from the sales lines.
 
     Sums compose, so the daily step in between is left out. Lines without a readable
-    date are dropped; ``date_audit`` counts them.
+    date are dropped; ``date_audit`` counts them. They are dropped after the sums, by a
+    count rather than by the key: a test of the key would move below the aggregation, and
+    every date would be parsed twice.
     """
     day = F.col(date) if parsed else dates.parse_us_date(date)
     lines = sales.select(
@@ -31,11 +33,13 @@ def weekly_sales(sales: DataFrame, date: str = "date", parsed: bool = False) ->
         "category_name",
         "sale_dollars",
         "volume_sold_liters",
-    ).filter(F.col("date").isNotNull())
-    return lines.groupBy("store_number", "date", "category_name").agg(
+    )
+    sums = lines.groupBy("store_number", "date", "category_name").agg(
         total_or_zero("sale_dollars").alias("total_sales"),
         total_or_zero("volume_sold_liters").alias("total_volume_sold"),
+        F.count("date").alias("_dated"),
     )
+    return sums.filter(F.col("_dated") > 0).drop("_dated")
 
 
 def store_day_sales(sales: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def series_facts(weekly: DataFrame, keys: list[str], season: int) -> DataFrame:
         }
     )
     for m in OUTPUT:
-        rows = rows.withColumn(f"_{m}", wide_units(F.coalesce(F.col(m), F.lit(0.0))))
+        rows = rows.withColumn(f"_{m}", F.coalesce(wide_units(m), F.lit(0).cast("decimal(18,0)")))
     for m in OUTPUT:
         y = F.col(f"_{m}")
         rows = rows.withColumns(

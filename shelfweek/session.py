@@ -18,6 +18,8 @@ def build_session(app: str = "shelfweek", master: str | None = None, **conf) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # the forecast plan holds more generated classes than the default cache keeps
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
     )
     if master:
         builder = builder.master(master)
