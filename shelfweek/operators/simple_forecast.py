@@ -92,34 +92,46 @@ def _centred(f: Column, part: str, a: str, b: str, n: Column) -> Column:
     )
 
 
-def _ar1(f: Column, n: Column) -> tuple[Column, Column]:
-    """Slope on the previous value, and the level it returns to, in units."""
-    pairs = n - 1
-    var = _centred(f, "pair", "x", "x", pairs)
-    slope = F.when(var > 0, _centred(f, "pair", "x", "y", pairs) / var)
-    constant = (_dbl(f["pair_y"]) - slope * _dbl(f["pair_x"])) / pairs
-    return slope, constant / (F.lit(1.0) - slope)
+def _endings(facts: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:
+    """Per measure the few numbers the steps ahead are made of, worked out once a series."""
+    n = F.col("n")
+
+    def ending(f: Column) -> Column:
+        pairs = n - 1
+        var = _centred(f, "pair", "x", "x", pairs)
+        slope = F.when(var > 0, _centred(f, "pair", "x", "y", pairs) / var)
+        step = (_dbl(f["last"]) - _dbl(f["first"])) / F.nullif(pairs, F.lit(0))
+        return F.struct(
+            (_dbl(f["total"]) / n).alias("mean"),
+            _dbl(f["last"]).alias("last"),
+            F.coalesce(step, F.lit(0.0)).alias("step"),
+            slope.alias("slope"),
+            ((_dbl(f["pair_y"]) - slope * _dbl(f["pair_x"])) / pairs).alias("constant"),
+            f["tail"].alias("tail"),
+        )
+
+    return facts.select(
+        *keys, "last_date", "n", *extra, *[ending(F.col(m)).alias(m) for m in OUTPUT]
+    )
 
 
 def point(model: str, f: Column, n: Column, k: Column, season: int) -> Column:
-    """Value ``k`` steps after the end of a series, from its facts."""
-    mean = _dbl(f["total"]) / n
-    last = _dbl(f["last"])
+    """Value ``k`` steps after the end of a series, from its ending."""
     if model == "mean":
-        units = mean
+        units = f["mean"]
     elif model == "naive":
-        units = last
+        units = f["last"]
     elif model == "drift":
-        step = (last - _dbl(f["first"])) / F.nullif(n - 1, F.lit(0))
-        units = last + F.coalesce(step, F.lit(0.0)) * k
+        units = f["last"] + f["step"] * k
     elif model == "snaive":
         # a series shorter than one season has nothing a season ago
         place = F.pmod(k - 1, F.lit(season))
-        units = F.when(n >= season, F.get(f["tail"], place)).otherwise(last)
+        units = F.when(n >= season, F.get(f["tail"], place)).otherwise(f["last"])
     elif model == "ar1":
-        slope, level = _ar1(f, n)
-        stationary = (n >= 3) & (F.abs(slope) < 1.0)
-        units = F.when(stationary, level + F.pow(slope, k) * (last - level)).otherwise(mean)
+        level = f["constant"] / (F.lit(1.0) - f["slope"])
+        stationary = (n >= 3) & (F.abs(f["slope"]) < 1.0)
+        back = level + F.pow(f["slope"], k) * (f["last"] - level)
+        units = F.when(stationary, back).otherwise(f["mean"])
     else:
         raise ValueError(f"unknown model {model!r}, known: {MODELS}")
     return units / F.lit(UNITS)
@@ -194,7 +206,8 @@ def forecast_closed_form(
 ) -> DataFrame:
     """Forecast both measures of every series by one of ``MODELS``."""
     keys = keys or SERIES_KEYS
-    steps = _steps(series_facts(weekly, keys, season), horizon, first_step)
+    ends = _endings(series_facts(weekly, keys, season), keys, [])
+    steps = _steps(ends, horizon, first_step)
     values = {
         out: point(model, F.col(m), F.col("n"), F.col("_k"), season) for m, out in OUTPUT.items()
     }
@@ -221,7 +234,7 @@ def forecast_choice(
             for m, name in names.items()
         }
     )
-    steps = _steps(chosen, horizon, first_step)
+    steps = _steps(_endings(chosen, keys, list(names.values())), horizon, first_step)
 
     def value(m):
         picked = None

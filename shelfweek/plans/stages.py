@@ -31,15 +31,15 @@ def active_weekly(sales: DataFrame) -> DataFrame:
 def weekly_relation(sales: DataFrame, fill_gaps: bool = False, keep: bool = True) -> DataFrame:
     """Weekly sums of the active series, numbered.
 
-    Numbering reads the series keys besides the rows, so the sums are settled first
-    (``keep=False`` leaves that out) and the sales lines are read once.
+    Numbering reads the series keys besides the rows, and rankings read the relation
+    several times, so sums and result are settled: the sales lines are read once.
+    ``keep=False`` leaves that out and returns the plan alone.
     """
-    weekly = active_weekly(sales)
-    if keep:
-        weekly = settle(weekly)
+    settled = settle if keep else lambda df: df
+    weekly = settled(active_weekly(sales))
     if fill_gaps:
         weekly = series.fill_gaps(weekly)
-    return series.number_series(weekly)
+    return settled(series.number_series(weekly))
 
 
 def forecast_top_slice(
