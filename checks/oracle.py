@@ -196,6 +196,56 @@ FROM points p JOIN chosen q ON q.srl_num = p.srl_num AND q.target = p.target
 GROUP BY 1, 2, 3, 4"""
 
 
+
+
+def _kpss(value: str, count: str) -> str:
+    """Level statistic of a column over each series, bandwidth trunc(3 sqrt(n) / 13)."""
+    lags = ", ".join(f"lag(e, {j}) OVER o AS e{j}" for j in range(1, 13))
+    spread = " + ".join(
+        f"2 * greatest(1 - {j} / (b + 1), 0.0) * coalesce(sum(e * e{j}), 0)" for j in range(1, 13)
+    )
+    return f"""SELECT srl_num, target, coalesce(CASE WHEN sum(e * e) > 1e-10 * max(m)
+    THEN sum(run * run) / (max(m) * max(m))
+      / ((sum(e * e) + {spread.replace('b +', 'max(b) +')}) / max(m)) END, 0) AS stat
+  FROM (SELECT srl_num, target, e, {count} AS m, sum(e) OVER o AS run,
+      CAST(least(floor(3 * sqrt({count}) / 13), 12) AS DOUBLE) AS b, {lags}
+    FROM (SELECT *, {value} - avg({value}) OVER (PARTITION BY srl_num, target) AS e FROM zs)
+    WHERE e IS NOT NULL
+    WINDOW o AS (PARTITION BY srl_num, target ORDER BY date)) GROUP BY 1, 2"""
+
+
+DIFFERENCES = f"""long AS (
+  SELECT store_number, category_name, srl_num, date, 'sales' AS target, total_sales AS y
+  FROM numbered
+  UNION ALL SELECT store_number, category_name, srl_num, date, 'volume', total_volume_sold
+  FROM numbered),
+scaled AS (
+  SELECT *, count(*) OVER p AS n, row_number() OVER (p ORDER BY date) AS t,
+    coalesce(CASE WHEN stddev_pop(y) OVER p > 1e-10 * greatest(abs(avg(y) OVER p), 1)
+      THEN (y - avg(y) OVER p) / stddev_pop(y) OVER p END, 0) AS x
+  FROM long WINDOW p AS (PARTITION BY srl_num, target)),
+line AS (
+  SELECT srl_num, target, regr_slope(x, t) AS slope, regr_intercept(x, t) AS start
+  FROM scaled GROUP BY 1, 2),
+off AS (
+  SELECT s.*, x - coalesce(start + slope * t, 0) AS o FROM scaled s JOIN line USING (srl_num, target)),
+rest AS (SELECT *, o - avg(o) OVER (PARTITION BY srl_num, target, t % 52) AS r FROM off),
+strength AS (
+  SELECT srl_num, target, max(n) >= 112 AND coalesce(CASE WHEN var_pop(o) > 1e-10
+    THEN 1 - var_pop(r) / var_pop(o) END, 0) > 0.64 AS seasonal FROM rest GROUP BY 1, 2),
+zs AS (
+  SELECT *, z - lag(z) OVER (PARTITION BY srl_num, target ORDER BY date) AS z1
+  FROM (SELECT s.*, CAST(seasonal AS INTEGER) AS sd, CASE WHEN seasonal THEN x - lag(x, 52)
+      OVER (PARTITION BY srl_num, target ORDER BY date) ELSE x END AS z
+    FROM scaled s JOIN strength USING (srl_num, target))),
+level0 AS ({_kpss('z', 'n - sd * 52')}),
+level1 AS ({_kpss('z1', 'greatest(n - sd * 52 - 1, 1)')})
+SELECT store_number, category_name, srl_num, target, CAST(max(n) AS INTEGER) AS n,
+  CASE WHEN max(level0.stat) <= 0.463 THEN 0 WHEN max(level1.stat) <= 0.463 THEN 1 ELSE 2 END AS d,
+  max(sd) AS sd
+FROM zs JOIN level0 USING (srl_num, target) LEFT JOIN level1 USING (srl_num, target)
+GROUP BY 1, 2, 3, 4"""
+
 DRIFT = f"WITH fc AS ({closed_form('drift')})"
 
 SUMS = f"""{total('sale_dollars')} AS total_sales,
@@ -302,6 +352,7 @@ SELECT store_number, CAST(date_trunc('month', d) AS DATE) AS date,
 SELECT store_number, category_name, srl_num, CAST(last + CAST(7 * k AS INTEGER) AS DATE) AS "Date"
 FROM (SELECT store_number, category_name, srl_num, max(date) AS last FROM numbered
   GROUP BY 1, 2, 3) CROSS JOIN (SELECT unnest(range(0, 18)) AS k)""",
+    "difference_orders": f"{numbered('nation')}, {DIFFERENCES}",
     "forecast_auto_sql": choice(),
     "dashboard_choices": f"""{DRIFT}
 SELECT DISTINCT 'category' AS kind, category_name AS choice FROM fc

@@ -273,6 +273,10 @@ def model_table(spark, folder):
     return arima.model_table(arima.fit_models(_weekly(spark, folder, "nation")))
 
 
+def difference_orders(spark, folder):
+    return arima.difference_orders(_weekly(spark, folder, "nation"))
+
+
 def forecast_calendar(spark, folder):
     return series.forecast_calendar(_weekly(spark, folder), SERIES_KEYS)
 
@@ -356,6 +360,7 @@ PLAIN = [
     forecast_store_monthly,
     monthly_sales,
     model_table,
+    difference_orders,
     forecast_calendar,
     forecast_auto_sql,
     dashboard_choices,

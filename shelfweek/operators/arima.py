@@ -127,6 +127,18 @@ def difference(long: DataFrame, by: list[str], season: int) -> DataFrame:
     )
 
 
+def difference_orders(
+    series: DataFrame,
+    keys: list[str] | None = None,
+    targets: dict[str, str] | None = None,
+    season: int = 52,
+) -> DataFrame:
+    """Numbers of ordinary (``d``) and seasonal (``sd``) differences per series and target."""
+    by = [*(keys or SERIES_KEYS), "target"]
+    rows = difference(stack_targets(series, by[:-1], targets or TARGETS), by, season)
+    return rows.groupBy(*by).agg(*[F.max(c).cast("int").alias(c) for c in ("n", "d", "sd")])
+
+
 def product_sums(rows: DataFrame, by: list[str], season: int) -> DataFrame:
     """One row per series and target: the sums of products of lags over the rows all orders
     share, and the last values, newest first."""

@@ -1,0 +1,297 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfweek.operators import columns, filters, ranking, rollups, series
+from shelfweek.plans import stages
+
+SALES = (
+    "store_number int, date string, category int, category_name string, "
+    "sale_dollars double, volume_sold_liters double"
+)
+WEEKLY = "store_number int, date date, category_name string, total_sales double, total_volume_sold double"
+
+
+def sales(spark, rows):
+    return spark.createDataFrame(rows, SALES)
+
+
+def as_set(df):
+    return {tuple(r) for r in df.collect()}
+
+
+def test_lower_names(spark):
+    df = spark.createDataFrame([(1, 2)], "Store_Number int, DATE int")
+    assert columns.lower_names(df).columns == ["store_number", "date"]
+    assert columns.column_list(columns.lower_names(df)) == "store_number,date"
+
+
+def test_names_that_differ_by_case_only_are_refused(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int").toDF("Date", "date")
+    with pytest.raises(ValueError, match="date"):
+        columns.lower_names(df)
+
+
+def test_unreadable_dates_are_counted_and_dropped(spark):
+    df = sales(
+        spark,
+        [
+            (1, "02/30/2022", 7, "x", 1.0, 1.0),
+            (1, None, 7, "x", 1.0, 1.0),
+            (1, "8/28/2022", 7, "x", 5.0, 1.0),
+        ],
+    )
+    assert tuple(columns.date_audit(df).first()) == (3, 1, 1)
+    assert as_set(rollups.weekly_sales(df)) == {(1, dt.date(2022, 8, 28), "x", 5.0, 1.0)}
+
+
+def test_week_edges_and_paddings(spark, day):
+    df = sales(
+        spark,
+        [
+            (1, "09/03/2022", 7, "x", 1.0, 1.0),
+            (1, "9/4/2022", 7, "x", 2.0, 1.0),
+            (1, "09/04/2022", 7, "x", 4.0, 1.0),
+        ],
+    )
+    assert as_set(rollups.weekly_sales(df)) == {
+        (1, day("2022-08-28"), "x", 1.0, 1.0),
+        (1, day("2022-09-04"), "x", 6.0, 2.0),
+    }
+    # the daily step groups by the text
+    assert rollups.daily_sales(df).count() == 3
+
+
+def test_week_without_any_value_is_zero(spark, day):
+    df = sales(spark, [(1, "08/28/2022", 7, "x", None, float("nan"))])
+    assert as_set(rollups.weekly_sales(df)) == {(1, day("2022-08-28"), "x", 0.0, 0.0)}
+    assert as_set(rollups.daily_sales(df)) == {(1, "08/28/2022", "x", None, None)}
+
+
+def test_trailing_years_keep_the_cutoff_day(spark):
+    dates = ["02/29/2024", "02/28/2021", "02/27/2021", "bad"]
+    df = sales(spark, [(1, d, 7, "x", 1.0, 1.0) for d in dates])
+    got = stages.recent_sales(df)
+    assert {r["date"] for r in got.collect()} == {"02/29/2024", "02/28/2021"}
+    assert "is_weekend" in got.columns
+
+
+def test_category_window_and_ids(spark):
+    df = sales(
+        spark,
+        [
+            (1, "01/01/2022", 7, "x", 1.0, 1.0),
+            (2, "03/31/2022", 8, "x", 1.0, 1.0),
+            (3, "04/01/2022", 7, "x", 1.0, 1.0),
+            (4, "02/01/2022", 9, "y", 1.0, 1.0),
+            (5, "02/01/2022", 8, None, 1.0, 1.0),
+            (6, "02/01/2022", None, "x", 1.0, 1.0),
+        ],
+    )
+    parsed = columns.replace_text_date(df)
+    kept = filters.category_window(parsed, "x", "2022-01-01", "2022-03-31", year=2022)
+    assert {r["store_number"] for r in kept.collect()} == {1, 2}
+    by_id = filters.with_category_ids(df, "x")
+    assert {r["store_number"] for r in by_id.collect()} == {1, 2, 3, 5}
+
+
+def test_distinct_counts_take_null_as_a_value(spark):
+    df = spark.createDataFrame([("x",), (None,), ("x",)], "c string")
+    assert rollups.distinct_values(df, "c").count() == 2
+    assert rollups.distinct_counts(df, {"c": "n"}).first().asDict() == {"n": 2, "row_count": 3}
+
+
+def test_year_profile_and_store_days(spark, day):
+    df = sales(
+        spark,
+        [
+            (1, "01/05/2021", 7, "x", 1.5, 1.0),
+            (1, "03/01/2022", 7, "x", 2.5, 1.0),
+            (1, "03/01/2022", 8, "y", 4.0, 1.0),
+        ],
+    )
+    assert [tuple(r) for r in rollups.year_profile(df).collect()] == [
+        (2022, day("2022-03-01"), day("2022-03-01"), 2),
+        (2021, day("2021-01-05"), day("2021-01-05"), 1),
+    ]
+    assert as_set(rollups.store_day_sales(df)) == {
+        (1, "01/05/2021", 1.5),
+        (1, "03/01/2022", 6.5),
+    }
+
+
+@pytest.fixture(scope="module")
+def patchy(spark):
+    d = [dt.date(2022, 8, 7) + dt.timedelta(7 * i) for i in range(4)]
+    rows = [
+        (2, d[0], "b", 1.0, 1.0),
+        (2, d[1], "b", 2.0, 1.0),
+        (2, d[3], "b", 4.0, 1.0),
+        (1, d[3], None, 5.0, 1.0),
+        (1, d[3], "a", 6.0, 1.0),
+        (1, d[2], "z", 7.0, 1.0),
+        (None, d[3], "a", 8.0, 1.0),
+    ]
+    return spark.createDataFrame(rows, WEEKLY)
+
+
+def test_active_series_keep_null_keys(patchy):
+    kept = as_set(series.active_series(patchy).select(*series.PAIR).distinct())
+    assert kept == {(2, "b"), (1, None), (1, "a"), (None, "a")}
+    assert as_set(series.active_series(patchy)) == as_set(series.active_series_by_join(patchy))
+
+
+def test_series_are_numbered_in_key_order_with_nulls_last(patchy):
+    got = as_set(series.number_series(patchy).select(*series.PAIR, "srl_num").distinct())
+    assert got == {(1, "a", 1), (1, "z", 2), (1, None, 3), (2, "b", 4), (None, "a", 5)}
+    assert series.number_series(patchy).count() == patchy.count()
+
+
+@pytest.mark.parametrize("blocks", [1, 3, 64])
+def test_numbers_equal_the_one_task_ranking(spark, blocks, monkeypatch):
+    rng = random.Random(blocks)
+    stores = [*range(-3, 40), 10**6, 2**31 - 1, None]
+    pairs = {(rng.choice(stores), rng.choice([None, "a", "b", "B", "ä", "zz"])) for _ in range(150)}
+    df = spark.createDataFrame(sorted(pairs, key=repr), "store_number int, category_name string")
+    original = series.store_offsets
+    monkeypatch.setattr(series, "store_offsets", lambda d: original(d, blocks))
+    got = {(r[0], r[1]): r[2] for r in series.series_numbers(df).collect()}
+    df.createOrReplaceTempView("pairs")
+    want = spark.sql(
+        "SELECT *, dense_rank() OVER (ORDER BY store_number NULLS LAST, category_name NULLS LAST)"
+        " FROM pairs"
+    )
+    assert got == {(r[0], r[1]): r[2] for r in want.collect()}
+
+
+def test_gaps_are_filled_over_the_whole_range(patchy, day):
+    assert series.fill_gaps(patchy).count() == 5 * 4
+    b = series.fill_gaps(patchy).filter("category_name = 'b'").orderBy("date")
+    assert [r["total_sales"] for r in b.collect()] == [1.0, 2.0, 0.0, 4.0]
+    z = series.fill_gaps(patchy).filter("category_name = 'z'").orderBy("date")
+    assert [r["total_sales"] for r in z.collect()] == [0.0, 0.0, 7.0, 0.0]
+
+
+def test_positions_nest_and_unnest(patchy):
+    placed = series.positions(patchy, series.PAIR).filter("category_name = 'b'").orderBy("date")
+    assert [r["position"] for r in placed.collect()] == [1, 2, 3]
+    assert {r["last_date"] for r in placed.collect()} == {dt.date(2022, 8, 28)}
+    rows = ["date", "total_sales", "total_volume_sold"]
+    nested = series.nest(patchy, series.PAIR, rows)
+    assert nested.count() == 5
+    assert as_set(series.unnest(nested)) == as_set(patchy.select(*series.PAIR, *rows))
+
+
+def test_function_per_series_sees_sorted_rows_and_gets_keys_in_front(patchy):
+    def first_and_last(pdf):
+        return pdf.iloc[[0, -1]][["total_sales"]].T.set_axis(["first", "last"], axis=1)
+
+    for parts in (1, 5):
+        got = series.apply_per_series(
+            patchy.orderBy(F.rand(parts)),
+            series.PAIR,
+            first_and_last,
+            "first double, last double",
+            partitions=parts,
+        )
+        assert got.columns == ["store_number", "category_name", "first", "last"]
+        assert (2, "b", 1.0, 4.0) in as_set(got) and got.count() == 5
+
+
+def test_spread_names_the_partition_count(patchy):
+    assert series.spread_by_keys(patchy, series.PAIR, 7).rdd.getNumPartitions() == 7
+    assert series.spread_by_keys(patchy, series.PAIR).rdd.getNumPartitions() == 4
+
+
+def test_forecast_calendar(spark, patchy, day):
+    got = series.forecast_calendar(patchy, series.PAIR, horizon=3).filter("category_name = 'b'")
+    assert {r["Date"] for r in got.collect()} == {
+        day("2022-08-28"),
+        day("2022-09-04"),
+        day("2022-09-11"),
+    }
+    nxt = series.forecast_calendar(patchy, series.PAIR, 1, "next").filter("category_name = 'b'")
+    assert nxt.first()["Date"] == day("2022-09-04")
+    with pytest.raises(ValueError):
+        series.forecast_calendar(patchy, series.PAIR, 1, "later")
+
+
+def test_weekly_relation_end_to_end(spark):
+    rows = [
+        (5, "08/28/2022", 7, "x", 1.0, 1.0),
+        (5, "08/14/2022", 7, "x", 2.0, 1.0),
+        (5, "08/14/2022", 7, "gone", 2.0, 1.0),
+        (3, "08/30/2022", 7, None, 3.0, 1.0),
+        (3, "nonsense", 7, "x", 3.0, 1.0),
+    ]
+    for keep in (True, False):
+        got = stages.weekly_relation(sales(spark, rows), keep=keep)
+        assert as_set(got.select("store_number", "category_name", "srl_num").distinct()) == {
+            (3, None, 1),
+            (5, "x", 2),
+        }
+    filled = stages.weekly_relation(sales(spark, rows), fill_gaps=True)
+    assert filled.count() == 2 * 3
+
+
+def test_one_hot_series_does_not_change_results(spark):
+    rows = []
+    for i in range(3000):
+        hot = i % 3 == 0
+        store, name = (1, "hot") if hot else (2 + i % 50, f"c{i % 7}")
+        rows.append((store, f"{1 + i % 12}/{1 + i % 28}/2022", 7, name, 1.25, 0.5))
+    df = sales(spark, rows)
+    got = rollups.weekly_sales(df.repartition(6)).groupBy("store_number").agg(F.sum("total_sales"))
+    want = df.groupBy("store_number").agg(F.sum("sale_dollars"))
+    assert as_set(got) == as_set(want)
+
+
+def ranked(spark, rows):
+    return spark.createDataFrame(rows, WEEKLY + ", srl_num int")
+
+
+def test_top_slices_break_ties_by_name(spark, day):
+    d, old = day("2022-08-28"), day("2021-08-29")
+    weekly = ranked(
+        spark,
+        [
+            (1, d, "b", 10.0, 1.0, 1),
+            (2, d, "a", 10.0, 1.0, 2),
+            (3, d, "c", 9.0, 1.0, 3),
+            (3, old, "c", 900.0, 1.0, 3),
+            (4, d, None, 50.0, 1.0, 4),
+        ],
+    )
+    names = [r["category_name"] for r in ranking.top_categories(weekly, 3).collect()]
+    assert names == [None, "a", "b"]
+    assert {r["store_number"] for r in ranking.in_top_categories(weekly, 3).collect()} == {1, 2, 4}
+    assert [r["store_number"] for r in ranking.top_stores(weekly, 3, 2).collect()] == [4, 1]
+    assert {r["srl_num"] for r in ranking.top_slice(weekly, 3, 2).collect()} == {1, 4}
+
+
+def test_fewer_groups_than_asked_for(spark, day):
+    weekly = ranked(spark, [(1, day("2022-08-28"), c, 1.0, 1.0, 1) for c in "ab"])
+    assert ranking.top_categories(weekly, 3).count() == 2
+
+
+def test_top_series_by_largest_week(spark, day):
+    d, old = day("2022-08-28"), day("2022-08-21")
+    weekly = ranked(
+        spark,
+        [
+            (1, d, "a", 5.0, 1.0, 1),
+            (1, old, "a", 5.0, 1.0, 1),
+            (2, d, "a", 1.0, 1.0, 2),
+            (2, old, "a", 7.0, 1.0, 2),
+            (3, d, "a", 5.0, 1.0, 3),
+        ],
+    )
+    got = ranking.top_series_by_peak(weekly, 2)
+    assert {r["srl_num"] for r in got.collect()} == {1, 2} and got.count() == 4
+
+
+def test_head_rows_are_ordered(spark):
+    df = spark.createDataFrame([(i,) for i in range(20, 0, -1)], "i int")
+    assert [r["i"] for r in ranking.head_rows(df, ["i"]).collect()] == [1, 2, 3, 4, 5, 6]
