@@ -36,7 +36,7 @@ SEASONAL_STRENGTH = 0.64
 KPSS_CRITICAL = 0.463
 KPSS_MAX_LAG = 12
 MIN_ROWS = 15
-ROOT_LIMIT = 0.99
+ROOT_LIMIT = 1.01
 
 LAGS = MAX_TERMS + LONG_ORDER
 # columns of the product table: 1, value, its lags, its seasonal lag
@@ -185,13 +185,13 @@ def _solve(table: np.ndarray, terms: list[int], target: int) -> tuple[np.ndarray
 
 
 def _stable(weights: np.ndarray) -> np.ndarray:
-    """Whether 1 - sum(w_i z^i) has all roots outside the unit circle, by stepping the
-    recursion down one order at a time."""
-    a = weights.copy()
+    """Whether 1 - sum(w_i z^i) has all roots beyond ``ROOT_LIMIT``: with that radius scaled
+    to 1, the recursion is stepped down one order at a time."""
+    a = weights * ROOT_LIMIT ** np.arange(1, weights.shape[1] + 1)
     ok = np.ones(len(a), bool)
     for k in range(a.shape[1], 0, -1):
         r = a[:, k - 1].copy()
-        ok &= np.abs(r) < ROOT_LIMIT
+        ok &= np.abs(r) < 1
         r[~ok] = 0.0
         a = (a[:, : k - 1] + r[:, None] * a[:, : k - 1][:, ::-1]) / (1 - r * r)[:, None]
     return ok
@@ -265,7 +265,7 @@ def choose_orders(
                     if s:
                         weights[:, -1] = beta[:, -1]
                     best["aicc"][better] = aicc[better]
-                    best["sigma2"][better] = (sse / count)[better]
+                    best["sigma2"][better] = sse[better] / count[better]
                     best["order"][better] = (p, q, s)
                     best["weights"][better] = weights[better]
     return best

@@ -44,7 +44,8 @@ def category_window(
     """One category within a closed date range, and optionally within one year.
 
     A category id test as well would change nothing here: the ids are those of the very
-    rows that carry the name. ``with_category_ids`` is for lines found by id alone.
+    rows that carry the name. ``with_category_ids`` is for lines found by id alone. A column
+    ``year`` is used where there is one, so that folders by year are skipped.
     """
     d = F.col(date)
     keep = (
@@ -53,7 +54,8 @@ def category_window(
         & F.col("category").isNotNull()
     )
     if year is not None:
-        keep = keep & (F.year(d) == year)
+        years = F.col("year") if "year" in df.columns else F.year(d)
+        keep = keep & (years == year)
     return df.filter(keep)
 
 

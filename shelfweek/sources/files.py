@@ -54,13 +54,20 @@ def read_sales(
 
 
 def read_weekly(
-    spark: SparkSession, path: str, fmt: str = "parquet", name: str = "sales_data"
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    name: str = "sales_data",
+    memory: bool = False,
 ) -> DataFrame:
-    """The weekly relation. Cache it yourself where one session reads it often."""
+    """The weekly relation, also registered as a view; ``memory`` caches it for a session
+    that reads it often."""
     if fmt == "csv":
         weekly = read_csv(spark, path, schemas.WEEKLY)
     else:
         weekly = spark.read.format(fmt).schema(schemas.WEEKLY).load(path)
+    if memory:
+        weekly = weekly.cache()
     weekly.createOrReplaceTempView(name)
     return weekly
 
