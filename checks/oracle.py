@@ -200,15 +200,15 @@ GROUP BY 1, 2, 3, 4"""
 
 def _kpss(value: str, count: str) -> str:
     """Level statistic of a column over each series, bandwidth trunc(3 sqrt(n) / 13)."""
-    lags = ", ".join(f"lag(e, {j}) OVER o AS e{j}" for j in range(1, 13))
+    lags = ", ".join(f"lag(e, {j}) OVER o AS e{j}" for j in range(1, 9))
     spread = " + ".join(
-        f"2 * greatest(1 - {j} / (b + 1), 0.0) * coalesce(sum(e * e{j}), 0)" for j in range(1, 13)
+        f"2 * greatest(1 - {j} / (b + 1), 0.0) * coalesce(sum(e * e{j}), 0)" for j in range(1, 9)
     )
     return f"""SELECT srl_num, target, coalesce(CASE WHEN sum(e * e) > 1e-10 * max(m)
     THEN sum(run * run) / (max(m) * max(m))
       / ((sum(e * e) + {spread.replace('b +', 'max(b) +')}) / max(m)) END, 0) AS stat
   FROM (SELECT srl_num, target, e, {count} AS m, sum(e) OVER o AS run,
-      CAST(least(floor(3 * sqrt({count}) / 13), 12) AS DOUBLE) AS b, {lags}
+      CAST(least(floor(3 * sqrt({count}) / 13), 8) AS DOUBLE) AS b, {lags}
     FROM (SELECT *, {value} - avg({value}) OVER (PARTITION BY srl_num, target) AS e FROM zs)
     WHERE e IS NOT NULL
     WINDOW o AS (PARTITION BY srl_num, target ORDER BY date)) GROUP BY 1, 2"""

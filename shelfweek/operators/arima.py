@@ -14,6 +14,9 @@ so the rows are read once and every order is fitted from a sub-table. Only that
 one small array per series, leaves the JVM; it solves all series of an Arrow batch at once.
 The forecast itself is an array fold over the last values.
 
+The KPSS bandwidth grows with the series and stops at ``KPSS_MAX_LAG``, reached by
+weekly series of 23 years.
+
 Orders: p, q up to 5, one additive seasonal lag, at most 5 terms, chosen by AICc
 over the same rows for every order. Exact likelihood values are not reproduced.
 """
@@ -34,7 +37,7 @@ MAX_TERMS = 5
 LONG_ORDER = 7
 SEASONAL_STRENGTH = 0.64
 KPSS_CRITICAL = 0.463
-KPSS_MAX_LAG = 12
+KPSS_MAX_LAG = 8
 MIN_ROWS = 15
 ROOT_LIMIT = 1.01
 
@@ -55,75 +58,112 @@ def stack_targets(series: DataFrame, keys: list[str], targets: dict[str, str]) -
     return long.filter(F.col("date").isNotNull() & F.col("y").isNotNull())
 
 
-def _kpss(rows: DataFrame, value: str, count: Column, by: list[str], name: str) -> DataFrame:
-    """Level-stationarity statistic of a column as a column; 0 for a constant series."""
-    whole = Window.partitionBy(*by)
-    ordered = whole.orderBy("date")
-    dev, run = f"{name}_dev", f"{name}_run"
-    rows = rows.withColumn(dev, F.col(value) - F.avg(value).over(whole))
-    lagged = [f"{name}_lag{j}" for j in range(1, KPSS_MAX_LAG + 1)]
-    rows = rows.withColumns(
-        {run: F.sum(dev).over(ordered.rowsBetween(Window.unboundedPreceding, 0))}
-        | {c: F.lag(dev, j).over(ordered) for j, c in enumerate(lagged, 1)}
-    )
+def _kpss(dev: str, run: str, lags: list[str], count: Column, whole) -> Column:
+    """Level-stationarity statistic from deviations, their running sum and their lags;
+    0 for a constant series."""
     bandwidth = F.least(F.floor(3 * F.sqrt(count) / 13), F.lit(KPSS_MAX_LAG))
-    power = F.sum(F.col(dev) * F.col(dev)).over(whole)
+    power = F.expr(f"sum({dev} * {dev})").over(whole)
     spread = power
-    for j, c in enumerate(lagged, 1):
+    for j, c in enumerate(lags, 1):
         weight = F.greatest(1 - j / (bandwidth + 1), F.lit(0.0))
-        both = F.sum(F.col(dev) * F.col(c)).over(whole)
+        both = F.expr(f"sum({dev} * {c})").over(whole)
         spread = spread + 2 * weight * F.coalesce(both, F.lit(0.0))
-    moved = F.sum(F.col(run) * F.col(run)).over(whole) / (count * count)
+    moved = F.expr(f"sum({run} * {run})").over(whole) / (count * count)
     stat = F.when(power > NEGLIGIBLE * count, moved / F.nullif(spread / count, F.lit(0.0)))
-    rows = rows.withColumn(name, F.coalesce(stat, F.lit(0.0)))
-    return rows.drop(dev, run, *lagged)
+    return F.coalesce(stat, F.lit(0.0))
 
 
 def difference(long: DataFrame, by: list[str], season: int) -> DataFrame:
     """Add standardised (``x``), seasonally (``z``) and fully (``w``) differenced values,
-    with the numbers of differences ``sd`` and ``d``."""
+    with the numbers of differences ``sd`` and ``d``.
+
+    Every window copies the rows once more, so what can share one does: all lags of ``y`` are
+    taken at once, and both kinds of mean before it is known which of them will be used.
+    """
     whole = Window.partitionBy(*by)
     ordered = whole.orderBy("date")
+    back = [1, 2, season, season + 1, season + 2]
     rows = long.withColumns(
+        {"t": F.row_number().over(ordered)}
+        | {f"_y{j}": F.lag("y", j).over(ordered) for j in dict.fromkeys(back)}
+    )
+    step, over, over_step = "y - _y1", f"y - _y{season}", f"y - _y{season} - _y1 + _y{season + 1}"
+    rows = rows.withColumns(
         {
-            "t": F.row_number().over(ordered),
             "n": F.count(F.lit(1)).over(whole),
             "centre": F.avg("y").over(whole),
             "scale": F.stddev_pop("y").over(whole),
+            "_slope": F.regr_slope("y", "t").over(whole),
+            "_start": F.regr_intercept("y", "t").over(whole),
+            "_step": F.avg(F.expr(step)).over(whole),
+            "_over": F.avg(F.expr(over)).over(whole),
+            "_over_step": F.avg(F.expr(over_step)).over(whole),
         }
     )
     varies = F.col("scale") > NEGLIGIBLE * F.greatest(F.abs("centre"), F.lit(1.0))
-    rows = rows.withColumn("x", F.when(varies, (F.col("y") - F.col("centre")) / F.col("scale")))
-    rows = rows.withColumn("x", F.coalesce("x", F.lit(0.0)))
+
+    def scaled(value: str) -> Column:
+        # differences of a constant series are 0, those before its start missing
+        v = F.expr(value)
+        return F.when(varies, v / F.col("scale")).when(v.isNotNull(), F.lit(0.0))
 
     # seasonal strength: how much of the variance around a straight line is left
     # after taking out the mean of each place in the season
-    line = F.regr_intercept("x", "t").over(whole) + F.regr_slope("x", "t").over(whole) * F.col("t")
-    rows = rows.withColumn("_off", F.col("x") - F.coalesce(line, F.lit(0.0)))
+    rows = rows.withColumn("_off", F.coalesce(scaled("y - _start - _slope * t"), F.lit(0.0)))
     place = Window.partitionBy(*by, F.col("t") % season)
     rows = rows.withColumn("_rest", F.col("_off") - F.avg("_off").over(place))
-    about = F.var_pop("_off").over(whole)
-    left = F.var_pop("_rest").over(whole)
+    about, left = F.var_pop("_off").over(whole), F.var_pop("_rest").over(whole)
     strength = F.when(about > NEGLIGIBLE, 1 - left / F.nullif(about, F.lit(0.0)))
     seasonal = (F.col("n") >= 2 * season + 8) & (
         F.coalesce(strength, F.lit(0.0)) > SEASONAL_STRENGTH
     )
-    rows = rows.withColumn("sd", seasonal.cast("int")).drop("_off", "_rest")
-    year_ago = F.lag("x", season).over(ordered)
-    rows = rows.withColumn(
-        "z", F.when(F.col("sd") == 1, F.col("x") - year_ago).otherwise(F.col("x"))
+    rows = rows.withColumn("sd", seasonal.cast("int"))
+
+    def either(over_season: str, plain: str) -> Column:
+        return F.when(F.col("sd") == 1, scaled(over_season)).otherwise(scaled(plain))
+
+    older = f"_y1 - _y{season + 1} - _y2 + _y{season + 2}"
+    rows = rows.select(
+        *by,
+        "date",
+        "t",
+        "n",
+        "sd",
+        "centre",
+        "scale",
+        scaled("y - centre").alias("x"),
+        either(over, "y - centre").alias("z"),
+        either(over_step, step).alias("_z1"),
+        either(f"{over_step} - ({older})", "y - 2 * _y1 + _y2").alias("_z2"),
+        either(f"{over} - _over", "y - centre").alias("_e0"),
+        either(f"{over_step} - _over_step", f"{step} - _step").alias("_e1"),
     )
-    rows = rows.withColumn("_z1", F.col("z") - F.lag("z").over(ordered))
-    left_over = F.col("n") - F.col("sd") * season
-    rows = _kpss(rows, "z", left_over, by, "_level0")
-    rows = _kpss(rows, "_z1", F.greatest(left_over - 1, F.lit(1)), by, "_level1")
-    d = F.when(F.col("_level0") <= KPSS_CRITICAL, 0).when(F.col("_level1") <= KPSS_CRITICAL, 1)
-    rows = rows.withColumn("d", d.otherwise(2)).withColumn(
-        "_z2", F.col("_z1") - F.lag("_z1").over(ordered)
+    level, lags = rows, range(1, KPSS_MAX_LAG + 1)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    level = level.withColumns(
+        {f"_s{i}": F.sum(f"_e{i}").over(so_far) for i in (0, 1)}
+        | {f"_e{i}_{j}": F.lag(f"_e{i}", j).over(ordered) for i in (0, 1) for j in lags}
     )
+    left_over = F.col("n") - F.col("sd") * season
+    counts = [left_over, F.greatest(left_over - 1, F.lit(1))]
+    stats = [
+        _kpss(f"_e{i}", f"_s{i}", [f"_e{i}_{j}" for j in lags], counts[i], whole) for i in (0, 1)
+    ]
+    d = F.when(stats[0] <= KPSS_CRITICAL, 0).when(stats[1] <= KPSS_CRITICAL, 1).otherwise(2)
+    level = level.withColumn("d", d)
     w = F.when(F.col("d") == 0, F.col("z")).when(F.col("d") == 1, F.col("_z1"))
-    return rows.withColumn("w", w.otherwise(F.col("_z2"))).drop(
-        "_level0", "_level1", "_z1", "_z2"
+    return level.select(
+        *by,
+        "date",
+        "t",
+        "n",
+        "sd",
+        "d",
+        "centre",
+        "scale",
+        "x",
+        "z",
+        w.otherwise(F.col("_z2")).alias("w"),
     )
 
 
@@ -155,9 +195,11 @@ def product_sums(rows: DataFrame, by: list[str], season: int) -> DataFrame:
     shared = place > first
     values = [F.lit(1.0), F.col("w"), *[F.col(f"_l{j}") for j in range(1, LAGS + 1)]]
     values.append(F.when(has_season, F.col("_ls")).otherwise(0.0))
-    rows = rows.withColumns({f"_v{i}": F.when(shared, v) for i, v in enumerate(values)})
+    rows = rows.withColumns(
+        {f"_v{i}": F.coalesce(F.when(shared, v), F.lit(0.0)) for i, v in enumerate(values)}
+    )
     products = [
-        F.expr(f"coalesce(sum(_v{i} * _v{j}), 0D)")
+        F.expr(f"sum(_v{i} * _v{j})")
         for i in range(WIDTH)
         for j in range(i, WIDTH)
     ]
@@ -174,12 +216,25 @@ def product_sums(rows: DataFrame, by: list[str], season: int) -> DataFrame:
 
 
 def _solve(table: np.ndarray, terms: list[int], target: int) -> tuple[np.ndarray, np.ndarray]:
-    """Least squares of one column on others, for a stack of product tables."""
+    """Least squares of one column on others, for a stack of product tables.
+
+    A column without weight next to the target, such as the residuals of an exact fit, is
+    rounding noise and gets the coefficient 0.
+    """
     a = table[:, terms][:, :, terms]
-    b = table[:, terms, target]
-    size = np.sqrt(np.maximum(np.diagonal(a, axis1=1, axis2=2), 1e-30))
-    unit = a / (size[:, :, None] * size[:, None, :]) + 1e-10 * np.eye(len(terms))
-    beta = np.linalg.solve(unit, (b / size)[:, :, None])[:, :, 0] / size
+    power = np.diagonal(a, axis1=1, axis2=2)
+    live = power > np.maximum(NEGLIGIBLE * table[:, target, target], 1e-30)[:, None]
+    b = np.where(live, table[:, terms, target], 0.0)
+    size = np.sqrt(np.where(live, power, 1.0))
+    both = live[:, :, None] & live[:, None, :]
+    unit = np.where(both, a / (size[:, :, None] * size[:, None, :]), 0.0)
+    unit += np.eye(len(terms)) * np.where(live, 1e-10, 1.0)[:, :, None]
+    right = (b / size)[:, :, None]
+    try:
+        beta = np.linalg.solve(unit, right)[:, :, 0] / size
+    except np.linalg.LinAlgError:
+        # one series of the batch must not fail the others
+        beta = (np.linalg.pinv(unit) @ right)[:, :, 0] / size
     fit = np.einsum("bi,bij,bj->b", beta, a, beta)
     return beta, table[:, target, target] - 2 * (b * beta).sum(1) + fit
 
@@ -206,7 +261,8 @@ def choose_orders(
 ) -> dict[str, np.ndarray]:
     """Best order and weights for a stack of product tables (series, WIDTH, WIDTH)."""
     size = len(table)
-    table = np.where((count >= MIN_ROWS)[:, None, None], table, np.eye(WIDTH))
+    usable = (count >= MIN_ROWS) & np.isfinite(table).all((1, 2))
+    table = np.where(usable[:, None, None], table, np.eye(WIDTH))
     long, _ = _solve(table, [0, *range(2, 2 + LONG_ORDER)], 1)
     # new columns: 1, value, lags 1..5, residual lags 1..5, seasonal lag
     turn = np.zeros((size, 3 + 2 * MAX_TERMS, WIDTH))
@@ -243,7 +299,7 @@ def choose_orders(
                     room = count - k - 1
                     with np.errstate(all="ignore"):
                         aicc = count * np.log(sse / count) + 2 * k + 2 * k * (k + 1) / room
-                    able = (room > 0) & np.isfinite(aicc) & (count >= MIN_ROWS)
+                    able = usable & (room > 0) & np.isfinite(aicc)
                     if const:
                         able &= may_shift
                     if s:

@@ -10,7 +10,7 @@ def kpss(z):
     e = z - z.mean()
     if (e * e).sum() <= 1e-10 * n:
         return 0.0
-    lag = min(int(3 * np.sqrt(n) / 13), 12)
+    lag = min(int(3 * np.sqrt(n) / 13), 8)
     spread = (e * e).sum()
     for j in range(1, lag + 1):
         spread += 2 * (1 - j / (lag + 1)) * (e[j:] * e[:-j]).sum()

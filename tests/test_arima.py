@@ -229,3 +229,18 @@ def test_store_months(spark):
     assert first["fc_sales"] == pytest.approx(196.5)
     assert first["forecast_volume"] == pytest.approx(2.0)
     assert {r["fc_sales"] for r in got if r["store_number"] == 2} == {5.0}
+
+
+def test_a_bad_series_does_not_disturb_its_batch():
+    y = noise(40, 120)
+    rows = np.arange(arima.LAGS, len(y))
+    cols = [np.ones(len(rows))] + [y[rows - i] for i in range(arima.LAGS + 1)]
+    v = np.column_stack([*cols, np.zeros(len(rows))])
+    good = v.T @ v
+    batch = np.stack([good, np.full_like(good, np.nan), np.zeros_like(good), np.ones_like(good)])
+    count = np.full(4, float(len(rows)))
+    no = np.zeros(4, bool)
+    best = arima.choose_orders(batch, count, no, ~no, 52)
+    alone = arima.choose_orders(batch[:1], count[:1], no[:1], ~no[:1], 52)
+    assert best["aicc"][0] == pytest.approx(alone["aicc"][0])
+    assert np.isinf(best["aicc"][1]) and np.isfinite(best["weights"]).all()
