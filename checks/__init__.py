@@ -1 +1,7 @@
 """Registered queries on the test tables and the SQL they are compared with."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

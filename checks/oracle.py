@@ -239,12 +239,32 @@ zs AS (
       OVER (PARTITION BY srl_num, target ORDER BY date) ELSE x END AS z
     FROM scaled s JOIN strength USING (srl_num, target))),
 level0 AS ({_kpss('z', 'n - sd * 52')}),
-level1 AS ({_kpss('z1', 'greatest(n - sd * 52 - 1, 1)')})
-SELECT store_number, category_name, srl_num, target, CAST(max(n) AS INTEGER) AS n,
-  CASE WHEN max(level0.stat) <= 0.463 THEN 0 WHEN max(level1.stat) <= 0.463 THEN 1 ELSE 2 END AS d,
-  max(sd) AS sd
-FROM zs JOIN level0 USING (srl_num, target) LEFT JOIN level1 USING (srl_num, target)
-GROUP BY 1, 2, 3, 4"""
+level1 AS ({_kpss('z1', 'greatest(n - sd * 52 - 1, 1)')}),
+orders AS (
+  SELECT store_number, category_name, srl_num, target, CAST(max(n) AS INTEGER) AS n,
+    CASE WHEN max(level0.stat) <= 0.463 THEN 0 WHEN max(level1.stat) <= 0.463 THEN 1 ELSE 2 END AS d,
+    max(sd) AS sd
+  FROM zs JOIN level0 USING (srl_num, target) LEFT JOIN level1 USING (srl_num, target)
+  GROUP BY 1, 2, 3, 4)"""
+
+PRODUCTS = f"""ws AS (
+  SELECT zs.*, d, n - sd * 52 - d AS len, t - sd * 52 - d AS place,
+    CASE d WHEN 0 THEN z WHEN 1 THEN z1
+      ELSE z1 - lag(z1) OVER (PARTITION BY srl_num, target ORDER BY date) END AS w
+  FROM zs JOIN (SELECT srl_num, target, d FROM orders) USING (srl_num, target)),
+lagged AS (
+  SELECT *, {", ".join(f"lag(w, {j}) OVER o AS w{j}" for j in range(1, 13))},
+    CASE WHEN len >= 116 THEN lag(w, 52) OVER o ELSE 0 END AS ws
+  FROM ws WINDOW o AS (PARTITION BY srl_num, target ORDER BY date)),
+shared AS (
+  SELECT *, place > CASE WHEN len >= 116 THEN 52 ELSE 12 END AS used FROM lagged)
+SELECT store_number, category_name, srl_num, target,
+  CAST(count(*) FILTER (used) AS INTEGER) AS rows_used,
+  round(coalesce(sum(w) FILTER (used), 0), 6) AS total,
+  round(coalesce(sum(w * w) FILTER (used), 0), 6) AS power,
+  {", ".join(f"round(coalesce(sum(w * w{j}) FILTER (used), 0), 6) AS lag_{j}" for j in range(1, 13))},
+  round(coalesce(sum(w * ws) FILTER (used), 0), 6) AS seasonal
+FROM shared GROUP BY 1, 2, 3, 4"""
 
 DRIFT = f"WITH fc AS ({closed_form('drift')})"
 
@@ -352,7 +372,8 @@ SELECT store_number, CAST(date_trunc('month', d) AS DATE) AS date,
 SELECT store_number, category_name, srl_num, CAST(last + CAST(7 * k AS INTEGER) AS DATE) AS "Date"
 FROM (SELECT store_number, category_name, srl_num, max(date) AS last FROM numbered
   GROUP BY 1, 2, 3) CROSS JOIN (SELECT unnest(range(0, 18)) AS k)""",
-    "difference_orders": f"{numbered('nation')}, {DIFFERENCES}",
+    "difference_orders": f"{numbered('nation')}, {DIFFERENCES} SELECT * FROM orders",
+    "lag_products": f"{numbered('nation')}, {DIFFERENCES}, {PRODUCTS}",
     "forecast_auto_sql": choice(),
     "dashboard_choices": f"""{DRIFT}
 SELECT DISTINCT 'category' AS kind, category_name AS choice FROM fc

@@ -25,7 +25,7 @@ from shelfweek.operators import (
     simple_forecast,
 )
 from shelfweek.plans import stages
-from shelfweek.schemas import SERIES_KEYS
+from shelfweek.schemas import SERIES_KEYS, TARGETS
 from shelfweek.sources.star_schema import sales_lines
 
 # fixed values of the category window
@@ -277,6 +277,21 @@ def difference_orders(spark, folder):
     return arima.difference_orders(_weekly(spark, folder, "nation"))
 
 
+def lag_products(spark, folder):
+    """The sums the order search works on: value with its lags, over the shared rows."""
+    by = [*SERIES_KEYS, "target"]
+    long = arima.stack_targets(_weekly(spark, folder, "nation"), SERIES_KEYS, TARGETS)
+    sums = arima.product_sums(arima.difference(long, by, 52), by, 52)
+    names = ["power", *[f"lag_{j}" for j in range(1, arima.LAGS + 1)], "seasonal"]
+    # the table is stored by rows from the diagonal: 1 with all, then the value with the rest
+    places = {"total": 1} | {n: arima.WIDTH + i for i, n in enumerate(names)}
+    return sums.select(
+        *by,
+        F.col("rows_used").cast("int").alias("rows_used"),
+        *[F.round(F.get("sums", F.lit(i)), 6).alias(n) for n, i in places.items()],
+    )
+
+
 def forecast_calendar(spark, folder):
     return series.forecast_calendar(_weekly(spark, folder), SERIES_KEYS)
 
@@ -361,6 +376,7 @@ PLAIN = [
     monthly_sales,
     model_table,
     difference_orders,
+    lag_products,
     forecast_calendar,
     forecast_auto_sql,
     dashboard_choices,
