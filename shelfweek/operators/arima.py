@@ -58,19 +58,23 @@ def stack_targets(series: DataFrame, keys: list[str], targets: dict[str, str]) -
     return long.filter(F.col("date").isNotNull() & F.col("y").isNotNull())
 
 
-def _kpss(dev: str, run: str, lags: list[str], count: Column, whole) -> Column:
-    """Level-stationarity statistic from deviations, their running sum and their lags;
-    0 for a constant series."""
-    bandwidth = F.least(F.floor(3 * F.sqrt(count) / 13), F.lit(KPSS_MAX_LAG))
-    power = F.expr(f"sum({dev} * {dev})").over(whole)
-    spread = power
-    for j, c in enumerate(lags, 1):
-        weight = F.greatest(1 - j / (bandwidth + 1), F.lit(0.0))
-        both = F.expr(f"sum({dev} * {c})").over(whole)
-        spread = spread + 2 * weight * F.coalesce(both, F.lit(0.0))
-    moved = F.expr(f"sum({run} * {run})").over(whole) / (count * count)
-    stat = F.when(power > NEGLIGIBLE * count, moved / F.nullif(spread / count, F.lit(0.0)))
-    return F.coalesce(stat, F.lit(0.0))
+def _kpss(level: DataFrame, i: int, count: Column) -> DataFrame:
+    """Add ``_stat{i}``, the level-stationarity statistic, 0 for a constant series.
+
+    From the sums of squared running sums ``_run{i}``, of squared deviations ``_pow{i}`` and
+    of their products with lags ``_cov{i}_{j}``. Kept to short arithmetic on columns: as one
+    nested expression its generated code is too long for the JVM to compile.
+    """
+    bandwidth = F.least(F.floor(3 * F.sqrt(count) / 13), F.lit(KPSS_MAX_LAG)).cast("double")
+    terms = [
+        f"greatest(1D - {j}D * _inv, 0D) * coalesce(_cov{i}_{j}, 0D)"
+        for j in range(1, KPSS_MAX_LAG + 1)
+    ]
+    level = level.withColumns({"_count": count.cast("double"), "_inv": 1 / (bandwidth + 1)})
+    level = level.withColumn("_spread", F.expr(f"_pow{i} + 2D * ({' + '.join(terms)})"))
+    stat = F.expr(f"try_divide(_run{i}, _count * _spread)")
+    stat = F.when(F.col(f"_pow{i}") > NEGLIGIBLE * F.col("_count"), stat)
+    return level.withColumn(f"_stat{i}", F.coalesce(stat, F.lit(0.0)))
 
 
 def difference(long: DataFrame, by: list[str], season: int) -> DataFrame:
@@ -112,8 +116,11 @@ def difference(long: DataFrame, by: list[str], season: int) -> DataFrame:
     rows = rows.withColumn("_off", F.coalesce(scaled("y - _start - _slope * t"), F.lit(0.0)))
     place = Window.partitionBy(*by, F.col("t") % season)
     rows = rows.withColumn("_rest", F.col("_off") - F.avg("_off").over(place))
-    about, left = F.var_pop("_off").over(whole), F.var_pop("_rest").over(whole)
-    strength = F.when(about > NEGLIGIBLE, 1 - left / F.nullif(about, F.lit(0.0)))
+    rows = rows.withColumns(
+        {"_about": F.var_pop("_off").over(whole), "_left": F.var_pop("_rest").over(whole)}
+    )
+    about = F.col("_about")
+    strength = F.when(about > NEGLIGIBLE, 1 - F.col("_left") / F.nullif(about, F.lit(0.0)))
     seasonal = (F.col("n") >= 2 * season + 8) & (
         F.coalesce(strength, F.lit(0.0)) > SEASONAL_STRENGTH
     )
@@ -144,12 +151,16 @@ def difference(long: DataFrame, by: list[str], season: int) -> DataFrame:
         {f"_s{i}": F.sum(f"_e{i}").over(so_far) for i in (0, 1)}
         | {f"_e{i}_{j}": F.lag(f"_e{i}", j).over(ordered) for i in (0, 1) for j in lags}
     )
+    # window sums are columns of their own: inside larger expressions Spark repeats them
+    sums = {f"_pow{i}": f"_e{i} * _e{i}" for i in (0, 1)}
+    sums |= {f"_run{i}": f"_s{i} * _s{i}" for i in (0, 1)}
+    sums |= {f"_cov{i}_{j}": f"_e{i} * _e{i}_{j}" for i in (0, 1) for j in lags}
+    level = level.withColumns({c: F.sum(F.expr(e)).over(whole) for c, e in sums.items()})
     left_over = F.col("n") - F.col("sd") * season
-    counts = [left_over, F.greatest(left_over - 1, F.lit(1))]
-    stats = [
-        _kpss(f"_e{i}", f"_s{i}", [f"_e{i}_{j}" for j in lags], counts[i], whole) for i in (0, 1)
-    ]
-    d = F.when(stats[0] <= KPSS_CRITICAL, 0).when(stats[1] <= KPSS_CRITICAL, 1).otherwise(2)
+    level = _kpss(level, 0, left_over)
+    level = _kpss(level, 1, F.greatest(left_over - 1, F.lit(1)))
+    d = F.when(F.col("_stat0") <= KPSS_CRITICAL, 0).when(F.col("_stat1") <= KPSS_CRITICAL, 1)
+    d = d.otherwise(2)
     level = level.withColumn("d", d)
     w = F.when(F.col("d") == 0, F.col("z")).when(F.col("d") == 1, F.col("_z1"))
     return level.select(
@@ -381,9 +392,9 @@ def fit_models(
     """
     keys = keys or SERIES_KEYS
     by = [*keys, "target"]
-    long = stack_targets(series, keys, targets or TARGETS)
-    if partitions:
-        long = spread_by_keys(long, keys, partitions)
+    # stacking forgets how rows were hashed, so it comes before the exchange; the number of
+    # partitions is stated because the rows are few but each is much work
+    long = spread_by_keys(stack_targets(series, keys, targets or TARGETS), keys, partitions)
     sums = product_sums(difference(long, by, season), by, season)
     may_shift = F.col("d") + F.col("sd") <= 1
     fitted = sums.withColumn(
