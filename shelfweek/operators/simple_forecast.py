@@ -27,8 +27,25 @@ def _dbl(c: Column) -> Column:
     return c.cast("double")
 
 
+class Fields:
+    """The columns that belong to one measure: ``f["mean"]`` is ``total_sales_mean``.
+
+    Plain columns rather than a struct, so that Spark leaves out the sums and neighbours
+    a model does not use.
+    """
+
+    def __init__(self, measure: str):
+        self.measure = measure
+
+    def __getitem__(self, name: str) -> Column:
+        return F.col(f"{self.measure}_{name}")
+
+    def named(self, columns: dict[str, Column]) -> list[Column]:
+        return [c.alias(f"{self.measure}_{name}") for name, c in columns.items()]
+
+
 def series_facts(weekly: DataFrame, keys: list[str], season: int) -> DataFrame:
-    """One row per series: its end, and per measure a struct of exact sums."""
+    """One row per series: its end, and exact sums per measure."""
     back = Window.partitionBy(*keys).orderBy(F.desc("date"))
     rows = weekly.filter(F.col("date").isNotNull()).withColumns(
         {
@@ -52,11 +69,11 @@ def series_facts(weekly: DataFrame, keys: list[str], season: int) -> DataFrame:
         F.max("_n").alias("n"),
         F.max(seasonal).alias("seasonal"),
         F.count_if("_common").alias("common_n"),
-        *[_measure_facts(m, season).alias(m) for m in OUTPUT],
+        *[c for m in OUTPUT for c in Fields(m).named(_measure_facts(m, season))],
     )
 
 
-def _measure_facts(m: str, season: int) -> Column:
+def _measure_facts(m: str, season: int) -> dict[str, Column]:
     y, prev, year_ago = F.col(f"_{m}"), F.col(f"_{m}_prev"), F.col(f"_{m}_season")
     paired, common = prev.isNotNull(), F.col("_common")
     season_rows = F.when(F.col("_back") <= season, F.struct("date", y.alias("y")))
@@ -79,10 +96,10 @@ def _measure_facts(m: str, season: int) -> Column:
         }
     gap = y - year_ago
     sums["season_dd"] = F.sum(F.when(common, (gap * gap).cast("decimal(38,0)")))
-    return F.struct(*[c.alias(name) for name, c in sums.items()])
+    return sums
 
 
-def _centred(f: Column, part: str, a: str, b: str, n: Column) -> Column:
+def _centred(f: Fields, part: str, a: str, b: str, n: Column) -> Column:
     """n times the centred sum of products, subtracted exactly before leaving decimals."""
     count = n.cast("decimal(10,0)")
     ab = "".join(sorted(a + b))
@@ -96,26 +113,30 @@ def _endings(facts: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:
     """Per measure the few numbers the steps ahead are made of, worked out once a series."""
     n = F.col("n")
 
-    def ending(f: Column) -> Column:
+    def ending(f: Fields) -> dict[str, Column]:
         pairs = n - 1
         var = _centred(f, "pair", "x", "x", pairs)
         slope = F.when(var > 0, _centred(f, "pair", "x", "y", pairs) / var)
         step = (_dbl(f["last"]) - _dbl(f["first"])) / F.nullif(pairs, F.lit(0))
-        return F.struct(
-            (_dbl(f["total"]) / n).alias("mean"),
-            _dbl(f["last"]).alias("last"),
-            F.coalesce(step, F.lit(0.0)).alias("step"),
-            slope.alias("slope"),
-            ((_dbl(f["pair_y"]) - slope * _dbl(f["pair_x"])) / pairs).alias("constant"),
-            f["tail"].alias("tail"),
-        )
+        return {
+            "mean": _dbl(f["total"]) / n,
+            "last": _dbl(f["last"]),
+            "step": F.coalesce(step, F.lit(0.0)),
+            "slope": slope,
+            "constant": (_dbl(f["pair_y"]) - slope * _dbl(f["pair_x"])) / pairs,
+            "tail": f["tail"],
+        }
 
     return facts.select(
-        *keys, "last_date", "n", *extra, *[ending(F.col(m)).alias(m) for m in OUTPUT]
+        *keys,
+        "last_date",
+        "n",
+        *extra,
+        *[c for m in OUTPUT for c in Fields(m).named(ending(Fields(m)))],
     )
 
 
-def point(model: str, f: Column, n: Column, k: Column, season: int) -> Column:
+def point(model: str, f: Fields, n: Column, k: Column, season: int) -> Column:
     """Value ``k`` steps after the end of a series, from its ending."""
     if model == "mean":
         units = f["mean"]
@@ -137,7 +158,7 @@ def point(model: str, f: Column, n: Column, k: Column, season: int) -> Column:
     return units / F.lit(UNITS)
 
 
-def squared_errors(model: str, f: Column, n: Column) -> Column:
+def squared_errors(model: str, f: Fields, n: Column) -> Column:
     """Sum of squared one-step errors over the common rows, in units squared."""
     syy = _centred(f, "common", "y", "y", n) / n
     sxx = _centred(f, "common", "x", "x", n) / n
@@ -157,7 +178,7 @@ def squared_errors(model: str, f: Column, n: Column) -> Column:
     raise ValueError(f"unknown model {model!r}, known: {MODELS}")
 
 
-def aicc(model: str, f: Column, n: Column, seasonal: Column) -> Column:
+def aicc(model: str, f: Fields, n: Column, seasonal: Column) -> Column:
     """Corrected Akaike criterion; NULL where the model cannot take part."""
     k = PARAMETERS[model]
     sse = F.greatest(squared_errors(model, f, n), F.lit(1.0))
@@ -170,12 +191,12 @@ def aicc(model: str, f: Column, n: Column, seasonal: Column) -> Column:
     return F.when(able, value)
 
 
-def _slope_on_common(f: Column, n: Column) -> Column:
+def _slope_on_common(f: Fields, n: Column) -> Column:
     var = _centred(f, "common", "x", "x", n)
     return F.when(var > 0, _centred(f, "common", "x", "y", n) / var)
 
 
-def best_model(f: Column, n: Column, seasonal: Column) -> Column:
+def best_model(f: Fields, n: Column, seasonal: Column) -> Column:
     """Name of the model with the smallest criterion, the earlier one on a tie; the mean
     for a series too short for any of them."""
     scored = F.array(
@@ -209,7 +230,7 @@ def forecast_closed_form(
     ends = _endings(series_facts(weekly, keys, season), keys, [])
     steps = _steps(ends, horizon, first_step)
     values = {
-        out: point(model, F.col(m), F.col("n"), F.col("_k"), season) for m, out in OUTPUT.items()
+        out: point(model, Fields(m), F.col("n"), F.col("_k"), season) for m, out in OUTPUT.items()
     }
     return steps.select(*keys, "Date", *[c.alias(name) for name, c in values.items()])
 
@@ -230,7 +251,7 @@ def forecast_choice(
     names = {"total_volume_sold": "volume_model", "total_sales": "sales_model"}
     chosen = facts.withColumns(
         {
-            name: best_model(F.col(m), F.col("common_n"), F.col("seasonal"))
+            name: best_model(Fields(m), F.col("common_n"), F.col("seasonal"))
             for m, name in names.items()
         }
     )
@@ -239,7 +260,7 @@ def forecast_choice(
     def value(m):
         picked = None
         for model in MODELS:
-            expr = point(model, F.col(m), F.col("n"), F.col("_k"), season)
+            expr = point(model, Fields(m), F.col("n"), F.col("_k"), season)
             test = F.col(names[m]) == model
             picked = F.when(test, expr) if picked is None else picked.when(test, expr)
         return picked

@@ -106,6 +106,12 @@ def test_forecast_shuffles_rows_once(weekly):
     assert "REPARTITION_BY_NUM" in below and "REPARTITION_BY_NUM" not in above
 
 
+def test_closed_forms_compute_only_what_they_use(weekly):
+    mean = plan(simple_forecast.forecast_closed_form(weekly, "mean"))
+    assert "collect_list" not in mean and "lead(" not in mean
+    assert "collect_list" in plan(simple_forecast.forecast_closed_form(weekly, "snaive"))
+
+
 def test_closed_forms_shuffle_once(weekly):
     assert len(hashed(plan(simple_forecast.forecast_choice(weekly)))) == 1
 
