@@ -392,9 +392,11 @@ def fit_models(
     """
     keys = keys or SERIES_KEYS
     by = [*keys, "target"]
-    # stacking forgets how rows were hashed, so it comes before the exchange; the number of
-    # partitions is stated because the rows are few but each is much work
-    long = spread_by_keys(stack_targets(series, keys, targets or TARGETS), keys, partitions)
+    # windows hash the rows themselves, and adaptive execution keeps at least as many tasks
+    # as cores; stacking forgets how rows were hashed, so a stated number comes after it
+    long = stack_targets(series, keys, targets or TARGETS)
+    if partitions:
+        long = spread_by_keys(long, keys, partitions)
     sums = product_sums(difference(long, by, season), by, season)
     may_shift = F.col("d") + F.col("sd") <= 1
     fitted = sums.withColumn(

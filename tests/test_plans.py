@@ -97,13 +97,14 @@ def test_top_n_is_not_a_full_sort(weekly):
     assert text.count("TakeOrderedAndProject") >= 2 and "rangepartitioning" not in text
 
 
-def test_forecast_shuffles_rows_once(weekly):
-    text = plan(arima.forecast_weekly(weekly))
+@pytest.mark.parametrize("partitions", [None, 6])
+def test_forecast_shuffles_rows_once(weekly, partitions):
+    text = plan(arima.forecast_weekly(weekly, partitions=partitions))
     assert text.count("ArrowEvalPython") == 1
     # rows by series below the fit, one row per series and target above it
     above, below = text.split("ArrowEvalPython")
     assert len(hashed(above)) == 1 and len(hashed(below)) == 1
-    assert "REPARTITION_BY_NUM" in below and "REPARTITION_BY_NUM" not in above
+    assert ("REPARTITION_BY_NUM" in below) == bool(partitions)
 
 
 def test_closed_forms_compute_only_what_they_use(weekly):
