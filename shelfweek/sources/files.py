@@ -17,7 +17,7 @@ def dataset_path(small: bool = False) -> str:
     return os.path.join(os.environ.get("DATASET_PATH", ""), os.environ.get(name, ""))
 
 
-def forecast_path(default: str = "/home/cdsw/forecast_results.csv") -> str:
+def forecast_path(default: str = "forecast_results.csv") -> str:
     return os.environ.get("FORECAST_FILE_LOCATION", default)
 
 
