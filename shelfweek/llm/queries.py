@@ -2,16 +2,52 @@
 
 from __future__ import annotations
 
-from . import simhash
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from . import decontaminate, packing, quality, simhash
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op5_best_fit_packing(spark, folder):
+    return packing.packed_documents(
+        _read(spark, folder, "documents"), VOCABULARY, capacity=2048, digest=True
+    )
+
+
 def op6_simhash_near_dedup(spark, folder):
     return simhash.near_duplicates(_read(spark, folder, "documents"), shingle=3, max_bits=2)
 
 
-QUERIES = {"op6_simhash_near_dedup": op6_simhash_near_dedup}
+def op7_quality_classifier(spark, folder):
+    docs = _read(spark, folder, "documents")
+    model = quality.train(docs, _read(spark, folder, "labels"))
+    return quality.scores(docs, model, threshold=0.3)
+
+
+def op9_benchmark_decontamination(spark, folder):
+    found = decontaminate.contamination(
+        _read(spark, folder, "documents"), _read(spark, folder, "benchmark"), width=10
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES = {
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
+}
 ORACLE: dict[str, str] = {}

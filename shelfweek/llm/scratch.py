@@ -7,8 +7,11 @@ temporary folder, and written tables go when the driver's JVM ends.
 
 from __future__ import annotations
 
+import pickle
 import uuid
+from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,3 +29,10 @@ def settle(df: DataFrame) -> DataFrame:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def sent(spark: SparkSession, thing) -> Callable:
+    """Send an object of bounded size to all executors once; tasks call the result to get
+    it. Its class travels with it, as the functions of this package do."""
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+    return lambda: pickle.loads(packed.value)
