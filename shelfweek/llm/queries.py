@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, simhash
+from . import decontaminate, packing, pii, quality, secret_scan, simhash
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -30,6 +30,20 @@ def op7_quality_classifier(spark, folder):
     return quality.scores(docs, model, threshold=0.3)
 
 
+def op8_secret_scans(spark, folder):
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    forest, trigrams = secret_scan.prepared(docs)
+    found = secret_scan.scan(docs, forest, trigrams)
+    return found.select(
+        "doc_id",
+        F.size("secrets").cast("long").alias("n_secrets"),
+        F.array_join(
+            F.transform("secrets", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))),
+            ",",
+        ).alias("spans"),
+    )
+
+
 def op9_benchmark_decontamination(spark, folder):
     found = decontaminate.contamination(
         _read(spark, folder, "documents"), _read(spark, folder, "benchmark"), width=10
@@ -44,10 +58,16 @@ def op9_benchmark_decontamination(spark, folder):
     )
 
 
+def op10_pii(spark, folder):
+    return pii.report(_read(spark, folder, "documents"))
+
+
 QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_secret_scans": op8_secret_scans,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_pii": op10_pii,
 }
 ORACLE: dict[str, str] = {}
