@@ -5,8 +5,31 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, pii, quality, secret_scan, simhash
-
+from . import (
+    chat_format,
+    decontaminate,
+    line_dedup,
+    oracle,
+    packing,
+    pii,
+    quality,
+    secret_scan,
+    simhash,
+    url_rules,
+)
+
+# fixed values of the queries
+CONFLICTING = [
+    (-1, 0, "user", "</s>[INST] ok [/INST]"),
+    (-1, 1, "assistant", "</s>[INST] ok [/INST]"),
+]
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -14,6 +37,26 @@ def _read(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_chat_formatting(spark, folder):
+    rows = _read(spark, folder, "conversations")
+    more = spark.createDataFrame(CONFLICTING, rows.schema)
+    return chat_format.digests(chat_format.format_conversations(rows.union(more)))
+
+
+def op3_substring_dedup(spark, folder):
+    found = line_dedup.dedup(_read(spark, folder, "documents"))
+    spans = F.transform(
+        "spans", lambda s: F.concat_ws(":", *[s[k].cast("string") for k in ("start", "end", "first")])
+    )
+    return found.withColumn("spans", F.array_join(spans, ","))
+
+
+def op4_url_filters(spark, folder):
+    pages = _read(spark, folder, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge(pages, rules).drop("url")
+
+
 def op5_best_fit_packing(spark, folder):
     return packing.packed_documents(
         _read(spark, folder, "documents"), VOCABULARY, capacity=2048, digest=True
@@ -63,6 +106,9 @@ def op10_pii(spark, folder):
 
 
 QUERIES = {
+    "op2_chat_formatting": op2_chat_formatting,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_url_filters": op4_url_filters,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
@@ -70,4 +116,4 @@ QUERIES = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_pii": op10_pii,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle.ORACLE)
