@@ -12,14 +12,16 @@ import pyarrow.compute as pc
 SLICE_BYTES = 4 << 20
 
 
-def text_slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """Runs of rows with at most SLICE_BYTES of text, or one row; null texts as empty."""
+def text_slices(
+    batch: pa.RecordBatch, column: int, at_once: int = SLICE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Runs of rows with at most ``at_once`` bytes of text, or one row; null texts as empty."""
     texts = pc.fill_null(batch.column(column), "").cast(pa.large_string())
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     row = 0
     while row < len(texts):
         before = ends[row - 1] if row else 0
-        stop = max(row + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        stop = max(row + 1, int(np.searchsorted(ends, before + at_once, "right")))
         yield batch.slice(row, stop - row), texts.slice(row, stop - row)
         row = stop
 

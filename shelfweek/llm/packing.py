@@ -11,12 +11,13 @@ dealt to fewer provinces, until one province holds them all or it no longer help
 
 from __future__ import annotations
 
+import os
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -34,19 +35,64 @@ CROSSOVERS = 16
 #: Sequences emptier than this share of the capacity are opened again.
 SPARE = 0.01
 
-# the pieces that the vocabulary's own splitting pattern makes of lower-cased words
-_PIECES = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+"
-)
-_SPACES = bytes(32 if 9 <= b <= 13 else b for b in range(256))
 _ENCODED_AT_ONCE = 256
+_BYTES_AT_ONCE = 2 << 20
+#: Pieces whose ids a task remembers before it starts afresh.
+_REMEMBERED = 1 << 18
+
+_SPACE, _LETTER, _NUMBER, _SYMBOL = range(4)
+
+
+def _kind(code: int) -> int:
+    """How the vocabulary's splitting pattern sees a character up to U+00FF."""
+    if 9 <= code <= 13 or code in (32, 0x85, 0xA0):
+        return _SPACE
+    category = unicodedata.category(chr(code))[0]
+    return {"L": _LETTER, "N": _NUMBER}.get(category, _SYMBOL)
+
+
+_KINDS = np.array([_kind(c) for c in range(256)], np.uint8)
+
+
+def spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-cased UTF-8 bytes of characters up to U+00FF with a space between any two
+    pieces: runs of letters, single numbers, runs of symbols, and the shortened words 's 't
+    're 've 'm 'll 'd where no symbol stands before them. Also how many bytes the text has
+    grown by up to each of the old ones."""
+    kinds = _KINDS[data]
+    lead = np.flatnonzero(data >= 0xC2)
+    kinds[lead] = kinds[lead + 1] = _KINDS[((data[lead] & 3) << 6) | (data[lead + 1] & 0x3F)]
+    cut = np.zeros(len(data), bool)  # a space goes before this byte
+    a, b = kinds[:-1], kinds[1:]
+    cut[1:] = ((a != b) | (b == _NUMBER)) & (a != _SPACE) & (b != _SPACE)
+    cut[lead + 1] = False
+    begins = np.ones(len(data) + 3, bool)  # a text does; what follows the last counts too
+    begins[: len(data)] = False
+    begins[offsets] = True
+    quote = np.flatnonzero(data == 0x27)
+    quote = quote[begins[quote] | (kinds[quote - 1] != _SYMBOL)]
+    quote = quote[~begins[quote + 1]]
+    first = data[quote + 1]
+    second = np.where(begins[quote + 2], 0, data[np.minimum(quote + 2, len(data) - 1)])
+    one = np.isin(first, np.frombuffer(b"stmd", np.uint8))
+    two = np.zeros(len(quote), bool)
+    for x, y in (b"re", b"ve", b"ll"):
+        two |= (first == x) & (second == y)
+    cut[quote[one | two] + 1] = False
+    after = np.concatenate([quote[one] + 2, quote[two] + 3])
+    after = after[after < len(data)]
+    cut[after[kinds[after] != _SPACE]] = True
+    grown = np.cumsum(cut, dtype=np.int32)
+    out = np.full(len(data) + (int(grown[-1]) if len(data) else 0), 32, np.uint8)
+    out[np.arange(len(data), dtype=np.int32) + grown] = np.where(kinds == _SPACE, 32, data)
+    return out, grown
 
 
 class WordEncoder:
     """Ids of many texts at once for a vocabulary that lower-cases, splits at white space
     and marks the last id of every word piece.
 
-    Each different word of a batch is encoded once and its ids are copied to every place.
+    Each different piece of a batch is encoded once and its ids are copied to every place.
     Only texts within Latin-1 go this way: there lower-casing has no context and nothing is
     composed anew. Other texts are encoded whole.
     """
@@ -64,9 +110,15 @@ class WordEncoder:
         names = self.whole.get_vocab()
         self.last = np.zeros(max(names.values()) + 1, bool)
         self.last[[i for name, i in names.items() if name.endswith("</w>")]] = True
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self._forget()
 
-    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All ids, and where each piece's ids start and how many they are."""
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.zeros(0, np.uint32)
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, pieces: list[str]) -> None:
         lines = [
             " ".join(pieces[k : k + _ENCODED_AT_ONCE])
             for k in range(0, len(pieces), _ENCODED_AT_ONCE)
@@ -76,37 +128,46 @@ class WordEncoder:
         stops = np.flatnonzero(self.last[ids]) + 1
         if len(stops) != len(pieces):
             raise ValueError("the vocabulary does not mark the end of each word piece")
-        starts = np.concatenate([[0], stops[:-1]]).astype(np.int64)
-        return ids, starts, stops - starts
+        starts = np.concatenate([[0], stops])[: len(stops)].astype(np.int64)
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
+        self.starts = np.concatenate([self.starts, starts + len(self.ids)])
+        self.lengths = np.concatenate([self.lengths, stops - starts])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where each piece's ids start among them and how many they are."""
+        if len(self.known) > _REMEMBERED:
+            self._forget()
+        self._learn([p for p in pieces if p not in self.known])
+        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        return self.ids, self.starts[at], self.lengths[at]
 
     def latin(self, offsets: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each text has."""
-        low = pc.utf8_lower(from_raw(offsets, data.translate(_SPACES)))
-        lists = pc.split_pattern(low, " ")
-        words = lists.flatten().dictionary_encode()
-        number: dict[str, int] = {}
-        flat, counts = [], []
-        for word in words.dictionary.to_pylist():
-            own = (word,) if word.isalpha() else _PIECES.findall(word)
-            flat += [number.setdefault(p, len(number)) for p in own]
-            counts.append(len(own))
-        ids, starts, lengths = self._encode(list(number))
-        flat, counts = np.array(flat, np.int64), np.array(counts, np.int64)
-        word_ids = gather(ids, starts[flat], lengths[flat])
-        upto = np.concatenate([[0], np.cumsum(lengths[flat])])
-        ends = upto[np.cumsum(counts)]
-        sizes = np.diff(np.concatenate([[0], ends]))
-        at = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        per = np.concatenate([[0], np.cumsum(sizes[at])])
-        stops = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-        return gather(word_ids, (ends - sizes)[at], sizes[at]), np.diff(per[np.concatenate([[0], stops])])
+        offsets, data = raw(pc.utf8_lower(from_raw(offsets, data)))
+        out, grown = spaced(np.frombuffer(data, np.uint8), offsets)
+        moved = offsets + np.concatenate([[0], grown])[offsets]
+        pieces = pc.split_pattern(from_raw(moved, out.tobytes()), " ")
+        flat = pieces.flatten()
+        real = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+        found = flat.filter(pa.array(real)).dictionary_encode()
+        ids, starts, lengths = self._encode(found.dictionary.to_pylist())
+        at = found.indices.to_numpy(zero_copy_only=False)
+        stops = np.cumsum(pc.list_value_length(pieces).to_numpy(zero_copy_only=False))
+        many = np.concatenate([[0], np.cumsum(real)])[np.concatenate([[0], stops])]
+        upto = np.concatenate([[0], np.cumsum(lengths[at])])
+        return gather(ids, starts[at], lengths[at]), np.diff(upto[many])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """As ``latin``, for any texts (large_string without nulls)."""
         offsets, data = raw(texts)
         data = bytes(data)
         beyond = np.flatnonzero(np.frombuffer(data, np.uint8) >= 0xC4)
-        other = np.unique(np.searchsorted(offsets[1:], beyond, "right"))
+        other = np.searchsorted(offsets[1:], beyond, "right")
+        for token in self.special:
+            found = pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+            other = np.concatenate([other, np.flatnonzero(found)])
+        other = np.unique(other)
         if not len(other):
             return self.latin(offsets, data)
         plain = np.setdiff1d(np.arange(len(texts)), other)
@@ -137,9 +198,10 @@ def tokenise(
     counts as empty: the end id alone. ``vocabulary`` is a file all executors have."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many tasks as there are cores
         encode = WordEncoder(vocabulary)
         for batch in batches:
-            for rows, texts in text_slices(batch, 1):
+            for rows, texts in text_slices(batch, 1, _BYTES_AT_ONCE):
                 ids, counts = encode(texts)
                 ends = np.cumsum(counts + 1)
                 full = np.full(ends[-1], end_id, "<u4")
