@@ -2,12 +2,38 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import settle
 
 
+class Forest:
+    """Groups of 0 to n - 1 within a task, joined by arrays of links; each hangs on its
+    smallest member, so that a group is handed on with a row for each other member."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def join(self, i: np.ndarray, j: np.ndarray) -> None:
+        root = self.root
+        while True:
+            x, y = root[i], root[j]
+            apart = x != y
+            if not apart.any():
+                return
+            i, j = i[apart], j[apart]
+            x, y = x[apart], y[apart]
+            np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+            while not np.array_equal(up := root[root], root):
+                root[:] = up
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        hung = np.flatnonzero(self.root != np.arange(len(self.root)))
+        return hung, self.root[hung]
+
+
 def _towards_smallest(links: DataFrame) -> DataFrame:
     """Per node ``u`` the smallest of itself and its neighbours ``v``, beside every link."""
     least = links.groupBy("u").agg(F.min("v").alias("m"))

@@ -16,6 +16,7 @@ from . import (
     secret_scan,
     simhash,
     url_rules,
+    vector_groups,
 )
 
 # fixed values of the queries
@@ -37,6 +38,10 @@ def _read(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_embedding_near_dedup(spark, folder):
+    return vector_groups.near_duplicates(_read(spark, folder, "embeddings"), least=0.93)
+
+
 def op2_chat_formatting(spark, folder):
     rows = _read(spark, folder, "conversations")
     more = spark.createDataFrame(CONFLICTING, rows.schema)
@@ -106,6 +111,7 @@ def op10_pii(spark, folder):
 
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_url_filters": op4_url_filters,

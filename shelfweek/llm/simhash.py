@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import Forest, components
 from .scratch import settle
 
 #: Fingerprints in a trie node that is handed to a task, at most (but at full depth).
@@ -82,20 +82,7 @@ def leaf_links(a: np.ndarray, b: np.ndarray, depth: int, diff: int, budget: int)
     rows (position, smaller position) over a followed by b. ``a is b``: each pair once."""
     same = a is b
     n, offset = len(a) + (0 if same else len(b)), 0 if same else len(a)
-    root = np.arange(n)
-
-    def join(i, j):
-        while True:
-            x, y = root[i], root[j]
-            apart = x != y
-            if not apart.any():
-                return
-            i, j = i[apart], j[apart]
-            x, y = x[apart], y[apart]
-            np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
-            while not np.array_equal(up := root[root], root):
-                root[:] = up
-
+    forest = Forest(n)
     pairs = np.array([[0, len(a), 0, len(b), diff]])
     for level in range(depth, 65):
         al, ah, bl, bh, bits = pairs.T
@@ -112,7 +99,7 @@ def leaf_links(a: np.ndarray, b: np.ndarray, depth: int, diff: int, budget: int)
             near = np.bitwise_count(a[i] ^ b[j]) <= budget
             if same:
                 near &= i < j
-            join(i[near], j[near] + offset)
+            forest.join(i[near], j[near] + offset)
         if not len(pairs):
             break
         al, ah, bl, bh, bits = pairs.T
@@ -132,8 +119,7 @@ def leaf_links(a: np.ndarray, b: np.ndarray, depth: int, diff: int, budget: int)
         )
         pairs = pairs[(pairs[:, 0] < pairs[:, 1]) & (pairs[:, 2] < pairs[:, 3])]
         pairs = pairs[pairs[:, 4] <= budget]
-    hung = np.flatnonzero(root != np.arange(n))
-    return np.stack([hung, root[hung]], 1)
+    return np.stack(forest.links(), 1)
 
 
 def _prefix(depth: int):
@@ -158,11 +144,11 @@ def trie_links(fps: DataFrame, budget: int = 2, leaf: int = LEAF, stride: int =
         right = own.select(F.col("p").alias("q"), F.col("n").alias("n_q"))
         return settle(pairs.join(left, "p").join(right, "q"))
 
-    depth, closed = 0, []
+    depth, closed, total = 0, [], F.lit(fps.count())
+    root = F.lit(0).cast("long")
     pairs = spark.range(1).select(
-        F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("q"), F.lit(0).alias("diff")
+        root.alias("p"), root.alias("q"), F.lit(0).alias("diff"), total.alias("n_p"), total.alias("n_q")
     )
-    pairs = sized(pairs, nodes(0))
     while True:
         small = (F.col("n_p") <= leaf) & (F.col("n_q") <= leaf) | F.lit(depth == 64)
         closed.append((depth, pairs.where(small)))
