@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -283,3 +284,37 @@ def contamination(
         lambda acc: acc.n,
     )
     return out.select(F.col("_id").alias(id_col), "n_words", covered.alias("n_hit"), "items", "spans")
+
+
+def clean(
+    docs: DataFrame, benchmark: DataFrame, width: int = 10, text_col: str = "text", item_col: str = "item_id"
+) -> DataFrame:
+    """The rows of ``docs`` without any occurrence of a window, all their columns as they
+    are. A filter for each block of the benchmark; no row leaves its task."""
+    items = benchmark.select(F.col(item_col).alias("_item"), F.col("text").alias("_text"))
+    texts = docs.select(F.col(text_col).cast("string").alias("_text"))
+    for block in _blocks(items, "_item", "_text"):
+        windows = Windows(block, width)
+        windows.keep_rarest(_corpus_counts(texts, windows))
+        docs = docs.where(~_holds(docs.sparkSession, windows)(F.col(text_col).cast("string")))
+    return docs
+
+
+def _holds(spark, windows: Windows):
+    get = sent(spark, windows)
+
+    @F.pandas_udf("boolean")
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = get()
+        for batch in batches:
+            column = pa.array(batch, pa.large_string(), from_pandas=True)
+            parts = []
+            for _, texts in text_slices(pa.RecordBatch.from_arrays([column], ["_text"]), 0):
+                flat, ends = words_of(texts)
+                found = np.zeros(len(texts), bool)
+                for start, _, _ in own.hits(own.ids(flat), ends[1:]):
+                    found[np.searchsorted(ends[1:], start, "right")] = True
+                parts.append(found)
+            yield pd.Series(np.concatenate(parts or [np.zeros(0, bool)]))
+
+    return holds

@@ -15,6 +15,7 @@ from itertools import islice
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -203,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
 
     grams = rows.mapInArrow(read, "_id string, _y int, grams binary")
     # the bounded sample meets in one task; one row comes back
-    fitted = grams.coalesce(1).mapInArrow(learn, "model binary").collect()
+    fitted = grams.repartition(1).mapInArrow(learn, "model binary").collect()
     numbers = np.frombuffer(fitted[0].model, "<f8") if fitted else None
     if numbers is None:
         return fit([], np.zeros(0, int), totals)
@@ -212,6 +213,30 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     )
 
 
+def _scorer(spark, model: Model):
+    """A pandas function from texts to scores; nulls count as empty."""
+    get = sent(spark, model)
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        seen, own = np.zeros(BUCKETS, bool), get()
+        for batch in batches:
+            yield pd.Series(
+                [
+                    own.score(ngrams(np.frombuffer((t or "").encode("utf-8", "replace"), np.uint8), seen))
+                    for t in batch
+                ],
+                dtype="float64",
+            )
+
+    return score
+
+
+def kept(docs: DataFrame, model: Model, threshold: float = 0.3, text_col="text") -> DataFrame:
+    """The rows of ``docs`` scored ``threshold`` or more, all their columns as they are."""
+    return docs.where(_scorer(docs.sparkSession, model)(F.col(text_col).cast("string")) >= threshold)
+
+
 def scores(
     docs: DataFrame, model: Model, threshold: float = 0.3, id_col="doc_id", text_col="text"
 ) -> DataFrame:
@@ -220,20 +245,9 @@ def scores(
     Null text counts as empty, and an empty text has the score of no n-grams at all. Rows
     with equal ids stay rows of their own. An empty table gives an empty result.
     """
-    get = sent(docs.sparkSession, model)
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, own = np.zeros(BUCKETS, bool), get()
-        for batch in batches:
-            for part, texts in text_slices(batch, 1):
-                offsets, data = raw(texts)
-                data = np.frombuffer(data, np.uint8)
-                found = [own.score(ngrams(data[a:b], seen)) for a, b in zip(offsets[:-1], offsets[1:])]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], ["_id", "score"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
+    score = _scorer(docs.sparkSession, model)(F.col("_text"))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    found = rows.mapInArrow(read, f"_id {kind}, score double")
+    found = rows.select("_id", score.alias("score"))
     return found.select(
         F.col("_id").alias(id_col),
         in_held_out_fold(F.col("_id")).alias("held_out"),

@@ -208,6 +208,25 @@ def trie_links(fps: DataFrame, budget: int = 2, leaf: int = LEAF, stride: int =
     return out
 
 
+def _grouped(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """(_row, _id, fp, first): ``first`` is the row ranked first of all reachable ones, as
+    (null id?, _id, _row)."""
+    rows = docs.select(
+        F.struct(F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_row")).alias("_own"),
+        F.col(text_col).alias("_text"),
+    )
+    prints = fingerprints(rows, shingle, "_own", "_text").select("_own._id", "_own._row", "fp")
+    prints = settle(prints)
+    rank = F.struct(F.col("_id").isNull().alias("n"), "_id", "_row")
+    classes = settle(prints.groupBy("fp").agg(F.min(rank).alias("first")))
+    roots = components(trie_links(classes.select("fp"), max_bits), "a", "b")
+    roots = roots.select(F.col("node").alias("fp"), "root")
+    rooted = classes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = settle(rooted)
+    least = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    return prints.join(rooted.select("fp", "root").join(least, "root").select("fp", "first"), "fp")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -219,15 +238,20 @@ def near_duplicates(
     a component has no other: then it is null. Other columns are not read. An empty table
     gives an empty result. Equal fingerprints are one entry of the trie.
     """
-    prints = settle(fingerprints(docs, shingle, id_col, text_col))
-    classes = settle(prints.groupBy("fp").agg(F.min(id_col).alias("first")))
-    roots = components(trie_links(classes.select("fp"), max_bits), "a", "b")
-    roots = roots.select(F.col("node").alias("fp"), "root")
-    rooted = settle(
-        classes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    )
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(of, "fp").select(
-        id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    return _grouped(docs, shingle, max_bits, id_col, text_col).select(
+        F.col("_id").alias(id_col),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("first._id").alias("component_id"),
     )
+
+
+def one_of_each(
+    docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Of each group of near duplicates the row with the smallest id (a null id only where
+    there is no other; the row read first among equals), all its columns as they are.
+    ``docs`` must read the same rows in the same order each time, as a table does."""
+    groups = _grouped(docs, shingle, max_bits, id_col, text_col)
+    gone = groups.where("_row <> first._row").select("_row")
+    numbered = docs.select(F.struct("*").alias("_own"), F.monotonically_increasing_id().alias("_row"))
+    return numbered.join(gone, "_row", "left_anti").select("_own.*")
