@@ -48,7 +48,7 @@ NUMBERED = """numbered AS (
 
 
 def sales(store: str = "supplier") -> str:
-    return "WITH " + lines(store)
+    return "WITH RECURSIVE " + lines(store)
 
 
 def active(store: str = "supplier") -> str:
@@ -199,26 +199,25 @@ GROUP BY 1, 2, 3, 4"""
 
 
 def _kpss(value: str, count: str) -> str:
-    """Level statistic of a column over each series, bandwidth trunc(3 sqrt(n) / 13)."""
-    lags = ", ".join(f"lag(e, {j}) OVER o AS e{j}" for j in range(1, 9))
-    spread = " + ".join(
-        f"2 * greatest(1 - {j} / (b + 1), 0.0) * coalesce(sum(e * e{j}), 0)" for j in range(1, 9)
-    )
-    return f"""SELECT srl_num, target, coalesce(CASE WHEN sum(e * e) > 1e-10 * max(m)
-    THEN sum(run * run) / (max(m) * max(m))
-      / ((sum(e * e) + {spread.replace('b +', 'max(b) +')}) / max(m)) END, 0) AS stat
-  FROM (SELECT srl_num, target, e, {count} AS m, sum(e) OVER o AS run,
-      CAST(least(floor(3 * sqrt({count}) / 13), 8) AS DOUBLE) AS b, {lags}
-    FROM (SELECT *, {value} - avg({value}) OVER (PARTITION BY srl_num, target) AS e FROM zs)
-    WHERE e IS NOT NULL
-    WINDOW o AS (PARTITION BY srl_num, target ORDER BY date)) GROUP BY 1, 2"""
-
-
-DIFFERENCES = f"""long AS (
-  SELECT store_number, category_name, srl_num, date, 'sales' AS target, total_sales AS y
-  FROM numbered
-  UNION ALL SELECT store_number, category_name, srl_num, date, 'volume', total_volume_sold
-  FROM numbered),
+    """Level statistic of a column over each series, bandwidth trunc(3 sqrt(n) / 13), its
+    variance as the weighted sum of autocovariances."""
+    return f"""SELECT srl_num, target,
+    coalesce(CASE WHEN list_dot_product(e, e) > 1e-10 * m THEN runs / m / spread END, 0) AS stat
+  FROM (SELECT *, list_dot_product(e, e) + coalesce(list_sum(list_transform(range(1, b + 1),
+      lambda j : 2 * (1 - j / (b + 1.0)) * list_dot_product(e[1 + j :], e[: len(e) - j]))), 0) AS spread
+    FROM (SELECT srl_num, target, max(m) AS m, list(e ORDER BY date) AS e, sum(run * run) AS runs,
+        CAST(floor(3 * sqrt(max(m)) / 13) AS BIGINT) AS b
+      FROM (SELECT srl_num, target, date, e, CAST({count} AS DOUBLE) AS m, sum(e) OVER o AS run
+        FROM (SELECT *, {value} - avg({value}) OVER (PARTITION BY srl_num, target) AS e FROM zs)
+        WHERE e IS NOT NULL
+        WINDOW o AS (PARTITION BY srl_num, target ORDER BY date)) GROUP BY 1, 2))"""
+
+
+def differences(season: int = 52, source: str = "numbered") -> str:
+    by = "store_number, category_name, srl_num"
+    return f"""long AS (
+  SELECT {by}, date, 'sales' AS target, total_sales AS y FROM {source}
+  UNION ALL SELECT {by}, date, 'volume', total_volume_sold FROM {source}),
 scaled AS (
   SELECT *, count(*) OVER p AS n, row_number() OVER (p ORDER BY date) AS t,
     coalesce(CASE WHEN stddev_pop(y) OVER p > 1e-10 * greatest(abs(avg(y) OVER p), 1)
@@ -229,17 +228,17 @@ line AS (
   FROM scaled GROUP BY 1, 2),
 off AS (
   SELECT s.*, x - coalesce(start + slope * t, 0) AS o FROM scaled s JOIN line USING (srl_num, target)),
-rest AS (SELECT *, o - avg(o) OVER (PARTITION BY srl_num, target, t % 52) AS r FROM off),
+rest AS (SELECT *, o - avg(o) OVER (PARTITION BY srl_num, target, t % {season}) AS r FROM off),
 strength AS (
-  SELECT srl_num, target, max(n) >= 112 AND coalesce(CASE WHEN var_pop(o) > 1e-10
+  SELECT srl_num, target, max(n) >= {2 * season + 8} AND coalesce(CASE WHEN var_pop(o) > 1e-10
     THEN 1 - var_pop(r) / var_pop(o) END, 0) > 0.64 AS seasonal FROM rest GROUP BY 1, 2),
 zs AS (
   SELECT *, z - lag(z) OVER (PARTITION BY srl_num, target ORDER BY date) AS z1
-  FROM (SELECT s.*, CAST(seasonal AS INTEGER) AS sd, CASE WHEN seasonal THEN x - lag(x, 52)
+  FROM (SELECT s.*, CAST(seasonal AS INTEGER) AS sd, CASE WHEN seasonal THEN x - lag(x, {season})
       OVER (PARTITION BY srl_num, target ORDER BY date) ELSE x END AS z
     FROM scaled s JOIN strength USING (srl_num, target))),
-level0 AS ({_kpss('z', 'n - sd * 52')}),
-level1 AS ({_kpss('z1', 'greatest(n - sd * 52 - 1, 1)')}),
+level0 AS ({_kpss('z', f'n - sd * {season}')}),
+level1 AS ({_kpss('z1', f'greatest(n - sd * {season} - 1, 1)')}),
 orders AS (
   SELECT store_number, category_name, srl_num, target, CAST(max(n) AS INTEGER) AS n,
     CASE WHEN max(level0.stat) <= 0.463 THEN 0 WHEN max(level1.stat) <= 0.463 THEN 1 ELSE 2 END AS d,
@@ -247,25 +246,195 @@ orders AS (
   FROM zs JOIN level0 USING (srl_num, target) LEFT JOIN level1 USING (srl_num, target)
   GROUP BY 1, 2, 3, 4)"""
 
-PRODUCTS = f"""ws AS (
-  SELECT zs.*, d, n - sd * 52 - d AS len, t - sd * 52 - d AS place,
+
+DIFFERENCES = differences()
+
+# the columns whose products are summed: 1, value, 12 lags, seasonal lag
+VALUES = ["1.0", "w", *[f"coalesce(w{j}, 0)" for j in range(1, 13)], "coalesce(ws, 0)"]
+
+
+def shared(season: int = 52) -> str:
+    return f"""ws AS (
+  SELECT zs.*, d, n - sd * {season} - d AS len, t - sd * {season} - d AS place,
     CASE d WHEN 0 THEN z WHEN 1 THEN z1
       ELSE z1 - lag(z1) OVER (PARTITION BY srl_num, target ORDER BY date) END AS w
   FROM zs JOIN (SELECT srl_num, target, d FROM orders) USING (srl_num, target)),
 lagged AS (
   SELECT *, {", ".join(f"lag(w, {j}) OVER o AS w{j}" for j in range(1, 13))},
-    CASE WHEN len >= 116 THEN lag(w, 52) OVER o ELSE 0 END AS ws
+    CASE WHEN len >= {2 * season + 12} THEN lag(w, {season}) OVER o ELSE 0 END AS ws,
+    least(12, greatest(0, CAST(floor((len - 3) / 2) AS BIGINT))) AS reach
   FROM ws WINDOW o AS (PARTITION BY srl_num, target ORDER BY date)),
 shared AS (
-  SELECT *, place > CASE WHEN len >= 116 THEN 52 ELSE 12 END AS used FROM lagged)
+  SELECT *, place > CASE WHEN len >= {2 * season + 12} THEN {max(season, 12)} ELSE reach END AS used
+  FROM lagged)"""
+
+
+PRODUCTS = f"""{shared()}
 SELECT store_number, category_name, srl_num, target,
   CAST(count(*) FILTER (used) AS INTEGER) AS rows_used,
-  round(coalesce(sum(w) FILTER (used), 0), 6) AS total,
-  round(coalesce(sum(w * w) FILTER (used), 0), 6) AS power,
-  {", ".join(f"round(coalesce(sum(w * w{j}) FILTER (used), 0), 6) AS lag_{j}" for j in range(1, 13))},
-  round(coalesce(sum(w * ws) FILTER (used), 0), 6) AS seasonal
+  {", ".join(f"round(coalesce(sum({VALUES[i]} * {VALUES[j]}) FILTER (used), 0), 6) + 0.0 AS sum_{i}_{j}" for i in range(15) for j in range(i, 15))}
 FROM shared GROUP BY 1, 2, 3, 4"""
 
+
+def _unit(k: str) -> str:
+    return f"list_transform(range(15), lambda i : CASE WHEN i = {k} THEN 1.0 ELSE 0.0 END)"
+
+
+def _solved(name: str, source: str) -> str:
+    """Gauss-Jordan elimination of each system (id, a): n rows of n coefficients and the
+    right-hand side."""
+    return f"""{name}_steps AS (
+  SELECT id, 0 AS k, len(a) AS n, a FROM {source}
+  UNION ALL
+  SELECT id, k + 1, n, list_transform(range(1, n + 1), lambda i : CASE WHEN i = k + 1
+      THEN list_transform(a[k + 1], lambda v : v / a[k + 1][k + 1])
+      ELSE list_transform(range(1, n + 2), lambda j : a[i][j] - a[i][k + 1] * a[k + 1][j] / a[k + 1][k + 1]) END)
+  FROM {name}_steps WHERE k < n),
+{name} AS (
+  SELECT id, list_transform(a, lambda r : r[n + 1]) AS beta FROM {name}_steps WHERE k = n)"""
+
+
+def search(season: int = 52) -> str:
+    """The whole order search on the shared rows: moments, long autoregression, every order
+    by elimination, AICc, stability by stepping the recursion down, and the steps ahead."""
+    matrix = ", ".join(
+        "[" + ", ".join(f"coalesce(sum({a} * {b}) FILTER (used), 0)" for b in VALUES) + "]" for a in VALUES
+    )
+    return f"""{shared(season)},
+series AS (
+  SELECT srl_num * 2 + CAST(target = 'volume' AS INTEGER) AS id, srl_num, target,
+    count(*) FILTER (used) AS c, max(n) AS n, max(d) AS d, max(sd) AS sd, max(reach) AS reach,
+    max(reach) * 5 // 12 AS most, max(len) >= {2 * season + 12} AS has_season,
+    avg(y) AS centre, stddev_pop(y) AS scale, max(date) AS last_date, [{matrix}] AS m,
+    list(coalesce(w, 0) ORDER BY date DESC) AS w, list(coalesce(z, 0) ORDER BY date DESC) AS z,
+    list(x ORDER BY date DESC) AS x
+  FROM shared GROUP BY 2, 3),
+long_terms AS (
+  SELECT id, m, list_concat([1], range(3, 3 + reach - most)) AS terms FROM series WHERE c > 0),
+long_systems AS (
+  SELECT id, list_transform(terms, lambda i :
+    list_append(list_transform(terms, lambda j : m[i][j]), m[i][2])) AS a FROM long_terms),
+{_solved('long_fit', 'long_systems')},
+turned AS (
+  SELECT s.*, list_transform(range(1, 9), lambda i : coalesce(beta[i], 0.0)) AS lp
+  FROM series s JOIN long_fit USING (id)),
+turns AS (
+  SELECT *, list_concat(
+    list_concat(list_transform(range(7), lambda k : {_unit('k')}),
+      list_transform(range(1, 6), lambda j : list_transform(range(15), lambda i :
+        CASE WHEN i = 0 THEN -lp[1] WHEN i = 1 + j THEN 1.0
+          WHEN i > 1 + j AND i <= 8 + j THEN -lp[i - j] ELSE 0.0 END))),
+    [{_unit('14')}]) AS t FROM turned),
+halves AS (
+  SELECT *, list_transform(t, lambda r : list_transform(m, lambda v : list_dot_product(v, r))) AS h FROM turns),
+moments AS (
+  SELECT * EXCLUDE (t, h, m), list_transform(t, lambda r : list_transform(h, lambda v : list_dot_product(r, v))) AS m
+  FROM halves),
+combos AS (
+  SELECT *, row_number() OVER (ORDER BY s, p, q, const) AS rank
+  FROM (SELECT unnest(range(6)) AS p), (SELECT unnest(range(6)) AS q),
+    (SELECT unnest(range(2)) AS s), (SELECT unnest(range(2)) AS const)
+  WHERE p + q + s <= 5),
+candidates AS (
+  SELECT id * 1000 + rank AS id, id AS series, m, c, p, q, s, const, rank, p + q + s + const + 1 AS k,
+    list_concat(list_concat(CASE const WHEN 1 THEN [1] ELSE [] END, range(3, 3 + p)),
+      list_concat(range(8, 8 + q), CASE s WHEN 1 THEN [13] ELSE [] END)) AS terms
+  FROM moments, combos
+  WHERE greatest(p, q) <= most AND (const = 0 OR d + sd <= 1) AND (s = 0 OR has_season)
+    AND c - (p + q + s + const + 1) - 1 > 0),
+systems AS (
+  SELECT id, list_transform(terms, lambda i :
+    list_append(list_transform(terms, lambda j : m[i][j]), m[i][2])) AS a FROM candidates),
+{_solved('fitted', 'systems')},
+scored AS (
+  SELECT *, c * ln(sse / c) + 2 * k + 2.0 * k * (k + 1) / (c - k - 1) AS aicc
+  FROM (SELECT *, greatest(m[2][2] - coalesce(list_sum(list_transform(range(1, len(terms) + 1),
+      lambda i : beta[i] * m[terms[i]][2])), 0), 1e-10 * c) AS sse
+    FROM candidates JOIN fitted USING (id))),
+polynomials AS (
+  SELECT id, 'ar' AS kind, list_transform(range(1, greatest(p, {season} * s) + 1), lambda i :
+    (CASE WHEN i <= p THEN beta[const + i] ELSE 0.0 END
+      + CASE WHEN s = 1 AND i = {season} THEN beta[len(beta)] ELSE 0.0 END) * pow(1.01, i)) AS a FROM scored
+  UNION ALL
+  SELECT id, 'ma', list_transform(range(1, q + 1), lambda i : -beta[const + p + i] * pow(1.01, i)) FROM scored),
+down AS (
+  SELECT id, kind, a FROM polynomials
+  UNION ALL
+  SELECT id, kind, list_transform(range(1, len(a)), lambda i :
+    (a[i] + a[len(a)] * a[len(a) - i]) / (1 - a[len(a)] * a[len(a)]))
+  FROM down WHERE len(a) > 0 AND abs(a[len(a)]) < 1),
+stable AS (SELECT id FROM down WHERE len(a) = 0 GROUP BY 1 HAVING count(*) = 2),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY aicc, rank) AS place
+    FROM scored JOIN stable USING (id)) WHERE place = 1),
+models AS (
+  SELECT v.id, v.srl_num, v.target, v.n, v.centre, v.scale, v.last_date, v.w, v.z, v.x, v.lp, b.aicc,
+    b.sse / b.c AS sigma2, b.beta,
+    b.series IS NULL OR v.n < 4 OR NOT v.scale > 1e-10 * greatest(abs(v.centre), 1) AS fallback,
+    b.p, b.q, b.s, b.const, v.d, v.sd
+  FROM turned v LEFT JOIN best b ON b.series = v.id)"""
+
+
+def steps_ahead(horizon: int, season: int = 52) -> str:
+    own = "srl_num, target, last_date, centre, scale, fallback, beta, p, q, s, const, d, sd"
+    return f"""ahead AS (
+  SELECT {own}, w, z, x, 0 AS k, centre AS value, list_transform(range(1, 6), lambda j : w[j] - lp[1]
+    - list_sum(list_transform(range(1, 8), lambda i : coalesce(lp[i + 1] * w[j + i], 0)))) AS e
+  FROM models
+  UNION ALL
+  SELECT {own}, list_prepend(v, w), list_prepend(l, z), list_prepend(f, x), k + 1,
+    CASE WHEN fallback THEN centre ELSE centre + scale * f END, e
+  FROM (SELECT *, l + CASE WHEN sd = 1 THEN x[{season}] ELSE 0 END AS f
+    FROM (SELECT *, v + CASE d WHEN 1 THEN z[1] WHEN 2 THEN 2 * z[1] - z[2] ELSE 0 END AS l
+      FROM (SELECT *,
+          coalesce(CASE const WHEN 1 THEN beta[1] END, 0)
+          + coalesce(list_sum(list_transform(range(1, p + 1), lambda i : beta[const + i] * w[i])), 0)
+          + coalesce(list_sum(list_transform(range(k + 1, q + 1), lambda j : beta[const + p + j] * e[j - k])), 0)
+          + coalesce(CASE s WHEN 1 THEN beta[len(beta)] * w[{season}] END, 0) AS v
+        FROM ahead WHERE k < {horizon}))))"""
+
+
+MODELS = f"""{numbered('nation')}, {DIFFERENCES}, {search()}
+SELECT n.store_number, n.category_name, m.srl_num, m.target,
+  CASE WHEN fallback THEN 0 ELSE CAST(p AS INTEGER) END AS p,
+  CASE WHEN fallback THEN 0 ELSE CAST(d AS INTEGER) END AS d,
+  CASE WHEN fallback THEN 0 ELSE CAST(q AS INTEGER) END AS q,
+  CASE WHEN fallback THEN 0 ELSE CAST(s AS INTEGER) END AS ps,
+  CASE WHEN fallback THEN 0 ELSE CAST(sd AS INTEGER) END AS sd,
+  {", ".join(f"round(CASE WHEN fallback OR {i} > p THEN 0 ELSE beta[const + {i}] END, 4) + 0.0 AS ar_{i}" for i in range(1, 6))},
+  {", ".join(f"round(CASE WHEN fallback OR {i} > q THEN 0 ELSE beta[const + p + {i}] END, 4) + 0.0 AS ma_{i}" for i in range(1, 6))},
+  round(CASE WHEN fallback OR s = 0 THEN 0 ELSE beta[len(beta)] END, 4) + 0.0 AS seasonal_ar,
+  round(CASE WHEN fallback THEN centre ELSE
+    CASE const WHEN 1 THEN beta[1] ELSE 0 END * scale + CASE WHEN d + sd = 0 THEN centre * (1
+      - coalesce(list_sum(beta[const + 1 : const + p]), 0)
+      - CASE s WHEN 1 THEN beta[len(beta)] ELSE 0 END) ELSE 0 END END, 1) + 0.0 AS constant,
+  round(sqrt(CASE WHEN fallback THEN 1 ELSE sigma2 END) * scale, 1) AS sigma,
+  CASE WHEN NOT fallback THEN round(aicc, 4) END AS aicc,
+  CAST(m.n AS INTEGER) AS n_obs, fallback
+FROM models m JOIN (SELECT DISTINCT store_number, category_name, srl_num FROM numbered) n USING (srl_num)"""
+
+AHEAD = """max(round(value, 1)) FILTER (target = 'volume') AS forecast_volume,
+  max(round(value, 1)) FILTER (target = 'sales') AS fc_sales"""
+
+
+def arima(chosen: str = "SELECT DISTINCT srl_num FROM numbered", extra: str = "") -> str:
+    return f"""{numbered('nation')}{extra}, {DIFFERENCES}, {search()}, {steps_ahead(18)}
+SELECT n.store_number, n.category_name, a.srl_num,
+  CAST(last_date + CAST(7 * (k - 1) AS INTEGER) AS DATE) AS "Date", {AHEAD}
+FROM ahead a JOIN (SELECT DISTINCT store_number, category_name, srl_num FROM numbered) n USING (srl_num)
+WHERE k > 0 AND a.srl_num IN ({chosen}) GROUP BY 1, 2, 3, 4"""
+
+
+MONTHLY = f"""{sales('nation')}, months AS (
+  SELECT store_number, CAST(date_trunc('month', d) AS DATE) AS date,
+    {total('sale_dollars')} AS total_sales, {total('volume_sold_liters')} AS total_volume_sold
+  FROM parsed WHERE category_name = 'PROMO' AND d BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
+  GROUP BY 1, 2),
+stores AS (SELECT *, '' AS category_name, store_number AS srl_num FROM months),
+{differences(12, 'stores')}, {search(12)}, {steps_ahead(12, 12)}
+SELECT srl_num AS store_number, CAST(last_date + to_months(CAST(k AS INTEGER)) AS DATE) AS "Date", {AHEAD}
+FROM ahead WHERE k > 0 GROUP BY 1, 2"""
+
 DRIFT = f"WITH fc AS ({closed_form('drift')})"
 
 SUMS = f"""{total('sale_dollars')} AS total_sales,
@@ -374,6 +543,16 @@ FROM (SELECT store_number, category_name, srl_num, max(date) AS last FROM number
   GROUP BY 1, 2, 3) CROSS JOIN (SELECT unnest(range(0, 18)) AS k)""",
     "difference_orders": f"{numbered('nation')}, {DIFFERENCES} SELECT * FROM orders",
     "lag_products": f"{numbered('nation')}, {DIFFERENCES}, {PRODUCTS}",
+    "model_table": MODELS,
+    "forecast_weekly": arima(),
+    "forecast_top_slice": arima(
+        "SELECT srl_num FROM in_cat WHERE store_number IN (SELECT store_number FROM top_store)",
+        f", {TOP_CATEGORIES}, {TOP_STORES}",
+    ),
+    "forecast_top_series": arima(
+        "SELECT srl_num FROM numbered GROUP BY 1 ORDER BY max(total_sales) DESC, srl_num LIMIT 10"
+    ),
+    "forecast_store_monthly": MONTHLY,
     "forecast_auto_sql": choice(),
     "dashboard_choices": f"""{DRIFT}
 SELECT DISTINCT 'category' AS kind, category_name AS choice FROM fc

@@ -245,22 +245,26 @@ def head_rows(spark, folder):
 # forecasts
 
 
+def _to_tenths(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 1) for c in ("forecast_volume", "fc_sales")})
+
+
 def forecast_weekly(spark, folder):
-    return arima.forecast_weekly(_weekly(spark, folder, "nation"))
+    return _to_tenths(arima.forecast_weekly(_weekly(spark, folder, "nation")))
 
 
 def forecast_top_slice(spark, folder):
-    return stages.forecast_top_slice(_weekly(spark, folder, "nation"))
+    return _to_tenths(stages.forecast_top_slice(_weekly(spark, folder, "nation")))
 
 
 def forecast_top_series(spark, folder):
-    return stages.forecast_top_series(_weekly(spark, folder, "nation"), 50)
+    return _to_tenths(stages.forecast_top_series(_weekly(spark, folder, "nation"), 10))
 
 
 def forecast_store_monthly(spark, folder):
     sales = columns.replace_text_date(sales_lines(spark, folder, "nation"))
     lines = filters.category_window(sales, CATEGORY, "1995-01-01", "2001-12-31")
-    return arima.forecast_store_monthly(lines)
+    return _to_tenths(arima.forecast_store_monthly(lines))
 
 
 def monthly_sales(spark, folder):
@@ -270,7 +274,24 @@ def monthly_sales(spark, folder):
 
 
 def model_table(spark, folder):
-    return arima.model_table(arima.fit_models(_weekly(spark, folder, "nation")))
+    """Orders and coefficients, a column each."""
+    models = arima.model_table(arima.fit_models(_weekly(spark, folder, "nation")))
+    orders = [F.get("model_order", F.lit(i)).alias(c) for i, c in enumerate(("p", "d", "q", "ps", "sd"))]
+    names = [f"{kind}_{i}" for kind in ("ar", "ma") for i in range(1, 6)] + ["seasonal_ar"]
+    weights = [
+        (F.round(F.get("coefficients", F.lit(i)), 4) + F.lit(0.0)).alias(c) for i, c in enumerate(names, 1)
+    ]
+    return models.select(
+        *SERIES_KEYS,
+        "target",
+        *orders,
+        *weights,
+        (F.round(F.get("coefficients", F.lit(0)), 1) + F.lit(0.0)).alias("constant"),
+        F.round(F.sqrt("sigma2"), 1).alias("sigma"),
+        F.round("aicc", 4).alias("aicc"),
+        "n_obs",
+        "fallback",
+    )
 
 
 def difference_orders(spark, folder):
@@ -278,17 +299,20 @@ def difference_orders(spark, folder):
 
 
 def lag_products(spark, folder):
-    """The sums the order search works on: value with its lags, over the shared rows."""
+    """The sums the order search works on: 1, value, its lags and its seasonal lag, each with
+    each, over the shared rows."""
     by = [*SERIES_KEYS, "target"]
     long = arima.stack_targets(_weekly(spark, folder, "nation"), SERIES_KEYS, TARGETS)
     sums = arima.product_sums(arima.difference(long, by, 52), by, 52)
-    names = ["power", *[f"lag_{j}" for j in range(1, arima.LAGS + 1)], "seasonal"]
-    # the table is stored by rows from the diagonal: 1 with all, then the value with the rest
-    places = {"total": 1} | {n: arima.WIDTH + i for i, n in enumerate(names)}
+    # the table is stored by rows from the diagonal
+    places = [(i, j) for i in range(arima.WIDTH) for j in range(i, arima.WIDTH)]
     return sums.select(
         *by,
         F.col("rows_used").cast("int").alias("rows_used"),
-        *[F.round(F.get("sums", F.lit(i)), 6).alias(n) for n, i in places.items()],
+        *[
+            (F.round(F.get("sums", F.lit(k)), 6) + F.lit(0.0)).alias(f"sum_{i}_{j}")
+            for k, (i, j) in enumerate(places)
+        ],
     )
 
 

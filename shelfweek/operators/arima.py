@@ -14,11 +14,10 @@ so the rows are read once and every order is fitted from a sub-table. Only that
 one small array per series, leaves the JVM; it solves all series of an Arrow batch at once.
 The forecast itself is an array fold over the last values.
 
-The KPSS bandwidth grows with the series and stops at ``KPSS_MAX_LAG``, reached by
-weekly series of 23 years.
-
 Orders: p, q up to 5, one additive seasonal lag, at most 5 terms, chosen by AICc
-over the same rows for every order. Exact likelihood values are not reproduced.
+over the same rows for every order. Exact likelihood values are not reproduced. A series of
+fewer than 27 values looks back less far: of n values (n - 3) / 2 are used as lags at most,
+five in twelve of them by the order searched and the rest by the long autoregression.
 """
 
 from __future__ import annotations
@@ -37,9 +36,8 @@ MAX_TERMS = 5
 LONG_ORDER = 7
 SEASONAL_STRENGTH = 0.64
 KPSS_CRITICAL = 0.463
-KPSS_MAX_LAG = 8
-MIN_ROWS = 15
 ROOT_LIMIT = 1.01
+FEWEST = 4
 
 LAGS = MAX_TERMS + LONG_ORDER
 # columns of the product table: 1, value, its lags, its seasonal lag
@@ -58,23 +56,45 @@ def stack_targets(series: DataFrame, keys: list[str], targets: dict[str, str]) -
     return long.filter(F.col("date").isNotNull() & F.col("y").isNotNull())
 
 
-def _kpss(level: DataFrame, i: int, count: Column) -> DataFrame:
-    """Add ``_stat{i}``, the level-stationarity statistic, 0 for a constant series.
+def _kpss(deviations: Column, count: Column) -> Column:
+    """Level-stationarity statistic of an array of deviations from their mean (0 where there
+    is none), 0 for a constant series.
 
-    From the sums of squared running sums ``_run{i}``, of squared deviations ``_pow{i}`` and
-    of their products with lags ``_cov{i}_{j}``. Kept to short arithmetic on columns: as one
-    nested expression its generated code is too long for the JVM to compile.
+    The long-run variance with Bartlett weights of bandwidth b is the sum of squared moving
+    sums of b + 1 deviations, the series continued by zeros, over b + 1: moving sums are
+    differences of running sums, so no lag is taken and b may be any number.
     """
-    bandwidth = F.least(F.floor(3 * F.sqrt(count) / 13), F.lit(KPSS_MAX_LAG)).cast("double")
-    terms = [
-        f"greatest(1D - {j}D * _inv, 0D) * coalesce(_cov{i}_{j}, 0D)"
-        for j in range(1, KPSS_MAX_LAG + 1)
-    ]
-    level = level.withColumns({"_count": count.cast("double"), "_inv": 1 / (bandwidth + 1)})
-    level = level.withColumn("_spread", F.expr(f"_pow{i} + 2D * ({' + '.join(terms)})"))
-    stat = F.expr(f"try_divide(_run{i}, _count * _spread)")
-    stat = F.when(F.col(f"_pow{i}") > NEGLIGIBLE * F.col("_count"), stat)
-    return level.withColumn(f"_stat{i}", F.coalesce(stat, F.lit(0.0)))
+    # a name for each array, so that it is worked out once
+    return F.get(
+        F.transform(
+            F.array(
+                F.struct(
+                    deviations.alias("e"),
+                    F.aggregate(
+                        deviations,
+                        F.array(F.lit(0.0)),
+                        lambda acc, v: F.concat(acc, F.array(F.element_at(acc, -1) + v)),
+                    ).alias("s"),
+                    F.floor(3 * F.sqrt(count) / 13).cast("int").alias("b"),
+                )
+            ),
+            lambda r: _kpss_of(r["e"], r["s"], r["b"], count),
+        ),
+        F.lit(0),
+    )
+
+
+def _kpss_of(e: Column, s: Column, b: Column, count: Column) -> Column:
+    def squares(v):
+        return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x)
+
+    # s begins with the 0 before the first value
+    after = F.concat(F.slice(s, F.lit(2), F.size(e)), F.array_repeat(F.element_at(s, -1), b))
+    before = F.slice(F.concat(F.array_repeat(F.lit(0.0), b), s), F.lit(1), F.size(e) + b)
+    moving = F.zip_with(after, before, lambda x, y: x - y)
+    spread = squares(moving) / (b + 1)
+    stat = F.try_divide(squares(s), count * spread)
+    return F.coalesce(F.when(squares(e) > NEGLIGIBLE * count, stat), F.lit(0.0))
 
 
 def difference(long: DataFrame, by: list[str], season: int) -> DataFrame:
@@ -145,23 +165,27 @@ def difference(long: DataFrame, by: list[str], season: int) -> DataFrame:
         either(f"{over} - _over", "y - centre").alias("_e0"),
         either(f"{over_step} - _over_step", f"{step} - _step").alias("_e1"),
     )
-    level, lags = rows, range(1, KPSS_MAX_LAG + 1)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    level = level.withColumns(
-        {f"_s{i}": F.sum(f"_e{i}").over(so_far) for i in (0, 1)}
-        | {f"_e{i}_{j}": F.lag(f"_e{i}", j).over(ordered) for i in (0, 1) for j in lags}
+    # a series is at most one row per week: the statistic is taken from arrays of them
+    kept = ["t", "date", "centre", "scale", "x", "z", "_z1", "_z2", "_e0", "_e1"]
+    nested = rows.groupBy(*by).agg(
+        F.sort_array(F.collect_list(F.struct(*kept))).alias("_rows"),
+        F.max("n").alias("n"),
+        F.max("sd").alias("sd"),
     )
-    # window sums are columns of their own: inside larger expressions Spark repeats them
-    sums = {f"_pow{i}": f"_e{i} * _e{i}" for i in (0, 1)}
-    sums |= {f"_run{i}": f"_s{i} * _s{i}" for i in (0, 1)}
-    sums |= {f"_cov{i}_{j}": f"_e{i} * _e{i}_{j}" for i in (0, 1) for j in lags}
-    level = level.withColumns({c: F.sum(F.expr(e)).over(whole) for c, e in sums.items()})
     left_over = F.col("n") - F.col("sd") * season
-    level = _kpss(level, 0, left_over)
-    level = _kpss(level, 1, F.greatest(left_over - 1, F.lit(1)))
+
+    def deviations(i):
+        return F.transform(f"_rows._e{i}", lambda v: F.coalesce(v, F.lit(0.0)))
+
+    nested = nested.withColumns(
+        {
+            "_stat0": _kpss(deviations(0), left_over.cast("double")),
+            "_stat1": _kpss(deviations(1), F.greatest(left_over - 1, F.lit(1)).cast("double")),
+        }
+    )
     d = F.when(F.col("_stat0") <= KPSS_CRITICAL, 0).when(F.col("_stat1") <= KPSS_CRITICAL, 1)
-    d = d.otherwise(2)
-    level = level.withColumn("d", d)
+    nested = nested.select(*by, "n", "sd", d.otherwise(2).alias("d"), "_rows")
+    level = nested.select(*by, "n", "sd", "d", F.inline("_rows"))
     w = F.when(F.col("d") == 0, F.col("z")).when(F.col("d") == 1, F.col("_z1"))
     return level.select(
         *by,
@@ -201,7 +225,8 @@ def product_sums(rows: DataFrame, by: list[str], season: int) -> DataFrame:
     )
     # a seasonal lag costs a season of rows, so it needs two seasons and some
     has_season = length >= 2 * season + LAGS
-    first = F.when(has_season, F.greatest(F.lit(LAGS), F.lit(season))).otherwise(LAGS)
+    reach = F.least(F.lit(LAGS), F.greatest(F.lit(0), F.floor((length - 3) / 2))).cast("int")
+    first = F.when(has_season, F.greatest(F.lit(LAGS), F.lit(season))).otherwise(reach)
     place = F.col("t") - F.col("sd") * season - F.col("d")
     shared = place > first
     values = [F.lit(1.0), F.col("w"), *[F.col(f"_l{j}") for j in range(1, LAGS + 1)]]
@@ -220,6 +245,7 @@ def product_sums(rows: DataFrame, by: list[str], season: int) -> DataFrame:
         F.array(*products).alias("sums"),
         F.count_if(shared).alias("rows_used"),
         F.max(has_season).alias("has_season"),
+        F.max(reach).alias("reach"),
         F.sort_array(tail, asc=False).alias("tail"),
         F.max("date").alias("last_date"),
         *[F.max(c).alias(c) for c in ("n", "d", "sd", "centre", "scale")],
@@ -269,12 +295,20 @@ def choose_orders(
     has_season: np.ndarray,
     may_shift: np.ndarray,
     season: int,
+    reach: np.ndarray | int = LAGS,
 ) -> dict[str, np.ndarray]:
-    """Best order and weights for a stack of product tables (series, WIDTH, WIDTH)."""
+    """Best order and weights for a stack of product tables (series, WIDTH, WIDTH).
+    ``reach`` is how many lags each series may use, by the order and the long autoregression
+    together."""
     size = len(table)
-    usable = (count >= MIN_ROWS) & np.isfinite(table).all((1, 2))
+    usable = (count >= 1) & np.isfinite(table).all((1, 2))
     table = np.where(usable[:, None, None], table, np.eye(WIDTH))
-    long, _ = _solve(table, [0, *range(2, 2 + LONG_ORDER)], 1)
+    reach = np.broadcast_to(reach, size)
+    most = reach * MAX_TERMS // LAGS
+    # lags beyond a series' own long order have no weight in its table
+    lag = np.arange(WIDTH) - 1
+    within = (lag <= (reach - most)[:, None]) | (lag > LONG_ORDER)
+    long, _ = _solve(table * within[:, :, None] * within[:, None, :], [0, *range(2, 2 + LONG_ORDER)], 1)
     # new columns: 1, value, lags 1..5, residual lags 1..5, seasonal lag
     turn = np.zeros((size, 3 + 2 * MAX_TERMS, WIDTH))
     for i in range(2 + MAX_TERMS):
@@ -310,7 +344,7 @@ def choose_orders(
                     room = count - k - 1
                     with np.errstate(all="ignore"):
                         aicc = count * np.log(sse / count) + 2 * k + 2 * k * (k + 1) / room
-                    able = usable & (room > 0) & np.isfinite(aicc)
+                    able = usable & (room > 0) & np.isfinite(aicc) & (max(p, q) <= most)
                     if const:
                         able &= may_shift
                     if s:
@@ -347,7 +381,11 @@ FIT_TYPE = (
 def _fit_udf(season: int):
     @F.pandas_udf(FIT_TYPE)
     def fit(
-        sums: pd.Series, count: pd.Series, has_season: pd.Series, may_shift: pd.Series
+        sums: pd.Series,
+        count: pd.Series,
+        has_season: pd.Series,
+        may_shift: pd.Series,
+        reach: pd.Series,
     ) -> pd.DataFrame:
         upper = np.triu_indices(WIDTH)
         table = np.zeros((len(sums), WIDTH, WIDTH))
@@ -359,6 +397,7 @@ def _fit_udf(season: int):
             has_season.to_numpy(bool),
             may_shift.to_numpy(bool),
             season,
+            reach.to_numpy(int),
         )
         found = np.isfinite(best["aicc"])
         return pd.DataFrame(
@@ -387,8 +426,8 @@ def fit_models(
     """One fitted model per series and target, with what a forecast needs.
 
     Rows are hashed by series once; windows, sums and the fit keep that partitioning. A
-    series that is constant, or too short for ``MIN_ROWS`` usable rows, gets its mean and
-    the flag ``fallback``.
+    series that is constant, or has fewer than four values, gets its mean and the flag
+    ``fallback``.
     """
     keys = keys or SERIES_KEYS
     by = [*keys, "target"]
@@ -400,10 +439,10 @@ def fit_models(
     sums = product_sums(difference(long, by, season), by, season)
     may_shift = F.col("d") + F.col("sd") <= 1
     fitted = sums.withColumn(
-        "fit", _fit_udf(season)("sums", "rows_used", "has_season", may_shift)
+        "fit", _fit_udf(season)("sums", "rows_used", "has_season", may_shift, "reach")
     ).drop("sums")
     flat = ~(F.col("scale") > NEGLIGIBLE * F.greatest(F.abs("centre"), F.lit(1.0)))
-    plain = flat | F.col("fit.fallback")
+    plain = flat | F.col("fit.fallback") | (F.col("n") < FEWEST)
     return fitted.withColumns(
         {
             "fallback": plain,

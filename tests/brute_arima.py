@@ -10,7 +10,7 @@ def kpss(z):
     e = z - z.mean()
     if (e * e).sum() <= 1e-10 * n:
         return 0.0
-    lag = min(int(3 * np.sqrt(n) / 13), 8)
+    lag = int(3 * np.sqrt(n) / 13)
     spread = (e * e).sum()
     for j in range(1, lag + 1):
         spread += 2 * (1 - j / (lag + 1)) * (e[j:] * e[:-j]).sum()
@@ -40,7 +40,7 @@ def roots_outside(weights):
 def fit(y, season):
     y = np.asarray(y, float)
     n, centre, scale = len(y), y.mean(), y.std()
-    if scale <= 1e-10 * max(abs(centre), 1):
+    if n < 4 or scale <= 1e-10 * max(abs(centre), 1):
         return None
     x = (y - centre) / scale
     sd = int(n >= 2 * season + 8 and strength(x, season) > 0.64)
@@ -51,32 +51,39 @@ def fit(y, season):
         if kpss(w) > 0.463:
             d, w = 2, np.diff(w)
     seasonal = len(w) >= 2 * season + LAGS
-    start = max(LAGS, season) if seasonal else LAGS
+    reach = min(LAGS, max(0, (len(w) - 3) // 2))
+    most = reach * MAX // LAGS
+    back = reach - most
+    start = max(LAGS, season) if seasonal else reach
     rows = np.arange(start, len(w))
-    if len(rows) < 15:
-        return None
     count = len(rows)
+    if count == 0:
+        return None
 
-    long_x = np.column_stack([np.ones(count)] + [w[rows - i] for i in range(1, LONG + 1)])
+    long_x = np.column_stack([np.ones(count)] + [w[rows - i] for i in range(1, back + 1)])
     long = np.linalg.lstsq(long_x, w[rows], rcond=None)[0]
 
     def residual(t):
-        return w[t] - long[0] - sum(long[i] * w[t - i] for i in range(1, LONG + 1))
+        return w[t] - long[0] - sum(long[i] * w[t - i] for i in range(1, back + 1))
 
     best = None
     for s in (0, 1) if seasonal else (0,):
         for p in range(MAX + 1 - s):
             for q in range(MAX + 1 - s - p):
+                if max(p, q) > most:
+                    continue
                 for const in (0, 1) if d + sd <= 1 else (0,):
                     cols = [np.ones(count)] * const + [w[rows - i] for i in range(1, p + 1)]
                     cols += [residual(rows - j) for j in range(1, q + 1)]
-                    cols += [w[rows - season]] * s
+                    cols += [w[rows - season]] if s else []
                     beta, sse = np.zeros(0), (w[rows] ** 2).sum()
                     if cols:
                         m = np.column_stack(cols)
                         beta = np.linalg.lstsq(m, w[rows], rcond=None)[0]
                         sse = ((w[rows] - m @ beta) ** 2).sum()
                     k = len(cols) + 1
+                    if count - k - 1 <= 0:
+                        continue
                     sse = max(sse, 1e-10 * count)
                     score = count * np.log(sse / count) + 2 * k
                     score += 2 * k * (k + 1) / (count - k - 1)
@@ -90,7 +97,7 @@ def fit(y, season):
                     if roots_outside(ar) and roots_outside(-ma):
                         c = beta[0] if const else 0.0
                         best = (score, (p, d, q, s, sd), c, ar, ma)
-    return best, residual, (x, z, w), (centre, scale)
+    return best and (best, residual, (x, z, w), (centre, scale))
 
 
 def forecast(y, season, horizon):

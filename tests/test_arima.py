@@ -41,6 +41,9 @@ def fleet():
         "wave and trend": 10 + 5 * wave + 0.2 * t + 0.3 * noise(10, n),
         "seasonal ar": 10 + filtered(noise(11, n), [0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0.6]),
         "short": 30 + noise(12, 40),
+        "twenty": 30 + filtered(noise(14, 20), [0.8]),
+        "nine": 30 + noise(15, 9),
+        "six": 30 + 3 * np.arange(6) + noise(16, 6),
         "large level": 1e6 + 10 * filtered(noise(13, n), [0.5]),
     }
 
@@ -138,6 +141,40 @@ def test_exact_shapes_are_continued(special):
         assert np.allclose([v for _, v, _ in got[number]], values, rtol=1e-4, atol=1e-4), number
 
 
+@pytest.mark.parametrize("n", [5, 12, 20, 26, 27, 28])
+def test_short_lines_are_continued(weekly_of, n):
+    line = weekly_of({(1, "line", 1): 10.0 * np.arange(1, n + 1)})
+    values = [v for _, v, _ in by_series(arima.forecast_weekly(line, 4))[1]]
+    assert np.allclose(values, 10.0 * np.arange(n + 1, n + 5), rtol=1e-4)
+
+
+def test_only_fewer_than_four_values_or_a_constant_give_the_mean(weekly_of):
+    rows = {(n, "x", n): 10 + noise(n, n) for n in range(1, 9)}
+    models = arima.model_table(arima.fit_models(weekly_of(rows))).filter("target = 'sales'")
+    assert {r["srl_num"] for r in models.filter("fallback").collect()} == {1, 2, 3}
+
+
+def test_the_bandwidth_of_the_stationarity_test_has_no_limit(weekly_of):
+    # near the critical value, so that a shorter bandwidth would decide otherwise
+    y = filtered(noise(50, 1600), [0.97])
+    (row,) = arima.difference_orders(weekly_of({(1, "a", 1): y}), season=52).filter(
+        "target = 'sales'"
+    ).collect()
+    x = (y - y.mean()) / y.std()
+    assert row["n"] == 1600 and row["sd"] == 0
+    d = 0 if brute_arima.kpss(x) <= 0.463 else 1 if brute_arima.kpss(np.diff(x)) <= 0.463 else 2
+    assert row["d"] == d
+
+
+def test_stationarity_statistic_equals_the_sum_over_lags(spark):
+    for n in (4, 30, 400, 1600, 4000):
+        e = noise(n, n).cumsum()
+        e -= e.mean()
+        df = spark.createDataFrame([(e.tolist(),)], "e array<double>")
+        (row,) = df.select(arima._kpss(F.col("e"), F.lit(float(n))).alias("k")).collect()
+        assert row.k == pytest.approx(brute_arima.kpss(e), rel=1e-9)
+
+
 def test_model_table_of_exact_shapes(special):
     rows = arima.model_table(arima.fit_models(special)).filter("target = 'sales'").collect()
     models = {r["srl_num"]: r for r in rows}
