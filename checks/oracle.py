@@ -22,7 +22,7 @@ parsed AS (
 
 
 def total(c: str) -> str:
-    return f"CAST(sum(CAST(round({c} * 10000) AS BIGINT)) AS DOUBLE) / 10000"
+    return f"CAST(sum(CAST({c} AS DECIMAL(28, 4))) AS DOUBLE)"
 
 
 def week(d: str) -> str:
@@ -448,6 +448,16 @@ SELECT date, d AS date_parsed, count(*) AS row_count FROM parsed GROUP BY 1, 2""
     "date_audit": f"""{sales()}
 SELECT count(*) AS row_count, count(*) FILTER (date IS NULL) AS missing_dates,
   count(*) FILTER (date IS NOT NULL AND d IS NULL) AS unreadable_dates FROM parsed""",
+    "value_audit": f"""{sales()}
+SELECT column_name, count(*) AS row_count, count(*) FILTER (value IS NULL) AS missing,
+  count(*) FILTER (value IS NOT NULL AND CASE column_name
+    WHEN 'date' THEN try_strptime(value, '%m/%d/%Y') IS NULL
+    WHEN 'category_name' THEN FALSE
+    ELSE TRY_CAST(value AS DOUBLE) IS NULL END) AS unreadable
+FROM (SELECT unnest([{', '.join(f"'{c}'" for c in ('store_number', 'date', 'category', 'category_name', 'sale_dollars', 'volume_sold_liters'))}]) AS column_name,
+  unnest([CAST(store_number AS VARCHAR), date, CAST(category AS VARCHAR), category_name,
+    CAST(sale_dollars AS VARCHAR), CAST(volume_sold_liters AS VARCHAR)]) AS value FROM lines)
+GROUP BY 1""",
     "week_start": f"""{sales()}
 SELECT d AS date, {week('d')} AS week, count(*) AS row_count FROM parsed GROUP BY 1, 2""",
     "quarter_label": f"""{sales()}
@@ -515,7 +525,9 @@ SELECT store_number, category_name, srl_num, date,
     "nested_series": f"""{numbered('nation')}
 SELECT store_number, category_name, srl_num, CAST(count(*) AS INTEGER) AS weeks,
   min(date) AS first_date, max(total_sales) AS peak_sales,
-  arg_max(total_volume_sold, date) AS last_volume
+  arg_max(total_volume_sold, date) AS last_volume,
+  md5(string_agg(strftime(date, '%Y-%m-%d') || ' ' || CAST(CAST(total_sales AS DECIMAL(18, 2)) AS VARCHAR)
+    || ' ' || CAST(CAST(total_volume_sold AS DECIMAL(18, 2)) AS VARCHAR), ',' ORDER BY date)) AS rows_md5
 FROM numbered GROUP BY 1, 2, 3""",
     "grouped_apply": f"""{active('nation')}, placed AS (
   SELECT *, row_number() OVER (PARTITION BY store_number, category_name ORDER BY date) AS t

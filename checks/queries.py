@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from functools import partial
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +23,8 @@ from shelfweek.operators import (
     simple_forecast,
 )
 from shelfweek.plans import stages
-from shelfweek.schemas import SERIES_KEYS, TARGETS
+from shelfweek.schemas import SALES_RAW, SERIES_KEYS, TARGETS
+from shelfweek.sinks.files import settle
 from shelfweek.sources.star_schema import sales_lines
 
 # fixed values of the category window
@@ -59,6 +58,12 @@ def date_audit(spark, folder):
     return columns.date_audit(sales_lines(spark, folder))
 
 
+def value_audit(spark, folder):
+    sales = sales_lines(spark, folder)
+    texts = sales.select(*[F.col(c).cast("string").alias(c) for c in sales.columns])
+    return columns.value_audit(texts, SALES_RAW)
+
+
 def week_start(spark, folder):
     sales = sales_lines(spark, folder).groupBy("date").agg(F.count("*").alias("row_count"))
     return columns.add_week(columns.replace_text_date(sales))
@@ -81,8 +86,9 @@ def last_3_years(spark, folder):
 
 
 def filter_category_window(spark, folder):
-    sales = columns.replace_text_date(_with_year(sales_lines(spark, folder)))
-    return filters.category_window(sales, CATEGORY, *WINDOW, year=YEAR)
+    sales = columns.replace_text_date(sales_lines(spark, folder))
+    dated = sales.withColumn("year", F.year("date"))
+    return filters.category_window(dated, CATEGORY, *WINDOW, year=YEAR)
 
 
 def category_id_lookup(spark, folder):
@@ -200,22 +206,33 @@ def nested_series(spark, folder):
         F.get("data", F.lit(0))["date"].alias("first_date"),
         F.array_max(F.col("data.total_sales")).alias("peak_sales"),
         F.element_at("data", -1)["total_volume_sold"].alias("last_volume"),
+        # all nested rows, in order
+        F.md5(
+            F.array_join(
+                F.transform(
+                    "data",
+                    lambda r: F.concat_ws(
+                        " ",
+                        r["date"].cast("string"),
+                        r["total_sales"].cast("decimal(18,2)").cast("string"),
+                        r["total_volume_sold"].cast("decimal(18,2)").cast("string"),
+                    ),
+                ),
+                ",",
+            )
+        ).alias("rows_md5"),
     )
 
 
-def _trend(pdf: pd.DataFrame) -> pd.DataFrame:
-    slope, start = np.polyfit(np.arange(1, len(pdf) + 1), pdf["total_volume_sold"], 1)
-    return pd.DataFrame({"slope": [slope], "start": [start]})
-
-
 def grouped_apply(spark, folder):
-    weekly = series.active_series(rollups.weekly_sales(sales_lines(spark, folder, "nation")))
-    long_enough = series.positions(weekly, series.PAIR).groupBy(*series.PAIR).agg(
-        F.max("position").alias("weeks")
+    """The linear trend of each series of three weeks or more."""
+    weekly = stages.active_weekly(sales_lines(spark, folder, "nation"))
+    trend = series.positions(weekly, series.PAIR).groupBy(*series.PAIR).agg(
+        F.round(F.regr_slope("total_volume_sold", "position"), 4).alias("slope"),
+        F.round(F.regr_intercept("total_volume_sold", "position"), 4).alias("start"),
+        F.max("position").alias("weeks"),
     )
-    kept = weekly.join(long_enough.filter("weeks >= 3"), series.PAIR, "left_semi")
-    trend = series.apply_per_series(kept, series.PAIR, _trend, "slope double, start double")
-    return trend.withColumns({c: F.round(c, 4) for c in ("slope", "start")})
+    return trend.filter("weeks >= 3").drop("weeks")
 
 
 # top slices
@@ -333,11 +350,11 @@ def forecast_auto_sql(spark, folder):
     return _rounded(simple_forecast.forecast_choice(_weekly(spark, folder, "nation")))
 
 
-# dashboard, on the drift forecasts
+# dashboard, on stored drift forecasts
 
 
 def _forecasts(spark, folder):
-    return _closed_form(spark, folder, "drift").drop("srl_num")
+    return settle(_closed_form(spark, folder, "drift").drop("srl_num"))
 
 
 def dashboard_choices(spark, folder):
@@ -360,6 +377,7 @@ PLAIN = [
     calendar_features,
     parse_dates,
     date_audit,
+    value_audit,
     week_start,
     quarter_label,
     last_3_years,

@@ -50,6 +50,22 @@ def calendar_columns(date: str | Column) -> dict[str, Column]:
     }
 
 
+def check_horizon(horizon: int) -> int:
+    if horizon < 1:
+        raise ValueError(f"a forecast needs a horizon of 1 or more, not {horizon}")
+    return horizon
+
+
+def quarter_range(label: str) -> tuple[str, str]:
+    """First and last day of a quarter such as ``2022-Q3``, as ISO dates."""
+    year, _, quarter = label.partition("-Q")
+    if not (year.isdigit() and quarter in ("1", "2", "3", "4")):
+        raise ValueError(f"a quarter reads like 2022-Q3, not {label!r}")
+    last = {"1": "03-31", "2": "06-30", "3": "09-30", "4": "12-31"}[quarter]
+    return f"{int(year):04d}-{3 * int(quarter) - 2:02d}-01", f"{int(year):04d}-{last}"
+
+
 def weekly_dates(start: Column, count: int) -> Column:
     """``count`` dates a week apart, the first being ``start`` itself."""
+    check_horizon(count)
     return F.sequence(start, F.date_add(start, 7 * (count - 1)), F.expr("interval 7 days"))

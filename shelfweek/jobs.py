@@ -1,51 +1,97 @@
 """The stages as commands, for ``spark-submit`` or ``python -m shelfweek.jobs``.
 
-    ingest    raw sales lines       -> trailing years with calendar columns
-    prepare   trailing years        -> numbered weekly series still active
-    forecast  weekly series         -> forecasts of the selected series, and their models
+    ingest     raw sales lines       -> trailing years with calendar columns
+    profile    raw sales lines       -> counts, yearly profile and sums, unreadable values
+    prepare    trailing years        -> numbered weekly series still active
+    forecast   weekly series         -> forecasts of the selected series, and their models
+    monthly    trailing years        -> monthly forecasts of one category, per store
+    select     stored forecasts      -> the rows behind a dashboard selection
 
 Paths default to the environment variables DATASET_PATH, DATASET_NAME, DATASET_SMALL_NAME
-and FORECAST_FILE_LOCATION.
+and FORECAST_FILE_LOCATION. Every stage is told the format it reads and the one it writes;
+neither is guessed from a name. Raw sales lines are CSV.
 """
 
 from __future__ import annotations
 
 import argparse
-import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfweek import schemas
-from shelfweek.operators import arima, ranking
+from shelfweek.functions import dates
+from shelfweek.operators import arima, columns, dashboard, filters, ranking, rollups
 from shelfweek.plans import stages
 from shelfweek.session import build_session
 from shelfweek.sinks import files as sinks
 from shelfweek.sources import files as sources
 
+FORMATS = ["parquet", "csv"]
 
-def ingest(spark: SparkSession, source: str, target: str, years: int = 3, fmt: str = "parquet"):
+
+def ingest(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    years: int = 3,
+    target_format: str = "parquet",
+    fail_on_bad: bool = False,
+):
+    sales = sources.read_sales(spark, source, fail_on_bad=fail_on_bad)
+    sinks.write_sales_small(stages.recent_sales(sales, years), target, target_format)
+
+
+def profile(spark: SparkSession, source: str, target: str, target_format: str = "parquet"):
+    """One dataset per table under ``target``."""
     sales = sources.read_sales(spark, source)
-    sinks.write_sales_small(stages.recent_sales(sales, years), target, fmt)
+    dated = sales.withColumn("year", F.year(dates.parse_us_date("date")))
+    tables = {
+        "years": rollups.year_profile(sales),
+        "category_years": rollups.category_year_summary(dated),
+        "counts": rollups.distinct_counts(
+            sales, {"store_number": "n_stores", "category_name": "n_categories"}
+        ),
+        "unreadable": columns.value_audit(
+            sources.read_texts(spark, source, schemas.SALES_RAW), schemas.SALES_RAW
+        ),
+    }
+    for name, table in tables.items():
+        sinks.write_dataset(table, f"{target.rstrip('/')}/{name}", target_format)
+
+
+def _small(spark: SparkSession, source: str, source_format: str) -> DataFrame:
+    """The stored window with ``date`` as a date; it is parsed only where it was not yet."""
+    sales = sources.read_sales_small(spark, source, source_format)
+    if "date_parsed" in sales.columns:
+        return sales.withColumn("date", F.col("date_parsed")).drop("date_parsed")
+    return columns.replace_text_date(sales)
 
 
 def prepare(
-    spark: SparkSession, source: str, target: str, fill_gaps: bool = False, fmt: str = "parquet"
+    spark: SparkSession,
+    source: str,
+    target: str,
+    fill_gaps: bool = False,
+    source_format: str = "parquet",
+    target_format: str = "parquet",
 ):
-    if os.path.splitext(source)[1] == ".csv":
-        sales = sources.read_sales(spark, source)
-    else:
-        sales = spark.read.parquet(source).select(*schemas.SALES_RAW.fieldNames())
-    weekly = stages.weekly_relation(sales, fill_gaps)
-    sinks.write_dataset(weekly.select(*schemas.WEEKLY.fieldNames()), target, fmt)
+    sales = _small(spark, source, source_format)
+    weekly = stages.weekly_relation(sales, fill_gaps, parsed=True)
+    sinks.write_dataset(weekly.select(*schemas.WEEKLY.fieldNames()), target, target_format)
 
 
 def select_series(
     weekly: DataFrame, categories: int | None, stores: int | None, series: int | None
 ) -> DataFrame:
     """The top stores within the top categories, or the top series, or all."""
+    if (categories is None) != (stores is None):
+        raise ValueError("categories and stores go together")
+    if series is not None and categories is not None:
+        raise ValueError("choose series, or categories and stores, not both")
     if series is not None:
         return ranking.top_series_by_peak(weekly, series)
-    if categories is not None and stores is not None:
+    if categories is not None:
         return ranking.top_slice(weekly, categories, stores)
     return weekly
 
@@ -60,13 +106,57 @@ def forecast(
     series: int | None = None,
     horizon: int = 18,
     first_step: str = "last",
-    fmt: str = "csv",
+    source_format: str = "parquet",
+    target_format: str = "csv",
 ):
-    weekly = sources.read_weekly(spark, source)
+    dates.check_horizon(horizon)
+    weekly = sources.read_weekly(spark, source, source_format)
     chosen = sources.register_result(select_series(weekly, categories, stores, series))
-    sinks.write_forecasts(arima.forecast_weekly(chosen, horizon, first_step=first_step), target, fmt)
+    # fitted once: the forecasts and the model table are those of the same models
+    fitted = sinks.settle(arima.fit_models(chosen))
+    steps = arima.weekly_steps(fitted, horizon, first_step=first_step)
+    sinks.write_forecasts(steps, target, target_format)
     if models:
-        sinks.write_models(arima.model_table(arima.fit_models(chosen)), models)
+        sinks.write_models(arima.model_table(fitted), models)
+    sinks.forget(fitted)
+
+
+def monthly(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    category: str,
+    start: str,
+    end: str,
+    horizon: int = 12,
+    source_format: str = "parquet",
+    target_format: str = "csv",
+):
+    dates.check_horizon(horizon)
+    sales = _small(spark, source, source_format)
+    lines = filters.category_window(sales, category, start, end)
+    sinks.write_dataset(arima.forecast_store_monthly(lines, horizon), target, target_format)
+
+
+def select(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    category: str,
+    store: str = dashboard.ALL_STORES,
+    quarter: str = dashboard.FULL_FORECAST,
+    source_format: str = "csv",
+    target_format: str = "csv",
+):
+    forecasts = sources.read_forecasts(spark, source_format, source)
+    rows = dashboard.selection(forecasts, category, store, quarter)
+    sinks.write_dataset(rows, target, target_format)
+
+
+def _formats(parser, source: str | None, target: str) -> None:
+    if source:
+        parser.add_argument("--source-format", default=source, choices=FORMATS)
+    parser.add_argument("--target-format", default=target, choices=FORMATS)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -77,13 +167,19 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--source", default=sources.dataset_path())
     p.add_argument("--target", default=sources.dataset_path(small=True))
     p.add_argument("--years", type=int, default=3)
-    p.add_argument("--fmt", default="parquet")
+    p.add_argument("--fail-on-bad", action="store_true")
+    _formats(p, None, "parquet")
+
+    p = stage.add_parser("profile")
+    p.add_argument("--source", default=sources.dataset_path())
+    p.add_argument("--target", required=True)
+    _formats(p, None, "parquet")
 
     p = stage.add_parser("prepare")
     p.add_argument("--source", default=sources.dataset_path(small=True))
     p.add_argument("--target", required=True)
     p.add_argument("--fill-gaps", action="store_true")
-    p.add_argument("--fmt", default="parquet")
+    _formats(p, "parquet", "parquet")
 
     p = stage.add_parser("forecast")
     p.add_argument("--source", required=True)
@@ -94,11 +190,28 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--series", type=int)
     p.add_argument("--horizon", type=int, default=18)
     p.add_argument("--first-step", default="last", choices=["last", "next"])
-    p.add_argument("--fmt", default="csv")
+    _formats(p, "parquet", "csv")
+
+    p = stage.add_parser("monthly")
+    p.add_argument("--source", default=sources.dataset_path(small=True))
+    p.add_argument("--target", required=True)
+    p.add_argument("--category", required=True)
+    p.add_argument("--start", required=True)
+    p.add_argument("--end", required=True)
+    p.add_argument("--horizon", type=int, default=12)
+    _formats(p, "parquet", "csv")
+
+    p = stage.add_parser("select")
+    p.add_argument("--source", default=sources.forecast_path())
+    p.add_argument("--target", required=True)
+    p.add_argument("--category", required=True)
+    p.add_argument("--store", default=dashboard.ALL_STORES)
+    p.add_argument("--quarter", default=dashboard.FULL_FORECAST)
+    _formats(p, "csv", "csv")
 
     options = vars(parser.parse_args(argv))
-    run = {"ingest": ingest, "prepare": prepare, "forecast": forecast}[options.pop("stage")]
-    run(build_session(), **options)
+    commands = {f.__name__: f for f in (ingest, profile, prepare, forecast, monthly, select)}
+    commands[options.pop("stage")](build_session(), **options)
 
 
 if __name__ == "__main__":

@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfweek.functions.dates import check_horizon
 from shelfweek.functions.measures import total_or_zero
 from shelfweek.operators.series import spread_by_keys, step_shift
 from shelfweek.schemas import SERIES_KEYS, TARGETS
@@ -494,6 +495,8 @@ def project(models: DataFrame, horizon: int, season: int = 52) -> DataFrame:
     value in front. Differences are undone within the step.
     """
 
+    check_horizon(horizon)
+
     def past(name):
         return f"transform(tail, r -> coalesce(r.{name}, 0D))"
 
@@ -526,16 +529,11 @@ def project(models: DataFrame, horizon: int, season: int = 52) -> DataFrame:
     return models.withColumn("path", real).drop("_w", "_z", "_x", "_e")
 
 
-def forecast_targets(
-    series: DataFrame,
-    horizon: int,
-    season: int,
-    keys: list[str],
-    targets: dict[str, str],
-    partitions: int | None = None,
+def target_paths(
+    models: DataFrame, horizon: int, season: int, keys: list[str], targets: dict[str, str]
 ) -> DataFrame:
     """One row per series with its last date and an array of values per target."""
-    paths = project(fit_models(series, keys, targets, season, partitions), horizon, season)
+    paths = project(models, horizon, season)
     return paths.groupBy(*keys).agg(
         F.max("last_date").alias("last_date"),
         *[
@@ -556,9 +554,21 @@ def forecast_weekly(
 
     A lag is the previous observed week; ``fill_gaps`` beforehand makes it the calendar week.
     """
+    models = fit_models(weekly, keys, season=season, partitions=partitions)
+    return weekly_steps(models, horizon, season, first_step, keys)
+
+
+def weekly_steps(
+    models: DataFrame,
+    horizon: int = 18,
+    season: int = 52,
+    first_step: str = "last",
+    keys: list[str] | None = None,
+) -> DataFrame:
+    """The weekly forecasts of fitted models."""
     keys = keys or SERIES_KEYS
     shift = step_shift(first_step)
-    paths = forecast_targets(weekly, horizon, season, keys, TARGETS, partitions)
+    paths = target_paths(models, horizon, season, keys, TARGETS)
     steps = paths.select(*keys, "last_date", F.posexplode(F.arrays_zip("sales", "volume")))
     return steps.select(
         *keys,
@@ -581,7 +591,8 @@ def forecast_store_monthly(
 ) -> DataFrame:
     """Monthly forecasts of both measures per store, from sales lines with parsed dates."""
     keys = ["store_number"]
-    paths = forecast_targets(monthly_sales(sales, date), horizon, season, keys, TARGETS)
+    models = fit_models(monthly_sales(sales, date), keys, season=season)
+    paths = target_paths(models, horizon, season, keys, TARGETS)
     steps = paths.select(*keys, "last_date", F.posexplode(F.arrays_zip("sales", "volume")))
     return steps.select(
         *keys,

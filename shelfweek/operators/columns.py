@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfweek.functions import dates
 
@@ -48,3 +49,38 @@ def date_audit(df: DataFrame, date: str = "date") -> DataFrame:
         F.count_if(F.col(date).isNull()).alias("missing_dates"),
         F.count_if(F.col(date).isNotNull() & parsed.isNull()).alias("unreadable_dates"),
     )
+
+
+def readable_value(column: str, kind: T.DataType) -> Column:
+    """A text column as a type, NULL where it does not read as one; infinities do not."""
+    value = F.col(column).try_cast(kind)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        value = F.when(F.abs(value) < float("inf"), value)
+    return value
+
+
+def value_audit(texts: DataFrame, schema: T.StructType, date: str | None = "date") -> DataFrame:
+    """Per column of a schema how many text values are missing and how many cannot be read;
+    ``date`` names a text column that should hold month/day/year dates. One pass."""
+
+    def counts(field):
+        value = readable_value(field.name, field.dataType)
+        if field.name == date:
+            value = dates.parse_us_date(field.name)
+        text = F.col(field.name)
+        return [
+            F.count_if(text.isNull()).alias(f"{field.name}_missing"),
+            F.count_if(text.isNotNull() & value.isNull()).alias(f"{field.name}_unreadable"),
+        ]
+
+    sums = texts.agg(F.count("*").alias("_rows"), *[c for f in schema for c in counts(f)])
+    rows = [
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.col("_rows").alias("row_count"),
+            F.col(f"{f.name}_missing").alias("missing"),
+            F.col(f"{f.name}_unreadable").alias("unreadable"),
+        )
+        for f in schema
+    ]
+    return sums.select(F.inline(F.array(*rows)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.functions.dates import quarter_label
+from shelfweek.functions.dates import quarter_label, quarter_range
 
 ALL_STORES = "All Stores"
 FULL_FORECAST = "Full Forecast"
@@ -47,7 +47,9 @@ def selection(
     if store != ALL_STORES:
         rows = rows.filter(F.col("store_number") == int(store))
     if quarter != FULL_FORECAST:
-        rows = rows.filter(quarter_label("Date") == quarter)
+        # as a range of dates, which reaches the scan
+        first, last = (F.lit(day).cast("date") for day in quarter_range(quarter))
+        rows = rows.filter(F.col("Date").between(first, last))
     return rows
 
 

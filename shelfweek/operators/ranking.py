@@ -30,19 +30,15 @@ def top_categories(weekly: DataFrame, n: int = 3) -> DataFrame:
     return _top_of_latest_year(weekly, "category_name", n)
 
 
-# a list of names up to this long is sent to every executor; a longer one is left to Spark
-BROADCAST_ROWS = 10_000
-
-
-def _keep(rows: DataFrame, names: DataFrame, column: str, n: int) -> DataFrame:
-    """Rows whose value is among the at most n names, a NULL matching a NULL."""
+def _keep(rows: DataFrame, names: DataFrame, column: str) -> DataFrame:
+    """Rows whose value is among the names, a NULL matching a NULL. Spark sends the names to
+    every executor if their size allows."""
     few = names.select(F.col(column).alias("_name"))
-    few = F.broadcast(few) if n <= BROADCAST_ROWS else few
     return rows.join(few, F.col(column).eqNullSafe(F.col("_name")), "left_semi")
 
 
 def in_top_categories(weekly: DataFrame, n: int = 3) -> DataFrame:
-    return _keep(weekly, top_categories(weekly, n), "category_name", n)
+    return _keep(weekly, top_categories(weekly, n), "category_name")
 
 
 def top_stores(weekly: DataFrame, categories: int = 3, stores: int = 5) -> DataFrame:
@@ -57,7 +53,7 @@ def top_slice(weekly: DataFrame, categories: int = 3, stores: int = 5) -> DataFr
     """All rows of the top stores within the top categories."""
     kept = in_top_categories(weekly, categories)
     names = _top_of_latest_year(kept, "store_number", stores)
-    return _keep(kept, names, "store_number", stores)
+    return _keep(kept, names, "store_number")
 
 
 def top_series_by_peak(weekly: DataFrame, n: int = 50) -> DataFrame:
@@ -68,4 +64,4 @@ def top_series_by_peak(weekly: DataFrame, n: int = 50) -> DataFrame:
         .orderBy(F.desc("_peak"), "srl_num")
         .limit(n)
     )
-    return _keep(weekly, peaks, "srl_num", n)
+    return _keep(weekly, peaks, "srl_num")

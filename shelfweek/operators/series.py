@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfweek.functions import dates
 from shelfweek.operators.filters import max_value
 from shelfweek.session import task_slots
+from shelfweek.sinks.files import settle
 
 PAIR = ["store_number", "category_name"]
 
@@ -34,20 +35,21 @@ def active_series_by_join(weekly: DataFrame) -> DataFrame:
     return weekly.join(keys, same[0] & same[1], "left_semi")
 
 
-def store_offsets(per_store: DataFrame, blocks: int = 1024) -> DataFrame:
+def store_blocks(per_store: DataFrame, blocks: int | None = None) -> DataFrame:
+    """(store_number, n, _block): the stores, in store order, cut into blocks of about equal
+    numbers of stores. Settled, as cutting anew could cut elsewhere."""
+    place = F.asc_nulls_last("store_number")
+    cut = per_store.repartitionByRange(blocks or max(task_slots(per_store), 1), place)
+    return settle(cut.withColumn("_block", F.spark_partition_id()))
+
+
+def store_offsets(per_store: DataFrame, blocks: int | None = None) -> DataFrame:
     """Number of series before each store in store order, from (store_number, n).
 
-    A running sum over all stores would pass through one task. Stores are cut into blocks
-    of equal number range; only the block sums, ``blocks`` + 1 rows at most, are summed
-    up in one place.
+    A running sum over all stores would pass through one task. Only the sums of the blocks
+    are summed up in one place.
     """
-    store = F.col("store_number").cast("bigint")
-    low = per_store.agg(F.min("store_number").cast("bigint")).scalar()
-    high = per_store.agg(F.max("store_number").cast("bigint")).scalar()
-    width = F.floor((high - low) / blocks) + 1
-    placed = per_store.withColumn(
-        "_block", F.coalesce(F.floor((store - low) / width), F.lit(blocks + 1))
-    )
+    placed = store_blocks(per_store, blocks)
     sums = placed.groupBy("_block").agg(F.sum("n").alias("_sum"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(
@@ -58,6 +60,7 @@ def store_offsets(per_store: DataFrame, blocks: int = 1024) -> DataFrame:
         .orderBy(F.asc_nulls_last("store_number"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    # a row per block, as many as there are shuffle partitions
     return (
         placed.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .join(F.broadcast(starts), "_block")

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfweek.functions.measures import UNITS, wide_units
+from shelfweek.functions.dates import check_horizon
+from shelfweek.functions.measures import readable
 from shelfweek.operators.series import step_shift
 from shelfweek.schemas import SERIES_KEYS
 
@@ -19,8 +20,21 @@ MODELS = ["mean", "naive", "drift", "snaive", "ar1"]
 # free parameters of each model, the error variance included
 PARAMETERS = {"mean": 2, "naive": 1, "drift": 2, "snaive": 1, "ar1": 3}
 OUTPUT = {"total_volume_sold": "forecast_volume", "total_sales": "fc_sales"}
-# seasonal naive takes part in the choice only with this many seasonal differences
-MIN_SEASONAL_PAIRS = 10
+# Seasonal naive takes part in the choice only with this many seasonal differences: the
+# forms are compared on the rows all of them have, and fewer rows say little. Documented
+# default, ``seasonal_pairs`` sets another.
+SEASONAL_PAIRS = 10
+
+
+# weekly totals are taken as whole 1/10000ths here, so that sums of products stay exact
+UNITS = 10000.0
+LARGEST = 9e13
+
+
+def wide_units(c: str) -> Column:
+    x = readable(c)
+    fits = F.when(F.abs(x) < LARGEST, F.rint(x * F.lit(UNITS)).cast("decimal(18,0)"))
+    return fits.when(x.isNotNull(), F.raise_error(F.lit("a weekly total is too large for exact products")))
 
 
 def _dbl(c: Column) -> Column:
@@ -44,7 +58,9 @@ class Fields:
         return [c.alias(f"{self.measure}_{name}") for name, c in columns.items()]
 
 
-def series_facts(weekly: DataFrame, keys: list[str], season: int) -> DataFrame:
+def series_facts(
+    weekly: DataFrame, keys: list[str], season: int, seasonal_pairs: int = SEASONAL_PAIRS
+) -> DataFrame:
     """One row per series: its end, and exact sums per measure."""
     back = Window.partitionBy(*keys).orderBy(F.desc("date"))
     rows = weekly.filter(F.col("date").isNotNull()).withColumns(
@@ -61,7 +77,7 @@ def series_facts(weekly: DataFrame, keys: list[str], season: int) -> DataFrame:
             {f"_{m}_prev": F.lead(y, 1).over(back), f"_{m}_season": F.lead(y, season).over(back)}
         )
     # the choice between models looks at the same rows for all of them
-    seasonal = F.col("_n") >= season + MIN_SEASONAL_PAIRS
+    seasonal = F.col("_n") >= season + seasonal_pairs
     longest = F.when(seasonal, season).otherwise(1)
     rows = rows.withColumn("_common", F.col("_back") <= F.col("_n") - longest)
     return rows.groupBy(*keys).agg(
@@ -213,6 +229,7 @@ def best_model(f: Fields, n: Column, seasonal: Column) -> Column:
 
 def _steps(facts: DataFrame, horizon: int, first_step: str) -> DataFrame:
     shift = step_shift(first_step) - 7
+    check_horizon(horizon)
     steps = facts.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     return steps.withColumn("Date", F.date_add("last_date", F.col("_k") * 7 + shift))
 
@@ -241,13 +258,14 @@ def forecast_choice(
     season: int = 52,
     first_step: str = "last",
     keys: list[str] | None = None,
+    seasonal_pairs: int = SEASONAL_PAIRS,
 ) -> DataFrame:
     """Forecast each measure of each series by the closed form with the smallest AICc.
 
     The choice is made on common rows; the chosen form then uses the whole series.
     """
     keys = keys or SERIES_KEYS
-    facts = series_facts(weekly, keys, season)
+    facts = series_facts(weekly, keys, season, seasonal_pairs)
     names = {"total_volume_sold": "volume_model", "total_sales": "sales_model"}
     chosen = facts.withColumns(
         {

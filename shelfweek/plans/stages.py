@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from shelfweek.functions import dates
 from shelfweek.operators import arima, ranking, rollups, series
 from shelfweek.operators.columns import add_calendar
 from shelfweek.operators.filters import trailing_years
@@ -17,29 +15,24 @@ def recent_sales(sales: DataFrame, years: int = 3) -> DataFrame:
     return trailing_years(add_calendar(sales), years, "date_parsed")
 
 
-def last_week(sales: DataFrame, date: str = "date"):
-    """Last week of the sales lines as a scalar; reads the date column only."""
-    newest = sales.agg(dates.week_start(F.max(dates.parse_us_date(date))))
-    return newest.scalar()
+def weekly_sums(sales: DataFrame, date: str = "date", parsed: bool = False) -> DataFrame:
+    """Weekly sums, settled: the sales lines are read once, all that follows reads these."""
+    return settle(rollups.weekly_sales(sales, date, parsed))
 
 
-def active_weekly(sales: DataFrame) -> DataFrame:
-    """Weekly sums of the series that sold in the last week."""
-    return series.active_series(rollups.weekly_sales(sales), last_week(sales))
+def active_weekly(sales: DataFrame, date: str = "date", parsed: bool = False) -> DataFrame:
+    """Weekly sums of the series that sold in the last week, which the settled sums tell."""
+    return series.active_series(weekly_sums(sales, date, parsed))
 
 
-def weekly_relation(sales: DataFrame, fill_gaps: bool = False, keep: bool = True) -> DataFrame:
-    """Weekly sums of the active series, numbered.
-
-    Numbering reads the series keys besides the rows, and rankings read the relation
-    several times, so sums and result are settled: the sales lines are read once.
-    ``keep=False`` leaves that out and returns the plan alone.
-    """
-    settled = settle if keep else lambda df: df
-    weekly = settled(active_weekly(sales))
+def weekly_relation(
+    sales: DataFrame, fill_gaps: bool = False, date: str = "date", parsed: bool = False
+) -> DataFrame:
+    """Weekly sums of the active series, numbered."""
+    weekly = active_weekly(sales, date, parsed)
     if fill_gaps:
         weekly = series.fill_gaps(weekly)
-    return settled(series.number_series(weekly))
+    return series.number_series(weekly)
 
 
 def forecast_top_slice(

@@ -13,6 +13,17 @@ SALES_RAW = T.StructType(
     ]
 )
 
+# the trailing window as stored: raw lines with their parsed date and calendar parts
+SALES_SMALL = T.StructType(
+    SALES_RAW.fields
+    + [T.StructField("date_parsed", T.DateType())]
+    + [
+        T.StructField(name, T.IntegerType())
+        for name in ("year", "month", "day_of_month", "week_number", "day_of_week", "quarter")
+    ]
+    + [T.StructField("is_weekend", T.BooleanType())]
+)
+
 WEEKLY = T.StructType(
     [
         T.StructField("store_number", T.IntegerType()),

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,31 +34,30 @@ def write_models(models: DataFrame, path: str) -> None:
     write_dataset(models, path)
 
 
-@lru_cache(maxsize=1)
-def _local_scratch() -> str:
-    folder = tempfile.mkdtemp(prefix="shelfweek-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
-
-
-def scratch_folder(spark: SparkSession) -> str | None:
-    """The shared folder named by ``spark.checkpoint.dir``; in local mode a folder of our
-    own where none is named; on a cluster without one, nothing."""
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, or where that is unset a
+    folder in the warehouse. The same on a cluster as in a local session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if spark.sparkContext.master.startswith("local"):
-        return _local_scratch()
-    return None
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_steps").rstrip("/")
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write a result that several later steps read to the shared scratch folder, and go
-    on from the written table: computed once, and kept when executors are lost. Without
-    a shared folder the plan is handed on as it is and computed anew by each reader."""
-    folder = scratch_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder.rstrip('/')}/shelfweek-{uuid.uuid4().hex}"
+    """Write a result that several later steps read to the shared folder, and go on from the
+    written table: computed once, and kept when executors are lost. The table goes when the
+    driver ends; ``forget`` removes it earlier."""
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark)}/step-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(df: DataFrame) -> None:
+    """Remove the tables ``settle`` wrote that ``df`` reads directly; it cannot be read then."""
+    spark = df.sparkSession
+    for file in df.inputFiles():
+        place = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if place.getName().startswith("step-"):
+            fs = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+            fs.delete(place, True)

@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfweek import schemas
-from shelfweek.operators.columns import lower_names, replace_text_date
+from shelfweek.operators.columns import lower_names, readable_value
 
 
 def dataset_path(small: bool = False) -> str:
@@ -21,12 +22,35 @@ def forecast_path(default: str = "forecast_results.csv") -> str:
     return os.environ.get("FORECAST_FILE_LOCATION", default)
 
 
+def read_texts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The columns of a schema as text, found by header name in any order and case. Further
+    columns of the file are not parsed."""
+    texts = lower_names(spark.read.option("header", True).csv(path))
+    return texts.select(*[texts[f.name.lower()].alias(f.name) for f in schema])
+
+
+def typed(texts: DataFrame, schema: T.StructType, fail_on_bad: bool = False) -> DataFrame:
+    """Text columns as the types of a schema. A value that cannot be read becomes NULL, which
+    ``columns.value_audit`` counts, or an error on request."""
+
+    def value(field):
+        read = readable_value(field.name, field.dataType)
+        if fail_on_bad:
+            bad = texts[field.name].isNotNull() & read.isNull()
+            message = F.concat(F.lit(f"unreadable {field.name}: "), texts[field.name])
+            read = F.when(bad, F.raise_error(message)).otherwise(read)
+        return read.alias(field.name)
+
+    return texts.select(*[value(f) for f in schema])
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
     header: bool = True,
     infer_schema: bool = False,
+    fail_on_bad: bool = False,
 ) -> DataFrame:
     """CSV by declared schema (columns found by header name), or inferred on request."""
     reader = spark.read.option("header", header)
@@ -34,10 +58,7 @@ def read_csv(
         return reader.option("inferSchema", infer_schema).csv(path)
     if not header:
         return reader.schema(schema).csv(path)
-    # a file may hold further columns in any order and case: read by name, then cast,
-    # and Catalyst prunes the parse to the columns named here
-    texts = lower_names(reader.csv(path))
-    return texts.select(*[texts[f.name.lower()].try_cast(f.dataType).alias(f.name) for f in schema])
+    return typed(read_texts(spark, path, schema), schema, fail_on_bad)
 
 
 def read_sales(
@@ -45,14 +66,31 @@ def read_sales(
     path: str | None = None,
     infer_schema: bool = False,
     name: str = "sales_data",
+    fail_on_bad: bool = False,
 ) -> DataFrame:
     """Raw sales lines, column names in lower case, also registered as a view."""
     path = path or dataset_path()
-    sales = lower_names(read_csv(spark, path, schemas.SALES_RAW, infer_schema=infer_schema))
+    sales = lower_names(
+        read_csv(
+            spark, path, schemas.SALES_RAW, infer_schema=infer_schema, fail_on_bad=fail_on_bad
+        )
+    )
     sales.createOrReplaceTempView(name)
     return sales
 
 
+def read_sales_small(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The stored trailing window, or in either format raw lines without a parsed date."""
+    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+    there = {c.lower() for c in reader.format(fmt).load(path).columns}
+    fields = [f for f in schemas.SALES_SMALL if f.name in there]
+    fields += [f for f in schemas.SALES_RAW if f.name not in there]
+    schema = T.StructType(fields)
+    if fmt == "csv":
+        return read_csv(spark, path, schema)
+    return lower_names(spark.read.format(fmt).load(path)).select(*schema.fieldNames())
+
+
 def read_weekly(
     spark: SparkSession,
     path: str,
@@ -75,33 +113,16 @@ def read_weekly(
 def read_forecasts(
     spark: SparkSession, datastore_type: str, location: str | None = None
 ) -> DataFrame:
-    """Forecasts from a ``csv`` or ``parquet`` path, a ``table`` of the catalog, or the
-    table ``forecast_data`` of a ``sqlite`` file."""
+    """Forecasts from a ``csv`` or ``parquet`` path, or a ``table`` of the catalog."""
     if datastore_type == "csv":
         return read_csv(spark, location or forecast_path(), schemas.FORECASTS)
     if datastore_type == "parquet":
         return spark.read.schema(schemas.FORECASTS).parquet(location or forecast_path())
     if datastore_type == "table":
         return spark.table(location or "forecast_data")
-    if datastore_type == "sqlite":
-        from shelfweek.sources.sqlite import register_sqlite
-
-        register_sqlite(spark)
-        rows = (
-            spark.read.format("sqlite_table")
-            .option("table", "forecast_data")
-            .schema(_text_dates(schemas.FORECASTS))
-            .load(location or forecast_path())
-        )
-        return replace_text_date(rows, "Date", iso=True)
     raise ValueError("Unsupported datastore type")
 
 
-def _text_dates(schema: T.StructType) -> T.StructType:
-    plain = [T.StringType() if f.dataType == T.DateType() else f.dataType for f in schema]
-    return T.StructType([T.StructField(f.name, t) for f, t in zip(schema, plain)])
-
-
 def register_result(df: DataFrame, name: str = "spark_df") -> DataFrame:
     """Make a result available by name, replacing an earlier one. Stays lazy."""
     df.createOrReplaceTempView(name)

@@ -1,10 +1,10 @@
 import datetime as dt
-import sqlite3
+from pathlib import Path
 
 import pytest
 
 from shelfweek import schemas
-from shelfweek.operators import dashboard
+from shelfweek.operators import columns, dashboard
 from shelfweek.sinks import files as sinks
 from shelfweek.sources import files as sources
 
@@ -15,7 +15,7 @@ FIRST = dt.date(2022, 8, 28)
 STEPS = 18
 
 
-def published():
+def made_up():
     rows = []
     for store in STORES:
         for category in CATEGORIES:
@@ -26,21 +26,21 @@ def published():
 
 
 @pytest.fixture(scope="module")
-def published_csv(tmp_path_factory):
-    path = tmp_path_factory.mktemp("published") / "forecasts.csv"
+def made_up_csv(tmp_path_factory):
+    path = tmp_path_factory.mktemp("made_up") / "forecasts.csv"
     with open(path, "w") as out:
         out.write('"","store_number","category_name","Date","forecast_volume","fc_sales"\n')
-        for i, (store, category, day, volume, value) in enumerate(published(), 1):
+        for i, (store, category, day, volume, value) in enumerate(made_up(), 1):
             out.write(f'"{i}",{store},"{category}",{day},{volume},{value}\n')
     return str(path)
 
 
 @pytest.fixture(scope="module")
-def forecasts(spark, published_csv):
-    return sources.read_forecasts(spark, "csv", published_csv)
+def forecasts(spark, made_up_csv):
+    return sources.read_forecasts(spark, "csv", made_up_csv)
 
 
-def test_published_forecasts(forecasts):
+def test_made_up_forecasts(forecasts):
     assert forecasts.columns == schemas.FORECASTS.fieldNames()
     assert forecasts.schema["Date"].dataType == schemas.FORECASTS["Date"].dataType
     rows = forecasts.collect()
@@ -73,40 +73,6 @@ def test_dashboard_selection(forecasts):
     assert dashboard.sales_series(forecasts, "Beer").count() == 0
 
 
-def test_forecasts_from_sqlite(spark, forecasts, tmp_path):
-    path = str(tmp_path / "f.db")
-    con = sqlite3.connect(path)
-    con.execute(
-        "CREATE TABLE forecast_data (store_number INTEGER, category_name TEXT, Date TEXT,"
-        " forecast_volume REAL, fc_sales REAL)"
-    )
-    con.executemany("INSERT INTO forecast_data VALUES (?, ?, ?, ?, ?)", published())
-    con.commit()
-    con.close()
-    got = sources.read_forecasts(spark, "sqlite", path)
-    assert got.schema.simpleString() == forecasts.schema.simpleString()
-    assert sorted(got.collect()) == sorted(forecasts.collect())
-    by_range = (
-        spark.read.format("sqlite_table")
-        .option("table", "forecast_data")
-        .option("rowsPerPartition", 40)
-        .schema("store_number int, fc_sales double")
-        .load(path)
-    )
-    assert by_range.rdd.getNumPartitions() == 7 and by_range.count() == 270
-
-
-def test_empty_sqlite_table(spark, tmp_path):
-    path = str(tmp_path / "e.db")
-    con = sqlite3.connect(path)
-    con.execute(
-        "CREATE TABLE forecast_data (store_number INTEGER, category_name TEXT, Date TEXT,"
-        " forecast_volume REAL, fc_sales REAL)"
-    )
-    con.close()
-    assert sources.read_forecasts(spark, "sqlite", path).count() == 0
-
-
 def test_forecasts_from_parquet_and_table(spark, forecasts, tmp_path):
     path = str(tmp_path / "f")
     sinks.write_dataset(forecasts, path)
@@ -187,25 +153,54 @@ def test_settle_writes_where_the_session_says(spark):
     df = spark.range(5)
     folder = spark.conf.get("spark.checkpoint.dir")
     got = sinks.settle(df)
-    assert got.inputFiles()[0].startswith(f"file://{folder}/shelfweek-")
+    assert got.inputFiles()[0].startswith(f"file://{folder}/step-")
     assert got.count() == 5 and got.dtypes == df.dtypes
+    sinks.forget(got)
+    assert not list(Path(folder).glob(got.inputFiles()[0].split("/")[-2]))
 
 
 class Session:
     """Stands in for a session of which only the settings are asked."""
 
-    def __init__(self, master):
-        self.conf = {}
-        self.sparkContext = self
-        self.master = master
+    def __init__(self, **conf):
+        self.conf = {key.replace("__", "."): value for key, value in conf.items()}
 
 
-def test_own_scratch_folder_in_local_mode_only():
-    assert "shelfweek-" in sinks.scratch_folder(Session("local[4]"))
-    assert sinks.scratch_folder(Session("yarn")) is None
+def test_one_shared_folder_whatever_the_master():
+    unset = Session(spark__sql__warehouse__dir="hdfs://x/wh")
+    assert sinks.scratch_folder(unset) == "hdfs://x/wh/_steps"
+    named = Session(spark__checkpoint__dir="s3://y/z/", spark__sql__warehouse__dir="w")
+    assert sinks.scratch_folder(named) == "s3://y/z"
 
 
-def test_settle_without_a_shared_folder_keeps_the_plan(spark, monkeypatch):
-    monkeypatch.setattr(sinks, "scratch_folder", lambda spark: None)
-    df = spark.range(5)
-    assert sinks.settle(df) is df
+BAD_TEXT = """store_number,date,category,category_name,sale_dollars,volume_sold_liters
+A12,08/28/2022,7,x,$12.50,1.5
+12,02/30/2022,7,x,"1,234.5",2
+13,,,x,1e400,nan
+14,08/28/2022,9999999999,,1.25,
+"""
+
+
+def test_unreadable_values_are_counted_or_fail(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text(BAD_TEXT)
+    texts = sources.read_texts(spark, str(path), schemas.SALES_RAW)
+    got = {r[0]: tuple(r)[1:] for r in columns.value_audit(texts, schemas.SALES_RAW).collect()}
+    assert got == {
+        "store_number": (4, 0, 1),
+        "date": (4, 1, 1),
+        "category": (4, 1, 1),
+        "category_name": (4, 1, 0),
+        "sale_dollars": (4, 0, 3),
+        # not a number is a double, and counts as missing in sums
+        "volume_sold_liters": (4, 1, 1),
+    }
+    read = sources.read_sales(spark, str(path))
+    assert sorted((r.store_number or 0, r.sale_dollars) for r in read.collect()) == [
+        (0, None),
+        (12, None),
+        (13, None),
+        (14, 1.25),
+    ]
+    with pytest.raises(Exception, match="unreadable store_number: A12"):
+        sources.read_sales(spark, str(path), fail_on_bad=True).select("store_number").collect()

@@ -91,3 +91,37 @@ def test_totals_do_not_depend_on_row_order(spark):
         df = spark.createDataFrame([(v,) for v in values], "x double").repartition(parts)
         sums.add(df.agg(measures.total("x")).first()[0])
     assert len(sums) == 1
+
+
+@pytest.fixture
+def without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_large_totals_are_exact_without_ansi(spark, without_ansi):
+    df = spark.createDataFrame([(8e14,)] * 3 + [(0.25,)], "x double")
+    assert df.agg(measures.total("x")).first()[0] == 2.4e15 + 0.25
+    down = spark.createDataFrame([(-8e14,)] * 3 + [(-0.75,)], "x double")
+    assert down.agg(measures.total("x")).first()[0] == -2.4e15 - 0.75
+
+
+@pytest.mark.parametrize("values", [[9e17] * 11, [2e18], [-2e18]])
+def test_totals_that_do_not_fit_are_an_error(spark, without_ansi, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    with pytest.raises(Exception, match="too large"):
+        df.agg(measures.total("x")).collect()
+
+
+def test_fine_digits_count_and_infinities_do_not(spark):
+    df = spark.createDataFrame([(0.000001,)] * 7 + [(float("inf"),), (-float("inf"),)], "x double")
+    assert df.agg(measures.total("x")).first()[0] == 0.000007
+
+
+def test_quarters_as_ranges():
+    assert dates.quarter_range("2022-Q4") == ("2022-10-01", "2022-12-31")
+    assert dates.quarter_range("2022-Q1") == ("2022-01-01", "2022-03-31")
+    for bad in ("2022", "2022-Q5", "x-Q1"):
+        with pytest.raises(ValueError):
+            dates.quarter_range(bad)

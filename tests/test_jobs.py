@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from shelfweek import jobs
 from shelfweek.sinks.files import write_dataset
 from shelfweek.sources import files as sources
@@ -8,38 +10,73 @@ from shelfweek.sources.star_schema import sales_lines
 TABLES = "/root/testdata/sf0.001"
 
 
-def test_stages_from_text_file_to_forecast_file(spark, tmp_path):
-    raw, small, weekly, out, models = (
-        str(tmp_path / n) for n in ("raw.csv", "small", "weekly", "forecasts", "models")
-    )
-    write_dataset(sales_lines(spark, TABLES, "nation"), raw, "csv")
-    jobs.main(["ingest", "--source", raw, "--target", small, "--years", "5"])
-    jobs.main(["prepare", "--source", small, "--target", weekly])
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_every_pair_of_stages_in_either_format(spark, tmp_path, monkeypatch, fmt):
+    # paths by the environment, with names that say nothing about the format
+    monkeypatch.setenv("DATASET_PATH", str(tmp_path))
+    monkeypatch.setenv("DATASET_NAME", "raw.csv")
+    monkeypatch.setenv("DATASET_SMALL_NAME", "small.csv")
+    monkeypatch.setenv("FORECAST_FILE_LOCATION", str(tmp_path / "forecasts.csv"))
+    weekly, models, picked = (str(tmp_path / n) for n in ("weekly", "models", "picked"))
+    write_dataset(sales_lines(spark, TABLES, "nation"), str(tmp_path / "raw.csv"), "csv")
+    jobs.main(["ingest", "--years", "5", "--target-format", fmt])
+    jobs.main(["prepare", "--target", weekly, "--source-format", fmt, "--target-format", fmt])
     jobs.main(
-        ["forecast", "--source", weekly, "--target", out, "--models", models]
-        + ["--categories", "3", "--stores", "5"]
+        ["forecast", "--source", weekly, "--source-format", fmt, "--target-format", fmt]
+        + ["--models", models, "--categories", "3", "--stores", "5"]
     )
-    series = sources.read_weekly(spark, weekly)
-    assert {r["last"] for r in series.groupBy("srl_num").agg({"date": "max"}).toDF("n", "last").collect()} == {dt.date(2001, 11, 4)}
-    forecasts = sources.read_forecasts(spark, "csv", out)
-    picked = forecasts.select("store_number", "category_name").distinct().count()
-    assert picked > 0 and forecasts.count() == 18 * picked
+    series = sources.read_weekly(spark, weekly, fmt)
+    ends = series.groupBy("srl_num").agg({"date": "max"}).toDF("n", "last").collect()
+    assert {r["last"] for r in ends} == {dt.date(2001, 11, 4)}
+    forecasts = sources.read_forecasts(spark, fmt)
+    count = forecasts.select("store_number", "category_name").distinct().count()
+    assert count > 0 and forecasts.count() == 18 * count
     assert forecasts.filter("forecast_volume IS NULL OR fc_sales IS NULL").count() == 0
-    assert spark.read.parquet(models).count() == 2 * picked
+    assert spark.read.parquet(models).count() == 2 * count
+    category = forecasts.first()["category_name"]
+    jobs.main(
+        ["select", "--target", picked, "--category", category, "--quarter", "2001-Q4"]
+        + ["--source-format", fmt, "--target-format", fmt]
+    )
+    rows = sources.read_forecasts(spark, fmt, picked)
+    assert 0 < rows.count() == forecasts.filter(
+        (forecasts.category_name == category) & (forecasts.Date <= dt.date(2001, 12, 31))
+    ).count()
 
 
 def test_weekly_is_the_same_from_text_and_from_the_small_dataset(spark, tmp_path):
     raw, small = str(tmp_path / "raw.csv"), str(tmp_path / "small")
     write_dataset(sales_lines(spark, TABLES), raw, "csv")
     jobs.ingest(spark, raw, small, years=100)
-    jobs.prepare(spark, raw, str(tmp_path / "a"))
+    jobs.prepare(spark, raw, str(tmp_path / "a"), source_format="csv")
     jobs.prepare(spark, small, str(tmp_path / "b"))
     a, b = (sorted(spark.read.parquet(str(tmp_path / n)).collect()) for n in "ab")
     assert a == b and a
 
 
+def test_profile_and_monthly(spark, tmp_path):
+    raw = str(tmp_path / "raw.csv")
+    write_dataset(sales_lines(spark, TABLES, "nation"), raw, "csv")
+    jobs.main(["profile", "--source", raw, "--target", str(tmp_path / "profile")])
+    read = {n: spark.read.parquet(str(tmp_path / "profile" / n)) for n in ("years", "category_years", "counts", "unreadable")}
+    assert read["years"].agg({"row_count": "sum"}).first()[0] == read["counts"].first()["row_count"]
+    assert read["category_years"].count() > 0
+    assert read["unreadable"].agg({"unreadable": "sum"}).first()[0] == 0
+    jobs.main(
+        ["monthly", "--source", raw, "--source-format", "csv", "--target", str(tmp_path / "m")]
+        + ["--category", "PROMO", "--start", "1995-01-01", "--end", "2001-12-31"]
+    )
+    rows = spark.read.option("header", True).csv(str(tmp_path / "m"))
+    assert rows.count() == 12 * rows.select("store_number").distinct().count() > 0
+
+
 def test_selection_of_series(weekly_of):
     weekly = weekly_of({(i, "a", i): [i, 2 * i] for i in range(1, 5)})
     assert jobs.select_series(weekly, None, None, None).count() == 8
     assert jobs.select_series(weekly, None, None, 2).count() == 4
     assert jobs.select_series(weekly, 1, 3, None).count() == 6
+    for clash in ((1, None, None), (None, 3, None), (1, 3, 2)):
+        with pytest.raises(ValueError):
+            jobs.select_series(weekly, *clash)
+    with pytest.raises(ValueError, match="horizon"):
+        jobs.forecast(None, "x", "y", horizon=0)

@@ -5,8 +5,17 @@ import re
 import pytest
 
 from checks.queries import QUERIES
-from shelfweek.operators import arima, filters, ranking, rollups, series, simple_forecast
+from shelfweek.operators import (
+    arima,
+    dashboard,
+    filters,
+    ranking,
+    rollups,
+    series,
+    simple_forecast,
+)
 from shelfweek.plans import stages
+from shelfweek.sinks import files as sinks
 from shelfweek.sinks.files import write_sales_small
 from shelfweek.sources.star_schema import sales_lines
 
@@ -29,11 +38,11 @@ def sales(spark):
 
 @pytest.fixture(scope="module")
 def weekly(sales):
-    return stages.weekly_relation(sales)
+    # what follows is planned over the stored relation, as the jobs read it
+    return sinks.settle(stages.weekly_relation(sales))
 
 
 PYTHON = {
-    "grouped_apply",
     "forecast_weekly",
     "forecast_top_slice",
     "forecast_top_series",
@@ -53,18 +62,38 @@ def test_no_cross_join_and_python_only_where_stated(spark, name):
 
 def test_weekly_sums_shuffle_partial_sums_once(sales):
     text = plan(rollups.weekly_sales(sales))
-    assert "partial_sum" in text and len(hashed(text)) == 1
+    assert "partial_try_sum" in text and len(hashed(text)) == 1
     # only the columns in use are read
     assert "l_discount" not in text and "l_tax" not in text
     # the date of a line is parsed in one place
     assert text.count("Filter isnotnull(next_day") == 0
 
 
-def test_active_series_add_one_shuffle_of_weekly_rows(sales):
-    text = plan(stages.active_weekly(sales))
-    assert len(hashed(text)) == 2
-    # the last week comes from the date column alone, without the joins
-    assert "ReadSchema: struct<l_shipdate:timestamp_ntz>" in text
+def test_sales_lines_are_read_once(spark, sales, tmp_path, monkeypatch):
+    """What was planned, writes included: only the weekly sums read the lines."""
+    written = []
+    own = sinks.settle
+
+    def settle(df):
+        written.append(plan(df))
+        return own(df)
+
+    for module in (stages, series):
+        monkeypatch.setattr(module, "settle", settle)
+    sliced = ranking.top_slice(stages.weekly_relation(sales))
+    assert sum("l_shipdate" in text for text in [*written, plan(sliced)]) == 1
+    first = written[0]
+    assert "l_shipdate" in first and "partial_try_sum" in first
+    assert "CartesianProduct" not in first and "NestedLoop" not in first
+    # the last week is the newest of the settled sums, from its date column
+    assert "ReadSchema: struct<date:date>" in plan(stages.active_weekly(sales))
+
+
+def test_dashboard_filters_reach_the_stored_forecast(spark, weekly, tmp_path):
+    stored = sinks.settle(simple_forecast.forecast_closed_form(weekly, "naive"))
+    text = plan(dashboard.selection(stored, "PROMO", 3, "2001-Q4"))
+    assert "GreaterThanOrEqual(Date,2001-10-01)" in text and "LessThanOrEqual(Date,2001-12-31)" in text
+    assert "EqualTo(category_name,PROMO)" in text and "EqualTo(store_number,3)" in text
 
 
 def test_cutoff_reads_one_column(sales):
@@ -86,10 +115,10 @@ def test_filters_on_the_stored_window_reach_the_scan(spark, sales, tmp_path):
     assert "volume_sold_liters" not in plan(newest)
 
 
-def test_numbering_keeps_big_windows_split(weekly):
+def test_numbering_sums_only_blocks_in_one_place(weekly):
     text = plan(series.number_series(weekly.drop("srl_num")))
-    # one window without a partition: over the sums of at most 1025 blocks
-    assert text.count("Exchange SinglePartition") <= 1 + text.count("partial_m")
+    assert len(re.findall(r"Exchange SinglePartition", text)) == 1
+    assert re.search(r"Exchange hashpartitioning\(_block", text)
 
 
 def test_top_n_is_not_a_full_sort(weekly):

@@ -226,12 +226,11 @@ def test_weekly_relation_end_to_end(spark):
         (3, "08/30/2022", 7, None, 3.0, 1.0),
         (3, "nonsense", 7, "x", 3.0, 1.0),
     ]
-    for keep in (True, False):
-        got = stages.weekly_relation(sales(spark, rows), keep=keep)
-        assert as_set(got.select("store_number", "category_name", "srl_num").distinct()) == {
-            (3, None, 1),
-            (5, "x", 2),
-        }
+    got = stages.weekly_relation(sales(spark, rows))
+    assert as_set(got.select("store_number", "category_name", "srl_num").distinct()) == {
+        (3, None, 1),
+        (5, "x", 2),
+    }
     filled = stages.weekly_relation(sales(spark, rows), fill_gaps=True)
     assert filled.count() == 2 * 3
 
@@ -295,3 +294,21 @@ def test_top_series_by_largest_week(spark, day):
 def test_head_rows_are_ordered(spark):
     df = spark.createDataFrame([(i,) for i in range(20, 0, -1)], "i int")
     assert [r["i"] for r in ranking.head_rows(df, ["i"]).collect()] == [1, 2, 3, 4, 5, 6]
+
+
+def test_an_outlying_store_does_not_fill_one_block(spark):
+    stores = [*range(1, 2001), 2_000_000_000, None]
+    per_store = spark.createDataFrame([(s, 1 + (s or 0) % 3) for s in stores], "store_number int, n long")
+    sizes = series.store_blocks(per_store, 16).groupBy("_block").count()
+    assert sizes.agg({"count": "max"}).first()[0] <= 2 * len(stores) / 16
+    got = {r[0]: r[1] for r in series.store_offsets(per_store, 16).collect()}
+    before = 0
+    for s in stores:
+        assert got[s] == before
+        before += 1 + (s or 0) % 3
+
+
+def test_horizons_below_one_are_refused(spark, patchy):
+    for horizon in (0, -3):
+        with pytest.raises(ValueError, match="horizon"):
+            series.forecast_calendar(patchy, series.PAIR, horizon)
