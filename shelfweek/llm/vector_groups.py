@@ -22,13 +22,13 @@ from .scratch import sent, settle
 #: Leading dimensions of the grid order, and of the bounding boxes.
 GRID_DIMENSIONS = 4
 BOX_DIMENSIONS = 16
-BLOCK = 256
+BLOCK = 1024
 #: Vectors of a partition of the sequence, about.
-PARTITION = 8192
+PARTITION = 16384
 #: Halving stops at so many vectors.
 SMALLEST = 64
 #: Pairs of blocks handed to a task, about, which with BLOCK bounds its memory.
-PAIRS_AT_ONCE = 64
+PAIRS_AT_ONCE = 16
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -37,6 +37,12 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
+def _stored(classes: DataFrame) -> str:
+    """How a block holds the numbers of its vectors: as the column does."""
+    kind = classes.schema["vector"].dataType.elementType.simpleString()
+    return "<f4" if kind == "float" else "<f8"
+
+
 def _rows_of(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
 
@@ -87,7 +93,7 @@ def _blocks(classes: DataFrame, axes, eps: float, n: int) -> DataFrame:
                 ["_class", "label", "vector", "copies", "size", *[f"c{k}" for k in range(GRID_DIMENSIONS)]],
             )
 
-    kind = classes.schema["label"].dataType.simpleString()
+    kind, stored = classes.schema["label"].dataType.simpleString(), _stored(classes)
     vector = classes.schema["vector"].dataType.simpleString()
     cells = [f"c{k}" for k in range(GRID_DIMENSIONS)]
     schema = f"_class long, label {kind}, vector {vector}, copies long, size int, " + ", ".join(
@@ -117,7 +123,7 @@ def _blocks(classes: DataFrame, axes, eps: float, n: int) -> DataFrame:
                     pa.array([at.max(axis=0).tolist()]),
                     pa.array([rows.column(3).to_numpy().astype("<i8").tobytes()]),
                     pa.array([rows.column(4).to_numpy().astype("<i8").tobytes()]),
-                    pa.array([vectors.astype("<f8").tobytes()], pa.binary()),
+                    pa.array([vectors.astype(stored).tobytes()], pa.binary()),
                 ],
                 ["part", "block", "label", "size", "low", "high", "ids", "copies", "vectors"],
             )
@@ -206,7 +212,7 @@ def near_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray, least: float) ->
         yield i[near], j[near]
 
 
-def _linked(blocks: DataFrame, axes, least: float) -> DataFrame:
+def _linked(blocks: DataFrame, axes, least: float, stored: str) -> DataFrame:
     """(a, n, root): per class and pair of blocks, the vectors it is linked to, and a class
     it hangs on. Rows grow with the blocks' vectors, not with the links."""
     eps = 2 - 2 * least + 1e-9
@@ -242,12 +248,13 @@ def _linked(blocks: DataFrame, axes, least: float) -> DataFrame:
             for row in range(batch.num_rows):
                 r = {k: v[0] for k, v in batch.slice(row, 1).to_pydict().items()}
                 size = r["size"]
-                a = np.frombuffer(r["vectors_a"], "<f8").reshape(-1, size)
+                a = np.frombuffer(r["vectors_a"], stored).reshape(-1, size).astype(np.float64)
                 ids, copies = np.frombuffer(r["ids_a"], "<i8"), np.frombuffer(r["copies_a"], "<i8")
                 same = (r["part_a"], r["block_a"]) == (r["part_b"], r["block_b"])
                 b, shift = a, 0
                 if not same:
-                    b, shift = np.frombuffer(r["vectors_b"], "<f8").reshape(-1, size), len(a)
+                    b = np.frombuffer(r["vectors_b"], stored).reshape(-1, size).astype(np.float64)
+                    shift = len(a)
                     ids = np.concatenate([ids, np.frombuffer(r["ids_b"], "<i8")])
                     copies = np.concatenate([copies, np.frombuffer(r["copies_b"], "<i8")])
                 forest, count = Forest(len(ids)), np.zeros(len(ids), np.int64)
@@ -296,7 +303,7 @@ def near_duplicates(
     if n:
         axes = sent(vectors.sparkSession, principal_axes(classes))
         blocks = _blocks(classes, axes, float(np.sqrt(2 - 2 * least)), n)
-        linked = _linked(blocks, axes, least)
+        linked = _linked(blocks, axes, least, _stored(classes))
         counts = linked.groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "_class")
         roots = components(linked.select("a", "root"), "a", "root")
         roots = roots.select(F.col("node").alias("_class"), "root")
