@@ -44,8 +44,10 @@ def op1_embedding_near_dedup(spark, folder):
 
 def op2_chat_formatting(spark, folder):
     rows = _read(spark, folder, "conversations")
-    more = spark.createDataFrame(CONFLICTING, rows.schema)
-    return chat_format.digests(chat_format.format_conversations(rows.union(more)))
+    columns = ("conv_id", "turn", "role", "text")
+    more = [F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row)]) for row in CONFLICTING]
+    more = spark.range(1).select(F.inline(F.array(*more)))
+    return chat_format.digests(chat_format.format_conversations(rows.select(*columns).union(more)))
 
 
 def op3_substring_dedup(spark, folder):
