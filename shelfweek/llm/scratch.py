@@ -1,34 +1,17 @@
-"""Intermediate tables in the folder all executors share.
-
-``spark.checkpoint.dir`` names it; where that is unset (tests, a laptop) a folder in the
-warehouse serves, which a cluster shares as well. Nothing goes to a machine-local
-temporary folder, and written tables go when the driver's JVM ends.
-"""
+"""What operators share between their steps: ``settle`` writes an intermediate table to the
+folder all executors share, ``sent`` hands an object of bounded size to all tasks."""
 
 from __future__ import annotations
 
 import pickle
-import uuid
 from collections.abc import Callable
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_steps").rstrip("/")
+from pyspark.sql import SparkSession
 
+from shelfweek.sinks.files import settle
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once and go on from the written table: lineage ends here, and a lost
-    executor costs no more than a read."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["sent", "settle"]
 
 
 def sent(spark: SparkSession, thing) -> Callable:
