@@ -145,9 +145,12 @@ def trie_links(fps: DataFrame, budget: int = 2, leaf: int = LEAF, stride: int =
         return settle(pairs.join(left, "p").join(right, "q"))
 
     depth, closed, total = 0, [], F.lit(fps.count())
-    root = F.lit(0).cast("long")
     pairs = spark.range(1).select(
-        root.alias("p"), root.alias("q"), F.lit(0).alias("diff"), total.alias("n_p"), total.alias("n_q")
+        F.col("id").alias("p"),
+        F.col("id").alias("q"),
+        F.lit(0).alias("diff"),
+        total.alias("n_p"),
+        total.alias("n_q"),
     )
     while True:
         small = (F.col("n_p") <= leaf) & (F.col("n_q") <= leaf) | F.lit(depth == 64)
