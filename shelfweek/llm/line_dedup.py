@@ -1,9 +1,12 @@
-"""Substring deduplication: repeated lines and sentences go, the earliest stays.
+"""Substring deduplication: repeated lines, sentences and pieces go, the earliest stays.
 
 Units are whole lines and, as passages are often inserted within a line, the sentences of
-lines that have several. Units are normalised (lower case, single spaces) and hashed to 128
-bits; digests are grouped over all documents, and every occurrence but the one ranked first
-(by id, then row, then place) is cut out, its offsets in the original text kept.
+lines that have several, and the pieces of long sentences: from the start and from every word
+whose own letters mark it, up to the next mark that makes the piece long enough, so that the
+same words give the same pieces wherever they stand, overlaps included. Units
+are normalised (lower case, single spaces) and hashed to 128 bits; digests are grouped over
+all documents, and every occurrence but the one ranked first (by id, then row, then place)
+is cut out, its offsets in the original text kept.
 """
 
 from __future__ import annotations
@@ -22,26 +25,56 @@ from .scratch import settle
 #: Shorter units repeat by chance and are left alone.
 LINE_WORDS = 4
 SENTENCE_WORDS = 6
+#: Sentences of more words are cut into pieces as well; one word in so many ends a piece.
+LONG_SENTENCE = 24
+PIECE = 8
 
 # tiles a line: up to the end marks before a space or the line's end, or else all the rest
 SENTENCE = re.compile(r".*?[.!?]+(?: +|\Z)|.+", re.S)
+WORD = re.compile(r"\s*\S+\s*")
 
 
-def units(text: str) -> Iterator[tuple[int, int, bool, str]]:
-    """(start, end, whole line?, normalised text) of the units long enough."""
+def pieces(sentence: str) -> Iterator[tuple[int, int]]:
+    """Where the pieces of a sentence begin and end, but for the whole of it."""
+    marks, count, end = [(0, 0)], 0, 0
+    for m in WORD.finditer(sentence):
+        count, end = count + 1, m.end()
+        if sum(map(ord, m[0].strip().lower())) % PIECE == 0:
+            marks.append((count, end))
+    if marks[-1][0] != count:
+        marks.append((count, end))
+    stop = 0
+    for words, at in marks:
+        while stop < len(marks) and marks[stop][0] < words + SENTENCE_WORDS:
+            stop += 1
+        if stop < len(marks) and (words, stop) != (0, len(marks) - 1):
+            yield at, marks[stop][1]
+
+
+def units(text: str) -> Iterator[tuple[int, int, int, str]]:
+    """(start, end, level, normalised text) of the units long enough; level 0 is a line, 1 a
+    sentence, 2 a piece."""
+
+    def normal(part):
+        return " ".join(part.lower().split())
+
     at = 0
     for line in text.split("\n"):
-        key = " ".join(line.lower().split())
+        key = normal(line)
         count = key.count(" ") + 1
         if count >= LINE_WORDS:
-            yield at, at + len(line), True, key
+            yield at, at + len(line), 0, key
         if count > SENTENCE_WORDS:
-            first = SENTENCE.match(line)
-            if first.end() < len(line):
+            several = SENTENCE.match(line).end() < len(line)
+            if several or count > LONG_SENTENCE:
                 for m in SENTENCE.finditer(line):
-                    part = " ".join(m[0].lower().split())
-                    if part.count(" ") >= SENTENCE_WORDS - 1:
-                        yield at + m.start(), at + m.end(), False, part
+                    part = normal(m[0])
+                    count = part.count(" ") + 1
+                    if several and count >= SENTENCE_WORDS:
+                        yield at + m.start(), at + m.end(), 1, part
+                    if count > LONG_SENTENCE:
+                        for s, e in pieces(m[0]):
+                            yield at + m.start() + s, at + m.start() + e, 2, normal(m[0][s:e])
         at += len(line) + 1
 
 
@@ -50,13 +83,13 @@ def _unit_rows(docs: DataFrame, kind: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                of, start, end, whole, digests = [], [], [], [], []
+                of, start, end, level, digests = [], [], [], [], []
                 for k, text in enumerate(part.column(2)):
-                    for s, e, w, key in units(text.as_py() or ""):
+                    for s, e, n, key in units(text.as_py() or ""):
                         of.append(k)
                         start.append(s)
                         end.append(e)
-                        whole.append(w)
+                        level.append(n)
                         digests.append(xxhash.xxh3_128_digest(key.encode("utf-8", "surrogatepass")))
                 halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 rows = pa.array(of, pa.int64())
@@ -66,35 +99,37 @@ def _unit_rows(docs: DataFrame, kind: str) -> DataFrame:
                         part.column(1).take(rows),
                         pa.array(start, pa.int32()),
                         pa.array(end, pa.int32()),
-                        pa.array(whole, pa.bool_()),
+                        pa.array(level, pa.int32()),
                         pa.array(np.ascontiguousarray(halves[:, 0])),
                         pa.array(np.ascontiguousarray(halves[:, 1])),
                     ],
-                    ["_row", "_id", "start", "end", "whole", "h1", "h2"],
+                    ["_row", "_id", "start", "end", "level", "h1", "h2"],
                 )
 
-    schema = f"_row long, _id {kind}, start int, end int, whole boolean, h1 long, h2 long"
+    schema = f"_row long, _id {kind}, start int, end int, level int, h1 long, h2 long"
     return docs.mapInArrow(read, schema)
 
 
 def repeats(rows: DataFrame, kind: str) -> DataFrame:
-    """(_row, start, end, first): the units of ``rows`` (_row, _id, _text) to cut out, and the
-    id of the document that keeps them. Sentences of a line that goes are not listed."""
+    """(_row, start, end, level, first): the units of ``rows`` (_row, _id, _text) to cut out, and the
+    id of the document that keeps them. A unit may lie in another that goes as well."""
     found = settle(_unit_rows(rows, kind))
-    rank = F.struct(F.col("_id").isNull().alias("n"), "_id", "_row", "start", (~F.col("whole")).alias("w"))
+    # first by half a digest and a count, which shuffles little, then the few that repeat
+    repeated = found.groupBy("h1").agg(F.count("*").alias("copies")).where("copies > 1").select("h1")
+    found = settle(found.join(repeated, "h1", "left_semi"))
+    rank = F.struct(F.col("_id").isNull().alias("n"), "_id", "_row", "start")
     firsts = found.groupBy("h1", "h2").agg(F.min(rank).alias("f"), F.count("*").alias("copies"))
     firsts = firsts.where("copies > 1").select("h1", "h2", "f")
     # keys are unique on the right; a digest with very many units is split by rows on the left
-    gone = found.join(firsts, ["h1", "h2"]).where(
-        "NOT (_row = f._row AND start = f.start AND whole <> f.w)"
-    )
-    return gone.select("_row", "start", "end", "whole", F.col("f._id").alias("first"))
+    # (a line and its first sentence begin in one place and may read alike: that is no repeat)
+    gone = found.join(firsts, ["h1", "h2"]).where("NOT (_row = f._row AND start = f.start)")
+    return gone.select("_row", "start", "end", "level", F.col("f._id").alias("first"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_removed, removed_chars, spans, text) per row: ``spans`` are (start, end,
-    first) in code points of the original text, end exclusive, ``first`` the id that keeps
-    the unit; ``text`` is what is left, otherwise unchanged.
+    """(id_col, n_removed, removed_chars, spans, text) per row: ``spans`` are the units cut out
+    (start, end, first) in code points of the original text, end exclusive, ``first`` the id
+    that keeps the unit; pieces may overlap. ``text`` is what is left, otherwise unchanged.
 
     Null text counts as empty and stays null. Equal ids: the row read first keeps the unit.
     Null ids rank last. Repeats within one document go too. Other columns are not read.
@@ -110,44 +145,44 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     spans = (
         repeats(rows, kind)
         .groupBy("_row")
-        .agg(F.collect_list(F.struct("start", "end", "whole", "first")).alias("units"))
+        .agg(F.collect_list(F.struct("start", "end", "level", "first")).alias("units"))
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                left, lists = [], []
+                left, lists, lost = [], [], []
                 for text, found in zip(part.column(1), part.column(2)):
                     text, found = text.as_py(), found.as_py() or []
-                    found.sort(key=lambda u: (u["start"], not u["whole"], u["end"]))
-                    kept, pieces, upto = [], [], 0
+                    found.sort(key=lambda u: (u["start"], u["level"]))
+                    kept, pieces, upto, covered = [], [], 0, [0, 0, 0]
                     for u in found:
-                        if u["start"] < upto:
-                            continue  # inside a line that goes
-                        pieces.append(text[upto : u["start"]])
-                        upto = u["end"]
+                        if u["end"] <= max(covered[: u["level"]], default=0):
+                            continue  # inside a longer unit that goes
+                        covered[u["level"]] = u["end"]
+                        if u["end"] > upto:
+                            pieces.append(text[upto : u["start"]])
+                            upto = u["end"]
                         kept.append({"start": u["start"], "end": u["end"], "first": u["first"]})
                     left.append("".join(pieces) + text[upto:] if kept else text)
                     lists.append(kept)
+                    lost.append(len(text or "") - len(left[-1] or ""))
                 kinds = pa.list_(
                     pa.struct([("start", pa.int32()), ("end", pa.int32()), ("first", part.column(0).type)])
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(lists, kinds), pa.array(left, pa.string())],
-                    ["_id", "spans", "text"],
+                    [part.column(0), pa.array(lost, pa.int64()), pa.array(lists, kinds), pa.array(left, pa.string())],
+                    ["_id", "removed_chars", "spans", "text"],
                 )
 
     joined = rows.join(spans, "_row", "left").select("_id", "_text", "units")
-    schema = f"_id {kind}, spans array<struct<start:int,end:int,first:{kind}>>, text string"
+    schema = f"_id {kind}, removed_chars long, spans array<struct<start:int,end:int,first:{kind}>>, text string"
     out = joined.mapInArrow(cut, schema)
-    removed = F.aggregate(
-        "spans", F.lit(0).cast("long"), lambda acc, s: acc + (s["end"] - s["start"]).cast("long")
-    )
     return out.select(
         F.col("_id").alias(id_col),
         F.size("spans").cast("long").alias("n_removed"),
-        removed.alias("removed_chars"),
+        "removed_chars",
         "spans",
         "text",
     )

@@ -1,5 +1,25 @@
 """The registered queries as DuckDB SQL, where SQL can express them on whole tables."""
 
+VECTORS = r"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(embedding) = list_count(embedding)
+    AND len(list_filter(embedding, lambda x : isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x : x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id, b.vec_id AS other
+  FROM usable a JOIN usable b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT vec_id, vec_id AS root FROM embeddings
+  UNION
+  SELECT l.other, r.root FROM reach r JOIN links l USING (vec_id)
+), counted AS (SELECT vec_id, count(*) AS n_links FROM links GROUP BY 1)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY 1) USING (vec_id)
+  LEFT JOIN counted USING (vec_id)
+"""
+
 CHAT = r"""
 WITH talk AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -30,59 +50,82 @@ WITH lines AS (
     SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS n
     FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
   )
-), tiled AS (
-  SELECT doc_id, n, unnest(parts) AS part, unnest(range(len(parts))) AS k, len(parts) AS parts, line, pos
-  FROM (SELECT *, regexp_extract_all(line, '(?s).*?[.!?]+(?: +|$)|(?s).+') AS parts FROM lines)
 ), sentences AS (
-  SELECT doc_id, n, k, part,
+  SELECT doc_id, n, k, part, parts,
     pos + coalesce(sum(length(part)) OVER (PARTITION BY doc_id, n ORDER BY k
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, parts
-  FROM tiled
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM (
+    SELECT doc_id, n, pos, unnest(parts) AS part, unnest(range(len(parts))) AS k, len(parts) AS parts
+    FROM (SELECT *, regexp_extract_all(line, '(?s).*?[.!?]+(?: +|$)|(?s).+') AS parts FROM lines))
+), words AS (
+  SELECT doc_id, n, k, i, word, start,
+    list_sum(list_transform(string_split(lower(trim(word, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')), ''),
+      lambda c : unicode(c))) % 8 = 0 AS cut
+  FROM (
+    SELECT doc_id, n, k, start, unnest(words) AS word, unnest(range(len(words))) AS i
+    FROM (SELECT *, regexp_extract_all(part, '\s*\S+\s*') AS words FROM sentences)
+    WHERE len(words) > 24)
+), placed AS (
+  SELECT *, start + coalesce(sum(length(word)) OVER (PARTITION BY doc_id, n, k ORDER BY i
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at_char,
+    coalesce(lag(cut) OVER (PARTITION BY doc_id, n, k ORDER BY i), true) AS begins
+  FROM words
+), marks AS (
+  SELECT doc_id, n, k, i, at_char FROM placed WHERE begins
+  UNION ALL
+  SELECT doc_id, n, k, max(i) + 1, max(at_char + length(word)) FROM placed GROUP BY doc_id, n, k
+), pieces AS (
+  SELECT a.doc_id, a.n, a.k, a.i, a.at_char AS start, min(b.at_char) AS stop
+  FROM marks a JOIN marks b ON b.doc_id = a.doc_id AND b.n = a.n AND b.k = a.k AND b.i >= a.i + 6
+  GROUP BY ALL
 ), units AS (
-  SELECT doc_id, n, pos AS start, pos + length(line) AS stop, true AS whole,
-    trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS key, 4 AS least
+  SELECT doc_id, n, -1 AS k, pos AS start, pos + length(line) AS stop, 0 AS level, 4 AS least,
+    trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS key
   FROM lines
   UNION ALL
-  SELECT doc_id, n, start, start + length(part), false,
-    trim(regexp_replace(lower(part), '\s+', ' ', 'g')), 6
-  FROM sentences WHERE parts > 1
+  SELECT doc_id, n, k, start, start + length(part), 1, 6,
+    trim(regexp_replace(lower(part), '\s+', ' ', 'g')) FROM sentences WHERE parts > 1
+  UNION ALL
+  SELECT p.doc_id, p.n, p.k, p.start, p.stop, 2, 6,
+    trim(regexp_replace(lower(substr(part, CAST(p.start - s.start + 1 AS BIGINT), CAST(p.stop - p.start AS BIGINT))), '\s+', ' ', 'g'))
+  FROM pieces p JOIN sentences s ON s.doc_id = p.doc_id AND s.n = p.n AND s.k = p.k
+  WHERE NOT (p.i = 0 AND p.stop = s.start + length(part))
 ), long_units AS (
   SELECT * FROM units WHERE key <> '' AND length(key) - length(replace(key, ' ', '')) + 1 >= least
 ), ranked AS (
-  SELECT *,
-    row_number() OVER w AS place,
-    first_value(doc_id) OVER w AS first
-  FROM long_units
-  WINDOW w AS (PARTITION BY key ORDER BY doc_id, start, whole DESC
-    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+  SELECT *, first_value(doc_id) OVER w AS first, first_value(start) OVER w AS first_start
+  FROM long_units WINDOW w AS (PARTITION BY key ORDER BY doc_id, start)
 ), gone AS (
-  SELECT * FROM ranked WHERE place > 1
+  SELECT * FROM ranked WHERE NOT (doc_id = first AND start = first_start)
 ), cut AS (
   SELECT g.* FROM gone g
-  WHERE whole OR NOT EXISTS (
-    SELECT 1 FROM gone l WHERE l.whole AND l.doc_id = g.doc_id AND l.n = g.n)
+  WHERE NOT EXISTS (
+    SELECT 1 FROM gone l WHERE l.doc_id = g.doc_id AND l.n = g.n
+      AND (l.level = 0 AND g.level > 0 OR l.level = 1 AND g.level = 2 AND l.k = g.k))
 ), tiles AS (
-  -- a line that goes is one tile, others are their sentences; line ends are tiles too
-  SELECT doc_id, pos AS start, 0 AS after, line AS piece FROM lines l
-  WHERE line = '' OR EXISTS (SELECT 1 FROM cut c WHERE c.whole AND c.doc_id = l.doc_id AND c.n = l.n)
+  -- the finest tiles, and line ends
+  SELECT doc_id, n, k, at_char AS start, 0 AS after, word AS tile FROM placed
   UNION ALL
-  SELECT doc_id, start, 0, part FROM sentences s
-  WHERE NOT EXISTS (SELECT 1 FROM cut c WHERE c.whole AND c.doc_id = s.doc_id AND c.n = s.n)
+  SELECT doc_id, n, k, start, 0, part FROM sentences s
+  WHERE NOT EXISTS (SELECT 1 FROM words w WHERE w.doc_id = s.doc_id AND w.n = s.n AND w.k = s.k)
   UNION ALL
-  SELECT doc_id, pos - 1, 1, chr(10) FROM lines WHERE n > 0
+  SELECT doc_id, n, -2, pos - 1, 1, chr(10) FROM lines WHERE n > 0
 ), left_over AS (
-  SELECT t.doc_id,
-    string_agg(CASE WHEN c.doc_id IS NULL THEN piece ELSE '' END, '' ORDER BY t.start, t.after) AS text
+  SELECT t.doc_id, string_agg(tile, '' ORDER BY start, after) AS text
   FROM tiles t
-  LEFT JOIN cut c ON c.doc_id = t.doc_id AND c.start = t.start AND t.after = 0 AND t.piece <> ''
+  WHERE k = -2 OR NOT EXISTS (
+    SELECT 1 FROM cut c WHERE c.doc_id = t.doc_id AND c.n = t.n
+      AND (c.level = 0 OR c.level = 1 AND c.k = t.k
+        OR c.level = 2 AND c.k = t.k AND t.start >= c.start AND t.start < c.stop))
   GROUP BY t.doc_id
 ), spans AS (
-  SELECT doc_id, count(*) AS n_removed, CAST(sum(stop - start) AS BIGINT) AS removed_chars,
+  SELECT doc_id, count(*) AS n_removed,
     string_agg(CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) || ':' || first, ',' ORDER BY start) AS spans
   FROM cut GROUP BY doc_id
 )
-SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed_chars, 0) AS removed_chars,
-  coalesce(spans, '') AS spans, CASE WHEN d.text IS NULL THEN NULL ELSE l.text END AS text
+SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, 
+  length(coalesce(d.text, '')) - length(coalesce(l.text, '')) AS removed_chars,
+  coalesce(spans, '') AS spans, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(l.text, '') END AS text
 FROM documents d LEFT JOIN spans USING (doc_id) LEFT JOIN left_over l USING (doc_id)
 """
 
@@ -146,6 +189,7 @@ FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 ORACLE = {
+    "op1_embedding_near_dedup": VECTORS,
     "op2_chat_formatting": CHAT,
     "op3_substring_dedup": LINES,
     "op4_url_filters": URLS,
