@@ -283,4 +283,6 @@ def prepared(docs: DataFrame, text_col: str = "text", findings: DataFrame | None
     ``findings`` or from findings made by rule."""
     words = dictionary(docs, text_col)
     trigrams = trigrams_of(words)
-    return train(findings or made_findings(docs.sparkSession, words), trigrams), trigrams
+    if findings is None:
+        findings = made_findings(docs.sparkSession, words)
+    return train(findings, trigrams), trigrams

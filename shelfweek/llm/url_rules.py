@@ -103,7 +103,6 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     null path is empty. Rule hosts are lower-cased as URLs' are. Repeated rows stay rows of
     their own. ``urls`` must read the same rows in the same order each time, as a table does.
     """
-    host, path = host_and_path(F.col(url_col).cast("string"))
     numbered = urls.select(F.struct("*").alias("_own"), F.monotonically_increasing_id().alias("_row"))
     numbered = numbered.select(
         "_own", "_row", F.col("_own").getField(url_col).cast("string").alias("_url")
@@ -150,7 +149,7 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     found = (
         swept.union(carried)
         .groupBy("part")
-        .applyInPandas(lambda rows: sweep(rows), "_row long, rule string, verdict string")
+        .applyInPandas(sweep, "_row long, rule string, verdict string")
     )
     out = parted.join(found, "_row", "left")
     own = [
