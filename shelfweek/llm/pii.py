@@ -18,6 +18,33 @@ KINDS = (*BASE, "iban", "id")
 THRESHOLD = 0.6
 #: Characters before a span, and after it, in which words count as nearby.
 NEARBY = 40
+#: Account numbers of a country have one length.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    """By the country's length first, so that the next word is not taken. Otherwise in one
+    piece, in groups of four with a short last one, or up to any word's end, but not into a
+    number of a listed country."""
+
+    def either(names):
+        return "|".join(names.split())
+
+    begin = rf"(?<![A-Za-z0-9])(?:{either(' '.join(IBAN_LENGTHS.values()))})[0-9]{{2}}\x20?[A-Z0-9]"
+    more = rf"(?!{begin})[A-Z0-9]"
+    bodies = [rf"(?:{either(names)})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, names in IBAN_LENGTHS.items()]
+    bodies += [
+        r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}",
+        rf"[A-Z]{{2}}[0-9]{{2}}(?:\x20{more}[A-Z0-9]{{3}}){{2,7}}\x20{more}[A-Z0-9]{{0,2}}",
+        rf"[A-Z]{{2}}[0-9]{{2}}(?:\x20?{more}){{11,30}}",
+    ]
+    return "(?<![A-Za-z0-9])(?:" + "|".join(f"{b}(?![A-Za-z0-9])" for b in bodies) + ")"
+
 
 # In each pattern a match begins where a run of its first characters begins, or where the
 # last match ended (\G): from any later place in the run the rest reads the same, and there
@@ -27,7 +54,7 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": _iban_pattern(),
     "id": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
 }
 # which texts are searched at all
@@ -82,7 +109,13 @@ def _confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(kind: str, between: Column, found: Column, ends: Column) -> Column:
+def _around(between: Column, found: Column, cut) -> Column:
+    """Each stretch with the match after it, cut to NEARBY characters."""
+    around = F.zip_with(between, found, lambda b, m: cut(F.concat(b, F.coalesce(m, F.lit(""))), F.lit(NEARBY)))
+    return F.when(F.size(found) > 0, around)
+
+
+def _spans(kind: str, between: Column, found: Column, ends: Column, tails: Column, heads: Column) -> Column:
     numbered = F.zip_with(
         F.sequence(F.lit(1), F.greatest(F.size(found), F.lit(1))),
         F.arrays_zip(found.alias("match"), ends.alias("end")),
@@ -94,10 +127,16 @@ def _spans(kind: str, between: Column, found: Column, ends: Column) -> Column:
     )
 
     def span(m):
-        near = F.concat(
+        # across other matches; they have two characters at least
+        count = F.least(m["k"] - 1, F.lit(NEARBY // 2))
+        before = F.concat(
+            F.array_join(F.slice(tails, m["k"] - count, count), ""),
             F.right(F.get(between, m["k"] - 1), F.lit(NEARBY)),
+        )
+        near = F.concat(
+            F.right(before, F.lit(NEARBY)),
             F.lit(" "),
-            F.left(F.get(between, m["k"]), F.lit(NEARBY)),
+            F.left(F.array_join(F.slice(heads, m["k"] + 1, F.lit(NEARBY // 2)), ""), F.lit(NEARBY)),
         )
         told = F.lower(near).rlike(rf"(?<![a-z])(?:{WORDS[kind]})")
         score = F.least(F.lit(1.0), F.lit(SCORES[kind]) + F.when(told, F.lit(BONUS)).otherwise(F.lit(0.0)))
@@ -118,8 +157,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     Matches of a kind are leftmost and do not overlap one another; one that fails its check
     is dropped and not tried again from inside. Base spans always stay, whatever their
-    score; an added one stays with a score of THRESHOLD if it overlaps no base span. Null
-    text counts as empty. Rows with equal or null ids stay rows of their own. Other columns
+    score; an added one stays with a score of THRESHOLD if it overlaps no base span, an
+    account number also beside a card, whose check its digits may pass. Null text counts as empty. Rows with equal or null ids stay rows of their own. Other columns
     are not read.
     """
     rows = docs.select(
@@ -135,20 +174,28 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows = rows.select(
         "*", *[text_spans.steps(F.col(f"{k}_between"), F.col(f"{k}_found")).alias(f"{k}_steps") for k in KINDS]
     )
-    rows = rows.select("*", *[text_spans.running_sums(F.col(f"{k}_steps")).alias(f"{k}_ends") for k in KINDS])
     rows = rows.select(
-        "_id",
-        *[_spans(k, F.col(f"{k}_between"), F.col(f"{k}_found"), F.col(f"{k}_ends")).alias(k) for k in KINDS],
+        "*",
+        *[text_spans.running_sums(F.col(f"{k}_steps")).alias(f"{k}_ends") for k in KINDS],
+        *[_around(F.col(f"{k}_between"), F.col(f"{k}_found"), F.right).alias(f"{k}_tails") for k in KINDS],
+        *[_around(F.col(f"{k}_between"), F.col(f"{k}_found"), F.left).alias(f"{k}_heads") for k in KINDS],
     )
+    parts = ("between", "found", "ends", "tails", "heads")
+    rows = rows.select("_id", *[_spans(k, *[F.col(f"{k}_{p}") for p in parts]).alias(k) for k in KINDS])
     rows = rows.select(
         "_id",
         F.flatten(F.array(*[F.col(k) for k in BASE])).alias("base"),
         F.flatten(F.array(*[F.col(k) for k in KINDS[len(BASE) :]])).alias("added"),
     )
 
+    card, iban = KINDS.index("card"), KINDS.index("iban")
+
     def clear(s):
         return (s["score"] >= THRESHOLD) & ~F.exists(
-            "base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
+            "base",
+            lambda b: (b["start"] < s["end"])
+            & (s["start"] < b["end"])
+            & ~((s["rank"] == iban) & (b["rank"] == card)),
         )
 
     spans = F.array_sort(F.concat("base", F.filter("added", clear)))

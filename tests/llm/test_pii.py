@@ -48,6 +48,47 @@ def test_added_kinds_need_their_check_or_a_word_nearby(spark):
     assert score[1] > score[5]
 
 
+def test_account_numbers_end_at_their_countrys_length(spark):
+    def luhn(digits):
+        return sum(sum(divmod(int(d) * (1 + k % 2), 10)) for k, d in enumerate(reversed(digits))) % 10 == 0
+
+    def number(country, body):
+        spelled = "".join(str(int(c, 36)) for c in f"{body}{country}00")
+        return f"{country}{98 - int(spelled) % 97:02}{body}"
+
+    unlisted = number("ZZ", "37040044053201300")
+    passing = next(n for n in (number("BE", f"{k:012}") for k in range(1000)) if luhn(n[2:]))
+    texts = {
+        1: "DE89370400440532013000 Please",
+        2: "pay DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX now",
+        3: "GB29 NWBK 6016 1331 9268 19 DE89370400440532013000 12 AB",
+        4: f"to {unlisted} Please",
+        5: f"to {passing}.",
+        6: "code AB12 DE89 3704 0044 0532 0130 00",
+        7: "DE89 3704 0044 0532 0130 0012",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.find(docs).collect()}
+    ibans = {i: [texts[i][s.start : s.end] for s in r.spans if s.kind == "iban"] for i, r in found.items()}
+    plain, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    assert ibans == {
+        1: [plain], 2: [spaced], 3: ["GB29 NWBK 6016 1331 9268 19", plain], 4: [unlisted], 5: [passing], 6: [spaced], 7: [],
+    }
+    assert [s.kind for s in found[5].spans] == ["iban", "card"]
+
+
+def test_words_nearby_reach_across_other_matches(spark):
+    gap = "x" * 38
+    texts = {
+        1: "SSN 078-05-1120, 219-09-9999",
+        2: "219-09-9999, 078-05-1120 is her ssn",
+        3: f"SSN 078-05-1120 {gap} 219-09-9999 {gap} 219-09-9999",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.report(docs).collect()}
+    assert found == {1: "id:4:15,id:17:28", 2: "id:0:11,id:13:24", 3: "id:4:15"}
+
+
 def test_native_and_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.report(docs).collect() == []
