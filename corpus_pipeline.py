@@ -1,7 +1,7 @@
 """From raw documents to training sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept, and returns the
-columns of ``documents``; the last returns packed pieces. A runner may write each result as
+columns of ``documents``; the last returns packed pieces with their token ids. A runner may write each result as
 Parquet and hand on what it reads back; ``run`` does so itself, in the shared folder.
 """
 
@@ -43,8 +43,8 @@ def secret_scans(spark, docs, sf_dir):
 
 
 def best_fit_packing(spark, docs, sf_dir):
-    """Pieces with the sequence and the place they are packed into."""
-    return packing.packed_documents(docs, VOCABULARY, capacity=2048, digest=True)
+    """Pieces with their token ids, and the sequence and the place they are packed into."""
+    return packing.packed_documents(docs, VOCABULARY, capacity=2048)
 
 
 STAGES = [

@@ -464,13 +464,17 @@ def packed_documents(
     digest: bool = False,
 ) -> DataFrame:
     """(id_col, piece, start, length, ids, sequence_id, offset): every document, packed.
-    ``digest`` gives ``ids_crc32`` instead of the ids, which then are not written between.
+    ``digest`` gives ``ids_crc32``, made from the packed ids, instead of them.
 
     Rows with equal ids are packed as documents of their own; a null id is kept. Null text
     counts as empty. Other columns are not read. An empty table gives an empty result.
     """
     pieces = tokenise(docs, vocabulary, capacity, id_col=id_col, text_col=text_col)
-    if digest:
-        pieces = pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
     pieces = settle(pieces.withColumn("_row", F.monotonically_increasing_id()))
-    return pack(pieces, capacity)
+    packed = pack(pieces, capacity)
+    return digested(packed) if digest else packed
+
+
+def digested(packed: DataFrame) -> DataFrame:
+    """``packed`` with ``ids_crc32`` in place of the ids."""
+    return packed.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")

@@ -65,9 +65,8 @@ def op4_url_filters(spark, folder):
 
 
 def op5_best_fit_packing(spark, folder):
-    return packing.packed_documents(
-        _read(spark, folder, "documents"), VOCABULARY, capacity=2048, digest=True
-    )
+    packed = packing.packed_documents(_read(spark, folder, "documents"), VOCABULARY, capacity=2048)
+    return packing.digested(packed)
 
 
 def op6_simhash_near_dedup(spark, folder):

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from checks.compare import duck, sorted_rows
@@ -71,3 +72,24 @@ def test_stages(spark, tmp_path):
                 used[r.sequence_id] = used.get(r.sequence_id, 0) + r.length
             assert max(used.values()) <= 2048
             assert len(used) <= 1.05 * -(-sum(used.values()) // 2048) + 1
+
+
+def test_sequences_can_be_rebuilt_from_the_last_stage(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").orderBy("doc_id").limit(50)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    plain, parts, sequences = Tokenizer.from_file(queries.VOCABULARY), {}, {}
+    for r in corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect():
+        ids = np.frombuffer(bytes(r.ids), "<u4").tolist()
+        assert len(ids) == r.length
+        parts.setdefault(r.doc_id, {})[r.start] = ids
+        sequences.setdefault(r.sequence_id, {})[r.offset] = ids
+    for i, own in parts.items():
+        want = [*plain.encode(texts[i] or "", add_special_tokens=False).ids, 0]
+        assert [n for _, part in sorted(own.items()) for n in part] == want
+    assert parts.keys() == texts.keys()
+    for own in sequences.values():
+        upto = 0
+        for offset, ids in sorted(own.items()):
+            assert offset == upto
+            upto += len(ids)
+        assert upto <= 2048
