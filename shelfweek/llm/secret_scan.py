@@ -1,4 +1,5 @@
-"""Secret scan: long tokens are candidates, a random forest drops the false ones.
+"""Secret scan: long tokens, tokens with a known beginning and values after an assignment or
+a telling word are candidates, a random forest drops the false ones.
 
 Built-in functions and Spark's own forest; no Python touches a row. The forest is learned
 from labelled findings (a token, what stands before and after it, secret or not) and turned
@@ -14,7 +15,6 @@ from pyspark.sql import functions as F
 
 from . import text_spans
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
 #: Characters before and after a candidate that are looked at. They reach no further than
 #: the next candidate.
 NEARBY = 40
@@ -24,13 +24,40 @@ TREES, DEPTH, SEED = 20, 6, 7
 THRESHOLD = 0.5
 
 # fixed values
-TELLING = r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_ -]?key|auth|bearer|credential|private)[^\p{L}]*$"
+_TOLD = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_ -]?key|auth|bearer|credential|private)s?"
+TELLING = rf"(?i){_TOLD}(?:\s+(?:is|was))?[^\p{{L}}]*$"
 EXCUSING = r"(?i)(?:commit|sha-?[0-9]*|md5|digest|checksum|etag|uuid|hash|revision|version|order|build)[^\p{L}]*$"
-KNOWN = r"^(?:AKIA|ASIA|AIza|ghp_|gho_|xox[abp]-|sk_|sk-|eyJ)"
+KNOWN = r"(?<![A-Za-z0-9])(?:AKIA|ASIA|AIza|ghp_|gho_|xox[abp]-|sk_|sk-|eyJ)"
+
+# a known beginning is a candidate of its own, whatever it is joined to
+_BEGINNING = rf"{KNOWN}[A-Za-z0-9_-]{{12}}"
+# a value of six characters and more ends before space, quotes, closing marks, a tag and the
+# next name with a value; one that is a name with a value of its own, or a telling word, leaves
+# that value to be found
+_END = r"[.,:;)\]}]{0,9}+(?:[\s\"']|\z)|[&,;][\w.-]{0,40}+[=:]|</?[A-Za-z]"
+_VALUE = (
+    rf"(?![(\[{{/])(?![\w-]*+\s?[=:]\s?[\"']?[^\s\"'=])(?!(?i:{_TOLD})(?:\P{{L}}|\z))"
+    rf"(?:(?!{_BEGINNING})(?!{_END})[^\s\"']){{6,}}+"
+)
+# what holds for all comes first, as most places fail it
+CANDIDATE = r"(?<![A-Za-z0-9])(?=[^\s\"']{6})(?:%s)" % "|".join(
+    [
+        # dotted tokens
+        r"eyJ[A-Za-z0-9_-]{5,}+(?:\.[A-Za-z0-9_-]*+){1,3}\.[A-Za-z0-9_-]++",
+        r"(?<![+/_.-])[A-Za-z0-9_-]{16,}+\.[A-Za-z0-9_-]{4,}+\.[A-Za-z0-9_-]{16,}+",
+        rf"{_BEGINNING}[A-Za-z0-9+/_-]*+={{0,2}}",
+        # assigned: in quotes, without; after a telling word
+        r"(?<=[=:]\s?[\"'])[^\s\"']{6,}+(?=[\"'])",
+        rf"(?<=[=:\"'\s])(?<=[=:]\s?[\"']?){_VALUE}",
+        rf"(?<=[\"'\s])(?<=(?i:{_TOLD})(?:\s(?:is|was))?[^\p{{L}}\p{{N}}\s]{{0,2}}\s{{0,2}}[\"']?){_VALUE}",
+        rf"(?<![+/_-])(?=[A-Za-z0-9+/_-]{{16}})(?:(?!{_BEGINNING})[A-Za-z0-9+/_-]){{16,}}+={{0,2}}",
+    ]
+)
 
 FEATURES = [
     "length", "digits", "uppers", "lowers", "transitions", "distinct", "hex", "dictionary",
     "known", "slashes", "joints", "path", "telling", "excusing", "assigned", "quoted",
+    "others", "dots",
 ]
 
 
@@ -60,6 +87,8 @@ def features(before: Column, token: Column, after: Column, trigrams: list[str])
         "known": _flag(token.rlike(KNOWN)),
         "slashes": _share(token, "/"),
         "joints": _share(token, "[_-]"),
+        "others": _share(token, "[^A-Za-z0-9+/_.=-]"),
+        "dots": _share(token, r"\."),
         "path": _flag(before.rlike(r"[/\\.~]$") | token.startswith("/") | after.rlike(r"^\.[a-z]")),
         "telling": _flag(before.rlike(TELLING)),
         "excusing": _flag(before.rlike(EXCUSING)),
@@ -122,6 +151,17 @@ def made_findings(spark: SparkSession, words: list[str], per_kind: int = 200) ->
     def after_text(tail):
         return F.concat(text, F.lit(tail))
 
+    # short passwords, and short plain values
+    digits, sign = F.right("number", F.lit(3)), F.substr(F.lit("!@#$%^*?"), 1 + F.col("size") % 8, F.lit(1))
+    spelled = F.concat(F.initcap(F.left("w6", F.lit(5))), digits, sign, F.initcap(F.left("w7", F.lit(4))), F.left("mixed", F.lit(2)))
+    leet = F.translate(F.initcap(some(6, 2, "")), "eaoi", "3401")
+    leet = F.concat(F.left(leet, F.lit(11)), F.right("number", F.lit(2)))
+    short, plain = F.concat(mixed(5, 8), F.right("number", F.lit(2))), F.rpad("w6", 6 + F.col("size") % 5, "er")
+    payload = [F.concat(F.lit("eyJ"), F.substr(letters, F.lit(k), size(17, 12))) for k in (1, 20)]
+    jwt = F.concat_ws(".", *payload, F.substr(letters, F.lit(40), F.lit(43)))
+    address = F.concat(F.col("w6"), F.lit("@"), F.col("w7"), F.lit("er.com"))
+    day = F.concat(F.lit("20"), F.right("number", F.lit(2)), F.lit("-11-2"), F.substr("number", F.lit(9), F.lit(1)))
+
     camel = F.concat(*[F.initcap(F.col(f"w{i}")) for i in range(6, 10)], F.lit("Handler"))
     kinds = [
         (after_text("password="), hexed(16, 20), close, 1),
@@ -132,6 +172,37 @@ def made_findings(spark: SparkSession, words: list[str], per_kind: int = 200) ->
         (text, F.concat(F.lit("AKIA"), F.upper(mixed(16))), close, 1),
         (text, F.concat(F.lit("ghp_"), mixed(36)), close, 1),
         (after_text("Authorization: Bearer "), F.concat(F.lit("eyJ"), mixed(60, 20)), close, 1),
+        (after_text("password="), spelled, close, 1),
+        (after_text("password: "), leet, close, 1),
+        (after_text("password is "), leet, close, 1),
+        (after_text("pwd "), spelled, close, 1),
+        (after_text('token: "'), spelled, quote, 1),
+        (after_text("passwd="), short, close, 1),
+        (after_text("secret: "), short, close, 1),
+        (after_text("token "), short, close, 1),
+        (after_text("https://www.host.com/v1/"), F.concat(F.lit("ghp_"), mixed(36)), close, 1),
+        (after_text("path/"), F.concat(F.lit("sk-"), mixed(24, 20)), close, 1),
+        (text, jwt, close, 1),
+        (after_text("Authorization: Bearer "), jwt, close, 1),
+        (after_text("token="), jwt, F.concat(F.lit("."), close), 1),
+        (after_text("?jwt="), jwt, close, 1),
+        (after_text("note: "), plain, close, 0),
+        (after_text("name="), plain, close, 0),
+        (after_text('name="'), plain, quote, 0),
+        (after_text("pass "), plain, close, 0),
+        (after_text("secret "), plain, F.concat(F.lit("."), close), 0),
+        (after_text("token "), F.initcap(plain), close, 0),
+        (after_text("private "), plain, F.concat(F.lit(","), close), 0),
+        (after_text("password is "), plain, close, 0),
+        (after_text("auth: "), plain, close, 0),
+        (after_text("secret "), F.concat_ws("-", plain, "w7"), close, 0),
+        (after_text("mail: "), address, close, 0),
+        (after_text("private "), address, close, 0),
+        (after_text("date: "), day, close, 0),
+        (after_text("total="), F.right("number", F.lit(7)), close, 0),
+        (after_text("id="), hexed(8, 6), close, 0),
+        (after_text("name: "), leet, close, 0),
+        (text, F.concat_ws(".", some(6, 4, ""), some(10, 2, ""), some(12, 4, "")), close, 0),
         (text, some(6, 5, ""), close, 0),
         (text, some(6, 7, ""), F.concat(F.lit("."), close), 0),
         (text, F.initcap(some(6, 6, "")), F.lit(","), 0),

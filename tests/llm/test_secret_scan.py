@@ -69,3 +69,23 @@ def test_findings_of_ones_own_and_one_label_only(spark):
     docs = spark.createDataFrame([(1, f"x {HEX}")], "doc_id long, text string")
     assert len(scan.scan(docs, forest, []).first().secrets) == 1
     assert scan.scan(docs.limit(0), forest, []).collect() == []
+
+
+def test_short_joined_and_dotted_secrets(spark, learned):
+    body = "Zk3vQ9xLw27RtBn5Yp8sHc1JdKm4Uf6GaEo0"
+    jwt = f"eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiI{body[:20]}.{body}Qx7_-a"
+    cases = [
+        ("the house password=Sup3rS3cret and that", ["Sup3rS3cret"]),
+        ('there "password": "p@ss!w0rd,9" over', ["p@ss!w0rd,9"]),
+        ("with password is Tr0ub4dor&3x. And", ["Tr0ub4dor&3x"]),
+        ("go ?password=Sup3rS3cret&user=house, and", ["Sup3rS3cret"]),
+        ("private password: H0use#7x$Qz.", ["H0use#7x$Qz"]),
+        (f"see https://host.com/v1/ghp_{body} there", [f"ghp_{body}"]),
+        (f"Authorization: Bearer {jwt}", [jwt]),
+        (f"that {jwt}. And over", [jwt]),
+        ("they pass through and over, private houses; note: something under", []),
+        ("mail: house@under.com and total=1234567, name=underhouse", []),
+    ]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id long, text string")
+    found = {r.doc_id: [r.text[s.start : s.end] for s in r.secrets] for r in scan.scan(docs, *learned).collect()}
+    assert found == {k: want for k, (_, want) in enumerate(cases)}
