@@ -188,10 +188,109 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+MERKLE = f"""
+WITH RECURSIVE digested AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf, {_leaf(_LOWER)} AS lowered,
+    list_reduce(
+      list_prepend(4294967295, list_transform(range(9 * length(CAST(doc_id AS VARCHAR))), lambda i :
+        CASE WHEN i % 9 = 0 THEN ord(substr(CAST(doc_id AS VARCHAR), CAST(i // 9 + 1 AS BIGINT), 1)) ELSE -1 END)),
+      lambda c, x : CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END
+    ) AS crc
+  FROM documents
+), leaves AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS g, leaf,
+    CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN lowered ELSE leaf END AS suspect,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM digested
+), tree AS (
+  SELECT g, 0 AS level, pos, n, leaf AS d FROM leaves
+  UNION ALL
+  SELECT g, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY pos))
+  FROM tree WHERE n > 1 GROUP BY g, level, pos // 16, n
+), subroots AS (
+  SELECT g, d, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1
+), upper_tree AS (
+  SELECT 0 AS level, pos, n, d FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY pos))
+  FROM upper_tree WHERE n > 1 GROUP BY level, pos // 16, n
+), beside AS (
+  SELECT g, level, pos,
+    coalesce(string_agg(d, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(d, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM tree WHERE n > 1 WINDOW w AS (PARTITION BY g, level, pos // 16 ORDER BY pos)
+), upper_beside AS (
+  SELECT level, pos,
+    coalesce(string_agg(d, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(d, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM upper_tree WHERE n > 1 WINDOW w AS (PARTITION BY level, pos // 16 ORDER BY pos)
+), folds AS (
+  SELECT doc_id, g, leaf, pos AS place, 0 AS level, pos, suspect AS d, '' AS proof FROM leaves
+  UNION ALL
+  SELECT doc_id, f.g, leaf, place, f.level + 1, f.pos // 16, sha256(l || d || r), proof || l || r
+  FROM folds f JOIN beside b ON f.g = b.g AND f.level = b.level AND f.pos = b.pos
+), upper_folds AS (
+  SELECT f.doc_id, f.g, leaf, place, s.d AS subroot, 0 AS level, s.pos, f.d, proof
+  FROM folds f JOIN tree t ON f.g = t.g AND f.level = t.level AND t.n = 1 JOIN subroots s ON f.g = s.g
+  UNION ALL
+  SELECT doc_id, g, leaf, place, subroot, f.level + 1, f.pos // 16, sha256(l || d || r), proof || l || r
+  FROM upper_folds f JOIN upper_beside b ON f.level = b.level AND f.pos = b.pos
+)
+SELECT doc_id, leaf, subroot, t.d AS root, sha256(proof) AS proof_sha256, f.d AS folded_root, f.d = t.d AS verified
+FROM upper_folds f JOIN upper_tree t ON t.n = 1 AND f.level = t.level
+"""
+
+_DIGEST = """array_to_string(list_transform(range(32), lambda i : substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  CAST((CAST('0x' || substr(sha1(coalesce(html, '')), CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) % 32 + 1 AS BIGINT), 1)), '')"""
+
+WARC = f"""
+SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, {_DIGEST} AS payload_digest,
+  CASE WHEN page_id = min(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> min(page_id) OVER w THEN min(page_id) OVER w END AS refers_to
+FROM pages WINDOW w AS (PARTITION BY coalesce(html, ''))
+"""
+
+NEGATIVES = """
+WITH usable AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(CAST(embedding AS DOUBLE[]), lambda x : floor(256 * x)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) = list_count(embedding)
+    AND len(list_filter(embedding, lambda x : isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.e) = len(b.e)
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n
+  ON p.anchor = n.anchor AND NOT n.same
+  AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
 ORACLE = {
     "op1_embedding_near_dedup": VECTORS,
     "op2_chat_formatting": CHAT,
     "op3_substring_dedup": LINES,
     "op4_url_filters": URLS,
     "op9_benchmark_decontamination": WINDOWS,
+    "op11_merkle_manifest": MERKLE,
+    "op12_warc": WARC,
+    "op13_hard_negative_mining": NEGATIVES,
 }

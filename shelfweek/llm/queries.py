@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from . import (
     chat_format,
     decontaminate,
+    hard_negatives,
     line_dedup,
+    merkle,
     oracle,
     packing,
     pii,
@@ -17,6 +19,7 @@ from . import (
     simhash,
     url_rules,
     vector_groups,
+    warc,
 )
 
 # fixed values of the queries
@@ -32,6 +35,7 @@ URL_RULES = [
     ("net", "/fr/", "block"),
 ]
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
 def _read(spark, folder, name):
@@ -111,6 +115,31 @@ def op10_pii(spark, folder):
     return pii.report(_read(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark, folder):
+    docs = _read(spark, folder, "documents")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = merkle.digest([lower if c == "text" else F.col(c) for c in LEAF_FIELDS])
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return merkle.manifest(docs, LEAF_FIELDS, F.when(chosen, tampered))
+
+
+def op12_warc(spark, folder):
+    files = warc.write_archives(_read(spark, folder, "pages"), warc.new_folder(spark), least=0)
+    return warc.read_archives(files).select(
+        F.col("source_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to_source_id").cast("long").alias("refers_to"),
+    )
+
+
+def op13_hard_negative_mining(spark, folder):
+    rows = _read(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_chat_formatting": op2_chat_formatting,
@@ -122,5 +151,8 @@ QUERIES = {
     "op8_secret_scans": op8_secret_scans,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_pii": op10_pii,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_warc": op12_warc,
+    "op13_hard_negative_mining": op13_hard_negative_mining,
 }
 ORACLE: dict[str, str] = dict(oracle.ORACLE)

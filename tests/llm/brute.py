@@ -109,3 +109,70 @@ def url_rule(url, rules):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def hard_negatives(rows, is_anchor, scale=256, k=5):
+    """Rows (id, vector or None, label or None) to (anchor, positive, rank, negative, scores)."""
+    own = []
+    for i, v, label in rows:
+        if label is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            own.append((i, [int(np.floor(scale * x)) for x in v], label))
+    out = []
+    for n, (i, v, label) in enumerate(own):
+        if not is_anchor(i):
+            continue
+        scored = [
+            (-sum(x * y for x, y in zip(v, w)), j is None, j, same == label)
+            for m, (j, w, same) in enumerate(own)
+            if m != n and len(w) == len(v)
+        ]
+        scored.sort(key=lambda r: (r[0], r[1], r[2] or 0))
+        for p, _, j, _ in [r for r in scored if r[3]][:k]:
+            fit = [r for r in scored if not r[3] and 80 * -p <= 100 * -r[0] <= 100 * -p]
+            out += [(i, j, rank, r[2], -p, -r[0]) for rank, r in enumerate(fit[:k], 1)]
+    return sorted(out, key=str)
+
+
+def merkle(rows, fields, group, number, suspect):
+    """Per row (a dict): leaf, subroot, root, proof, folded root; everything hashed anew."""
+
+    def field(x):
+        return "-" if x is None else f"{len(str(x).encode())}:{x}"
+
+    def leaf(row):
+        return sha("".join(field(row[c]) for c in fields))
+
+    def up(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            own = levels[-1]
+            levels.append([sha("".join(own[k : k + 16])) for k in range(0, len(own), 16)])
+        return levels
+
+    def proof(levels, k):
+        out = []
+        for own in levels[:-1]:
+            first = k // 16 * 16
+            out.append((own[first:k], own[k + 1 : first + 16]))
+            k //= 16
+        return out
+
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[group], []).append(row)
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {}
+    for name in names:
+        groups[name].sort(key=lambda r: ((r[number] is not None, r[number] or 0), leaf(r)))
+        trees[name] = up([leaf(r) for r in groups[name]])
+    top = up([trees[name][-1][0] for name in names])
+    out = []
+    for at, name in enumerate(names):
+        for k, row in enumerate(groups[name]):
+            path = proof(trees[name], k) + proof(top, at)
+            folded = suspect(row, leaf) or leaf(row)
+            for left, right in path:
+                folded = sha("".join(left) + folded + "".join(right))
+            siblings = "".join("".join(left + right) for left, right in path)
+            out.append((row[number], leaf(row), trees[name][-1][0], top[-1][0], sha(siblings), folded, folded == top[-1][0]))
+    return out

@@ -21,8 +21,8 @@ def test_equals_sql(spark, name):
     assert sorted_rows(df.columns, df.collect()) == sorted_rows(columns, found.fetchall())
 
 
-def test_ten_queries_and_a_pipeline():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+def test_thirteen_queries_and_a_pipeline():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     import __spark_entry__
 
     assert {"pipeline", *queries.QUERIES} <= set(__spark_entry__.queries())
