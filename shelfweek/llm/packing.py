@@ -15,6 +15,8 @@ from __future__ import annotations
 import os
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +41,9 @@ SPARE = 0.0005
 OPENED = 8
 
 _ENCODED_AT_ONCE = 256
-_BYTES_AT_ONCE = 2 << 20
+_BYTES_AT_ONCE = 4 << 20
 #: Pieces whose ids a task remembers before it starts afresh.
-_REMEMBERED = 1 << 18
+_REMEMBERED = 1 << 19
 
 _SPACE, _LETTER, _NUMBER, _SYMBOL = range(4)
 
@@ -141,8 +143,11 @@ class WordEncoder:
         """Ids, and where each piece's ids start among them and how many they are."""
         if len(self.known) > _REMEMBERED:
             self._forget()
-        self._learn([p for p in pieces if p not in self.known])
-        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        at = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self._learn([pieces[k] for k in new.tolist()])
         return self.ids, self.starts[at], self.lengths[at]
 
     def latin(self, offsets: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -428,11 +433,12 @@ def pack(pieces: DataFrame, capacity: int = 2048, province: int = PROVINCE) -> D
     Needs a column ``length`` (1 to capacity) and a column ``_row`` that tells pieces apart.
     An empty table gives an empty result.
     """
-    full = pieces.where(F.col("length") == capacity).select(
-        "_row", F.col("_row").alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+    # a piece that fills a sequence has its place: it goes past the join
+    full = pieces.where(F.col("length") == capacity).withColumns(
+        {"sequence_id": F.col("_row"), "offset": F.lit(0).cast("long")}
     )
     items = pieces.where(F.col("length") < capacity).select("_row", "length")
-    done, held, count, round_no = [full], None, items.count(), 0
+    done, held, count, round_no = [], None, items.count(), 0
     while count:
         provinces = -(-count // province)
         found = settle(_unpacked(_best_packings(items, provinces, capacity), round_no, capacity))
@@ -441,7 +447,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, province: int = PROVINCE) -> D
             break  # opening these sequences again did not help: they stay as they were
         drawn = F.pmod(F.xxhash64("sequence_id"), F.lit(OPENED)) == 0
         opened = (F.col("fill") < capacity * (1 - SPARE)) | drawn
-        if held is not None:
+        if done:
             done.pop()
         done += [found.where(~opened), found.where(opened)]
         if provinces == 1:
@@ -449,10 +455,12 @@ def pack(pieces: DataFrame, capacity: int = 2048, province: int = PROVINCE) -> D
         items = found.where(opened).select("_row", "length")
         held = found.where(opened & (F.col("offset") == 0)).count()
         count, round_no = items.count(), round_no + 1
-    placed = full
-    for part in done[1:]:
-        placed = placed.union(part.select("_row", "sequence_id", "offset"))
-    return pieces.join(placed, "_row").drop("_row")
+    if not done:
+        return full.drop("_row")
+    parts = [part.select("_row", "sequence_id", "offset") for part in done]
+    placed = reduce(DataFrame.union, parts)
+    rest = pieces.where(F.col("length") < capacity).join(placed, "_row")
+    return rest.unionByName(full).drop("_row")
 
 
 def packed_documents(

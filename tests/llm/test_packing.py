@@ -96,3 +96,30 @@ def test_crossover_keeps_every_piece_once():
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert packing.packed_documents(empty, VOCABULARY).collect() == []
+
+
+def fewest(lengths, capacity):
+    """The least number of sequences, by all subsets."""
+    full = (1 << len(lengths)) - 1
+    fits = [s for s in range(1, full + 1) if sum(n for k, n in enumerate(lengths) if s >> k & 1) <= capacity]
+    least = {0: 0}
+    for s in range(1, full + 1):
+        first = s & -s
+        least[s] = 1 + min(least[s ^ t] for t in fits if t & first and t & s == t)
+    return least[full]
+
+
+def test_as_few_sequences_as_brute_force(spark):
+    rng = np.random.default_rng(8)
+    for case in range(6):
+        lengths = [int(n) for n in rng.integers(1, 21, 9)] + [20] * (case % 3)
+        df = spark.createDataFrame(list(enumerate(lengths)), "_row long, length long")
+        found = packing.pack(df.selectExpr("_row", "_row AS own", "length"), capacity=20).collect()
+        assert sorted((r.own, r.length) for r in found) == list(enumerate(lengths))
+        assert check_sequences(found, 20) == fewest(lengths, 20)
+
+
+def test_only_pieces_that_fill_a_sequence(spark):
+    df = spark.createDataFrame([(k, 8) for k in range(5)], "_row long, length long")
+    found = packing.pack(df.selectExpr("_row", "_row AS own", "length"), capacity=8).collect()
+    assert {(r.own, r.offset) for r in found} == {(k, 0) for k in range(5)} and check_sequences(found, 8) == 5
