@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import settle
+from .scratch import numbered, settle
 
 #: Shorter units repeat by chance and are left alone.
 LINE_WORDS = 4
@@ -133,15 +133,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     Null text counts as empty and stays null. Equal ids: the row read first keeps the unit.
     Null ids rank last. Repeats within one document go too. Other columns are not read.
-    ``docs`` must read the same rows in the same order each time, as a table does: rows are
-    numbered twice rather than written with their texts.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("_row"),
-        F.col(id_col).alias("_id"),
-        F.col(text_col).cast("string").alias("_text"),
-    )
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    rows = numbered(rows).select("_row", "_id", "_text")
     spans = (
         repeats(rows, kind)
         .groupBy("_row")

@@ -7,11 +7,18 @@ import pickle
 from collections.abc import Callable
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfweek.sinks.files import settle
 
-__all__ = ["sent", "settle"]
+__all__ = ["numbered", "sent", "settle"]
+
+
+def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
+    """``df`` with a number for every row, settled: two reads of a table may be cut into
+    partitions differently, and numbers given anew would then fall on other rows."""
+    return settle(df.withColumn(name, F.monotonically_increasing_id()))
 
 
 def sent(spark: SparkSession, thing) -> Callable:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import Forest, components
-from .scratch import settle
+from .scratch import numbered, settle
 
 #: Fingerprints in a trie node that is handed to a task, at most (but at full depth).
 LEAF = 2048
@@ -211,13 +211,10 @@ def trie_links(fps: DataFrame, budget: int = 2, leaf: int = LEAF, stride: int =
     return out
 
 
-def _grouped(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
-    """(_row, _id, fp, first): ``first`` is the row ranked first of all reachable ones, as
-    (null id?, _id, _row)."""
-    rows = docs.select(
-        F.struct(F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_row")).alias("_own"),
-        F.col(text_col).alias("_text"),
-    )
+def _grouped(rows: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """(_row, _id, fp, first) of rows (_row, _id, _text): ``first`` is the row ranked first of
+    all reachable ones, as (null id?, _id, _row)."""
+    rows = rows.select(F.struct("_id", "_row").alias("_own"), "_text")
     prints = fingerprints(rows, shingle, "_own", "_text").select("_own._id", "_own._row", "fp")
     prints = settle(prints)
     rank = F.struct(F.col("_id").isNull().alias("n"), "_id", "_row")
@@ -241,7 +238,10 @@ def near_duplicates(
     a component has no other: then it is null. Other columns are not read. An empty table
     gives an empty result. Equal fingerprints are one entry of the trie.
     """
-    return _grouped(docs, shingle, max_bits, id_col, text_col).select(
+    # numbered in the one read that the fingerprints are written from
+    number = F.monotonically_increasing_id().alias("_row")
+    rows = docs.select(number, F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    return _grouped(rows, shingle, max_bits).select(
         F.col("_id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("first._id").alias("component_id"),
@@ -252,9 +252,14 @@ def one_of_each(
     docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Of each group of near duplicates the row with the smallest id (a null id only where
-    there is no other; the row read first among equals), all its columns as they are.
-    ``docs`` must read the same rows in the same order each time, as a table does."""
-    groups = _grouped(docs, shingle, max_bits, id_col, text_col)
+    there is no other; the row read first among equals), all its columns as they are. The
+    rows are written once, numbered."""
+    rows = numbered(docs.select(F.struct("*").alias("_own")))
+    own = F.col("_own")
+    groups = _grouped(
+        rows.select("_row", own.getField(id_col).alias("_id"), own.getField(text_col).alias("_text")),
+        shingle,
+        max_bits,
+    )
     gone = groups.where("_row <> first._row").select("_row")
-    numbered = docs.select(F.struct("*").alias("_own"), F.monotonically_increasing_id().alias("_row"))
-    return numbered.join(gone, "_row", "left_anti").select("_own.*")
+    return rows.join(gone, "_row", "left_anti").select("_own.*")

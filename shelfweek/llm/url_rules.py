@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import settle
+from .scratch import numbered, settle
 
 #: Rows of a range partition, about.
 PARTITION_ROWS = 50_000
@@ -101,14 +101,11 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     fitting rule ``rule`` is null and ``verdict`` is ``default``. Of rules with equal host and
     path the verdict last in order wins. Rules with a null or an empty host fit nothing; a
     null path is empty. Rule hosts are lower-cased as URLs' are. Repeated rows stay rows of
-    their own. ``urls`` must read the same rows in the same order each time, as a table does.
+    their own. All columns of ``urls`` are written once; select those that are needed before.
     """
-    numbered = urls.select(F.struct("*").alias("_own"), F.monotonically_increasing_id().alias("_row"))
-    numbered = numbered.select(
-        "_own", "_row", F.col("_own").getField(url_col).cast("string").alias("_url")
-    )
-    host, path = host_and_path(F.col("_url"))
-    parted = numbered.select("_own", "_row", host.alias("host"), path.alias("path"))
+    rows = numbered(urls.select(F.struct("*").alias("_own")))
+    host, path = host_and_path(F.col("_own").getField(url_col).cast("string"))
+    parted = rows.select("_own", "_row", host.alias("host"), path.alias("path"))
     probes = parted.select(
         host_key(F.col("host")).alias("key"),
         "path",
