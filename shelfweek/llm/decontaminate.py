@@ -150,6 +150,7 @@ class Windows:
 
 def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list]:
     rows = items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
+    rows = settle(rows.distinct())  # equal items would all fall into one block
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     count = -(-size // BLOCK_BYTES) or 1
     for k in range(count):
@@ -240,6 +241,7 @@ def contamination(
     id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",
+    item_text_col: str = "text",
 ) -> DataFrame:
     """(id_col, n_words, n_hit, items, spans) per row of ``docs``.
 
@@ -257,7 +259,7 @@ def contamination(
         F.col(id_col).alias("_id"),
         F.col(text_col).cast("string").alias("_text"),
     )
-    items = benchmark.select(F.col(item_col).alias("_item"), F.col(text_col).alias("_text"))
+    items = benchmark.select(F.col(item_col).alias("_item"), F.col(item_text_col).alias("_text"))
     found = []
     for block in _blocks(items, "_item", "_text"):
         if len(found) == 1:
@@ -287,11 +289,16 @@ def contamination(
 
 
 def clean(
-    docs: DataFrame, benchmark: DataFrame, width: int = 10, text_col: str = "text", item_col: str = "item_id"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    width: int = 10,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` without any occurrence of a window, all their columns as they
     are. A filter for each block of the benchmark; no row leaves its task."""
-    items = benchmark.select(F.col(item_col).alias("_item"), F.col("text").alias("_text"))
+    items = benchmark.select(F.col(item_col).alias("_item"), F.col(item_text_col).alias("_text"))
     texts = docs.select(F.col(text_col).cast("string").alias("_text"))
     for block in _blocks(items, "_item", "_text"):
         windows = Windows(block, width)

@@ -17,7 +17,7 @@ from operator import eq
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrow_text import raw, text_slices
@@ -31,6 +31,8 @@ REPEATS = (2, 3, 4, 6, 8, 16)
 #: Labelled rows a model is fitted on, at most, of each class; those with the smallest hash
 #: of their id. Everything else covers all rows.
 PER_CLASS = 2000
+#: Different texts under one labelled id, at most; those with the smallest hash.
+PER_ID = 4
 #: Bytes of a text looked at together.
 STRETCH = 1 << 20
 
@@ -169,7 +171,8 @@ def in_held_out_fold(id_column):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality") -> Model:
-    """Fit on labelled rows outside the held-out fold, at most PER_CLASS ids of each class.
+    """Fit on labelled rows outside the held-out fold, at most PER_CLASS ids of each class and
+    PER_ID different texts of each id.
     Contradicting labels of an id count as its lowest; null and other labels not at all."""
     chosen, totals = _training_ids(labels, id_col, label_col, in_held_out_fold)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
@@ -202,7 +205,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
         ).astype("<f8")
         yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()])], ["model"])
 
-    grams = rows.mapInArrow(read, "_id string, _y int, grams binary")
+    grams = rows.mapInArrow(read, "_id string, _y int, grams binary").distinct()
+    place = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("grams"), "grams"))
+    grams = grams.withColumn("_place", place).where(F.col("_place") <= PER_ID).drop("_place")
     # the bounded sample meets in one task; one row comes back
     fitted = grams.repartition(1).mapInArrow(learn, "model binary").collect()
     numbers = np.frombuffer(fitted[0].model, "<f8") if fitted else None

@@ -51,3 +51,15 @@ def test_empty_tables(spark):
     assert decontaminate.contamination(docs.limit(0), items).collect() == []
     assert decontaminate.clean(docs, none).count() == 1
     assert decontaminate.clean(docs, items).count() == 0
+
+
+def test_copies_of_an_item_are_one_row_of_a_block(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 200)
+    items = [(1, "red green blue cyan")] * 60 + [(k, f"alpha beta gamma d{k}") for k in range(2, 30)]
+    bench = spark.createDataFrame(items, "item_id long, body string")
+    blocks = list(decontaminate._blocks(bench, "item_id", "body"))
+    assert sorted(r for b in blocks for r in b) == sorted({(str(i), t) for i, t in items})
+    docs = spark.createDataFrame([(1, "a red green blue cyan b"), (2, "alpha beta")], "doc_id long, text string")
+    found = decontaminate.contamination(docs, bench, item_text_col="body").collect()
+    assert {(r.doc_id, r.n_hit, tuple(r["items"])) for r in found} == {(1, 4, ("1",)), (2, 0, ())}
+    assert [r.doc_id for r in decontaminate.clean(docs, bench, item_text_col="body").collect()] == [2]

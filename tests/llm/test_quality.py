@@ -86,3 +86,16 @@ def test_dual_descent_reaches_the_margin():
     weights, bias = quality.dual_descent(rows, values, labels, np.full(60, 10.0), rounds=200)
     margins = np.array([weights[r].sum() + bias for r in rows]) * (2 * labels - 1)
     assert margins.min() > 0.95
+
+
+def test_an_id_with_very_many_texts_is_learned_from_a_few(spark, monkeypatch):
+    rows = [(1, f"good {k} words here") for k in range(40)] + [(k, "bad spam spam") for k in range(2, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k == 1)) for k in range(1, 9)], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "PER_ID", 3)
+    held = [k for k in range(1, 9) if zlib.crc32(str(k).encode()) % 5 == 0]
+    model = quality.train(docs, labels)
+    scores = {r.doc_id: r.score for r in quality.scores(docs, model, 0.3).collect()}
+    assert 1 not in held and scores[1] > scores[2]
+    again = quality.train(docs.union(docs.where("doc_id = 1")), labels)
+    assert (again.weights == model.weights).all()
