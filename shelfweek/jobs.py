@@ -15,13 +15,14 @@ neither is guessed from a name. Raw sales lines are CSV.
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfweek import schemas
 from shelfweek.functions import dates
-from shelfweek.operators import arima, columns, dashboard, filters, ranking, rollups
+from shelfweek.operators import arima, columns, dashboard, filters, observed, ranking, rollups
 from shelfweek.plans import stages
 from shelfweek.session import build_session
 from shelfweek.sinks import files as sinks
@@ -37,9 +38,33 @@ def ingest(
     years: int = 3,
     target_format: str = "parquet",
     fail_on_bad: bool = False,
-):
-    sales = sources.read_sales(spark, source, fail_on_bad=fail_on_bad)
-    sinks.write_sales_small(stages.recent_sales(sales, years), target, target_format)
+    broken: str | None = None,
+    report: str | None = None,
+) -> dict[str, int]:
+    """Counts of lines read, broken, undated and unreadable, and of rows written, taken while
+    the job runs. Broken lines, if there are any, are kept aside in ``broken``."""
+    schema = schemas.SALES_RAW
+    texts = sources.read_texts(spark, source, schema)
+    counted, seen = observed.watched(texts, observed.line_counts(schema, sources.BROKEN))
+    # the newest date is looked up apart, or its rows would be counted as well
+    plain = sources.whole_lines(texts)
+    newest = filters.max_value(plain, dates.parse_us_date("date"))
+    sales = sources.typed(sources.whole_lines(counted, fail_on_bad), schema, fail_on_bad)
+    kept, rows = observed.watched(
+        stages.recent_sales(sales, years, newest), {"written": F.count(F.lit(1))}
+    )
+    sinks.write_sales_small(kept, target, target_format)
+    counts = seen.get | rows.get
+    if broken and counts["broken"]:
+        sinks.write_dataset(sources.broken_lines(spark, source, schema), broken)
+    return _reported(spark, "ingest", counts, report)
+
+
+def _reported(spark: SparkSession, stage: str, counts: dict, path: str | None) -> dict[str, int]:
+    if path:
+        columns_of = [F.lit(v).alias(k) for k, v in {"stage": stage, **counts}.items()]
+        sinks.write_dataset(spark.range(1).select(*columns_of), path)
+    return counts
 
 
 def profile(spark: SparkSession, source: str, target: str, target_format: str = "parquet"):
@@ -53,7 +78,9 @@ def profile(spark: SparkSession, source: str, target: str, target_format: str =
             sales, {"store_number": "n_stores", "category_name": "n_categories"}
         ),
         "unreadable": columns.value_audit(
-            sources.read_texts(spark, source, schemas.SALES_RAW), schemas.SALES_RAW
+            sources.read_texts(spark, source, schemas.SALES_RAW),
+            schemas.SALES_RAW,
+            broken=sources.BROKEN,
         ),
     }
     for name, table in tables.items():
@@ -75,10 +102,13 @@ def prepare(
     fill_gaps: bool = False,
     source_format: str = "parquet",
     target_format: str = "parquet",
-):
-    sales = _small(spark, source, source_format)
+    report: str | None = None,
+) -> dict[str, int]:
+    """Counts of rows read and of those without a date, which are dropped."""
+    sales, seen = observed.watched(_small(spark, source, source_format), observed.dated_counts())
     weekly = stages.weekly_relation(sales, fill_gaps, parsed=True)
     sinks.write_dataset(weekly.select(*schemas.WEEKLY.fieldNames()), target, target_format)
+    return _reported(spark, "prepare", seen.get, report)
 
 
 def select_series(
@@ -168,6 +198,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--target", default=sources.dataset_path(small=True))
     p.add_argument("--years", type=int, default=3)
     p.add_argument("--fail-on-bad", action="store_true")
+    p.add_argument("--broken")
+    p.add_argument("--report")
     _formats(p, None, "parquet")
 
     p = stage.add_parser("profile")
@@ -179,6 +211,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--source", default=sources.dataset_path(small=True))
     p.add_argument("--target", required=True)
     p.add_argument("--fill-gaps", action="store_true")
+    p.add_argument("--report")
     _formats(p, "parquet", "parquet")
 
     p = stage.add_parser("forecast")
@@ -211,7 +244,9 @@ def main(argv: list[str] | None = None) -> None:
 
     options = vars(parser.parse_args(argv))
     commands = {f.__name__: f for f in (ingest, profile, prepare, forecast, monthly, select)}
-    commands[options.pop("stage")](build_session(), **options)
+    counts = commands[options.pop("stage")](build_session(), **options)
+    if counts is not None:
+        print(json.dumps(counts))
 
 
 if __name__ == "__main__":

@@ -59,9 +59,17 @@ def readable_value(column: str, kind: T.DataType) -> Column:
     return value
 
 
-def value_audit(texts: DataFrame, schema: T.StructType, date: str | None = "date") -> DataFrame:
+def value_audit(
+    texts: DataFrame,
+    schema: T.StructType,
+    date: str | None = "date",
+    broken: str | None = None,
+) -> DataFrame:
     """Per column of a schema how many text values are missing and how many cannot be read;
-    ``date`` names a text column that should hold month/day/year dates. One pass."""
+    ``date`` names a text column that should hold month/day/year dates. ``broken`` names a
+    column that holds lines that are broken: a row ``(line)`` counts all lines and the broken
+    ones, and the columns are judged by the others. One pass."""
+    whole = F.lit(True) if broken is None else F.col(broken).isNull()
 
     def counts(field):
         value = readable_value(field.name, field.dataType)
@@ -69,18 +77,29 @@ def value_audit(texts: DataFrame, schema: T.StructType, date: str | None = "date
             value = dates.parse_us_date(field.name)
         text = F.col(field.name)
         return [
-            F.count_if(text.isNull()).alias(f"{field.name}_missing"),
-            F.count_if(text.isNotNull() & value.isNull()).alias(f"{field.name}_unreadable"),
+            F.count_if(whole & text.isNull()).alias(f"{field.name}_missing"),
+            F.count_if(whole & text.isNotNull() & value.isNull()).alias(
+                f"{field.name}_unreadable"
+            ),
         ]
 
-    sums = texts.agg(F.count("*").alias("_rows"), *[c for f in schema for c in counts(f)])
-    rows = [
-        F.struct(
-            F.lit(f.name).alias("column_name"),
-            F.col("_rows").alias("row_count"),
-            F.col(f"{f.name}_missing").alias("missing"),
-            F.col(f"{f.name}_unreadable").alias("unreadable"),
+    sums = texts.agg(
+        F.count("*").alias("_rows"),
+        F.count_if(whole).alias("_whole"),
+        *[c for f in schema for c in counts(f)],
+    )
+
+    def row(name, *values):
+        names = ("row_count", "missing", "unreadable")
+        return F.struct(
+            F.lit(name).alias("column_name"), *[v.alias(n) for v, n in zip(values, names)]
         )
+
+    rows = [
+        row(f.name, F.col("_whole"), F.col(f"{f.name}_missing"), F.col(f"{f.name}_unreadable"))
         for f in schema
     ]
+    if broken is not None:
+        none = F.lit(0).cast("long")
+        rows.append(row("(line)", F.col("_rows"), none, F.col("_rows") - F.col("_whole")))
     return sums.select(F.inline(F.array(*rows)))

@@ -17,10 +17,17 @@ def max_value(df: DataFrame, value: str | Column) -> Column:
     return df.agg(F.max(c)).scalar()
 
 
-def trailing_years(df: DataFrame, years: int = 3, date: str | Column = "date_parsed") -> DataFrame:
-    """Rows no older than ``years`` before the newest date, that day included."""
+def trailing_years(
+    df: DataFrame,
+    years: int = 3,
+    date: str | Column = "date_parsed",
+    newest: Column | None = None,
+) -> DataFrame:
+    """Rows no older than ``years`` before the newest date, that day included; ``newest`` may
+    pass that date as a scalar found elsewhere."""
     d = F.col(date) if isinstance(date, str) else date
-    return df.filter(d >= dates.years_before(max_value(df, d), years))
+    newest = max_value(df, d) if newest is None else newest
+    return df.filter(d >= dates.years_before(newest, years))
 
 
 def category_ids(df: DataFrame, category_name: str) -> DataFrame:

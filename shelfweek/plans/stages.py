@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from shelfweek.operators import arima, ranking, rollups, series
 from shelfweek.operators.columns import add_calendar
@@ -10,9 +10,9 @@ from shelfweek.operators.filters import trailing_years
 from shelfweek.sinks.files import settle
 
 
-def recent_sales(sales: DataFrame, years: int = 3) -> DataFrame:
+def recent_sales(sales: DataFrame, years: int = 3, newest: Column | None = None) -> DataFrame:
     """Lines of the trailing years with calendar columns."""
-    return trailing_years(add_calendar(sales), years, "date_parsed")
+    return trailing_years(add_calendar(sales), years, "date_parsed", newest)
 
 
 def weekly_sums(sales: DataFrame, date: str = "date", parsed: bool = False) -> DataFrame:

@@ -204,3 +204,86 @@ def test_unreadable_values_are_counted_or_fail(spark, tmp_path):
     ]
     with pytest.raises(Exception, match="unreadable store_number: A12"):
         sources.read_sales(spark, str(path), fail_on_bad=True).select("store_number").collect()
+
+
+HEADER = ["store_number", "date", "category", "category_name", "sale_dollars", "volume_sold_liters"]
+
+
+def write_csv(path, header, rows):
+    path.write_text("\n".join([",".join(header), *[",".join(r) for r in rows]]) + "\n")
+
+
+def test_every_file_of_a_folder_is_read_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "sales folder"
+    folder.mkdir()
+    line = ["11", "08/28/2022", "7", "x", "1.5", "2.5"]
+    write_csv(folder / "a.csv", HEADER, [line])
+    write_csv(folder / "b.csv", HEADER[::-1], [["3.5", "4.5", "y", "8", "08/29/2022", "12"]])
+    # two columns of numbers swapped, one more column, names in other case
+    swapped = ["Extra", "STORE_NUMBER", "Date", "category", "category_name", "volume_sold_liters", "sale_dollars"]
+    write_csv(folder / "c.csv", swapped, [["e", "13", "08/30/2022", "9", "z", "5.5", "6.5"]])
+    (folder / "empty.csv").write_text("")
+    (folder / "d.csv").write_text("﻿" + ",".join(HEADER) + "\n14,08/31/2022,1,w,7.5,8.5\n")
+    got = {r.store_number: tuple(r)[1:] for r in sources.read_sales(spark, str(folder)).collect()}
+    assert got == {
+        11: ("08/28/2022", 7, "x", 1.5, 2.5),
+        12: ("08/29/2022", 8, "y", 4.5, 3.5),
+        13: ("08/30/2022", 9, "z", 6.5, 5.5),
+        14: ("08/31/2022", 1, "w", 7.5, 8.5),
+    }
+
+
+def test_a_file_without_a_column_or_with_two_is_named(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", HEADER, [["1"] * 6])
+    write_csv(tmp_path / "b.csv", HEADER[:-1], [["1"] * 5])
+    with pytest.raises(ValueError, match="b.csv: no column volume_sold_liters"):
+        sources.read_sales(spark, str(tmp_path))
+    write_csv(tmp_path / "b.csv", [*HEADER, "DATE"], [["1"] * 7])
+    with pytest.raises(ValueError, match="b.csv: several columns date"):
+        sources.read_sales(spark, str(tmp_path))
+
+
+def test_packed_files_and_empty_ones(spark, tmp_path):
+    import gzip
+
+    with gzip.open(tmp_path / "a.csv.gz", "wt") as f:
+        f.write(",".join(HEADER[::-1]) + "\n1.0,2.0,x,7,08/28/2022,5\n")
+    assert sources.read_sales(spark, str(tmp_path)).first().store_number == 5
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "x.csv").write_text("\n")
+    empty = sources.read_sales(spark, str(tmp_path / "none"))
+    assert empty.columns == HEADER and empty.collect() == []
+    assert sources.broken_lines(spark, str(tmp_path / "none"), schemas.SALES_RAW).collect() == []
+
+
+BROKEN_TEXT = """store_number,date,category,category_name,sale_dollars,volume_sold_liters
+11,08/28/2022,7,x,1.5,2.5
+12,08/28/2022
+13,08/28/2022,7,x,1.5,2.5,9
+14,08/28/2099,7,"x, y
+15,08/28/2022,7,"x, y",1.5,n/a
+"""
+
+
+def test_broken_lines_are_kept_aside_counted_or_fail(spark, tmp_path):
+    path = tmp_path / "sales"
+    path.mkdir()
+    (path / "broken.csv").write_text(BROKEN_TEXT)
+    write_csv(path / "good.csv", HEADER[::-1], [["3.5", "4.5", "y", "8", "08/29/2022", "16"]])
+    read = sources.read_sales(spark, str(path))
+    assert sorted(r.store_number for r in read.collect()) == [11, 15, 16]
+    # however few columns are asked for
+    assert read.select("category").count() == 3 == read.count()
+    aside = sources.broken_lines(spark, str(path), schemas.SALES_RAW).collect()
+    assert {r.file.rsplit("/")[-1] for r in aside} == {"broken.csv"}
+    assert sorted(r.line for r in aside) == ["12,08/28/2022", "13,08/28/2022,7,x,1.5,2.5,9", '14,08/28/2099,7,"x, y']
+    texts = sources.read_texts(spark, str(path), schemas.SALES_RAW)
+    audit = columns.value_audit(texts, schemas.SALES_RAW, broken=sources.BROKEN)
+    got = {r[0]: tuple(r)[1:] for r in audit.collect()}
+    assert got["(line)"] == (6, 0, 3) and got["store_number"] == (3, 0, 0)
+    assert got["volume_sold_liters"] == (3, 0, 1)
+    assert texts.filter(f"{sources.BROKEN} IS NOT NULL").count() == 3
+    with pytest.raises(Exception, match="broken line: 1"):
+        sources.read_sales(spark, str(path), fail_on_bad=True).collect()
+    with pytest.raises(Exception, match="broken line: 1"):
+        sources.read_csv(spark, str(path), schemas.SALES_RAW).collect()

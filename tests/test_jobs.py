@@ -80,3 +80,41 @@ def test_selection_of_series(weekly_of):
             jobs.select_series(weekly, *clash)
     with pytest.raises(ValueError, match="horizon"):
         jobs.forecast(None, "x", "y", horizon=0)
+
+
+def test_counts_are_taken_while_the_jobs_run(spark, tmp_path, capsys):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.csv").write_text(
+        "store_number,date,category,category_name,sale_dollars,volume_sold_liters\n"
+        "1,08/28/2022,7,x,1.5,2.5\n2,08/30/2022,7,x,$3,2.5\n3,,7,x,1.5,2.5\n"
+        "4,02/30/2022,7,x,1.5,2.5\n5,08/28/2010,7,x,1.5,2.5\n6,08/28/2099\n"
+    )
+    (raw / "b.csv").write_text(
+        "volume_sold_liters,sale_dollars,category_name,category,date,store_number\n2,1,x,7,08/29/2022,9\n"
+    )
+    small, weekly, aside = (str(tmp_path / n) for n in ("small", "weekly", "aside"))
+    jobs.main(["ingest", "--source", str(raw), "--target", small, "--broken", aside, "--report", str(tmp_path / "r")])
+    want = {
+        "lines": 7,
+        "broken": 1,
+        "undated": 1,
+        "unreadable_date": 1,
+        "unreadable_store_number": 0,
+        "unreadable_category": 0,
+        "unreadable_sale_dollars": 1,
+        "unreadable_volume_sold_liters": 0,
+        "written": 3,
+    }
+    import json
+
+    assert json.loads(capsys.readouterr().out.splitlines()[-1]) == want
+    assert spark.read.parquet(str(tmp_path / "r")).first().asDict() == want | {"stage": "ingest"}
+    assert [r.line for r in spark.read.parquet(aside).collect()] == ["6,08/28/2099"]
+    assert spark.read.parquet(small).count() == 3
+    assert jobs.prepare(spark, small, weekly) == {"lines": 3, "undated": 0}
+    text = tmp_path / "text.csv"
+    text.write_text("store_number,date,category,category_name,sale_dollars,volume_sold_liters\n1,x,7,x,1,1\n2,08/28/2022,7,x,1,1\n")
+    assert jobs.prepare(spark, str(text), weekly, source_format="csv") == {"lines": 2, "undated": 1}
+    none = jobs.ingest(spark, str(text), small, broken=str(tmp_path / "none"))
+    assert none["broken"] == 0 and not (tmp_path / "none").exists()
