@@ -435,6 +435,34 @@ stores AS (SELECT *, '' AS category_name, store_number AS srl_num FROM months),
 SELECT srl_num AS store_number, CAST(last_date + to_months(CAST(k AS INTEGER)) AS DATE) AS "Date", {AHEAD}
 FROM ahead WHERE k > 0 GROUP BY 1, 2"""
 
+HOLDOUT = f"""{numbered('nation')}, backs AS (
+  SELECT *, row_number() OVER (PARTITION BY srl_num ORDER BY date DESC) AS back,
+    count(*) OVER (PARTITION BY srl_num) AS rows_of FROM numbered),
+kept AS (SELECT * EXCLUDE (back, rows_of) FROM backs WHERE rows_of >= 12 AND back > 8),
+held AS (SELECT *, 9 - back AS step FROM backs WHERE rows_of >= 12 AND back <= 8),
+{differences(52, 'kept')}, {search()}, {steps_ahead(8)},
+tails AS (SELECT srl_num, target, list(y ORDER BY date DESC) AS ys FROM long GROUP BY 1, 2),
+actual AS (
+  SELECT store_number, category_name, srl_num, 'sales' AS target, step, total_sales AS y FROM held
+  UNION ALL SELECT store_number, category_name, srl_num, 'volume', step, total_volume_sold FROM held)
+SELECT r.store_number, r.category_name, r.srl_num, r.target, CAST(count(*) AS INTEGER) AS n_weeks,
+  round(avg(abs(r.y - a.value)), 1) AS mae_additive,
+  round(avg(abs(r.y - ys[1])), 1) AS mae_naive,
+  round(avg(abs(r.y - CASE WHEN len(ys) >= 52 THEN ys[53 - step] ELSE ys[1] END)), 1) AS mae_seasonal_naive
+FROM actual r JOIN ahead a ON r.srl_num = a.srl_num AND r.target = a.target AND a.k = r.step
+  JOIN tails t ON r.srl_num = t.srl_num AND r.target = t.target GROUP BY 1, 2, 3, 4"""
+
+CSV_AUDIT = f"""{sales()}, marked AS (
+  SELECT *, category_name = 'PROMO' AND volume_sold_liters = 7 AS broken FROM lines)
+SELECT '(line)' AS column_name, count(*) AS row_count, CAST(0 AS BIGINT) AS missing,
+  count(*) FILTER (broken) AS unreadable FROM marked
+UNION ALL
+SELECT name, count(*), count(*) FILTER (name = 'store_number' AND volume_sold_liters = 12),
+  count(*) FILTER (name = 'sale_dollars' AND volume_sold_liters = 9
+    OR name = 'date' AND volume_sold_liters = 11)
+FROM marked, (SELECT unnest([{', '.join(f"'{c}'" for c in RAW.split(', '))}]) AS name)
+WHERE NOT broken GROUP BY name"""
+
 DRIFT = f"WITH fc AS ({closed_form('drift')})"
 
 SUMS = f"""{total('sale_dollars')} AS total_sales,
@@ -458,6 +486,7 @@ FROM (SELECT unnest([{', '.join(f"'{c}'" for c in ('store_number', 'date', 'cate
   unnest([CAST(store_number AS VARCHAR), date, CAST(category AS VARCHAR), category_name,
     CAST(sale_dollars AS VARCHAR), CAST(volume_sold_liters AS VARCHAR)]) AS value FROM lines)
 GROUP BY 1""",
+    "csv_audit": CSV_AUDIT,
     "week_start": f"""{sales()}
 SELECT d AS date, {week('d')} AS week, count(*) AS row_count FROM parsed GROUP BY 1, 2""",
     "quarter_label": f"""{sales()}
@@ -475,6 +504,10 @@ WHERE category IN (SELECT category FROM parsed WHERE category_name = 'PROMO') GR
 SELECT * FROM weekly WHERE date = (SELECT max(date) FROM weekly)""",
     "active_series": f"{active()} SELECT * FROM active",
     "active_series_join": f"{active()} SELECT * FROM active",
+    "active_series_bucketed": f"{active()} SELECT * FROM active",
+    "weekly_refresh": f"{sales()}, {WEEKLY} SELECT * FROM weekly",
+    "stored_limits": f"""{sales()}, {WEEKLY}
+SELECT min(date) AS first, max(date) AS last, count(*) AS row_count FROM weekly""",
     "gap_fill": f"""{numbered('nation')},
 grid AS (
   SELECT store_number, category_name, srl_num, CAST(w AS DATE) AS date
@@ -509,6 +542,9 @@ SELECT count(*) AS row_count,
   (SELECT count(*) FROM (SELECT DISTINCT category_name FROM lines)) AS n_categories
 FROM lines""",
     "series_profile": f"""{numbered()}
+SELECT count(DISTINCT srl_num) AS n_series, count(DISTINCT store_number) AS n_stores,
+  count(DISTINCT category_name) AS n_categories, count(*) AS row_count FROM numbered""",
+    "series_profile_bitmaps": f"""{numbered()}
 SELECT count(DISTINCT srl_num) AS n_series, count(DISTINCT store_number) AS n_stores,
   count(DISTINCT category_name) AS n_categories, count(*) AS row_count FROM numbered""",
     "rows_per_category": f"""{active()}
@@ -557,6 +593,8 @@ FROM (SELECT store_number, category_name, srl_num, max(date) AS last FROM number
     "lag_products": f"{numbered('nation')}, {DIFFERENCES}, {PRODUCTS}",
     "model_table": MODELS,
     "forecast_weekly": arima(),
+    "forecast_stored_models": arima(),
+    "holdout_errors": HOLDOUT,
     "forecast_top_slice": arima(
         "SELECT srl_num FROM in_cat WHERE store_number IN (SELECT store_number FROM top_store)",
         f", {TOP_CATEGORIES}, {TOP_STORES}",

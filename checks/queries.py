@@ -14,17 +14,20 @@ from pyspark.sql import functions as F
 from shelfweek.functions import dates
 from shelfweek.operators import (
     arima,
+    backtest,
     columns,
     dashboard,
     filters,
     ranking,
     rollups,
+    seasonal_arima,
     series,
     simple_forecast,
 )
 from shelfweek.plans import stages
 from shelfweek.schemas import SALES_RAW, SERIES_KEYS, TARGETS
-from shelfweek.sinks.files import settle
+from shelfweek.sinks.files import scratch_path, settle, write_weekly_table
+from shelfweek.sources import files
 from shelfweek.sources.star_schema import sales_lines
 
 # fixed values of the category window
@@ -64,6 +67,29 @@ def value_audit(spark, folder):
     return columns.value_audit(texts, SALES_RAW)
 
 
+def _csv_folder(spark, folder) -> str:
+    """The sales lines as CSV files of two column orders, with values that cannot be read and
+    lines that end after two fields, by rules on the quantity."""
+    sales, quantity = sales_lines(spark, folder), F.col("volume_sold_liters")
+    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sales.columns}
+    for column, of, text in (("sale_dollars", 9, "n/a"), ("date", 11, "13/45/1999"), ("store_number", 12, "")):
+        texts[column] = F.when(quantity == of, text).otherwise(texts[column])
+    ends = (F.col("category_name") == "PROMO") & (quantity == 7)
+    path = scratch_path(spark)
+    for names, half in ((sales.columns, quantity < 25), (sales.columns[::-1], quantity >= 25)):
+        parts = [texts[c] for c in names]
+        line = F.when(ends, F.concat_ws(",", *parts[:2])).otherwise(F.concat_ws(",", *parts))
+        lines = sales.filter(half).select(line.alias(",".join(names)))
+        # one column to the writer, which leaves commas alone
+        lines.write.mode("append").option("header", True).option("sep", "\u0001").csv(path)
+    return path
+
+
+def csv_audit(spark, folder):
+    texts = files.read_texts(spark, _csv_folder(spark, folder), SALES_RAW)
+    return columns.value_audit(texts, SALES_RAW, broken=files.BROKEN)
+
+
 def week_start(spark, folder):
     sales = sales_lines(spark, folder).groupBy("date").agg(F.count("*").alias("row_count"))
     return columns.add_week(columns.replace_text_date(sales))
@@ -105,6 +131,31 @@ def active_series(spark, folder):
     return stages.active_weekly(sales_lines(spark, folder))
 
 
+def weekly_refresh(spark, folder):
+    """Stored weekly sums that lack some weeks and late lines, brought up to date."""
+    sales, path = columns.replace_text_date(sales_lines(spark, folder)), scratch_path(spark)
+    late = (F.col("date") >= "2000-01-01") | (F.col("category_name") == CATEGORY) & (F.year("date") == 1996)
+    stages.build_weekly_sums(sales.filter(~late), path, parsed=True)
+    stages.refresh_weekly_sums(sales, sales.filter(late), path, parsed=True)
+    return files.read_weekly_sums(spark, path)
+
+
+def stored_limits(spark, folder):
+    path = scratch_path(spark)
+    rollups.weekly_sales(sales_lines(spark, folder)).write.parquet(path)
+    return files.stored_limits(spark, path)
+
+
+def active_series_bucketed(spark, folder):
+    """Active series of a table bucketed by series, without a shuffle; the last week comes from
+    the footers of its files."""
+    path = scratch_path(spark)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    write_weekly_table(rollups.weekly_sales(sales_lines(spark, folder)), table, 8, path)
+    last = files.stored_limits(spark, path).first()["last"]
+    return series.active_series(spark.table(table), F.lit(last))
+
+
 def active_series_join(spark, folder):
     return series.active_series_by_join(rollups.weekly_sales(sales_lines(spark, folder)))
 
@@ -175,6 +226,21 @@ def series_profile(spark, folder):
     return rollups.series_profile(_weekly(spark, folder))
 
 
+def series_profile_bitmaps(spark, folder):
+    """The profile from bitmaps stored per year, those of the last years made later."""
+    weekly, counts = _weekly(spark, folder), {
+        "srl_num": "n_series",
+        "store_number": "n_stores",
+        "category_name": "n_categories",
+    }
+    year = F.year("date")
+    stored = [
+        settle(rollups.distinct_bitmaps(weekly.filter(part), list(counts), year))
+        for part in (year < 2000, year >= 2000)
+    ]
+    return rollups.merged_counts(stored[0].union(stored[1]), counts)
+
+
 def rows_per_category(spark, folder):
     return rollups.rows_per_category(stages.active_weekly(sales_lines(spark, folder)))
 
@@ -284,6 +350,43 @@ def forecast_store_monthly(spark, folder):
     return _to_tenths(arima.forecast_store_monthly(lines))
 
 
+def forecast_stored_models(spark, folder):
+    """Models stored, read back and projected without a new fit: no week has come since, so
+    these are the forecasts of the fit itself."""
+    weekly = _weekly(spark, folder, "nation")
+    models = arima.carry(settle(arima.fit_models(weekly)), weekly)
+    return _to_tenths(arima.weekly_steps(models))
+
+
+def forecast_carried(spark, folder):
+    """Models fitted without the last eight weeks, stored, carried over them and projected."""
+    weekly = settle(_weekly(spark, folder, "nation"))
+    before = weekly.filter(F.col("date") <= F.date_sub(filters.max_value(weekly, "date"), 56))
+    models = settle(seasonal_arima.fit_models(before))
+    return _to_tenths(seasonal_arima.weekly_steps(seasonal_arima.carry(models, weekly)))
+
+
+def forecast_seasonal(spark, folder):
+    return _to_tenths(seasonal_arima.forecast_weekly(_weekly(spark, folder, "nation")))
+
+
+def seasonal_model_table(spark, folder):
+    return seasonal_arima.model_table(seasonal_arima.fit_models(_weekly(spark, folder, "nation")))
+
+
+def _errors(spark, folder, models):
+    found = backtest.holdout_errors(_weekly(spark, folder, "nation"), models)
+    return found.withColumns({c: F.round(c, 1) for c in found.columns if c.startswith("mae_")})
+
+
+def holdout_errors(spark, folder):
+    return _errors(spark, folder, {"additive": arima})
+
+
+def holdout_errors_seasonal(spark, folder):
+    return _errors(spark, folder, {"seasonal": seasonal_arima})
+
+
 def monthly_sales(spark, folder):
     sales = columns.replace_text_date(sales_lines(spark, folder, "nation"))
     lines = filters.category_window(sales, CATEGORY, "1995-01-01", "2001-12-31")
@@ -378,6 +481,7 @@ PLAIN = [
     parse_dates,
     date_audit,
     value_audit,
+    csv_audit,
     week_start,
     quarter_label,
     last_3_years,
@@ -386,6 +490,9 @@ PLAIN = [
     last_date_rows,
     active_series,
     active_series_join,
+    active_series_bucketed,
+    weekly_refresh,
+    stored_limits,
     gap_fill,
     daily_sales,
     weekly_sales,
@@ -400,6 +507,7 @@ PLAIN = [
     distinct_categories,
     distinct_counts,
     series_profile,
+    series_profile_bitmaps,
     rows_per_category,
     series_number,
     all_series_numbers,
@@ -415,6 +523,12 @@ PLAIN = [
     forecast_top_slice,
     forecast_top_series,
     forecast_store_monthly,
+    forecast_stored_models,
+    forecast_carried,
+    forecast_seasonal,
+    seasonal_model_table,
+    holdout_errors,
+    holdout_errors_seasonal,
     monthly_sales,
     model_table,
     difference_orders,
@@ -430,3 +544,6 @@ PLAIN = [
 QUERIES = {f.__name__: f for f in PLAIN} | {
     f"forecast_{m}": partial(_closed_form, model=m) for m in simple_forecast.MODELS
 }
+
+#: No SQL: the rounds of the seasonal estimation are compared with brute force in the tests.
+NO_SQL = {"forecast_carried", "forecast_seasonal", "seasonal_model_table", "holdout_errors_seasonal"}

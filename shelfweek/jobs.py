@@ -2,8 +2,11 @@
 
     ingest     raw sales lines       -> trailing years with calendar columns
     profile    raw sales lines       -> counts, yearly profile and sums, unreadable values
-    prepare    trailing years        -> numbered weekly series still active
+    sums       trailing years        -> weekly sums of all series, in a folder per week
+    refresh    trailing years, new   -> the weeks of the new lines summed up again in place
+    prepare    trailing years, sums  -> numbered weekly series still active
     forecast   weekly series         -> forecasts of the selected series, and their models
+    project    stored models, weekly -> forecasts of stored models carried over new weeks
     monthly    trailing years        -> monthly forecasts of one category, per store
     select     stored forecasts      -> the rows behind a dashboard selection
 
@@ -22,13 +25,23 @@ from pyspark.sql import functions as F
 
 from shelfweek import schemas
 from shelfweek.functions import dates
-from shelfweek.operators import arima, columns, dashboard, filters, observed, ranking, rollups
+from shelfweek.operators import (
+    arima,
+    columns,
+    dashboard,
+    filters,
+    observed,
+    ranking,
+    rollups,
+    seasonal_arima,
+)
 from shelfweek.plans import stages
 from shelfweek.session import build_session
 from shelfweek.sinks import files as sinks
 from shelfweek.sources import files as sources
 
 FORMATS = ["parquet", "csv"]
+METHODS = {"additive": arima, "seasonal": seasonal_arima}
 
 
 def ingest(
@@ -95,6 +108,20 @@ def _small(spark: SparkSession, source: str, source_format: str) -> DataFrame:
     return columns.replace_text_date(sales)
 
 
+def sums(spark: SparkSession, source: str, target: str, source_format: str = "parquet"):
+    stages.build_weekly_sums(_small(spark, source, source_format), target, parsed=True)
+
+
+def refresh(
+    spark: SparkSession, source: str, new: str, target: str, source_format: str = "parquet"
+) -> dict[str, int]:
+    """``source`` holds all lines, those of ``new`` among them."""
+    lines = _small(spark, source, source_format)
+    found = _small(spark, new, source_format)
+    weeks = stages.refresh_weekly_sums(lines, found, target, parsed=True)
+    return {"weeks": len(weeks)}
+
+
 def prepare(
     spark: SparkSession,
     source: str,
@@ -103,8 +130,14 @@ def prepare(
     source_format: str = "parquet",
     target_format: str = "parquet",
     report: str | None = None,
-) -> dict[str, int]:
-    """Counts of rows read and of those without a date, which are dropped."""
+    from_sums: bool = False,
+) -> dict[str, int] | None:
+    """Counts of rows read and of those without a date, which are dropped. ``from_sums`` takes
+    stored weekly sums as the source."""
+    if from_sums:
+        weekly = stages.numbered_sums(sources.read_weekly_sums(spark, source), fill_gaps)
+        sinks.write_dataset(weekly.select(*schemas.WEEKLY.fieldNames()), target, target_format)
+        return None
     sales, seen = observed.watched(_small(spark, source, source_format), observed.dated_counts())
     weekly = stages.weekly_relation(sales, fill_gaps, parsed=True)
     sinks.write_dataset(weekly.select(*schemas.WEEKLY.fieldNames()), target, target_format)
@@ -138,19 +171,50 @@ def forecast(
     first_step: str = "last",
     source_format: str = "parquet",
     target_format: str = "csv",
+    method: str = "additive",
+    state: str | None = None,
 ):
+    """``method`` names the kind of ARIMA: ``additive`` has one seasonal lag added, ``seasonal``
+    multiplies seasonal lags and residuals in. ``state`` stores the models for ``project``."""
     dates.check_horizon(horizon)
+    model = METHODS[method]
     weekly = sources.read_weekly(spark, source, source_format)
     chosen = sources.register_result(select_series(weekly, categories, stores, series))
     # fitted once: the forecasts and the model table are those of the same models
-    fitted = sinks.settle(arima.fit_models(chosen))
-    steps = arima.weekly_steps(fitted, horizon, first_step=first_step)
+    fitted = sinks.settle(model.fit_models(chosen))
+    steps = model.weekly_steps(fitted, horizon, first_step=first_step)
     sinks.write_forecasts(steps, target, target_format)
     if models:
-        sinks.write_models(arima.model_table(fitted), models)
+        sinks.write_models(model.model_table(fitted), models)
+    if state:
+        sinks.write_models(fitted, state)
     sinks.forget(fitted)
 
 
+def project(
+    spark: SparkSession,
+    state: str,
+    source: str,
+    target: str,
+    method: str = "additive",
+    carried: str | None = None,
+    horizon: int = 18,
+    first_step: str = "last",
+    source_format: str = "parquet",
+    target_format: str = "csv",
+):
+    """Forecasts of the models ``forecast`` stored in ``state``, carried over the weeks of
+    ``source`` that came since; ``carried`` stores them as they are then."""
+    dates.check_horizon(horizon)
+    model = METHODS[method]
+    weekly = sources.read_weekly(spark, source, source_format)
+    moved = sinks.settle(model.carry(spark.read.parquet(state), weekly))
+    sinks.write_forecasts(model.weekly_steps(moved, horizon, first_step=first_step), target, target_format)
+    if carried:
+        sinks.write_models(moved, carried)
+    sinks.forget(moved)
+
+
 def monthly(
     spark: SparkSession,
     source: str,
@@ -207,7 +271,19 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--target", required=True)
     _formats(p, None, "parquet")
 
+    p = stage.add_parser("sums")
+    p.add_argument("--source", default=sources.dataset_path(small=True))
+    p.add_argument("--target", required=True)
+    p.add_argument("--source-format", default="parquet", choices=FORMATS)
+
+    p = stage.add_parser("refresh")
+    p.add_argument("--source", default=sources.dataset_path(small=True))
+    p.add_argument("--new", required=True)
+    p.add_argument("--target", required=True)
+    p.add_argument("--source-format", default="parquet", choices=FORMATS)
+
     p = stage.add_parser("prepare")
+    p.add_argument("--from-sums", action="store_true")
     p.add_argument("--source", default=sources.dataset_path(small=True))
     p.add_argument("--target", required=True)
     p.add_argument("--fill-gaps", action="store_true")
@@ -225,6 +301,19 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--first-step", default="last", choices=["last", "next"])
     _formats(p, "parquet", "csv")
 
+    p.add_argument("--method", default="additive", choices=list(METHODS))
+    p.add_argument("--state")
+
+    p = stage.add_parser("project")
+    p.add_argument("--state", required=True)
+    p.add_argument("--source", required=True)
+    p.add_argument("--target", default=sources.forecast_path())
+    p.add_argument("--method", default="additive", choices=list(METHODS))
+    p.add_argument("--carried")
+    p.add_argument("--horizon", type=int, default=18)
+    p.add_argument("--first-step", default="last", choices=["last", "next"])
+    _formats(p, "parquet", "csv")
+
     p = stage.add_parser("monthly")
     p.add_argument("--source", default=sources.dataset_path(small=True))
     p.add_argument("--target", required=True)
@@ -243,7 +332,8 @@ def main(argv: list[str] | None = None) -> None:
     _formats(p, "csv", "csv")
 
     options = vars(parser.parse_args(argv))
-    commands = {f.__name__: f for f in (ingest, profile, prepare, forecast, monthly, select)}
+    stages_of = (ingest, profile, sums, refresh, prepare, forecast, project, monthly, select)
+    commands = {f.__name__: f for f in stages_of}
     counts = commands[options.pop("stage")](build_session(), **options)
     if counts is not None:
         print(json.dumps(counts))

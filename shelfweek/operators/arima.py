@@ -47,13 +47,13 @@ NEGLIGIBLE = 1e-10
 
 
 def stack_targets(series: DataFrame, keys: list[str], targets: dict[str, str]) -> DataFrame:
-    """One row per series, target and date, without missing dates."""
-    named = series.select(
-        *keys,
-        "date",
-        *[F.when(~F.isnan(c), F.col(c)).alias(name) for name, c in targets.items()],
-    )
-    long = named.unpivot([*keys, "date"], list(targets), "target", "y")
+    """One row per series, target and date, without missing dates. Rows stay where they are:
+    a table bucketed by the keys keeps that for what follows."""
+    values = [
+        F.struct(F.lit(name).alias("target"), F.when(~F.isnan(c), F.col(c)).alias("y"))
+        for name, c in targets.items()
+    ]
+    long = series.select(*keys, "date", F.inline(F.array(*values)))
     return long.filter(F.col("date").isNotNull() & F.col("y").isNotNull())
 
 
@@ -488,6 +488,39 @@ def model_table(models: DataFrame, keys: list[str] | None = None, season: int =
     )
 
 
+def carry(
+    models: DataFrame, weekly: DataFrame, keys: list[str] | None = None, season: int = 52
+) -> DataFrame:
+    """Stored models moved on over the weeks after their last one, without a new fit: new
+    values are differenced with those kept, orders and weights stay. Series without new rows,
+    and rows of series without a model, change nothing."""
+    keys = keys or SERIES_KEYS
+    by = [*keys, "target"]
+    names = {t: c for t, c in TARGETS.items() if c in weekly.columns}
+    ends = models.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("last_date").alias("_last"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    later = stack_targets(weekly, keys, names).join(ends, same).where("date > _last")
+    new = later.groupBy(*[f"_{c}" for c in by]).agg(
+        F.sort_array(F.collect_list(F.struct("date", "y"))).alias("_new")
+    )
+    kept = max(season, LAGS) + 1
+    step = f"""transform(transform(array((r.y - centre) / IF(scale > 0, scale, 1D)),
+        x -> named_struct('x', x, 'z', x - IF(sd = 1, coalesce(get(s, {season - 1}).x, 0D), 0D))),
+        v -> named_struct('t', s[0].t + 1, 'w', CASE d WHEN 0 THEN v.z
+            WHEN 1 THEN v.z - coalesce(get(s, 0).z, 0D)
+            ELSE v.z - 2 * coalesce(get(s, 0).z, 0D) + coalesce(get(s, 1).z, 0D) END,
+          'z', v.z, 'x', v.x))"""
+    tail = F.expr(f"aggregate(coalesce(_new, array()), tail, (s, r) -> slice(concat({step}, s), 1, {kept}))")
+    found = models.join(new, same, "left").withColumns(
+        {
+            "tail": tail,
+            "last_date": F.coalesce(F.array_max("_new.date"), F.col("last_date")),
+            "n": F.col("n") + F.coalesce(F.size("_new"), F.lit(0)),
+        }
+    )
+    return found.select(*models.columns)
+
+
 def project(models: DataFrame, horizon: int, season: int = 52) -> DataFrame:
     """Add ``path``, the values of the steps ahead, as an array.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfweek.operators.filters import latest_year
 from shelfweek.operators.rollups import yearly_totals
+from shelfweek.sinks.files import settle
 
 
 def head_rows(df: DataFrame, order: list[str], n: int = 6) -> DataFrame:
@@ -50,8 +51,9 @@ def top_stores(weekly: DataFrame, categories: int = 3, stores: int = 5) -> DataF
 
 
 def top_slice(weekly: DataFrame, categories: int = 3, stores: int = 5) -> DataFrame:
-    """All rows of the top stores within the top categories."""
-    kept = in_top_categories(weekly, categories)
+    """All rows of the top stores within the top categories. Those categories' rows are
+    settled: the latest year, the stores and the rows themselves are all taken from them."""
+    kept = settle(in_top_categories(weekly, categories))
     names = _top_of_latest_year(kept, "store_number", stores)
     return _keep(kept, names, "store_number")
 

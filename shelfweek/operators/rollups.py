@@ -3,8 +3,9 @@ holding much of the data is reduced where it is read before anything is shuffled
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfweek.functions import dates
 from shelfweek.functions.measures import total, total_or_zero
@@ -100,6 +101,43 @@ def distinct_counts(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     )
 
 
+def distinct_bitmaps(df: DataFrame, columns: list[str], by: Column) -> DataFrame:
+    """What tells distinct values apart, per period ``by``, such that periods can be merged:
+    whole numbers as bits of bitmaps, each of a bucket of 32,768; texts and NULL as rows of
+    their own. A period's rows are read once, and never again."""
+
+    def mark(name):
+        value, whole = F.col(name), isinstance(df.schema[name].dataType, T.IntegralType)
+        number = value.cast("long") if whole else F.lit(None).cast("long")
+        return F.struct(
+            F.lit(name).alias("column_name"),
+            F.bitmap_bucket_number(number).alias("bucket"),
+            F.bitmap_bit_position(number).alias("_bit"),
+            (F.lit(None) if whole else value).cast("string").alias("text"),
+        )
+
+    marks = df.select(by.alias("period"), F.inline(F.array(*[mark(c) for c in columns])))
+    return marks.groupBy("period", "column_name", "bucket", "text").agg(
+        F.bitmap_construct_agg("_bit").alias("bits"), F.count("*").alias("row_count")
+    )
+
+
+def merged_counts(bitmaps: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Distinct counts over all periods of ``distinct_bitmaps``, as ``distinct_counts`` of the
+    rows themselves would give them."""
+    merged = bitmaps.groupBy("column_name", "bucket", "text").agg(
+        F.bitmap_or_agg("bits").alias("bits"), F.sum("row_count").alias("row_count")
+    )
+    values = F.when(F.col("bucket").isNull(), 1).otherwise(F.bitmap_count("bits"))
+    whose = {c: F.col("column_name") == c for c in columns}
+    counts = [
+        F.coalesce(F.sum(F.when(whose[c], values)), F.lit(0)).alias(name)
+        for c, name in columns.items()
+    ]
+    rows = F.sum(F.when(whose[next(iter(columns))], F.col("row_count")))
+    return merged.agg(*counts, rows.alias("row_count"))
+
+
 def series_profile(weekly: DataFrame) -> DataFrame:
     return distinct_counts(
         weekly,

@@ -35,6 +35,9 @@ WEEKLY = T.StructType(
     ]
 )
 
+# weekly sums of all series, before they are numbered; stored in a folder per week
+WEEKLY_SUMS = T.StructType([f for f in WEEKLY if f.name != "srl_num"])
+
 FORECASTS = T.StructType(
     [
         T.StructField("store_number", T.IntegerType()),

@@ -30,15 +30,55 @@ def write_forecasts(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_models(models: DataFrame, path: str) -> None:
-    """Orders and coefficients as Parquet; reading them back is enough to inspect a run."""
+    """Fitted models, or their orders and coefficients, as Parquet."""
     write_dataset(models, path)
 
 
+def _by_week(sums: DataFrame):
+    # rows of a week meet, a large week in several files
+    return sums.hint("rebalance", "date").write.mode("overwrite").partitionBy("date")
+
+
+def write_weekly_sums(sums: DataFrame, path: str) -> None:
+    """Weekly sums in a folder per week."""
+    _by_week(sums).option("partitionOverwriteMode", "static").parquet(path)
+
+
+def replace_weeks(sums: DataFrame, path: str) -> None:
+    """The weeks of ``sums`` in the place of what is stored of them; no other is touched."""
+    _by_week(sums).option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def write_weekly_table(weekly: DataFrame, name: str, buckets: int, path: str | None = None) -> None:
+    """The weekly relation as a table of the catalog, bucketed by series and sorted: what
+    works by series needs no shuffle."""
+    pair = ["store_number", "category_name"]
+    writer = weekly.repartition(buckets, *pair).write.mode("overwrite")
+    if path:
+        writer = writer.option("path", path)
+    writer.bucketBy(buckets, *pair).sortBy(*pair, "date").saveAsTable(name)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or where that is unset a
-    folder in the warehouse. The same on a cluster as in a local session."""
+    folder in the warehouse. On a cluster a warehouse on a local disk is an error: executors
+    would not see one another's files."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_steps").rstrip("/")
+    if not folder:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        local = warehouse.startswith("file:") or "://" not in warehouse
+        if local and not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = f"{warehouse}/_steps"
+    return folder.rstrip("/")
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new place in the shared folder; what is written there goes when the driver ends."""
+    path = f"{scratch_folder(spark)}/step-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(place)
+    return path
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -46,10 +86,8 @@ def settle(df: DataFrame) -> DataFrame:
     written table: computed once, and kept when executors are lost. The table goes when the
     driver ends; ``forget`` removes it earlier."""
     spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/step-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -214,6 +214,23 @@ def read_weekly(
     return weekly
 
 
+def read_weekly_sums(spark: SparkSession, path: str) -> DataFrame:
+    """Weekly sums as stored in a folder per week."""
+    return spark.read.schema(schemas.WEEKLY_SUMS).parquet(path)
+
+
+def stored_limits(spark: SparkSession, path: str, column: str = "date") -> DataFrame:
+    """First and last value of a stored column and the number of rows, from the footers of the
+    Parquet files: no data page is read. The reader that can do this is switched on in a
+    session of its own, other reads stay as they are."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(
+        F.min(column).alias("first"), F.max(column).alias("last"), F.count("*").alias("row_count")
+    )
+
+
 def read_forecasts(
     spark: SparkSession, datastore_type: str, location: str | None = None
 ) -> DataFrame:

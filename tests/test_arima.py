@@ -281,3 +281,34 @@ def test_a_bad_series_does_not_disturb_its_batch():
     alone = arima.choose_orders(batch[:1], count[:1], no[:1], ~no[:1], 52)
     assert best["aicc"][0] == pytest.approx(alone["aicc"][0])
     assert np.isinf(best["aicc"][1]) and np.isfinite(best["weights"]).all()
+
+
+def test_carried_models_hold_what_a_longer_series_ends_with(spark, weekly_of):
+    """Of new weeks the state keeps the differences a fit would keep, on the old scale."""
+    rng = np.random.default_rng(11)
+    season = 6
+    shapes = {
+        (1, "a", 1): 40 + rng.normal(size=60),
+        (2, None, 2): 100 + np.cumsum(rng.normal(size=60)),
+        (3, "a", 3): 10 * np.tile(rng.normal(size=season), 10) + rng.normal(size=60),
+        (4, "a", 4): np.full(60, 7.0),
+    }
+    whole = weekly_of(shapes)
+    cut = max(r.date for r in whole.collect())
+    before = whole.filter(F.col("date") <= F.date_sub(F.lit(cut), 7 * 9))
+    models = arima.fit_models(before, season=season)
+    models = spark.createDataFrame(models.collect(), models.schema)
+    still = arima.carry(models, before, season=season)
+    assert sorted(map(str, still.collect())) == sorted(map(str, models.collect()))
+    seen = set()
+    for r in arima.carry(models, whole, season=season).where("target = 'sales'").collect():
+        y = np.asarray(shapes[r.store_number, r.category_name, r.srl_num])
+        x = (y - r.centre) / r.scale if r.scale else y - r.centre
+        z = x[season:] - x[:-season] if r.sd else x
+        w = np.diff(z, r.d) if r.d else z
+        seen.add((r.d, r.sd))
+        n = len(r.tail)
+        assert r.n == 60 and r.last_date == cut and n == max(season, arima.LAGS) + 1
+        for name, own in (("x", x), ("z", z), ("w", w)):
+            assert [getattr(t, name) for t in r.tail] == pytest.approx(own[::-1][:n], abs=1e-9)
+    assert {sd for _, sd in seen} == {0, 1} and {d for d, _ in seen} >= {0, 1}

@@ -163,6 +163,7 @@ class Session:
     """Stands in for a session of which only the settings are asked."""
 
     def __init__(self, **conf):
+        conf = {"spark__master": "yarn", **conf}
         self.conf = {key.replace("__", "."): value for key, value in conf.items()}
 
 
@@ -171,6 +172,10 @@ def test_one_shared_folder_whatever_the_master():
     assert sinks.scratch_folder(unset) == "hdfs://x/wh/_steps"
     named = Session(spark__checkpoint__dir="s3://y/z/", spark__sql__warehouse__dir="w")
     assert sinks.scratch_folder(named) == "s3://y/z"
+    alone = {"spark__sql__warehouse__dir": "file:/tmp/wh"}
+    assert sinks.scratch_folder(Session(**alone, spark__master="local[4]")) == "file:/tmp/wh/_steps"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        sinks.scratch_folder(Session(**alone, spark__master="yarn"))
 
 
 BAD_TEXT = """store_number,date,category,category_name,sale_dollars,volume_sold_liters

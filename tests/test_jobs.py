@@ -3,6 +3,8 @@ import datetime as dt
 import pytest
 
 from shelfweek import jobs
+from shelfweek.operators import columns
+from shelfweek.plans import stages
 from shelfweek.sinks.files import write_dataset
 from shelfweek.sources import files as sources
 from shelfweek.sources.star_schema import sales_lines
@@ -118,3 +120,68 @@ def test_counts_are_taken_while_the_jobs_run(spark, tmp_path, capsys):
     assert jobs.prepare(spark, str(text), weekly, source_format="csv") == {"lines": 2, "undated": 1}
     none = jobs.ingest(spark, str(text), small, broken=str(tmp_path / "none"))
     assert none["broken"] == 0 and not (tmp_path / "none").exists()
+
+
+def test_refreshed_sums_equal_a_rebuild_and_touch_only_the_weeks_of_new_lines(spark, tmp_path):
+    header = "store_number,date,category,category_name,sale_dollars,volume_sold_liters\n"
+    lines = [
+        f"{k % 4},{1 + k % 12}/{1 + k % 28}/2021,7,{'x' if k % 3 else ''},{k}.25,{k / 8}" for k in range(200)
+    ]
+    late = ["1,01/05/2021,7,x,1000.5,3", "9,12/30/2021,7,y,2,3", "2,13/40/2021,7,x,5,5"]
+    for name, rows in (("old", lines), ("new", late), ("all", lines + late)):
+        (tmp_path / f"{name}.csv").write_text(header + "\n".join(rows) + "\n")
+        jobs.ingest(spark, str(tmp_path / f"{name}.csv"), str(tmp_path / name), years=9)
+    sums, whole = tmp_path / "sums", tmp_path / "whole"
+    jobs.main(["sums", "--source", str(tmp_path / "old"), "--target", str(sums)])
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in sums.glob("date=*/part-*")}
+
+    before = files()
+    refresh = ["refresh", "--source", str(tmp_path / "all"), "--new", str(tmp_path / "new"), "--target", str(sums)]
+    jobs.main(refresh)
+    after = files()
+    touched = {"date=2021-01-03", "date=2021-12-26"}
+    assert {p.parent.name for p in before.keys() ^ after.keys()} == touched
+    jobs.main(["sums", "--source", str(tmp_path / "all"), "--target", str(whole)])
+    read = lambda p: sorted(map(str, sources.read_weekly_sums(spark, str(p)).collect()))
+    assert read(sums) == read(whole)
+    jobs.main(refresh)
+    assert read(sums) == read(whole)
+    # nothing new, nothing written
+    same = files()
+    (tmp_path / "none.csv").write_text(header + "1,x,7,x,1,1\n")
+    none = columns.replace_text_date(sources.read_sales(spark, str(tmp_path / "none.csv")))
+    assert stages.refresh_weekly_sums(none, none, str(sums), parsed=True) == []
+    assert files() == same
+    jobs.main(["prepare", "--from-sums", "--source", str(sums), "--target", str(tmp_path / "a")])
+    jobs.main(["prepare", "--source", str(tmp_path / "all"), "--target", str(tmp_path / "b")])
+    a, b = (sorted(map(str, spark.read.parquet(str(tmp_path / n)).collect())) for n in "ab")
+    assert a == b and a
+
+
+@pytest.mark.parametrize("method", ["additive", "seasonal"])
+def test_stored_models_are_projected_without_a_fit(spark, weekly_of, tmp_path, monkeypatch, method):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    whole = {(k, "a", k): 50 + np.cumsum(rng.normal(size=80)) for k in range(1, 4)}
+    end = dt.date(2022, 8, 28)
+    weekly_of(whole).write.parquet(str(tmp_path / "later"))
+    cut = {k: v[:-6] for k, v in whole.items()}
+    weekly_of(cut, end - dt.timedelta(42)).write.parquet(str(tmp_path / "weekly"))
+    paths = {n: str(tmp_path / n) for n in ("weekly", "later", "first", "again", "moved", "state", "carried")}
+    jobs.main(["forecast", "--source", paths["weekly"], "--target", paths["first"], "--method", method, "--state", paths["state"]])
+    monkeypatch.setattr(jobs.METHODS[method], "fit_models", None)
+    common = ["project", "--state", paths["state"], "--method", method]
+    jobs.main([*common, "--source", paths["weekly"], "--target", paths["again"]])
+    first, again = (
+        sorted(map(tuple, sources.read_forecasts(spark, "csv", paths[n]).collect())) for n in ("first", "again")
+    )
+    assert first == again and len(first) == 54
+    jobs.main([*common, "--source", paths["later"], "--target", paths["moved"], "--carried", paths["carried"]])
+    moved = sorted(map(tuple, sources.read_forecasts(spark, "csv", paths["moved"]).collect()))
+    assert {r[2] for r in moved} == {end + dt.timedelta(7 * k) for k in range(18)} and moved != first
+    # what was carried is a state again
+    jobs.main(["project", "--state", paths["carried"], "--method", method, "--source", paths["later"], "--target", paths["again"]])
+    assert sorted(map(tuple, sources.read_forecasts(spark, "csv", paths["again"]).collect())) == moved

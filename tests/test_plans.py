@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.queries import QUERIES
 from shelfweek.operators import (
@@ -11,11 +12,14 @@ from shelfweek.operators import (
     filters,
     ranking,
     rollups,
+    seasonal_arima,
     series,
     simple_forecast,
 )
 from shelfweek.plans import stages
+from shelfweek.schemas import SERIES_KEYS
 from shelfweek.sinks import files as sinks
+from shelfweek.sources import files as sources
 from shelfweek.sinks.files import write_sales_small
 from shelfweek.sources.star_schema import sales_lines
 
@@ -47,6 +51,10 @@ PYTHON = {
     "forecast_top_slice",
     "forecast_top_series",
     "forecast_store_monthly",
+    "forecast_seasonal",
+    "seasonal_model_table",
+    "holdout_errors",
+    "holdout_errors_seasonal",
     "model_table",
 }
 
@@ -78,7 +86,7 @@ def test_sales_lines_are_read_once(spark, sales, tmp_path, monkeypatch):
         written.append(plan(df))
         return own(df)
 
-    for module in (stages, series):
+    for module in (stages, series, ranking):
         monkeypatch.setattr(module, "settle", settle)
     sliced = ranking.top_slice(stages.weekly_relation(sales))
     assert sum("l_shipdate" in text for text in [*written, plan(sliced)]) == 1
@@ -121,9 +129,64 @@ def test_numbering_sums_only_blocks_in_one_place(weekly):
     assert re.search(r"Exchange hashpartitioning\(_block", text)
 
 
-def test_top_n_is_not_a_full_sort(weekly):
+def test_top_n_is_not_a_full_sort_and_the_slice_is_worked_out_once(weekly, monkeypatch):
+    written = []
+    own = sinks.settle
+
+    def settle(df):
+        written.append(plan(df))
+        return own(df)
+
+    monkeypatch.setattr(ranking, "settle", settle)
     text = plan(ranking.top_slice(weekly))
-    assert text.count("TakeOrderedAndProject") >= 2 and "rangepartitioning" not in text
+    (first,) = written
+    assert first.count("TakeOrderedAndProject") == text.count("TakeOrderedAndProject") == 1
+    assert "rangepartitioning" not in first + text
+    # the categories are looked for when the slice is settled, not again
+    assert "total_yearly_sales" in first and "Aggregate(keys=[category_name" not in text
+
+
+@pytest.fixture(scope="module")
+def bucketed(spark, weekly, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("bucketed") / "weekly")
+    sinks.write_weekly_table(weekly, "bucketed_weekly", 3, path)
+    yield spark.table("bucketed_weekly"), path
+    spark.sql("DROP TABLE bucketed_weekly")
+
+
+def test_no_shuffle_over_the_bucketed_table(spark, bucketed, weekly):
+    table, path = bucketed
+    last = sources.stored_limits(spark, path).first()["last"]
+    active = series.active_series(table, F.lit(last))
+    placed = series.positions(table, SERIES_KEYS)
+    fitted = arima.fit_models(table)
+    seasonal = seasonal_arima.fit_models(table)
+    for df in (active, placed, fitted, seasonal):
+        assert "Exchange" not in plan(df)
+    assert sorted(active.select(*weekly.columns).collect(), key=str) == sorted(
+        series.active_series(weekly).collect(), key=str
+    )
+    key = lambda r: (r.srl_num, r.target)
+    for a, b in zip(sorted(fitted.collect(), key=key), sorted(arima.fit_models(weekly).collect(), key=key)):
+        assert (a.d, a.sd, a.fit.p, a.fit.q) == (b.d, b.sd, b.fit.p, b.fit.q)
+        assert a.weights == pytest.approx(b.weights, abs=1e-6)
+
+
+def test_limits_come_from_the_footers(spark, bucketed, weekly):
+    found = sources.stored_limits(spark, bucketed[1])
+    assert "PushedAggregation: [MIN(date), MAX(date), COUNT(*)]" in found._jdf.queryExecution().explainString(
+        found.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    want = weekly.agg(F.min("date"), F.max("date"), F.count("*")).first()
+    assert tuple(found.first()) == tuple(want)
+    # other reads go on as before
+    assert "BatchScan" not in plan(spark.read.parquet(bucketed[1]))
+
+
+def test_merged_bitmaps_read_no_rows_again(spark, weekly):
+    bits = sinks.settle(rollups.distinct_bitmaps(weekly, ["srl_num"], F.year("date")))
+    text = plan(rollups.merged_counts(bits, {"srl_num": "n"}))
+    assert "total_sales" not in text and text.count("FileScan") == 1
 
 
 @pytest.mark.parametrize("partitions", [None, 6])

@@ -312,3 +312,19 @@ def test_horizons_below_one_are_refused(spark, patchy):
     for horizon in (0, -3):
         with pytest.raises(ValueError, match="horizon"):
             series.forecast_calendar(patchy, series.PAIR, horizon)
+
+
+def test_counts_from_bitmaps_equal_those_of_the_rows(spark):
+    rows = [(k * 7919 % 100_003 - 20, f"c{k % 9}", 1990 + k % 4) for k in range(3000)]
+    rows += [(None, None, 1993), (None, "c1", 1990), (2_147_483_647, "", 1991), (-2_147_483_648, "x", 1992)]
+    df = spark.createDataFrame(rows, "store_number int, category_name string, year int")
+    names = {"store_number": "n_stores", "category_name": "n_categories"}
+    own = lambda part: rollups.distinct_bitmaps(part, list(names), F.col("year"))
+    bits = own(df.filter("year < 1992"))
+    # a later year is added without reading the earlier ones
+    bits = bits.union(own(df.filter("year >= 1992")))
+    got = rollups.merged_counts(bits, names)
+    want = rollups.distinct_counts(df, names)
+    assert got.select(*want.columns).collect() == want.collect()
+    none = rollups.merged_counts(own(df.limit(0)), names).first()
+    assert (none.n_stores, none.n_categories) == (0, 0)
