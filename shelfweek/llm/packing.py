@@ -59,15 +59,14 @@ def _kind(code: int) -> int:
 _KINDS = np.array([_kind(c) for c in range(256)], np.uint8)
 
 
-def spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-cased UTF-8 bytes of characters up to U+00FF with a space between any two
-    pieces: runs of letters, single numbers, runs of symbols, and the shortened words 's 't
-    're 've 'm 'll 'd where no symbol stands before them. Also how many bytes the text has
-    grown by up to each of the old ones."""
+def pieces_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where pieces begin, and which bytes are no white space, in lower-cased UTF-8 of
+    characters up to U+00FF. Pieces are runs of letters, single numbers, runs of symbols, and
+    the shortened words 's 't 're 've 'm 'll 'd where no symbol stands before them."""
     kinds = _KINDS[data]
     lead = np.flatnonzero(data >= 0xC2)
     kinds[lead] = kinds[lead + 1] = _KINDS[((data[lead] & 3) << 6) | (data[lead + 1] & 0x3F)]
-    cut = np.zeros(len(data), bool)  # a space goes before this byte
+    cut = np.zeros(len(data), bool)  # a piece begins at this byte
     a, b = kinds[:-1], kinds[1:]
     cut[1:] = ((a != b) | (b == _NUMBER)) & (a != _SPACE) & (b != _SPACE)
     cut[lead + 1] = False
@@ -87,10 +86,10 @@ def spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     after = np.concatenate([quote[one] + 2, quote[two] + 3])
     after = after[after < len(data)]
     cut[after[kinds[after] != _SPACE]] = True
-    grown = np.cumsum(cut, dtype=np.int32)
-    out = np.full(len(data) + (int(grown[-1]) if len(data) else 0), 32, np.uint8)
-    out[np.arange(len(data), dtype=np.int32) + grown] = np.where(kinds == _SPACE, 32, data)
-    return out, grown
+    solid = kinds != _SPACE
+    cut[1:] |= ~solid[:-1]
+    cut[offsets[:-1][offsets[:-1] < len(data)]] = True
+    return cut & solid, solid
 
 
 class WordEncoder:
@@ -153,18 +152,15 @@ class WordEncoder:
     def latin(self, offsets: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each text has."""
         offsets, data = raw(pc.utf8_lower(from_raw(offsets, data)))
-        out, grown = spaced(np.frombuffer(data, np.uint8), offsets)
-        moved = offsets + np.concatenate([[0], grown])[offsets]
-        pieces = pc.split_pattern(from_raw(moved, out.tobytes()), " ")
-        flat = pieces.flatten()
-        real = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
-        found = flat.filter(pa.array(real)).dictionary_encode()
+        data = np.frombuffer(data, np.uint8)
+        begins, solid = pieces_of(data, offsets)
+        first = np.flatnonzero(begins)
+        places = np.concatenate([[0], np.cumsum(solid)])[np.append(first, len(data))]
+        found = from_raw(places, data[solid].tobytes()).dictionary_encode()
         ids, starts, lengths = self._encode(found.dictionary.to_pylist())
         at = found.indices.to_numpy(zero_copy_only=False)
-        stops = np.cumsum(pc.list_value_length(pieces).to_numpy(zero_copy_only=False))
-        many = np.concatenate([[0], np.cumsum(real)])[np.concatenate([[0], stops])]
         upto = np.concatenate([[0], np.cumsum(lengths[at])])
-        return gather(ids, starts[at], lengths[at]), np.diff(upto[many])
+        return gather(ids, starts[at], lengths[at]), np.diff(upto[np.searchsorted(first, offsets)])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """As ``latin``, for any texts (large_string without nulls)."""
