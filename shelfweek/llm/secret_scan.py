@@ -27,6 +27,7 @@ THRESHOLD = 0.5
 _TOLD = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_ -]?key|auth|bearer|credential|private)s?"
 TELLING = rf"(?i){_TOLD}(?:\s+(?:is|was))?[^\p{{L}}]*$"
 EXCUSING = r"(?i)(?:commit|sha-?[0-9]*|md5|digest|checksum|etag|uuid|hash|revision|version|order|build)[^\p{L}]*$"
+EMBEDDING = r"(?i)(?:;base64,|[?&]v=|integrity=[\"']?|-----BEGIN [A-Z ]{0,30})$"
 KNOWN = r"(?<![A-Za-z0-9])(?:AKIA|ASIA|AIza|ghp_|gho_|xox[abp]-|sk_|sk-|eyJ)"
 
 # a known beginning is a candidate of its own, whatever it is joined to
@@ -40,8 +41,12 @@ _VALUE = (
     rf"(?:(?!{_BEGINNING})(?!{_END})[^\s\"']){{6,}}+"
 )
 # what holds for all comes first, as most places fail it
+_KEY = r"(?:[A-Z0-9]{1,10} ){0,3}PRIVATE KEY-----"
 CANDIDATE = r"(?<![A-Za-z0-9])(?=[^\s\"']{6})(?:%s)" % "|".join(
     [
+        # a private key from its first line to its last; the password in a connection string
+        rf"-----BEGIN {_KEY}[A-Za-z0-9+/=\s]{{40,}}+-----END {_KEY}",
+        r"(?<=:)(?<=://[^\s:/@\"']{1,40}:)[^\s/@\"']{6,}+(?=@)",
         # dotted tokens
         r"eyJ[A-Za-z0-9_-]{5,}+(?:\.[A-Za-z0-9_-]*+){1,3}\.[A-Za-z0-9_-]++",
         r"(?<![+/_.-])[A-Za-z0-9_-]{16,}+\.[A-Za-z0-9_-]{4,}+\.[A-Za-z0-9_-]{16,}+",
@@ -57,7 +62,7 @@ CANDIDATE = r"(?<![A-Za-z0-9])(?=[^\s\"']{6})(?:%s)" % "|".join(
 FEATURES = [
     "length", "digits", "uppers", "lowers", "transitions", "distinct", "hex", "dictionary",
     "known", "slashes", "joints", "path", "telling", "excusing", "assigned", "quoted",
-    "others", "dots",
+    "others", "dots", "block", "login", "embedded",
 ]
 
 
@@ -93,6 +98,9 @@ def features(before: Column, token: Column, after: Column, trigrams: list[str])
         "telling": _flag(before.rlike(TELLING)),
         "excusing": _flag(before.rlike(EXCUSING)),
         "assigned": _flag(before.rlike(r"[=:]\s*[\"']?$")),
+        "block": _flag(token.startswith("-----BEGIN")),
+        "login": _flag(before.rlike(r"://[^\s:/@]{1,40}:$") & after.startswith("@")),
+        "embedded": _flag(before.rlike(EMBEDDING) | token.rlike("^(?:sha(?:256|384|512)-|data:[a-z]+/)")),
         "quoted": _flag(before.rlike(r"[\"']$") & after.rlike(r"^[\"']")),
     }
     return F.struct(*[values[name].cast("double").alias(name) for name in FEATURES])
@@ -113,8 +121,8 @@ def trigrams_of(words: list[str]) -> list[str]:
 
 
 def made_findings(spark: SparkSession, words: list[str], per_kind: int = 200) -> DataFrame:
-    """(before, token, after, is_secret): labelled findings made by rule from digests, for
-    use where no reviewed findings are at hand. Plain words come from ``words``."""
+    """(kind, before, token, after, is_secret): labelled findings made by rule from digests,
+    for use where no reviewed findings are at hand. Plain words come from ``words``."""
     words = (words or ["lorem", "ipsum", "dolor", "amet"])[:300]
     listed = F.array(*[F.lit(w) for w in words])
 
@@ -221,11 +229,25 @@ def made_findings(spark: SparkSession, words: list[str], per_kind: int = 200) ->
         (after_text("id="), F.concat_ws("-", *[F.substr("hex", F.lit(a), F.lit(n)) for a, n in ((1, 8), (9, 4), (13, 12))]), close, 0),
         (F.lit(""), F.repeat(F.lit("-"), size(16, 32)), F.lit("\n"), 0),
         (F.lit(""), F.repeat(F.lit("_"), size(16, 32)), F.lit("\n"), 0),
+        (F.concat(text, F.lit("postgres://"), F.col("w8"), F.lit(":")), short, F.lit("@host.com/base"), 1),
+        (F.concat(text, F.lit("https://"), F.col("w8"), F.lit(":")), spelled, F.lit("@www.host.com"), 1),
+        (F.concat(text, F.lit("\n")), F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----\n"), mixed(64), F.lit("\n"), F.left("mixed", size(30, 20)), F.lit("\n-----END RSA PRIVATE KEY-----")), F.lit("\n"), 1),
+        (F.concat(text, F.lit("-----BEGIN RSA PRIVATE ")), F.lit("KEY-----"), F.lit("\n"), 0),
+        (F.concat(text, F.lit("-----BEGIN PUBLIC ")), F.lit("KEY-----"), F.lit("\n"), 0),
+        (after_text("https://www.host.com/watch?v="), mixed(11), close, 0),
+        (after_text('<img src="data:image/png;base64,'), F.left("mixed", size(40, 40)), quote, 0),
+        (after_text('<img src="'), F.concat(F.lit("data:image/png;base64,"), F.left("mixed", size(40, 40))), quote, 0),
+        (after_text('integrity="'), F.concat(F.lit("sha384-"), F.left("mixed", F.lit(64))), quote, 0),
+        (after_text('title="'), F.concat(F.initcap(some(6, 2, "")), F.lit("20"), F.right("number", F.lit(2))), quote, 0),
+        (after_text("name="), F.concat(F.initcap("w6"), F.right("number", F.lit(4))), close, 0),
+        (after_text("http://"), F.concat(F.col("w6"), F.lit(".host.com:8080")), close, 0),
     ]
     rows = F.array(
         *[
-            F.struct(b.alias("before"), t.alias("token"), a.alias("after"), F.lit(y).alias("is_secret"))
-            for b, t, a, y in kinds
+            F.struct(
+                F.lit(k).alias("kind"), b.alias("before"), t.alias("token"), a.alias("after"), F.lit(y).alias("is_secret")
+            )
+            for k, (b, t, a, y) in enumerate(kinds)
         ]
     )
     return drawn.select(F.inline(rows))
@@ -279,12 +301,34 @@ def _probability(forest: list, own: Column) -> Column:
     return total / len(forest)
 
 
+def held_out_kinds(findings: DataFrame, trigrams: list[str], folds: int = 6) -> DataFrame:
+    """(kind, is_secret, n, flagged): how many findings of each kind a forest flags that has
+    seen no finding of that kind, in ``folds`` rounds over all kinds."""
+    judged = []
+    before, after = F.coalesce("before", F.lit("")), F.coalesce("after", F.lit(""))
+    for fold in range(folds):
+        held = F.col("kind") % folds == fold
+        forest = train(findings.where(~held), trigrams)
+        own = findings.where(held).select(
+            "kind", "is_secret", features(before, F.col("token"), after, trigrams).alias("f")
+        )
+        flag = F.round(_probability(forest, F.col("f")), 6) >= THRESHOLD
+        judged.append(own.select("kind", "is_secret", flag.alias("flag")))
+    rows = judged[0]
+    for more in judged[1:]:
+        rows = rows.union(more)
+    return rows.groupBy("kind", "is_secret").agg(
+        F.count("*").alias("n"), F.count_if("flag").alias("flagged")
+    )
+
+
 def _scanned(docs: DataFrame, text_col: str, forest: list, trigrams: list[str]) -> DataFrame:
     """(_row, _between, _judged): the input row as a struct, the stretches between the
     candidates, and the candidates with end and score."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.struct("*").alias("_row"), text.alias("_text"))
-    between, found = text_spans.matches(F.col("_text"), CANDIDATE, F.col("_text").rlike(CANDIDATE))
+    rows = rows.select("_row", "_text", text_spans.cut_up(F.col("_text"), CANDIDATE).alias("_parts"))
+    between, found = text_spans.matches_of(F.col("_parts"), F.col("_text"), CANDIDATE)
     rows = rows.select("_row", between.alias("_between"), found.alias("_found"))
     rows = rows.select("*", text_spans.steps(F.col("_between"), F.col("_found")).alias("_steps"))
     rows = rows.select("*", text_spans.running_sums(F.col("_steps")).alias("_ends"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _BLOCK = 512
+_MARK = "\x01"
 
 
 def _long(value) -> Column:
@@ -55,6 +56,22 @@ def matches(text: Column, pattern: str, only_if: Column | None = None) -> tuple[
     return between, found
 
 
+def cut_up(text: Column, pattern: str) -> Column:
+    """The text cut before and after every match, from one search: matches are set off by a
+    character that the text does not hold. Null for a text that holds it."""
+    marked = F.regexp_replace(text, F.lit(pattern), F.lit(f"{_MARK}$0{_MARK}"))
+    return F.when(~F.contains(text, F.lit(_MARK)), F.split(marked, _MARK))
+
+
+def matches_of(parts: Column, text: Column, pattern: str) -> tuple[Column, Column]:
+    """``matches`` from a column of ``cut_up`` parts; texts without parts are searched."""
+    between, found = matches(text, pattern)
+    return (
+        F.when(parts.isNull(), between).otherwise(F.filter(parts, lambda _, i: i % 2 == 0)),
+        F.when(parts.isNull(), found).otherwise(F.filter(parts, lambda _, i: i % 2 == 1)),
+    )
+
+
 def steps(between: Column, found: Column) -> Column:
     """How far each match ends behind the one before it, in code points. ``running_sums`` of
     this, taken from a column of its own, are the matches' ends."""
