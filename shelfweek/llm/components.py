@@ -35,10 +35,14 @@ class Forest:
 
 
 def _towards_smallest(links: DataFrame) -> DataFrame:
-    """Per node ``u`` the smallest of itself and its neighbours ``v``, beside every link."""
+    """Per node ``u`` the smallest of itself and its neighbours ``v``, beside every link.
+
+    The join goes by the hash of the node and not by the node itself: its sides are then dealt
+    anew, and adaptive execution can split the links of a node with very many."""
     least = links.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select(F.col("u").alias("_u"), F.least("u", "m").alias("m"))
-    return links.join(least, F.col("u") == F.col("_u")).drop("_u")
+    least = least.select(F.col("u").alias("_u"), F.xxhash64("u").alias("_k"), F.least("u", "m").alias("m"))
+    same = (F.xxhash64(links["u"]) == F.col("_k")) & (links["u"] == F.col("_u"))
+    return links.join(least, same).drop("_u", "_k")
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -46,9 +50,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
 
     Alternates two steps until nothing changes: each node hangs its larger neighbours on
     its smallest one, then its smaller neighbours and itself. Rounds grow with the
-    logarithm of the number of nodes. Smallest neighbours are partial aggregates and the
-    joins are plain equi-joins, so a node with very many links is split like any skewed
-    key. Links to itself and links with a null end count for nothing.
+    logarithm of the number of nodes. Smallest neighbours are partial aggregates, and a node
+    with very many links is split in the joins. Links to itself and links with a null end count for nothing.
     """
     u, v = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     links = links.where(f"{a} <> {b}").select(u, v).distinct()
