@@ -1,12 +1,15 @@
-"""Substring deduplication: repeated lines, sentences and pieces go, the earliest stays.
-
-Units are whole lines and, as passages are often inserted within a line, the sentences of
-lines that have several, and the pieces of long sentences: from the start and from every word
-whose own letters mark it, up to the next mark that makes the piece long enough, so that the
-same words give the same pieces wherever they stand, overlaps included. Units
-are normalised (lower case, single spaces) and hashed to 128 bits; digests are grouped over
-all documents, and every occurrence but the one ranked first (by id, then row, then place)
-is cut out, its offsets in the original text kept.
+"""Substring deduplication: repeated lines and passages go, the earliest occurrence stays.
+
+A text is a row of words (in scripts without spaces, of characters), with boundaries between
+some of them: at line ends, and after the word of every stretch of 14 whose own letters give
+it the smallest number, ends of sentences before others.
+Units are whole lines and, as passages are often put into a line or wrapped otherwise, the
+pieces from every boundary to the next one that makes them long enough: the same words give
+the same pieces wherever they stand. Units are normalised (lower case, single spaces) and
+hashed to 128 bits; digests are grouped over all documents, and every occurrence but the one
+ranked first (by id, then row, then place) is a repeat. Repeats that touch or overlap form a
+run; runs of enough words or characters are cut out, their offsets in the original text kept.
+Shorter runs are chance, and stay.
 """
 
 from __future__ import annotations
@@ -22,74 +25,80 @@ from pyspark.sql import functions as F
 
 from .scratch import numbered, settle
 
-#: Shorter units repeat by chance and are left alone.
+#: Words of the shortest line and of the shortest piece that are hashed.
 LINE_WORDS = 4
-SENTENCE_WORDS = 6
-#: Sentences of more words are cut into pieces as well; one word in so many ends a piece.
-LONG_SENTENCE = 24
-PIECE = 8
-
-# tiles a line: up to the end marks before a space or the line's end, or else all the rest
-SENTENCE = re.compile(r".*?[.!?]+(?: +|\Z)|.+", re.S)
-WORD = re.compile(r"\s*\S+\s*")
-
-
-def pieces(sentence: str) -> Iterator[tuple[int, int]]:
-    """Where the pieces of a sentence begin and end, but for the whole of it."""
-    marks, count, end = [(0, 0)], 0, 0
-    for m in WORD.finditer(sentence):
-        count, end = count + 1, m.end()
-        if sum(map(ord, m[0].strip().lower())) % PIECE == 0:
-            marks.append((count, end))
-    if marks[-1][0] != count:
-        marks.append((count, end))
+PIECE_WORDS = 6
+#: Words of a stretch; in each of them one ends a piece.
+STRETCH = 14
+#: Runs of so many words, or of so many characters, are cut out.
+RUN_WORDS = 20
+RUN_CHARS = 130
+#: Words whose numbers are remembered.
+_REMEMBERED = 1 << 18
+
+# fixed values: characters that are words by themselves (kana, CJK, Hangul), white space, and
+# the ends of sentences; longer words than 16 characters are taken apart
+ALONE = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af"
+SPACE = " \\t\\n\\r\\f\\v"
+WORD = re.compile(f"[{ALONE}]|[^{SPACE}{ALONE}]{{1,16}}")
+ENDS = frozenset(".!?\u3002\uff01\uff1f")
+
+
+class Numbers(dict):
+    """The number that its letters give a word, worked out once for each word."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > _REMEMBERED:
+            self.clear()
+        number = sum(map(ord, word)) * 40503 % 65521
+        self[word] = number = number if word[-1] in ENDS else number + 65521
+        return number
+
+
+def ends(numbers: list[int]) -> list[int]:
+    """Behind which words a piece ends: the first with the smallest number, of each stretch."""
+    if len(numbers) < STRETCH:
+        return []
+    stretches = np.lib.stride_tricks.sliding_window_view(np.array(numbers, np.int32), STRETCH)
+    least = stretches.argmin(1) + np.arange(len(stretches))
+    return (least[np.concatenate([[True], np.diff(least) > 0])] + 1).tolist()
+
+
+def units(text: str, numbers: dict[str, int]) -> Iterator[tuple[int, int, str]]:
+    """(first word, number of words, normalised text) of the lines and pieces long enough."""
+    words: list[str] = []
+    line_ends = [0]
+    for line in text.split("\n"):
+        own = WORD.findall(line)
+        if own:
+            words += " ".join(own).lower().split(" ")
+            line_ends.append(len(words))
+    bounds = sorted({*line_ends, *ends([numbers[w] for w in words])})
+    lines = {a: b for a, b in zip(line_ends, line_ends[1:]) if b - a >= LINE_WORDS}
     stop = 0
-    for words, at in marks:
-        while stop < len(marks) and marks[stop][0] < words + SENTENCE_WORDS:
+    for at in bounds:
+        while stop < len(bounds) and bounds[stop] < at + PIECE_WORDS:
             stop += 1
-        if stop < len(marks) and (words, stop) != (0, len(marks) - 1):
-            yield at, marks[stop][1]
-
-
-def units(text: str) -> Iterator[tuple[int, int, int, str]]:
-    """(start, end, level, normalised text) of the units long enough; level 0 is a line, 1 a
-    sentence, 2 a piece."""
-
-    def normal(part):
-        return " ".join(part.lower().split())
-
-    at = 0
-    for line in text.split("\n"):
-        key = normal(line)
-        count = key.count(" ") + 1
-        if count >= LINE_WORDS:
-            yield at, at + len(line), 0, key
-        if count > SENTENCE_WORDS:
-            several = SENTENCE.match(line).end() < len(line)
-            if several or count > LONG_SENTENCE:
-                for m in SENTENCE.finditer(line):
-                    part = normal(m[0])
-                    count = part.count(" ") + 1
-                    if several and count >= SENTENCE_WORDS:
-                        yield at + m.start(), at + m.end(), 1, part
-                    if count > LONG_SENTENCE:
-                        for s, e in pieces(m[0]):
-                            yield at + m.start() + s, at + m.start() + e, 2, normal(m[0][s:e])
-        at += len(line) + 1
+        end = bounds[stop] if stop < len(bounds) else at
+        if end > at:
+            yield at, end - at, " ".join(words[at:end])
+        upto = lines.get(at, end)
+        if upto != end:
+            yield at, upto - at, " ".join(words[at:upto])
 
 
 def _unit_rows(docs: DataFrame, kind: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = Numbers()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                of, start, end, level, digests = [], [], [], [], []
+                of, first, count, digests = [], [], [], []
                 for k, text in enumerate(part.column(2)):
-                    for s, e, n, key in units(text.as_py() or ""):
+                    for start, n, key in units(text.as_py() or "", numbers):
                         of.append(k)
-                        start.append(s)
-                        end.append(e)
-                        level.append(n)
+                        first.append(start)
+                        count.append(n)
                         digests.append(xxhash.xxh3_128_digest(key.encode("utf-8", "surrogatepass")))
                 halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 rows = pa.array(of, pa.int64())
@@ -97,39 +106,59 @@ def _unit_rows(docs: DataFrame, kind: str) -> DataFrame:
                     [
                         part.column(0).take(rows),
                         part.column(1).take(rows),
-                        pa.array(start, pa.int32()),
-                        pa.array(end, pa.int32()),
-                        pa.array(level, pa.int32()),
+                        pa.array(np.array(first, np.int64) << 32 | np.array(count, np.int64)),
                         pa.array(np.ascontiguousarray(halves[:, 0])),
                         pa.array(np.ascontiguousarray(halves[:, 1])),
                     ],
-                    ["_row", "_id", "start", "end", "level", "h1", "h2"],
+                    ["_row", "_id", "place", "h1", "h2"],
                 )
 
-    schema = f"_row long, _id {kind}, start int, end int, level int, h1 long, h2 long"
-    return docs.mapInArrow(read, schema)
+    # a place is the first word above bit 32, the number of words below
+    return docs.mapInArrow(read, f"_row long, _id {kind}, place long, h1 long, h2 long")
 
 
 def repeats(rows: DataFrame, kind: str) -> DataFrame:
-    """(_row, start, end, level, first): the units of ``rows`` (_row, _id, _text) to cut out, and the
-    id of the document that keeps them. A unit may lie in another that goes as well."""
+    """(_row, place, first): the units of ``rows`` (_row, _id, _text) that repeat another, and
+    the id of the document that keeps it. A unit may lie in another that repeats as well."""
     found = settle(_unit_rows(rows, kind))
     # first by half a digest and a count, which shuffles little, then the few that repeat
-    repeated = found.groupBy("h1").agg(F.count("*").alias("copies")).where("copies > 1").select("h1")
-    found = settle(found.join(repeated, "h1", "left_semi"))
-    rank = F.struct(F.col("_id").isNull().alias("n"), "_id", "_row", "start")
+    repeated = found.groupBy("h1").agg(F.count("*").alias("copies")).where("copies > 1")
+    # joined by another key than counted by, so that both sides are dealt anew and the units
+    # of a digest with very many can be split
+    repeated = repeated.select(F.bitwise_not("h1").alias("_k"))
+    found = settle(found.join(repeated, F.bitwise_not("h1") == F.col("_k"), "left_semi"))
+    rank = F.struct(F.col("_id").isNull().alias("n"), "_id", "_row", "place")
     firsts = found.groupBy("h1", "h2").agg(F.min(rank).alias("f"), F.count("*").alias("copies"))
-    firsts = firsts.where("copies > 1").select("h1", "h2", "f")
-    # keys are unique on the right; a digest with very many units is split by rows on the left
-    # (a line and its first sentence begin in one place and may read alike: that is no repeat)
-    gone = found.join(firsts, ["h1", "h2"]).where("NOT (_row = f._row AND start = f.start)")
-    return gone.select("_row", "start", "end", "level", F.col("f._id").alias("first"))
-
-
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_removed, removed_chars, spans, text) per row: ``spans`` are the units cut out
+    # settled, so that the join deals the units anew and a digest with very many is split
+    firsts = settle(firsts.where("copies > 1").select("h1", "h2", "f"))
+    gone = found.join(firsts, ["h1", "h2"]).where("NOT (_row = f._row AND place = f.place)")
+    return gone.select("_row", "place", F.col("f._id").alias("first"))
+
+
+def runs(found: list[tuple]) -> list[tuple]:
+    """(first word, word after the last, first) of the runs of units (first word, number of
+    words, first). ``first`` is that of the unit it begins with, the longest one."""
+    out: list[tuple] = []
+    for start, n, first in sorted(found, key=lambda u: (u[0], -u[1])):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], start + n), out[-1][2])
+        else:
+            out.append((start, start + n, first))
+    return out
+
+
+def dedup(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    least_words: int = RUN_WORDS,
+    least_chars: int = RUN_CHARS,
+) -> DataFrame:
+    """(id_col, n_removed, removed_chars, spans, text) per row: ``spans`` are the runs cut out
     (start, end, first) in code points of the original text, end exclusive, ``first`` the id
-    that keeps the unit; pieces may overlap. ``text`` is what is left, otherwise unchanged.
+    that keeps what the run begins with. ``text`` is what is left, otherwise unchanged: the
+    space around a run stays. Runs of fewer than ``least_words`` words and fewer than
+    ``least_chars`` characters stay.
 
     Null text counts as empty and stays null. Equal ids: the row read first keeps the unit.
     Null ids rank last. Repeats within one document go too. Other columns are not read.
@@ -140,7 +169,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     spans = (
         repeats(rows, kind)
         .groupBy("_row")
-        .agg(F.collect_list(F.struct("start", "end", "level", "first")).alias("units"))
+        .agg(F.collect_list(F.struct("place", "first")).alias("units"))
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,16 +179,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 left, lists, lost = [], [], []
                 for text, found in zip(part.column(1), part.column(2)):
                     text, found = text.as_py(), found.as_py() or []
-                    found.sort(key=lambda u: (u["start"], u["level"]))
-                    kept, pieces, upto, covered = [], [], 0, [0, 0, 0]
-                    for u in found:
-                        if u["end"] <= max(covered[: u["level"]], default=0):
-                            continue  # inside a longer unit that goes
-                        covered[u["level"]] = u["end"]
-                        if u["end"] > upto:
-                            pieces.append(text[upto : u["start"]])
-                            upto = u["end"]
-                        kept.append({"start": u["start"], "end": u["end"], "first": u["first"]})
+                    units = [(u["place"] >> 32, u["place"] & 0xFFFFFFFF, u["first"]) for u in found]
+                    words = [m.span() for m in WORD.finditer(text)] if units else []
+                    kept = [
+                        {"start": words[a][0], "end": words[b - 1][1], "first": first}
+                        for a, b, first in runs(units)
+                        if b - a >= least_words or words[b - 1][1] - words[a][0] >= least_chars
+                    ]
+                    pieces, upto = [], 0
+                    for span in kept:
+                        pieces.append(text[upto : span["start"]])
+                        upto = span["end"]
                     left.append("".join(pieces) + text[upto:] if kept else text)
                     lists.append(kept)
                     lost.append(len(text or "") - len(left[-1] or ""))

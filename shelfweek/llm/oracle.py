@@ -41,92 +41,71 @@ SELECT conv_id,
 FROM marked GROUP BY conv_id
 """
 
-LINES = r"""
-WITH lines AS (
-  SELECT doc_id, line, n,
-    coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY n
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
-  FROM (
-    SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS n
-    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
-  )
-), sentences AS (
-  SELECT doc_id, n, k, part, parts,
-    pos + coalesce(sum(length(part)) OVER (PARTITION BY doc_id, n ORDER BY k
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM (
-    SELECT doc_id, n, pos, unnest(parts) AS part, unnest(range(len(parts))) AS k, len(parts) AS parts
-    FROM (SELECT *, regexp_extract_all(line, '(?s).*?[.!?]+(?: +|$)|(?s).+') AS parts FROM lines))
+_ALONE = r"\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{ac00}-\x{d7af}"
+_SPACE = r" \t\n\r\f\v"
+_SPACES = "chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
+
+LINES = rf"""
+WITH tiles AS (
+  SELECT doc_id, unnest(tiles) AS tile, unnest(range(len(tiles))) AS i, len(tiles) AS n
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''),
+      '[{_SPACE}]*(?:[{_ALONE}]|[^{_SPACE}{_ALONE}]{{1,16}})[{_SPACE}]*') AS tiles FROM documents)
 ), words AS (
-  SELECT doc_id, n, k, i, word, start,
-    list_sum(list_transform(string_split(lower(trim(word, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')), ''),
-      lambda c : unicode(c))) % 8 = 0 AS cut
-  FROM (
-    SELECT doc_id, n, k, start, unnest(words) AS word, unnest(range(len(words))) AS i
-    FROM (SELECT *, regexp_extract_all(part, '\s*\S+\s*') AS words FROM sentences)
-    WHERE len(words) > 24)
-), placed AS (
-  SELECT *, start + coalesce(sum(length(word)) OVER (PARTITION BY doc_id, n, k ORDER BY i
+  SELECT *, lower(trim(tile, {_SPACES})) AS word, length(trim(tile, {_SPACES})) AS size,
+    length(tile) - length(ltrim(tile, {_SPACES})) + coalesce(sum(length(tile)) OVER (PARTITION BY doc_id ORDER BY i
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at_char,
-    coalesce(lag(cut) OVER (PARTITION BY doc_id, n, k ORDER BY i), true) AS begins
+    contains(substr(tile, length(tile) - length(ltrim(tile, {_SPACES})) + 1), chr(10)) OR i + 1 = n AS line_end
+  FROM tiles
+), lists AS (
+  SELECT doc_id, list(word ORDER BY i) AS words FROM words GROUP BY doc_id
+), line_marks AS (
+  SELECT doc_id, 0 AS i FROM words WHERE i = 0
+  UNION ALL SELECT doc_id, i + 1 FROM words WHERE line_end
+), numbers AS (
+  SELECT doc_id, i, n, CAST(list_sum(list_transform(string_split(word, ''), lambda c : unicode(c))) AS BIGINT) * 40503 % 65521
+    + CASE WHEN right(word, 1) IN ('.', '!', '?', chr(12290), chr(65281), chr(65311)) THEN 0 ELSE 65521 END AS number
   FROM words
 ), marks AS (
-  SELECT doc_id, n, k, i, at_char FROM placed WHERE begins
-  UNION ALL
-  SELECT doc_id, n, k, max(i) + 1, max(at_char + length(word)) FROM placed GROUP BY doc_id, n, k
-), pieces AS (
-  SELECT a.doc_id, a.n, a.k, a.i, a.at_char AS start, min(b.at_char) AS stop
-  FROM marks a JOIN marks b ON b.doc_id = a.doc_id AND b.n = a.n AND b.k = a.k AND b.i >= a.i + 6
-  GROUP BY ALL
+  SELECT * FROM line_marks
+  UNION
+  SELECT doc_id, least % 100000000 + 1
+  FROM (SELECT doc_id, i, n, min(number * 100000000 + i) OVER (PARTITION BY doc_id ORDER BY i
+      ROWS BETWEEN CURRENT ROW AND 13 FOLLOWING) AS least FROM numbers)
+  WHERE i + 14 <= n
 ), units AS (
-  SELECT doc_id, n, -1 AS k, pos AS start, pos + length(line) AS stop, 0 AS level, 4 AS least,
-    trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS key
-  FROM lines
-  UNION ALL
-  SELECT doc_id, n, k, start, start + length(part), 1, 6,
-    trim(regexp_replace(lower(part), '\s+', ' ', 'g')) FROM sentences WHERE parts > 1
-  UNION ALL
-  SELECT p.doc_id, p.n, p.k, p.start, p.stop, 2, 6,
-    trim(regexp_replace(lower(substr(part, CAST(p.start - s.start + 1 AS BIGINT), CAST(p.stop - p.start AS BIGINT))), '\s+', ' ', 'g'))
-  FROM pieces p JOIN sentences s ON s.doc_id = p.doc_id AND s.n = p.n AND s.k = p.k
-  WHERE NOT (p.i = 0 AND p.stop = s.start + length(part))
-), long_units AS (
-  SELECT * FROM units WHERE key <> '' AND length(key) - length(replace(key, ' ', '')) + 1 >= least
+  SELECT a.doc_id, a.i, b.i AS j FROM marks a ASOF JOIN marks b ON a.doc_id = b.doc_id AND a.i + 6 <= b.i
+  UNION
+  SELECT a.doc_id, a.i, b.i AS j FROM line_marks a ASOF JOIN line_marks b ON a.doc_id = b.doc_id AND a.i + 1 <= b.i
+  WHERE b.i - a.i >= 4
 ), ranked AS (
-  SELECT *, first_value(doc_id) OVER w AS first, first_value(start) OVER w AS first_start
-  FROM long_units WINDOW w AS (PARTITION BY key ORDER BY doc_id, start)
+  SELECT *, first_value(doc_id) OVER w AS first, first_value(i) OVER w AS first_i, first_value(j) OVER w AS first_j
+  FROM (SELECT u.*, array_to_string(words[i + 1 : j], ' ') AS key FROM units u JOIN lists USING (doc_id))
+  WINDOW w AS (PARTITION BY key ORDER BY doc_id, i, j)
 ), gone AS (
-  SELECT * FROM ranked WHERE NOT (doc_id = first AND start = first_start)
-), cut AS (
-  SELECT g.* FROM gone g
-  WHERE NOT EXISTS (
-    SELECT 1 FROM gone l WHERE l.doc_id = g.doc_id AND l.n = g.n
-      AND (l.level = 0 AND g.level > 0 OR l.level = 1 AND g.level = 2 AND l.k = g.k))
-), tiles AS (
-  -- the finest tiles, and line ends
-  SELECT doc_id, n, k, at_char AS start, 0 AS after, word AS tile FROM placed
-  UNION ALL
-  SELECT doc_id, n, k, start, 0, part FROM sentences s
-  WHERE NOT EXISTS (SELECT 1 FROM words w WHERE w.doc_id = s.doc_id AND w.n = s.n AND w.k = s.k)
-  UNION ALL
-  SELECT doc_id, n, -2, pos - 1, 1, chr(10) FROM lines WHERE n > 0
-), left_over AS (
-  SELECT t.doc_id, string_agg(tile, '' ORDER BY start, after) AS text
-  FROM tiles t
-  WHERE k = -2 OR NOT EXISTS (
-    SELECT 1 FROM cut c WHERE c.doc_id = t.doc_id AND c.n = t.n
-      AND (c.level = 0 OR c.level = 1 AND c.k = t.k
-        OR c.level = 2 AND c.k = t.k AND t.start >= c.start AND t.start < c.stop))
-  GROUP BY t.doc_id
+  SELECT *, coalesce(i > max(j) OVER (PARTITION BY doc_id ORDER BY i, j DESC
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS begins
+  FROM ranked WHERE NOT (doc_id = first AND i = first_i AND j = first_j)
+), runs AS (
+  SELECT doc_id, min(i) AS i, max(j) AS j, arg_min(first, i * 10000000 - j) AS first
+  FROM (SELECT *, sum(CAST(begins AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i, j DESC
+      ROWS UNBOUNDED PRECEDING) AS run FROM gone)
+  GROUP BY doc_id, run
 ), spans AS (
-  SELECT doc_id, count(*) AS n_removed,
-    string_agg(CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) || ':' || first, ',' ORDER BY start) AS spans
-  FROM cut GROUP BY doc_id
+  SELECT *, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS before
+  FROM (
+    SELECT r.doc_id, CAST(a.at_char AS BIGINT) AS start, CAST(b.at_char + b.size AS BIGINT) AS stop, r.first
+    FROM runs r JOIN words a ON a.doc_id = r.doc_id AND a.i = r.i
+      JOIN words b ON b.doc_id = r.doc_id AND b.i = r.j - 1
+    WHERE r.j - r.i >= 20 OR b.at_char + b.size - a.at_char >= 130)
+), cut AS (
+  SELECT doc_id, count(*) AS n_removed, sum(stop - start) AS removed_chars, max(stop) AS last,
+    string_agg(start || ':' || stop || ':' || first, ',' ORDER BY start) AS spans,
+    string_agg(substr(text, before + 1, start - before), '' ORDER BY start) AS head
+  FROM spans JOIN documents USING (doc_id) GROUP BY doc_id
 )
-SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, 
-  length(coalesce(d.text, '')) - length(coalesce(l.text, '')) AS removed_chars,
-  coalesce(spans, '') AS spans, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(l.text, '') END AS text
-FROM documents d LEFT JOIN spans USING (doc_id) LEFT JOIN left_over l USING (doc_id)
+SELECT doc_id, coalesce(n_removed, 0) AS n_removed, CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars,
+  coalesce(spans, '') AS spans, CASE WHEN n_removed > 0 THEN head || substr(text, last + 1) ELSE text END AS text
+FROM documents LEFT JOIN cut USING (doc_id)
 """
 
 URLS = r"""
