@@ -375,12 +375,12 @@ models AS (
   FROM turned v LEFT JOIN best b ON b.series = v.id)"""
 
 
-def steps_ahead(horizon: int, season: int = 52) -> str:
+def steps_ahead(horizon: int, season: int = 52, models: str = "models") -> str:
     own = "srl_num, target, last_date, centre, scale, fallback, beta, p, q, s, const, d, sd"
     return f"""ahead AS (
   SELECT {own}, w, z, x, 0 AS k, centre AS value, list_transform(range(1, 6), lambda j : w[j] - lp[1]
     - list_sum(list_transform(range(1, 8), lambda i : coalesce(lp[i + 1] * w[j + i], 0)))) AS e
-  FROM models
+  FROM {models}
   UNION ALL
   SELECT {own}, list_prepend(v, w), list_prepend(l, z), list_prepend(f, x), k + 1,
     CASE WHEN fallback THEN centre ELSE centre + scale * f END, e
@@ -425,6 +425,34 @@ FROM ahead a JOIN (SELECT DISTINCT store_number, category_name, srl_num FROM num
 WHERE k > 0 AND a.srl_num IN ({chosen}) GROUP BY 1, 2, 3, 4"""
 
 
+CARRIED = f"""{numbered('nation')}, limits AS (SELECT max(date) - 56 AS upto FROM numbered),
+kept AS (SELECT numbered.* FROM numbered, limits WHERE date <= upto),
+{differences(52, 'kept')}, {search()},
+late AS (
+  SELECT srl_num, target, date, y, row_number() OVER (PARTITION BY srl_num, target ORDER BY date) AS step
+  FROM (SELECT srl_num, date, 'sales' AS target, total_sales AS y FROM numbered
+    UNION ALL SELECT srl_num, date, 'volume', total_volume_sold FROM numbered), limits
+  WHERE date > upto),
+moved AS (
+  SELECT srl_num, target, 0 AS step, last_date AS upto, w, z, x FROM models
+  UNION ALL
+  SELECT srl_num, target, step, upto, list_prepend(CASE d WHEN 0 THEN l WHEN 1 THEN l - z[1]
+      ELSE l - 2 * z[1] + z[2] END, w), list_prepend(l, z), list_prepend(v, x)
+  FROM (SELECT *, v - CASE sd WHEN 1 THEN x[52] ELSE 0 END AS l
+    FROM (SELECT o.srl_num, o.target, n.step, n.date AS upto, o.w, o.z, o.x, m.d, m.sd,
+        (n.y - m.centre) / CASE WHEN m.scale > 0 THEN m.scale ELSE 1 END AS v
+      FROM moved o JOIN models m ON o.srl_num = m.srl_num AND o.target = m.target
+        JOIN late n ON n.srl_num = o.srl_num AND n.target = o.target AND n.step = o.step + 1))),
+carried AS (
+  SELECT m.* EXCLUDE (w, z, x, last_date), o.w, o.z, o.x, o.upto AS last_date
+  FROM models m JOIN (SELECT *, row_number() OVER (PARTITION BY srl_num, target ORDER BY step DESC) AS back
+    FROM moved) o ON o.srl_num = m.srl_num AND o.target = m.target AND o.back = 1),
+{steps_ahead(18, models='carried')}
+SELECT n.store_number, n.category_name, a.srl_num,
+  CAST(last_date + CAST(7 * (k - 1) AS INTEGER) AS DATE) AS "Date", {AHEAD}
+FROM ahead a JOIN (SELECT DISTINCT store_number, category_name, srl_num FROM numbered) n USING (srl_num)
+WHERE k > 0 GROUP BY 1, 2, 3, 4"""
+
 MONTHLY = f"""{sales('nation')}, months AS (
   SELECT store_number, CAST(date_trunc('month', d) AS DATE) AS date,
     {total('sale_dollars')} AS total_sales, {total('volume_sold_liters')} AS total_volume_sold
@@ -465,6 +493,17 @@ WHERE NOT broken GROUP BY name"""
 
 DRIFT = f"WITH fc AS ({closed_form('drift')})"
 
+def calendar(weeks: int, first: int = 0) -> str:
+    return f"""{numbered()}
+SELECT store_number, category_name, srl_num, CAST(last + CAST(7 * k AS INTEGER) AS DATE) AS "Date"
+FROM (SELECT store_number, category_name, srl_num, max(date) AS last FROM numbered
+  GROUP BY 1, 2, 3) CROSS JOIN (SELECT unnest(range({first}, {first + weeks})) AS k)"""
+
+
+LAST_YEARS = f"""{sales()}
+SELECT {RAW}, {CALENDAR} FROM (SELECT *, d AS date_parsed FROM parsed)
+WHERE date_parsed >= (SELECT max(d) - INTERVAL 3 YEAR FROM parsed)"""
+
 SUMS = f"""{total('sale_dollars')} AS total_sales,
   {total('volume_sold_liters')} AS total_volume_sold"""
 
@@ -491,9 +530,21 @@ GROUP BY 1""",
 SELECT d AS date, {week('d')} AS week, count(*) AS row_count FROM parsed GROUP BY 1, 2""",
     "quarter_label": f"""{sales()}
 SELECT {quarter('d')} AS quarter_label, count(*) AS row_count FROM parsed GROUP BY 1""",
-    "last_3_years": f"""{sales()}
-SELECT {RAW}, {CALENDAR} FROM (SELECT *, d AS date_parsed FROM parsed)
-WHERE date_parsed >= (SELECT max(d) - INTERVAL 3 YEAR FROM parsed)""",
+    "last_3_years": LAST_YEARS,
+    "sales_from_csv": f"{sales()} SELECT {RAW} FROM lines",
+    "sales_small_stored": LAST_YEARS,
+    "weekly_from_csv": f"{numbered()} SELECT * FROM numbered",
+    "weekly_row_names": f"{numbered()} SELECT * FROM numbered",
+    "lowered_names": f"""{sales()}
+SELECT store_number, category_name, count(*) AS row_count FROM lines GROUP BY 1, 2""",
+    "column_listing": f"""{sales()}
+SELECT '{RAW.replace(" ", "")},date_parsed,year,month,day_of_month,week_number,day_of_week,quarter,is_weekend'
+  AS column_list, count(d) AS dated_rows FROM parsed""",
+    "iso_dates": f"""{sales()}
+SELECT d AS date, count(*) AS row_count FROM parsed GROUP BY 1""",
+    "spread_series": f"""{active()}
+SELECT store_number, category_name, count(*) AS weeks, CAST(1 AS BIGINT) AS tasks
+FROM active GROUP BY 1, 2""",
     "filter_category_window": f"""{sales()}
 SELECT store_number, d AS date, category, category_name, sale_dollars, volume_sold_liters,
   CAST(year(d) AS INTEGER) AS year FROM parsed WHERE {WINDOW}""",
@@ -585,15 +636,15 @@ ORDER BY 1, 2 LIMIT 6""",
 SELECT store_number, CAST(date_trunc('month', d) AS DATE) AS date,
   {SUMS} FROM parsed WHERE category_name = 'PROMO'
   AND d BETWEEN DATE '1995-01-01' AND DATE '2001-12-31' GROUP BY 1, 2""",
-    "forecast_calendar": f"""{numbered()}
-SELECT store_number, category_name, srl_num, CAST(last + CAST(7 * k AS INTEGER) AS DATE) AS "Date"
-FROM (SELECT store_number, category_name, srl_num, max(date) AS last FROM numbered
-  GROUP BY 1, 2, 3) CROSS JOIN (SELECT unnest(range(0, 18)) AS k)""",
+    "forecast_calendar": calendar(18),
+    "forecast_calendar_half_year": calendar(26, 1),
     "difference_orders": f"{numbered('nation')}, {DIFFERENCES} SELECT * FROM orders",
     "lag_products": f"{numbered('nation')}, {DIFFERENCES}, {PRODUCTS}",
     "model_table": MODELS,
+    "stored_model_table": MODELS,
     "forecast_weekly": arima(),
     "forecast_stored_models": arima(),
+    "forecast_carried_additive": CARRIED,
     "holdout_errors": HOLDOUT,
     "forecast_top_slice": arima(
         "SELECT srl_num FROM in_cat WHERE store_number IN (SELECT store_number FROM top_store)",
@@ -604,6 +655,8 @@ FROM (SELECT store_number, category_name, srl_num, max(date) AS last FROM number
     ),
     "forecast_store_monthly": MONTHLY,
     "forecast_auto_sql": choice(),
+    "forecasts_from_csv": f"SELECT * EXCLUDE (srl_num) FROM ({closed_form('naive')})",
+    "registered_result": f"SELECT * EXCLUDE (srl_num) FROM ({closed_form('mean')})",
     "dashboard_choices": f"""{DRIFT}
 SELECT DISTINCT 'category' AS kind, category_name AS choice FROM fc
 UNION ALL SELECT DISTINCT 'quarter', {quarter('"Date"')} FROM fc

@@ -6,7 +6,9 @@ are denser.
 
 from __future__ import annotations
 
+import os
 from functools import partial
+from unittest.mock import patch
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,15 @@ from shelfweek.operators import (
 )
 from shelfweek.plans import stages
 from shelfweek.schemas import SALES_RAW, SERIES_KEYS, TARGETS
-from shelfweek.sinks.files import scratch_path, settle, write_weekly_table
+from shelfweek.sinks.files import (
+    scratch_path,
+    settle,
+    write_dataset,
+    write_forecasts,
+    write_models,
+    write_sales_small,
+    write_weekly_table,
+)
 from shelfweek.sources import files
 from shelfweek.sources.star_schema import sales_lines
 
@@ -90,6 +100,60 @@ def csv_audit(spark, folder):
     return columns.value_audit(texts, SALES_RAW, broken=files.BROKEN)
 
 
+def sales_from_csv(spark, folder):
+    """All sales lines, written as CSV and read back from the paths of the environment."""
+    path = scratch_path(spark)
+    write_dataset(sales_lines(spark, folder), path, "csv")
+    parent, name = path.rsplit("/", 1)
+    with patch.dict(os.environ, DATASET_PATH=parent, DATASET_NAME=name):
+        return files.read_sales(spark, name="sales_from_csv", fail_on_bad=True)
+
+
+def sales_small_stored(spark, folder):
+    """The trailing window as stored by year, read back."""
+    path = scratch_path(spark)
+    write_sales_small(stages.recent_sales(sales_lines(spark, folder)), path)
+    return files.read_sales_small(spark, path)
+
+
+def weekly_from_csv(spark, folder):
+    path = scratch_path(spark)
+    write_dataset(_weekly(spark, folder), path, "csv")
+    return files.read_weekly(spark, path, "csv", name="weekly_from_csv")
+
+
+def weekly_row_names(spark, folder):
+    """Weekly rows of files that have numbers of rows in a first column, which is not kept."""
+    path = scratch_path(spark)
+    weekly = _weekly(spark, folder)
+    names = F.monotonically_increasing_id().alias("row_name")
+    write_dataset(weekly.select(names, *reversed(weekly.columns)), path, "csv")
+    return files.read_weekly(spark, path, "csv", name="weekly_row_names")
+
+
+def lowered_names(spark, folder):
+    """Lines per series of sales whose columns are named in capitals."""
+    sales = sales_lines(spark, folder)
+    lowered = columns.lower_names(sales.toDF(*[c.upper() for c in sales.columns]))
+    return lowered.groupBy(*series.PAIR).agg(F.count("*").alias("row_count"))
+
+
+def column_listing(spark, folder):
+    sales = columns.add_calendar(sales_lines(spark, folder))
+    return sales.groupBy(F.lit(columns.column_list(sales)).alias("column_list")).agg(
+        F.count("date_parsed").alias("dated_rows")
+    )
+
+
+def iso_dates(spark, folder):
+    """Lines per date of sales with year-month-day texts; those without zeros too."""
+    day = dates.parse_us_date("date")
+    short = F.concat_ws("-", F.year(day), F.month(day), F.day(day))
+    texts = F.when(F.month(day) < 7, day.cast("string")).otherwise(short)
+    sales = columns.replace_text_date(sales_lines(spark, folder).withColumn("date", texts), iso=True)
+    return sales.groupBy("date").agg(F.count("*").alias("row_count"))
+
+
 def week_start(spark, folder):
     sales = sales_lines(spark, folder).groupBy("date").agg(F.count("*").alias("row_count"))
     return columns.add_week(columns.replace_text_date(sales))
@@ -301,6 +365,15 @@ def grouped_apply(spark, folder):
     return trend.filter("weeks >= 3").drop("weeks")
 
 
+def spread_series(spark, folder):
+    """Weeks of each series, and in how many tasks they are after the rows are dealt by it."""
+    weekly = series.spread_by_keys(stages.active_weekly(sales_lines(spark, folder)), series.PAIR, 16)
+    tasks = weekly.withColumn("task", F.spark_partition_id())
+    return tasks.groupBy(*series.PAIR).agg(
+        F.count("*").alias("weeks"), F.count_distinct("task").alias("tasks")
+    )
+
+
 # top slices
 
 
@@ -358,12 +431,21 @@ def forecast_stored_models(spark, folder):
     return _to_tenths(arima.weekly_steps(models))
 
 
-def forecast_carried(spark, folder):
+def _carried(spark, folder, kind):
     """Models fitted without the last eight weeks, stored, carried over them and projected."""
     weekly = settle(_weekly(spark, folder, "nation"))
     before = weekly.filter(F.col("date") <= F.date_sub(filters.max_value(weekly, "date"), 56))
-    models = settle(seasonal_arima.fit_models(before))
-    return _to_tenths(seasonal_arima.weekly_steps(seasonal_arima.carry(models, weekly)))
+    path = scratch_path(spark)
+    write_models(kind.fit_models(before), path)
+    return _to_tenths(kind.weekly_steps(kind.carry(spark.read.parquet(path), weekly)))
+
+
+def forecast_carried(spark, folder):
+    return _carried(spark, folder, seasonal_arima)
+
+
+def forecast_carried_additive(spark, folder):
+    return _carried(spark, folder, arima)
 
 
 def forecast_seasonal(spark, folder):
@@ -394,8 +476,18 @@ def monthly_sales(spark, folder):
 
 
 def model_table(spark, folder):
+    return _model_columns(arima.model_table(arima.fit_models(_weekly(spark, folder, "nation"))))
+
+
+def stored_model_table(spark, folder):
+    """Orders and coefficients of models that were stored, from the stored models alone."""
+    path = scratch_path(spark)
+    write_models(arima.fit_models(_weekly(spark, folder, "nation")), path)
+    return _model_columns(arima.model_table(spark.read.parquet(path)))
+
+
+def _model_columns(models: DataFrame) -> DataFrame:
     """Orders and coefficients, a column each."""
-    models = arima.model_table(arima.fit_models(_weekly(spark, folder, "nation")))
     orders = [F.get("model_order", F.lit(i)).alias(c) for i, c in enumerate(("p", "d", "q", "ps", "sd"))]
     names = [f"{kind}_{i}" for kind in ("ar", "ma") for i in range(1, 6)] + ["seasonal_ar"]
     weights = [
@@ -440,6 +532,11 @@ def forecast_calendar(spark, folder):
     return series.forecast_calendar(_weekly(spark, folder), SERIES_KEYS)
 
 
+def forecast_calendar_half_year(spark, folder):
+    """Another horizon, from the week after the last one."""
+    return series.forecast_calendar(_weekly(spark, folder), SERIES_KEYS, 26, "next")
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(c, 4) for c in ("forecast_volume", "fc_sales")})
 
@@ -460,6 +557,21 @@ def _forecasts(spark, folder):
     return settle(_closed_form(spark, folder, "drift").drop("srl_num"))
 
 
+def forecasts_from_csv(spark, folder):
+    """Published forecasts, read back from the path of the environment."""
+    path = scratch_path(spark)
+    write_forecasts(_closed_form(spark, folder, "naive"), path, "csv")
+    with patch.dict(os.environ, FORECAST_FILE_LOCATION=path):
+        return files.read_forecasts(spark, "csv")
+
+
+def registered_result(spark, folder):
+    """A result registered by name, replacing another, and read back as a table."""
+    files.register_result(sales_lines(spark, folder), "registered_result")
+    files.register_result(_closed_form(spark, folder, "mean").drop("srl_num"), "registered_result")
+    return files.read_forecasts(spark, "table", "registered_result")
+
+
 def dashboard_choices(spark, folder):
     return dashboard.choices(_forecasts(spark, folder))
 
@@ -482,6 +594,13 @@ PLAIN = [
     date_audit,
     value_audit,
     csv_audit,
+    sales_from_csv,
+    sales_small_stored,
+    weekly_from_csv,
+    weekly_row_names,
+    lowered_names,
+    column_listing,
+    iso_dates,
     week_start,
     quarter_label,
     last_3_years,
@@ -514,6 +633,7 @@ PLAIN = [
     series_positions,
     nested_series,
     grouped_apply,
+    spread_series,
     top_categories,
     top_stores_in_top_categories,
     top_slice,
@@ -525,16 +645,21 @@ PLAIN = [
     forecast_store_monthly,
     forecast_stored_models,
     forecast_carried,
+    forecast_carried_additive,
     forecast_seasonal,
     seasonal_model_table,
     holdout_errors,
     holdout_errors_seasonal,
     monthly_sales,
     model_table,
+    stored_model_table,
     difference_orders,
     lag_products,
     forecast_calendar,
+    forecast_calendar_half_year,
     forecast_auto_sql,
+    forecasts_from_csv,
+    registered_result,
     dashboard_choices,
     dashboard_volume,
     dashboard_sales,

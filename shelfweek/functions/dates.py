@@ -16,7 +16,8 @@ def parse_us_date(c: str | Column) -> Column:
 
 
 def parse_iso_date(c: str | Column) -> Column:
-    return F.try_to_date(_col(c), "yyyy-MM-dd")
+    """Year-month-day text, padded or not, to a date; NULL where it is no date."""
+    return F.try_to_date(_col(c), "yyyy-M-d")
 
 
 def week_start(c: str | Column) -> Column:

@@ -31,6 +31,8 @@ def test_us_dates(spark, text, expected):
 
 def test_iso_dates(spark):
     assert one(spark, dates.parse_iso_date("s"), s="2022-08-28") == dt.date(2022, 8, 28)
+    assert one(spark, dates.parse_iso_date("s"), s="2022-8-5") == dt.date(2022, 8, 5)
+    assert one(spark, dates.parse_iso_date("s"), s="2022-13-05") is None
     assert one(spark, dates.parse_iso_date("s"), s="08/28/2022") is None
 
 
