@@ -3,8 +3,8 @@
 Vectors of length one within an angle are points within a distance eps. They are put in the
 order of their cells on the leading principal dimensions (a grid of side eps) and cut into
 blocks of that sequence. Intervals of the sequence are joined with one another from long to
-short: partitions, then blocks, then halves of blocks within a task; two whose bounding
-boxes are more than eps apart are skipped, since no pair in them can be near.
+short: runs of partitions, partitions, then blocks, then halves of blocks within a task; two
+whose bounding boxes are more than eps apart are skipped, since no pair in them can be near.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ BOX_DIMENSIONS = 16
 BLOCK = 1024
 #: Vectors of a partition of the sequence, about.
 PARTITION = 16384
+#: Intervals that a longer one is opened into, and the most that all meet one another.
+FAN = 64
 #: Halving stops at so many vectors.
 SMALLEST = 64
 #: Pairs of blocks handed to a task, about, which with BLOCK bounds its memory.
@@ -161,13 +163,14 @@ def _gap(a: str, b: str):
     return F.aggregate(apart, F.lit(0.0), lambda acc, d: acc + d * d)
 
 
-def _corners(blocks: DataFrame) -> DataFrame:
-    """The bounding box of each partition's blocks of a label."""
+def _corners(boxes: DataFrame, span: int = 1) -> DataFrame:
+    """The bounding box of each run of ``span`` partitions (or runs) of a label."""
 
     def corner(side, pick):
         return F.array(*[pick(F.get(side, F.lit(k))) for k in range(BOX_DIMENSIONS)])
 
-    box = blocks.groupBy("part", "label", "size").agg(
+    run = F.floor(F.col("part") / span).cast("int").alias("part")
+    box = boxes.groupBy(run, "label", "size").agg(
         corner("low", F.min).alias("low"), corner("high", F.max).alias("high")
     )
     # vectors with fewer dimensions have shorter corners
@@ -176,6 +179,34 @@ def _corners(blocks: DataFrame) -> DataFrame:
     )
 
 
+def near_partitions(parts: DataFrame, count: int, eps: float) -> DataFrame:
+    """(label, size, part_a, part_b): the pairs part_a <= part_b of partitions of a label that
+    are near. ``parts`` has their boxes, numbered below ``count`` in order of the sequence.
+    Runs of partitions are paired first and only near runs are opened, so that the pairs looked
+    at follow those that are near; all meet one another among at most ``FAN`` runs."""
+    levels = [parts]
+    while count > FAN:
+        count = -(-count // FAN)
+        levels.append(settle(_corners(levels[-1], FAN)))
+    keys, near = ["label", "size"], None
+    for boxes in reversed(levels):
+        sides = [
+            boxes.select(
+                *keys,
+                F.struct("part", "low", "high").alias(side),
+                F.floor(F.col("part") / FAN).cast("int").alias(f"part_{side}"),
+            )
+            for side in "ab"
+        ]
+        if near is None:
+            near = sides[0].drop("part_a").join(sides[1].drop("part_b"), keys)
+        else:
+            near = near.join(sides[0], [*keys, "part_a"]).join(sides[1], [*keys, "part_b"])
+        near = near.where((F.col("a.part") <= F.col("b.part")) & (_gap("a", "b") <= eps))
+        near = near.select(*keys, F.col("a.part").alias("part_a"), F.col("b.part").alias("part_b"))
+    return near
+
+
 def near_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray, least: float) -> Iterator[tuple]:
     """Positions (i, j) with a cosine of ``least`` or more, in parts; i < j if ``a is b``."""
     eps = 2 - 2 * least + 1e-9
@@ -212,18 +243,12 @@ def near_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray, least: float) ->
         yield i[near], j[near]
 
 
-def _linked(blocks: DataFrame, axes, least: float, stored: str) -> DataFrame:
+def _linked(blocks: DataFrame, axes, least: float, stored: str, count: int) -> DataFrame:
     """(a, n, root): per class and pair of blocks, the vectors it is linked to, and a class
     it hangs on. Rows grow with the blocks' vectors, not with the links."""
     eps = 2 - 2 * least + 1e-9
     boxes = blocks.select("part", "block", "label", "size", "low", "high")
-    parts = _corners(boxes)
-    whole = (
-        parts.alias("a")
-        .join(parts.alias("b"), ["label", "size"])
-        .where((F.col("a.part") <= F.col("b.part")) & (_gap("a", "b") <= eps))
-        .select("label", "size", F.col("a.part").alias("part_a"), F.col("b.part").alias("part_b"))
-    )
+    whole = near_partitions(settle(_corners(boxes)), count, eps)
     left = boxes.select(F.struct("block", "low", "high").alias("a"), "label", "size", F.col("part").alias("part_a"))
     right = boxes.select(F.struct("block", "low", "high").alias("b"), "label", "size", F.col("part").alias("part_b"))
     pairs = (
@@ -303,7 +328,7 @@ def near_duplicates(
     if n:
         axes = sent(vectors.sparkSession, principal_axes(classes))
         blocks = _blocks(classes, axes, float(np.sqrt(2 - 2 * least)), n)
-        linked = _linked(blocks, axes, least, _stored(classes))
+        linked = _linked(blocks, axes, least, _stored(classes), -(-n // PARTITION))
         counts = linked.groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "_class")
         roots = components(linked.select("a", "root"), "a", "root")
         roots = roots.select(F.col("node").alias("_class"), "root")

@@ -43,8 +43,9 @@ def made(seed, n=300, size=12):
     return rows
 
 
-@pytest.mark.parametrize("block, partition, smallest", [(256, 8192, 64), (16, 50, 4)])
-def test_equals_brute_force(spark, monkeypatch, block, partition, smallest):
+@pytest.mark.parametrize("block, partition, smallest, fan", [(256, 8192, 64, 64), (16, 50, 4, 64), (16, 12, 4, 3)])
+def test_equals_brute_force(spark, monkeypatch, block, partition, smallest, fan):
+    monkeypatch.setattr(vector_groups, "FAN", fan)
     monkeypatch.setattr(vector_groups, "BLOCK", block)
     monkeypatch.setattr(vector_groups, "PARTITION", partition)
     monkeypatch.setattr(vector_groups, "SMALLEST", smallest)
@@ -65,6 +66,24 @@ def test_skipped_intervals_hold_no_pair():
     assert got == set(zip(*(k.tolist() for k in np.nonzero(cosine >= 0.95))))
 
 
+def test_near_partitions_by_runs(spark, monkeypatch):
+    monkeypatch.setattr(vector_groups, "FAN", 4)
+    rng = np.random.default_rng(5)
+    low = np.sort(rng.uniform(-1, 1, size=(70, 2)), axis=0)
+    high = low + rng.uniform(0, 0.1, size=low.shape)
+    # partition 20 holds two labels
+    rows = [(k, int(k > 20), 2, low[k].tolist(), high[k].tolist()) for k in range(70)] + [(20, 1, 2, [0.0, 0.0], [0.1, 0.1])]
+    parts = spark.createDataFrame(rows, "part int, label int, size int, low array<double>, high array<double>")
+    found = vector_groups.near_partitions(parts, 70, 0.01).collect()
+    want = set()
+    for p, l, _, a, b in rows:
+        for q, m, _, c, d in rows:
+            gap = np.maximum(0, np.maximum(np.subtract(a, d), np.subtract(c, b)))
+            if p <= q and l == m and (gap**2).sum() <= 0.01:
+                want.add((l, 2, p, q))
+    assert len(found) == len(want) and {tuple(r) for r in found} == want
+
+
 def test_empty_and_all_unusable(spark):
     df = spark.createDataFrame([(1, None, 1, "", 0, "")], SCHEMA)
     assert [tuple(r) for r in vector_groups.near_duplicates(df).collect()] == [(1, 0, 1, True)]
