@@ -19,13 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow_text import from_raw, raw, text_slices
-from .scratch import sent, settle
+from .benchmark_join import by_document, occurrences
+from .scratch import numbered, sent, settle
 
 #: Words of a shingle; a window of fewer words is one shingle.
 SHINGLE = 3
 #: Bytes of benchmark text whose windows are sent to all tasks at once. A larger benchmark
 #: is taken in blocks of about this size, each against all documents.
 BLOCK_BYTES = 8 << 20
+#: Bytes of benchmark text, copies included, beyond which its windows are joined by shuffles.
+JOIN_BYTES = 32 << 20
 #: Candidates compared word by word at a time.
 COMPARED = 1 << 16
 
@@ -148,11 +151,17 @@ class Windows:
                 yield start[same], n, window[row[same]]
 
 
+def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
+
+
+def _bytes(items: DataFrame) -> int:
+    return items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+
+
 def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list]:
-    rows = items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
-    rows = settle(rows.distinct())  # equal items would all fall into one block
-    size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    count = -(-size // BLOCK_BYTES) or 1
+    rows = settle(_items(items, id_col, text_col).distinct())  # equal items would all fall into one block
+    count = -(-_bytes(rows) // BLOCK_BYTES) or 1
     for k in range(count):
         block = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == k)
         yield sorted(((r.i, r.t) for r in block.collect()), key=repr)
@@ -259,9 +268,12 @@ def contamination(
         F.col(id_col).alias("_id"),
         F.col(text_col).cast("string").alias("_text"),
     )
-    items = benchmark.select(F.col(item_col).alias("_item"), F.col(item_text_col).alias("_text"))
+    items = _items(benchmark, item_col, item_text_col)
+    if _bytes(items) > JOIN_BYTES:
+        rows = numbered(rows.drop("_row"))
+        return _joined(rows, items, width).select(F.col("_id").alias(id_col), "n_words", "n_hit", "items", "spans")
     found = []
-    for block in _blocks(items, "_item", "_text"):
+    for block in _blocks(items, "i", "t"):
         if len(found) == 1:
             rows = settle(rows)  # the same row numbers for every block
             found = [_scan(rows, windows, kind)]
@@ -288,6 +300,22 @@ def contamination(
     return out.select(F.col("_id").alias(id_col), "n_words", covered.alias("n_hit"), "items", "spans")
 
 
+def _joined(rows: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """(_id, n_words, n_hit, items, spans) of numbered documents (_row, _id, _text)."""
+    words, hits, owners = occurrences(rows.select("_row", "_text"), items.distinct(), width, SHINGLE, words_of)
+    spans, listed = by_document(hits, owners)
+    out = rows.select("_row", "_id").join(words, "_row").join(spans, "_row", "left").join(listed, "_row", "left")
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s.end - s.start)
+    none = F.array().cast("array<string>")
+    return out.select(
+        "_id",
+        "n_words",
+        F.coalesce(n_hit, F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("items", none).alias("items"),
+        F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>")).alias("spans"),
+    )
+
+
 def clean(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -297,10 +325,22 @@ def clean(
     item_text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` without any occurrence of a window, all their columns as they
-    are. A filter for each block of the benchmark; no row leaves its task."""
-    items = benchmark.select(F.col(item_col).alias("_item"), F.col(item_text_col).alias("_text"))
+    are. A filter for each block of the benchmark; no row leaves its task. For a benchmark
+    of more than ``JOIN_BYTES`` rows are numbered in a written table, and those hit are left
+    out by a join."""
+    items = _items(benchmark, item_col, item_text_col)
+    if _bytes(items) > JOIN_BYTES:
+        name = "_row"
+        while name in docs.columns:
+            name = f"_{name}"
+        rows = numbered(docs, name)
+        texts = rows.select(F.col(name).alias("_row"), F.col(text_col).cast("string").alias("_text"))
+        _, hits, _ = occurrences(texts, items.distinct(), width, SHINGLE, words_of)
+        return rows.join(hits.select(F.col("_row").alias(name)).distinct(), name, "left_anti").select(
+            *[F.col(f"`{c}`") for c in docs.columns]
+        )
     texts = docs.select(F.col(text_col).cast("string").alias("_text"))
-    for block in _blocks(items, "_item", "_text"):
+    for block in _blocks(items, "i", "t"):
         windows = Windows(block, width)
         windows.keep_rarest(_corpus_counts(texts, windows))
         docs = docs.where(~_holds(docs.sparkSession, windows)(F.col(text_col).cast("string")))

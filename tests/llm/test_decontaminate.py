@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from shelfweek.llm import decontaminate
+from shelfweek.llm import benchmark_join, decontaminate
 from tests.llm import brute
 
 
@@ -17,10 +17,13 @@ def made(seed):
     return docs, items
 
 
-@pytest.mark.parametrize("block", [8 << 20, 64])
+@pytest.mark.parametrize("block", [8 << 20, 64, None])
 @pytest.mark.parametrize("width", [4, 10])
 def test_equals_brute_force_in_one_block_and_in_many(spark, monkeypatch, block, width):
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    if block:
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    else:
+        monkeypatch.setattr(decontaminate, "JOIN_BYTES", 0)
     docs, items = made(width)
     df = spark.createDataFrame([(t, i, 1, "z") for i, t in docs], "text string, doc_id long, n_words int, _id string")
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -42,7 +45,46 @@ def test_spans_do_not_run_over_the_end_of_a_text(spark):
     assert found == {1: [(1, 4)], 2: [(0, 3)], 3: []}
 
 
-def test_empty_tables(spark):
+def long_docs(seed, n=400):
+    """Documents and items of few common words, so that runs of known shingles are many."""
+    rng = random.Random(seed)
+    words = ["the", "of", "a", "in", "to", "is", "on", "it"] + [f"w{k}" for k in range(40)]
+    pick = lambda n: " ".join(rng.choices(words, [20] * 8 + [1] * 40, k=n))
+    items = [(k, pick(rng.choice([11, 14, 30, 60]))) for k in range(150)] + [(900, "w1 of w2 in"), (901, "w1 of w2 in")]
+    docs = []
+    for k in range(n):
+        text = pick(rng.randint(5, 300))
+        if k % 3 == 0:
+            part = rng.choice(items)[1].split()
+            at = rng.randint(0, max(0, len(part) - 12))
+            text += " " + " ".join(part[at : at + rng.choice([9, 10, 12])]) + " " + pick(8)
+        docs.append((k, text))
+    return docs, items
+
+
+def test_joined_by_shuffles_equals_sent_blocks(spark, monkeypatch):
+    docs, items = long_docs(3)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def rows():
+        found = decontaminate.contamination(df, bench, 10).collect()
+        return sorted((r.doc_id, r.n_words, r.n_hit, r["items"], [tuple(s) for s in r.spans]) for r in found)
+
+    one_block = rows()
+    left = {r.doc_id for r in decontaminate.clean(df, bench, 10).collect()}
+    monkeypatch.setattr(decontaminate, "JOIN_BYTES", 1000)
+    # a bitmap so small that most of what passes is none of the windows
+    monkeypatch.setattr(benchmark_join, "MOST_BITS", 1 << 15)
+    assert rows() == one_block
+    assert {r.doc_id for r in decontaminate.clean(df, bench, 10).collect()} == left
+    assert 50 < len(left) < 350
+
+
+@pytest.mark.parametrize("largest", [None, -1])
+def test_empty_tables(spark, monkeypatch, largest):
+    if largest:
+        monkeypatch.setattr(decontaminate, "JOIN_BYTES", largest)
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
     found = decontaminate.contamination(docs, none).collect()
